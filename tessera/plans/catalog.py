@@ -137,3 +137,131 @@ def mean_user_auc(spark, sf):
 def stratified_partition(spark, sf):
     return sampling.stratified_partition(V.risk_rows(spark, sf), "toxic", "doc_id", 0.7,
                                          20161117).select("doc_id", "toxic", "partition")
+
+
+# ------------------------------------------------------- cohort (V4) family
+from tessera.operators import cohort as coh  # noqa: E402
+from tessera.operators import descriptive as desc  # noqa: E402
+
+FLAGS = [f"{t}_flag" for t in V.EVENT_TYPES]
+DATES = [f"{t}_dt" for t in V.EVENT_TYPES]
+
+
+def cohort_frame(spark, sf):
+    w = coh.clean_sentinels(V.wide_patients(spark, sf))
+    w = coh.parse_dates(w, ["birth_date", "death_date"] + DATES)
+    d = coh.derive(w, FLAGS, DATES, list(V.EVENT_TYPES), "birth_date", "death_date",
+                   V.V4_STUDY_END)
+    steps = coh.cohort_steps(FLAGS, DATES, V.V4_DX_CUTOFF, V.V4_EARLY_DATE, "race")
+    return d, steps
+
+
+@query("cohort_attrition")
+def cohort_attrition(spark, sf):
+    d, steps = cohort_frame(spark, sf)
+    return desc.attrition(d, steps)
+
+
+@query("cohort_derived")
+def cohort_derived(spark, sf):
+    d, steps = cohort_frame(spark, sf)
+    return coh.apply_steps(d, steps).select(
+        "user_id", "sex", "race", "cancer_type", r6("dx_age").alias("dx_age"),
+        r6("death_age").alias("death_age"), "age_cat", r6("dx2death").alias("dx2death"),
+        "dx_date", "tt_event", "death")
+
+
+# -------------------------------------------------- descriptive (V3/V5) family
+STRATA = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+REGIONS = ["0", "1", "2", "3", "4"]
+AGE_EDGES = [10, 20, 30, 40, 50, 60, 70, 80, 90, 100]
+
+
+@query("age_bins")
+def age_bins(spark, sf):
+    from tessera.functions.binning import bin_right_closed
+    s = V.subjects(spark, sf)
+    return s.groupBy(bin_right_closed(F.col("age"), AGE_EDGES).alias("age_cat")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("freq_one_way")
+def freq_one_way(spark, sf):
+    f = desc.freq(V.subjects(spark, sf), "stratum")
+    return f.select("stratum", "n", r6("pct").alias("pct"), "cum_n", r6("cum_pct").alias("cum_pct"),
+                    "n_levels")
+
+
+@query("freq_two_way")
+def freq_two_way(spark, sf):
+    return desc.crosstab_complete(V.subjects(spark, sf), "stratum", "region")
+
+
+@query("column_percent")
+def column_percent(spark, sf):
+    c = desc.column_percent(V.subjects(spark, sf), "stratum", "region")
+    return c.select("stratum", "region", "n", r6("pct").alias("pct"))
+
+
+@query("group_summary")
+def group_summary(spark, sf):
+    """AGG-17/12/13/21: totals, events, percents, median and min time per stratum."""
+    s = V.subjects(spark, sf)
+    g = s.groupBy("stratum").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event").alias("n_event"),
+        F.count_if((F.col("event") == 1) & (F.col("time") <= 1000)).alias("n_event_1000"),
+        F.median("time").alias("median_time"), F.min("time").alias("min_time"))
+    return g.select("stratum", "n", F.col("n_event").cast("bigint").alias("n_event"),
+                    F.round(F.col("n_event") * 100.0 / F.col("n"), 2).alias("pct_event"),
+                    "n_event_1000",
+                    F.round(F.col("n_event_1000") * 100.0 / F.col("n"), 2).alias("pct_event_1000"),
+                    r6("median_time").alias("median_time"), "min_time")
+
+
+@query("group_means")
+def group_means(spark, sf):
+    g = desc.group_means(V.subjects(spark, sf), ["stratum", "region"], "age")
+    return g.select("stratum", "region", r6("mean_age").alias("mean_age"), "n")
+
+
+def _pivot(spark, sf):
+    p = desc.pivot_mean(V.subjects(spark, sf), "stratum", "region", "age", REGIONS)
+    return p.select("stratum", *[r6(F.col(f"`{r}`")).alias(f"r_{r}") for r in REGIONS])
+
+
+@query("pivot_means")
+def pivot_means(spark, sf):
+    return _pivot(spark, sf)
+
+
+@query("transpose_means")
+def transpose_means(spark, sf):
+    return desc.transpose(_pivot(spark, sf), "stratum", "region")
+
+
+@query("histogram")
+def histogram(spark, sf):
+    h = desc.histogram(V.subjects(spark, sf), "time", 20, ["stratum"])
+    return h.select("stratum", "bin", r6("bin_lo").alias("bin_lo"), r6("bin_hi").alias("bin_hi"),
+                    "n", r6("density").alias("density"))
+
+
+@query("box_stats")
+def box_stats(spark, sf):
+    b = desc.box_stats(V.subjects(spark, sf), "time", ["stratum"])
+    return b.select("stratum", "n", "min", r6("q1").alias("q1"), r6("median").alias("median"),
+                    r6("q3").alias("q3"), "max", r6("iqr").alias("iqr"), "whisker_lo", "whisker_hi",
+                    "n_outliers")
+
+
+@query("density")
+def density(spark, sf):
+    d = desc.density(V.subjects(spark, sf), "age", ["stratum"], grid_points=32, bins=64)
+    return d.select("stratum", "point", r6("x").alias("x"), r6("density").alias("density"))
+
+
+@query("rare_event_rate")
+def rare_event_rate(spark, sf):
+    f = desc.freq(V.risk_rows(spark, sf), "toxic")
+    return f.select("toxic", "n", r6("pct").alias("pct"), "cum_n", r6("cum_pct").alias("cum_pct"),
+                    "n_levels")

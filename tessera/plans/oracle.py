@@ -98,3 +98,180 @@ SELECT doc_id, toxic,
   CASE WHEN row_number() OVER (PARTITION BY toxic ORDER BY {sql_hash32(20161117, 'doc_id')}, doc_id)
             <= ceil(count(*) OVER (PARTITION BY toxic) * 0.7) THEN 1 ELSE 0 END AS partition
 FROM v5"""
+
+
+# ------------------------------------------------------- cohort (V4) family
+from tessera.functions.binning import sql_bin_right_closed  # noqa: E402
+
+_T = V.EVENT_TYPES
+
+
+def _txt(expr: str, missing: str) -> str:
+    return f"coalesce(strftime({expr}, '%-m/%-d/%Y'), '{missing}')"
+
+
+_flag_dt = ",\n    ".join(
+    f"min(CASE WHEN event_type = '{t}' AND value >= {V.V4_FLAG_VALUE} THEN CAST(ts AS DATE) END) AS {t}_dt"
+    for t in _T)
+_races = _q(V.RACES)
+V4 = f"""g4 AS (SELECT user_id,
+    {_flag_dt},
+    max(CASE WHEN value >= {V.V4_DEATH_VALUE} THEN CAST(ts AS DATE) END) AS death_dt
+  FROM events GROUP BY user_id),
+v4 AS (SELECT user_id,
+    {_txt("DATE '1940-01-01' + CAST(((user_id * 7919) % 20000 + 20000) % 20000 AS INTEGER)", '#N/A')} AS birth_date,
+    {_txt('death_dt', 'NULL')} AS death_date,
+    CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS sex,
+    [{_races}][CAST(((user_id * 3 + 1) % {len(V.RACES)} + {len(V.RACES)}) % {len(V.RACES)} AS INTEGER) + 1] AS race,
+    {", ".join(f"CAST({t}_dt IS NOT NULL AS INTEGER) AS {t}_flag" for t in _T)},
+    {", ".join(_txt(f"{t}_dt", "#N/A") + f" AS {t}_dt" for t in _T)}
+  FROM g4)"""
+
+
+def _clean(c: str) -> str:
+    return f"nullif(nullif({c}, 'NULL'), '#N/A')"
+
+
+def _parse(c: str) -> str:
+    return f"CAST(try_strptime({_clean(c)}, '%m/%d/%Y') AS DATE)"
+
+
+_dates = [f"{t}_dt" for t in _T]
+_flags = [f"{t}_flag" for t in _T]
+
+
+def _first_flagged(vals):
+    whens = " ".join(f"WHEN {f} = 1 THEN {v}" for f, v in zip(_flags, vals))
+    return f"(CASE {whens} END)"
+
+
+COH = f"""c0 AS (SELECT user_id, sex, {_clean('race')} AS race,
+    {", ".join(_flags)},
+    {_parse('birth_date')} AS birth_date, {_parse('death_date')} AS death_date,
+    {", ".join(_parse(d) + f" AS {d}" for d in _dates)}
+  FROM v4),
+c1 AS (SELECT *,
+    date_diff('day', birth_date, {_first_flagged(_dates)}) / 365.25 AS dx_age,
+    date_diff('day', birth_date, death_date) / 365.25 AS death_age,
+    {_first_flagged([f"'{t}'" for t in _T])} AS cancer_type,
+    greatest({", ".join(_dates)}) AS dx_date
+  FROM c0),
+c2 AS (SELECT *, {sql_bin_right_closed('dx_age', [10, 20, 30, 40, 50, 60, 70, 80, 90, 100])} AS age_cat,
+    death_age - dx_age AS dx2death,
+    CAST(date_diff('day', dx_date, least(coalesce(death_date, DATE '{V.V4_STUDY_END}'), DATE '{V.V4_STUDY_END}')) AS DOUBLE) AS tt_event,
+    CAST(death_date IS NOT NULL AND death_date <= DATE '{V.V4_STUDY_END}' AS INTEGER) AS death
+  FROM c1)"""
+_steps = [
+    ("has_dx_date", f"coalesce({', '.join(_dates)}) IS NOT NULL"),
+    ("dx_before_cutoff", " AND ".join(f"({d} IS NULL OR {d} < DATE '{V.V4_DX_CUTOFF}')" for d in _dates)),
+    ("single_type", " + ".join(f"coalesce({f}, 0)" for f in _flags) + " = 1"),
+    ("non_negative_dx2death", "(dx2death IS NULL OR dx2death >= 0)"),
+    ("dx_after_early_date", f"dx_date > DATE '{V.V4_EARLY_DATE}'"),
+    ("race_known", "race IS NOT NULL"),
+]
+_cum = []
+_acc = []
+for _n, _c in _steps:
+    _acc.append(f"({_c})")
+    _cum.append(" AND ".join(_acc))
+ORACLE["cohort_attrition"] = with_(V4, COH) + "SELECT * FROM (\n" + "\nUNION ALL\n".join(
+    [f"SELECT 0 AS step_no, 'input' AS step, count(*) AS n_rows FROM c2"]
+    + [f"SELECT {i}, '{n}', count(*) FILTER (WHERE coalesce({c}, false)) FROM c2"
+       for i, ((n, _), c) in enumerate(zip(_steps, _cum), 1)]) + ")"
+ORACLE["cohort_derived"] = with_(V4, COH) + f"""
+SELECT user_id, sex, race, cancer_type, round(dx_age, 6) AS dx_age, round(death_age, 6) AS death_age,
+       age_cat, round(dx2death, 6) AS dx2death, dx_date, tt_event, death
+FROM c2 WHERE {_cum[-1]}"""
+
+
+# -------------------------------------------------- descriptive (V3/V5) family
+V3 = f"""per3 AS (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS start,
+    min(CASE WHEN o_totalprice > {V.V3_EVENT_PRICE} THEN CAST(o_orderdate AS DATE) END) AS event_date
+  FROM orders GROUP BY o_custkey),
+v3 AS (SELECT c_custkey AS subject_id, c_mktsegment AS stratum, CAST(n_regionkey AS VARCHAR) AS region,
+    CASE WHEN c_acctbal < {V.V3_GROUP2_BALANCE} THEN 'low' ELSE 'high' END AS group2,
+    CAST(10 + c_custkey % 95 AS DOUBLE) AS age, start, event_date,
+    CAST(date_diff('day', start, coalesce(event_date, DATE '{V.V3_STUDY_END}')) AS INTEGER) AS time,
+    CAST(event_date IS NOT NULL AS INTEGER) AS event
+  FROM per3 JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
+_STRATA = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+_REGIONS = ["0", "1", "2", "3", "4"]
+
+ORACLE["age_bins"] = with_(V3) + f"""
+SELECT {sql_bin_right_closed('age', [10, 20, 30, 40, 50, 60, 70, 80, 90, 100])} AS age_cat, count(*) AS n
+FROM v3 GROUP BY 1"""
+
+
+def _freq(src: str, col: str) -> str:
+    return f"""SELECT {col}, n, round(n * 100.0 / sum(n) OVER (), 6) AS pct,
+       sum(n) OVER (ORDER BY {col} NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_n,
+       round(sum(n) OVER (ORDER BY {col} NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+             * 100.0 / sum(n) OVER (), 6) AS cum_pct,
+       count(*) OVER () AS n_levels
+FROM (SELECT {col}, count(*) AS n FROM {src} GROUP BY {col})"""
+
+
+ORACLE["freq_one_way"] = with_(V3) + _freq("v3", "stratum")
+ORACLE["rare_event_rate"] = with_(V5) + _freq("v5", "toxic")
+_CT = """ct AS (SELECT a.stratum, b.region, coalesce(c.n, 0) AS n
+  FROM (SELECT DISTINCT stratum FROM v3) a CROSS JOIN (SELECT DISTINCT region FROM v3) b
+  LEFT JOIN (SELECT stratum, region, count(*) AS n FROM v3 GROUP BY ALL) c
+    ON c.stratum = a.stratum AND c.region = b.region)"""
+ORACLE["freq_two_way"] = with_(V3, _CT) + "SELECT * FROM ct"
+ORACLE["column_percent"] = with_(V3, _CT) + """
+SELECT stratum, region, n, round(n * 100.0 / sum(n) OVER (PARTITION BY stratum), 6) AS pct FROM ct"""
+ORACLE["group_summary"] = with_(V3) + """
+SELECT stratum, count(*) AS n, CAST(sum(event) AS BIGINT) AS n_event,
+       round(sum(event) * 100.0 / count(*), 2) AS pct_event,
+       count(*) FILTER (WHERE event = 1 AND time <= 1000) AS n_event_1000,
+       round(count(*) FILTER (WHERE event = 1 AND time <= 1000) * 100.0 / count(*), 2) AS pct_event_1000,
+       round(quantile_cont(time, 0.5), 6) AS median_time, min(time) AS min_time
+FROM v3 GROUP BY stratum"""
+ORACLE["group_means"] = with_(V3) + """
+SELECT stratum, region, round(avg(age), 6) AS mean_age, count(*) AS n FROM v3 GROUP BY stratum, region"""
+_PIV = "piv AS (SELECT stratum, " + ", ".join(
+    f"round(avg(age) FILTER (WHERE region = '{r}'), 6) AS r_{r}" for r in _REGIONS) + \
+    " FROM v3 GROUP BY stratum)"
+ORACLE["pivot_means"] = with_(V3, _PIV) + "SELECT * FROM piv"
+ORACLE["transpose_means"] = with_(V3, _PIV) + "SELECT region, " + ", ".join(
+    f"max(value) FILTER (WHERE stratum = '{s}') AS {s}" for s in _STRATA) + \
+    " FROM (UNPIVOT piv ON " + ", ".join(f"r_{r}" for r in _REGIONS) + \
+    " INTO NAME region VALUE value) GROUP BY region"
+
+
+def _hist(src: str, x: str, bins: int, by: str) -> str:
+    return f"""hb AS (SELECT {by}, min({x}) AS lo, max({x}) AS hi, count({x}) AS nn FROM {src} GROUP BY {by}),
+hj AS (SELECT s.{by}, s.{x}, hb.lo, (hb.hi - hb.lo) / {float(bins)} AS w, hb.nn FROM {src} s JOIN hb USING ({by})
+       WHERE s.{x} IS NOT NULL),
+hg AS (SELECT {by}, CAST(CASE WHEN w = 0 THEN 0 ELSE least(floor(({x} - lo) / w), {bins - 1}) END AS INTEGER) AS bin,
+              lo, w, nn, count(*) AS n FROM hj GROUP BY ALL),
+hist AS (SELECT {by}, bin, lo + bin * w AS bin_lo, lo + (bin + 1) * w AS bin_hi, n,
+                CASE WHEN w > 0 THEN n / (nn * w) END AS density FROM hg)"""
+
+
+ORACLE["histogram"] = with_(V3, _hist("v3", "time", 20, "stratum")) + """
+SELECT stratum, bin, round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi, n, round(density, 6) AS density
+FROM hist"""
+ORACLE["box_stats"] = with_(V3) + """,
+q AS (SELECT stratum, count(time) AS n, min(time) AS min, quantile_cont(time, 0.25) AS q1,
+             quantile_cont(time, 0.5) AS median, quantile_cont(time, 0.75) AS q3, max(time) AS max
+      FROM v3 GROUP BY stratum),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q),
+w AS (SELECT v3.stratum, min(time) FILTER (WHERE time >= lo AND time <= hi) AS whisker_lo,
+             max(time) FILTER (WHERE time >= lo AND time <= hi) AS whisker_hi,
+             count(*) FILTER (WHERE NOT (time >= lo AND time <= hi)) AS n_outliers
+      FROM v3 JOIN f USING (stratum) GROUP BY v3.stratum)
+SELECT stratum, n, min, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, max,
+       round(iqr, 6) AS iqr, whisker_lo, whisker_hi, n_outliers
+FROM f JOIN w USING (stratum)"""
+ORACLE["density"] = with_(V3, _hist("v3", "age", 64, "stratum")) + """,
+ds AS (SELECT stratum, count(age) AS n, stddev_samp(age) AS sd,
+              quantile_cont(age, 0.75) - quantile_cont(age, 0.25) AS iqr, min(age) AS lo, max(age) AS hi
+       FROM v3 GROUP BY stratum),
+dg AS (SELECT stratum, n, 0.9 * least(sd, iqr / 1.34) * pow(n, -0.2) AS bw, lo, hi,
+              unnest(range(0, 32)) AS point FROM ds),
+dx AS (SELECT *, lo + point * (hi - lo) / 31 AS x FROM dg)
+SELECT dx.stratum, dx.point, round(dx.x, 6) AS x,
+       round(sum(h.n * exp(-0.5 * ((dx.x - (h.bin_lo + h.bin_hi) / 2) / dx.bw) ** 2) / sqrt(2 * pi()))
+             / (dx.n * dx.bw), 6) AS density
+FROM dx JOIN hist h USING (stratum) GROUP BY dx.stratum, dx.point, dx.x, dx.n, dx.bw"""

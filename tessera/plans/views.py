@@ -29,8 +29,8 @@ V2_NULL_FRACTION = 1.0 / 17.0   # pairs whose second text is missing
 V3_STUDY_END = "2001-08-01"
 V3_EVENT_PRICE = 470000.0
 V3_GROUP2_BALANCE = 4500.0
-V4_FLAG_VALUE = 97.0            # an event of a type at/above this value sets the flag
-V4_DEATH_VALUE = 99.0
+V4_FLAG_VALUE = 200.0           # an event of a type at/above this value sets the flag
+V4_DEATH_VALUE = 260.0           # death = last event at/above this value
 
 
 def interactions(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,14 +118,14 @@ def wide_patients(spark: SparkSession, sf: str) -> DataFrame:
     e = load(spark, sf, "events", ["user_id", "ts", "event_type", "value"])
     flag_dt = {t: F.min(F.when((F.col("event_type") == t) & (F.col("value") >= V4_FLAG_VALUE),
                                F.col("ts").cast("date"))).alias(f"{t}_dt") for t in EVENT_TYPES}
-    death = F.min(F.when(F.col("value") >= V4_DEATH_VALUE, F.col("ts").cast("date"))
+    death = F.max(F.when(F.col("value") >= V4_DEATH_VALUE, F.col("ts").cast("date"))
                   ).alias("death_dt")
     g = e.groupBy("user_id").agg(*flag_dt.values(), death)
 
     def as_text(c, missing):
         return F.coalesce(F.date_format(c, "M/d/yyyy"), F.lit(missing))
 
-    race_idx = F.pmod(F.col("user_id") * 7 + 3, F.lit(len(RACES))).cast("int")
+    race_idx = F.pmod(F.col("user_id") * 3 + 1, F.lit(len(RACES))).cast("int")
     return g.select(
         "user_id",
         as_text(F.date_add(F.lit("1940-01-01").cast("date"),
@@ -148,3 +148,8 @@ def risk_rows(spark: SparkSession, sf: str) -> DataFrame:
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
     """V6: embedding vectors (vec_id, embedding array<float>, label)."""
     return load(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+
+# Cohort parameters for V4 (events span January 2024).
+V4_DX_CUTOFF = "2024-01-29"     # dx dates must be before this (or missing)
+V4_STUDY_END = "2024-01-28"
+V4_EARLY_DATE = "2024-01-02"    # keep dx_date after this
