@@ -265,3 +265,87 @@ def rare_event_rate(spark, sf):
     f = desc.freq(V.risk_rows(spark, sf), "toxic")
     return f.select("toxic", "n", r6("pct").alias("pct"), "cum_n", r6("cum_pct").alias("cum_pct"),
                     "n_levels")
+
+
+# ----------------------------------------------------- survival (V3) family
+from tessera.operators import survival as sv  # noqa: E402
+
+KM_COLS = ["stratum", "group2", "time", "n_risk", "n_event", "n_censor"]
+
+
+def _km(spark, sf):
+    return sv.kaplan_meier(V.subjects(spark, sf), "time", "event", "group2", "stratum")
+
+
+@query("km_curve")
+def km_curve(spark, sf):
+    return _km(spark, sf).select(*KM_COLS, r6("surv").alias("surv"))
+
+
+@query("km_ci")
+def km_ci(spark, sf):
+    return _km(spark, sf).select("stratum", "group2", "time", r6("surv").alias("surv"),
+                                 r6("std_err").alias("std_err"), r6("lower").alias("lower"),
+                                 r6("upper").alias("upper"))
+
+
+@query("km_median")
+def km_median(spark, sf):
+    return sv.km_median(_km(spark, sf), "time", ["stratum", "group2"])
+
+
+@query("risk_table")
+def risk_table(spark, sf):
+    return sv.risk_table(V.subjects(spark, sf), "time", "event", 500, "group2", "stratum")
+
+
+@query("censor_counts")
+def censor_counts(spark, sf):
+    return sv.censor_counts(V.subjects(spark, sf), "time", "event", "group2", "stratum")
+
+
+@query("logrank")
+def logrank(spark, sf):
+    per, _ = sv.logrank_terms(V.subjects(spark, sf), "time", "event", "group2", "stratum")
+    return per.select("stratum", "group2", "observed", r6("expected").alias("expected"),
+                      r6("var").alias("var"))
+
+
+@query("logrank_test")
+def logrank_test(spark, sf):
+    """Several groups (5 regions) per stratum; p from the χ² tail."""
+    return sv.logrank_test(V.subjects(spark, sf), "time", "event", "region", "stratum")
+
+
+@query("curve_crossings")
+def curve_crossings(spark, sf):
+    return sv.curve_crossings(_km(spark, sf), "time", "group2", "low", "high", "stratum")
+
+
+def _cox(spark, sf, interaction: bool):
+    s = V.subjects(spark, sf)
+    factors = ["region", "group2"] if interaction else ["group2"]
+    inter = [("region", "group2")] if interaction else []
+    d, xs = sv.design(s, factors, inter, levels={"region": REGIONS, "group2": ["high", "low"]})
+    return d, xs, sv.cox_ph(d, "time", "event", xs, "stratum")
+
+
+@query("cox_fit")
+def cox_fit(spark, sf):
+    return _cox(spark, sf, False)[2][0]
+
+
+@query("cox_tests")
+def cox_tests(spark, sf):
+    return _cox(spark, sf, False)[2][1]
+
+
+@query("cox_interaction")
+def cox_interaction(spark, sf):
+    return _cox(spark, sf, True)[2][0]
+
+
+@query("cox_curve")
+def cox_curve(spark, sf):
+    d, xs, (coefs, _) = _cox(spark, sf, False)
+    return sv.cox_curve(d, "time", "event", xs, coefs, "stratum")

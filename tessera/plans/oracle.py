@@ -275,3 +275,74 @@ SELECT dx.stratum, dx.point, round(dx.x, 6) AS x,
        round(sum(h.n * exp(-0.5 * ((dx.x - (h.bin_lo + h.bin_hi) / 2) / dx.bw) ** 2) / sqrt(2 * pi()))
              / (dx.n * dx.bw), 6) AS density
 FROM dx JOIN hist h USING (stratum) GROUP BY dx.stratum, dx.point, dx.x, dx.n, dx.bw"""
+
+
+# ----------------------------------------------------- survival (V3) family
+_KMSQL = """kc AS (SELECT stratum, group2, time, CAST(sum(event) AS BIGINT) AS n_event,
+                   CAST(sum(1 - event) AS BIGINT) AS n_censor, count(*) AS n_obs FROM v3 GROUP BY ALL),
+kr AS (SELECT *, CAST(sum(n_obs) OVER (PARTITION BY stratum, group2 ORDER BY time DESC
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS n_risk FROM kc),
+kk AS (SELECT *,
+   sum(CASE WHEN n_event < n_risk THEN ln(1 - n_event / n_risk) ELSE 0 END) OVER w AS slog,
+   sum(CASE WHEN n_event >= n_risk THEN 1 ELSE 0 END) OVER w AS nz,
+   sum(CASE WHEN n_event < n_risk THEN n_event / (n_risk * (n_risk - n_event)) ELSE 0 END) OVER w AS sgw
+  FROM kr WINDOW w AS (PARTITION BY stratum, group2 ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+km AS (SELECT stratum, group2, time, n_risk, n_event, n_censor,
+   CASE WHEN nz > 0 THEN 0.0 ELSE exp(slog) END AS surv,
+   CASE WHEN nz = 0 THEN exp(slog) * sqrt(sgw) END AS std_err,
+   CASE WHEN nz = 0 THEN exp(slog) * exp(-1.959963984540054 * sqrt(sgw)) END AS lower,
+   CASE WHEN nz = 0 THEN least(1.0, exp(slog) * exp(1.959963984540054 * sqrt(sgw))) END AS upper
+  FROM kk)"""
+ORACLE["km_curve"] = with_(V3, _KMSQL) + """
+SELECT stratum, group2, time, n_risk, n_event, n_censor, round(surv, 6) AS surv FROM km"""
+ORACLE["km_ci"] = with_(V3, _KMSQL) + """
+SELECT stratum, group2, time, round(surv, 6) AS surv, round(std_err, 6) AS std_err,
+       round(lower, 6) AS lower, round(upper, 6) AS upper FROM km"""
+ORACLE["km_median"] = with_(V3, _KMSQL) + """
+SELECT stratum, group2, max(n_risk) AS n, CAST(sum(n_event) AS BIGINT) AS events,
+       min(time) FILTER (WHERE surv <= 0.5) AS median,
+       min(time) FILTER (WHERE lower <= 0.5) AS median_lcl,
+       min(time) FILTER (WHERE upper <= 0.5) AS median_ucl
+FROM km GROUP BY stratum, group2"""
+ORACLE["risk_table"] = with_(V3) + """,
+b AS (SELECT stratum, group2, CAST(floor(time / 500) AS INTEGER) AS k, count(*) AS m,
+             CAST(sum(event) AS BIGINT) AS d, CAST(sum(1 - event) AS BIGINT) AS c FROM v3 GROUP BY ALL),
+top AS (SELECT stratum, group2, max(k) AS kmax FROM b GROUP BY ALL),
+grid AS (SELECT stratum, group2, unnest(range(0, kmax + 1)) AS k FROM top),
+g AS (SELECT grid.stratum, grid.group2, grid.k, coalesce(m, 0) AS m, coalesce(d, 0) AS d, coalesce(c, 0) AS c
+      FROM grid LEFT JOIN b USING (stratum, group2, k))
+SELECT stratum, group2, k * 500 AS time,
+  CAST(sum(m) OVER (PARTITION BY stratum, group2 ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS n_risk,
+  CAST(coalesce(sum(d) OVER (PARTITION BY stratum, group2 ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS cum_events,
+  CAST(coalesce(sum(c) OVER (PARTITION BY stratum, group2 ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS cum_censored
+FROM g"""
+ORACLE["censor_counts"] = with_(V3) + """
+SELECT stratum, group2, time, CAST(sum(1 - event) AS BIGINT) AS n_censor FROM v3 GROUP BY ALL
+HAVING sum(1 - event) > 0"""
+ORACLE["logrank"] = with_(V3) + """,
+c AS (SELECT stratum, group2, time, CAST(sum(event) AS BIGINT) AS d, count(*) AS m FROM v3 GROUP BY ALL),
+grid AS (SELECT t.stratum, t.time, g.group2 FROM (SELECT DISTINCT stratum, time FROM c) t
+         JOIN (SELECT DISTINCT stratum, group2 FROM c) g USING (stratum)),
+gg AS (SELECT grid.*, coalesce(d, 0) AS d, coalesce(m, 0) AS m FROM grid LEFT JOIN c USING (stratum, group2, time)),
+r AS (SELECT *, sum(m) OVER (PARTITION BY stratum, group2 ORDER BY time DESC
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ng FROM gg),
+t AS (SELECT *, sum(ng) OVER (PARTITION BY stratum, time) AS nt, sum(d) OVER (PARTITION BY stratum, time) AS dt FROM r),
+e AS (SELECT *, ng / nt AS p, CASE WHEN nt > 1 THEN dt * (nt - dt) / (nt - 1) ELSE 0 END AS w FROM t WHERE dt > 0)
+SELECT stratum, group2, CAST(sum(d) AS BIGINT) AS observed, round(sum(dt * p), 6) AS expected,
+       round(sum(w * p * (1 - p)), 6) AS var
+FROM e GROUP BY stratum, group2"""
+ORACLE["curve_crossings"] = with_(V3, _KMSQL) + """,
+sa AS (SELECT stratum, time, surv AS sa FROM km WHERE group2 = 'low'),
+sb AS (SELECT stratum, time, surv AS sb FROM km WHERE group2 = 'high'),
+j AS (SELECT coalesce(sa.stratum, sb.stratum) AS stratum, coalesce(sa.time, sb.time) AS time, sa, sb
+      FROM sa FULL JOIN sb ON sa.stratum = sb.stratum AND sa.time = sb.time),
+f AS (SELECT stratum, time,
+        coalesce(last_value(sa IGNORE NULLS) OVER w, 1.0) AS sa,
+        coalesce(last_value(sb IGNORE NULLS) OVER w, 1.0) AS sb
+      FROM j WINDOW w AS (PARTITION BY stratum ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+s AS (SELECT stratum, time, sign(round(sa - sb, 12)) AS sg FROM f),
+nz AS (SELECT *, lag(sg) OVER (PARTITION BY stratum ORDER BY time) AS prev FROM s WHERE sg <> 0),
+cr AS (SELECT stratum, count(*) AS n_crossings, min(time) AS first_crossing FROM nz
+       WHERE prev IS NOT NULL AND prev <> sg GROUP BY stratum)
+SELECT k.stratum, coalesce(n_crossings, 0) AS n_crossings, first_crossing
+FROM (SELECT DISTINCT stratum FROM km) k LEFT JOIN cr USING (stratum)"""
