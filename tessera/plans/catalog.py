@@ -349,3 +349,94 @@ def cox_interaction(spark, sf):
 def cox_curve(spark, sf):
     d, xs, (coefs, _) = _cox(spark, sf, False)
     return sv.cox_curve(d, "time", "event", xs, coefs, "stratum")
+
+
+# ---------------------------------------------------- text pairs (V2) family
+from tessera.operators import textpair as tp  # noqa: E402
+
+
+def pairs(spark, sf):
+    return tp.drop_incomplete(V.pairs_raw(spark, sf), ["q1", "q2"])
+
+
+@query("pair_dropna")
+def pair_dropna(spark, sf):
+    raw = V.pairs_raw(spark, sf)
+    ok = F.col("q1").isNotNull() & F.col("q2").isNotNull()
+    return raw.groupBy("split").agg(F.count(F.lit(1)).alias("n_before"), F.count_if(ok).alias("n_after"))
+
+
+@query("pair_union_shift")
+def pair_union_shift(spark, sf):
+    p = pairs(spark, sf)
+    cols = ["id", "q1", "q2", "is_duplicate"]
+    u = tp.union_unlabelled(p.filter(F.col("split") == "train").select(*cols),
+                            p.filter(F.col("split") == "test").select(*cols), "id", "is_duplicate")
+    return u.select("id", "orig_id", "is_duplicate", "max_train_id")
+
+
+@query("pair_lemmas")
+def pair_lemmas(spark, sf):
+    return tp.with_tokens(pairs(spark, sf), "q1", "q2").select("id", "lemma1", "lemma2")
+
+
+def _features(spark, sf):
+    return tp.pair_features(pairs(spark, sf))
+
+
+@query("pair_counts")
+def pair_counts(spark, sf):
+    return _features(spark, sf).select("id", *tp.FEATURES[:8])
+
+
+@query("pair_ratios")
+def pair_ratios(spark, sf):
+    cols = ["lWCount_ratio", "qWCount_ratio", "lLen_ratio", "qLen_ratio", "qUnigram_ratio",
+            "lUnigram_ratio"]
+    return _features(spark, sf).select("id", *[r6(c).alias(c) for c in cols])
+
+
+@query("pair_ngrams")
+def pair_ngrams(spark, sf):
+    return _features(spark, sf).select("id", *[f"{k}Ngrams_{n}" for k in "ql" for n in (1, 2, 3)])
+
+
+@query("pair_levenshtein")
+def pair_levenshtein(spark, sf):
+    return _features(spark, sf).select("id", "lemma_leven", "question_leven")
+
+
+def _lemma_tokens(spark, sf):
+    return tp.with_tokens(pairs(spark, sf), "q1", "q2").select("id", "lemma_tok1", "lemma_tok2")
+
+
+@query("pair_corpus_full_join")
+def pair_corpus_full_join(spark, sf):
+    k = tp.corpus_multiplicity(_lemma_tokens(spark, sf), "lemma_tok1", "lemma_tok2")
+    return k.select(F.array_join("words", " ").alias("corpus_key"), "n_left", "n_right", "n_rows")
+
+
+@query("pair_tfidf_distance")
+def pair_tfidf_distance(spark, sf):
+    d = tp.tfidf_distance(_lemma_tokens(spark, sf), "id", "lemma_tok1", "lemma_tok2")
+    return d.select("id", r6("tfidfDistance").alias("tfidfDistance"))
+
+
+@query("pair_tfidf_full_join")
+def pair_tfidf_full_join(spark, sf):
+    d = tp.tfidf_distance(_lemma_tokens(spark, sf), "id", "lemma_tok1", "lemma_tok2",
+                          corpus="full_join")
+    return d.select("id", r6("tfidfDistance").alias("tfidfDistance"))
+
+
+def feature_table(spark, sf):
+    """FEA-06: id, the 23 features in order, label and split."""
+    p = pairs(spark, sf)
+    f = tp.pair_features(p)
+    d = tp.tfidf_distance(f.select("id", "lemma_tok1", "lemma_tok2"), "id", "lemma_tok1", "lemma_tok2")
+    return f.join(d, "id").select("id", *tp.FEATURES, "is_duplicate", "split")
+
+
+@query("pair_features")
+def pair_features(spark, sf):
+    return feature_table(spark, sf)

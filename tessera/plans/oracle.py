@@ -346,3 +346,135 @@ cr AS (SELECT stratum, count(*) AS n_crossings, min(time) AS first_crossing FROM
        WHERE prev IS NOT NULL AND prev <> sg GROUP BY stratum)
 SELECT k.stratum, coalesce(n_crossings, 0) AS n_crossings, first_crossing
 FROM (SELECT DISTINCT stratum FROM km) k LEFT JOIN cr USING (stratum)"""
+
+
+# ---------------------------------------------------- text pairs (V2) family
+from tessera.functions import text as TX  # noqa: E402
+
+_tc = int(round(V.V2_TEST_FRACTION * TWO_32))
+_nc = int(round(V.V2_NULL_FRACTION * TWO_32))
+V2 = f"""d2 AS (SELECT doc_id, text FROM documents WHERE lang = 'en'),
+rep2 AS (SELECT text, min(doc_id) AS rep_id FROM d2 GROUP BY text),
+p20 AS (SELECT rep2.rep_id AS a_id, d2.doc_id AS b_id, d2.text AS q1, d2.text AS q2, 1 AS is_duplicate
+        FROM d2 JOIN rep2 USING (text) WHERE d2.doc_id <> rep2.rep_id
+        UNION ALL
+        SELECT a.doc_id, b.doc_id, a.text, b.text, 0 FROM d2 a JOIN d2 b ON b.doc_id = a.doc_id + 1
+        WHERE a.text <> b.text),
+p21 AS (SELECT *, a_id * {TWO_32} + b_id AS id FROM p20),
+v2raw AS (SELECT id, q1,
+    CASE WHEN {sql_hash32('v2null', 'id')} < {_nc} THEN NULL ELSE q2 END AS q2,
+    CASE WHEN {sql_hash32('v2split', 'id')} < {_tc} THEN NULL ELSE is_duplicate END AS is_duplicate,
+    CASE WHEN {sql_hash32('v2split', 'id')} < {_tc} THEN 'test' ELSE 'train' END AS split
+  FROM p21),
+v2 AS (SELECT * FROM v2raw WHERE q1 IS NOT NULL AND q2 IS NOT NULL)"""
+
+
+def _words(s: str) -> str:
+    return f"list_filter(regexp_split_to_array({s}, '\\s+'), lambda x: x <> '')"
+
+
+def _rules(x: str, rules) -> str:
+    whens = " ".join(
+        f"WHEN regexp_matches({x}, '{pat}') AND length({x}) >= {mn} "
+        f"THEN substr({x}, 1, length({x}) - {drop}) || '{app}'"
+        for pat, mn, drop, app in rules)
+    return f"(CASE {whens} ELSE {x} END)"
+
+
+_STOPS = _q(TX.STOP_WORDS_EN)
+
+
+def _lemma_tokens(s: str) -> str:
+    kept = (f"list_filter({_words(f'lower({s})')}, lambda x: regexp_full_match(x, '\\p{{L}}+') "
+            f"AND NOT list_contains([{_STOPS}], x))")
+    return f"list_transform(list_transform({kept}, lambda x: {_rules('x', TX.NOUN_RULES)}), " \
+           f"lambda y: {_rules('y', TX.VERB_RULES)})"
+
+
+def _clean_tokens(s: str) -> str:
+    return (f"list_filter(list_transform({_words(f'lower({s})')}, "
+            f"lambda t: regexp_replace(t, '[^\\p{{L}}\\p{{N}}]', '', 'g')), lambda x: x <> '')")
+
+
+def _ngrams(t: str, n: int) -> str:
+    if n == 1:
+        return t
+    return f"list_transform(range(1, len({t}) - {n - 2}), lambda i: array_to_string({t}[i:i + {n - 1}], ' '))"
+
+
+def _wc(s: str) -> str:
+    return f"len({_words(s)})"
+
+
+def _ratio(x: str, y: str) -> str:
+    return f"abs({x} - {y}) / ({x} + {y} + 1e-15)"
+
+
+TOK = f"""tk AS (SELECT id, q1, q2, is_duplicate, split,
+    {_lemma_tokens('q1')} AS lemma_tok1, {_lemma_tokens('q2')} AS lemma_tok2,
+    {_clean_tokens('q1')} AS q_tok1, {_clean_tokens('q2')} AS q_tok2 FROM v2),
+tk2 AS (SELECT *, array_to_string(lemma_tok1, ' ') AS lemma1, array_to_string(lemma_tok2, ' ') AS lemma2 FROM tk),
+tk3 AS (SELECT *, {_clean_tokens('lemma1')} AS l_tok1, {_clean_tokens('lemma2')} AS l_tok2 FROM tk2),
+ft AS (SELECT id,
+    {_wc('lemma1')} AS lWCount1, {_wc('lemma2')} AS lWCount2, {_wc('q1')} AS qWCount1, {_wc('q2')} AS qWCount2,
+    CAST(length(lemma1) AS INTEGER) AS lLen1, CAST(length(lemma2) AS INTEGER) AS lLen2,
+    CAST(length(q1) AS INTEGER) AS qLen1, CAST(length(q2) AS INTEGER) AS qLen2,
+    {", ".join(f"len(list_intersect({_ngrams('q_tok1', n)}, {_ngrams('q_tok2', n)})) AS qNgrams_{n}" for n in (1, 2, 3))},
+    {", ".join(f"len(list_intersect({_ngrams('l_tok1', n)}, {_ngrams('l_tok2', n)})) AS lNgrams_{n}" for n in (1, 2, 3))}
+  FROM tk3)"""
+
+ORACLE["pair_dropna"] = with_(V2) + """
+SELECT split, count(*) AS n_before, count(*) FILTER (WHERE q1 IS NOT NULL AND q2 IS NOT NULL) AS n_after
+FROM v2raw GROUP BY split"""
+ORACLE["pair_union_shift"] = with_(V2) + """,
+mx AS (SELECT max(id) AS m FROM v2 WHERE split = 'train')
+SELECT id, id AS orig_id, is_duplicate, m AS max_train_id FROM v2, mx WHERE split = 'train'
+UNION ALL
+SELECT id + m + 1, id, -1, m FROM v2, mx WHERE split = 'test'"""
+ORACLE["pair_lemmas"] = with_(V2, TOK) + "SELECT id, lemma1, lemma2 FROM tk3"
+ORACLE["pair_counts"] = with_(V2, TOK) + """
+SELECT id, CAST(lWCount1 AS INTEGER) AS lWCount1, CAST(lWCount2 AS INTEGER) AS lWCount2,
+       CAST(qWCount1 AS INTEGER) AS qWCount1, CAST(qWCount2 AS INTEGER) AS qWCount2,
+       lLen1, lLen2, qLen1, qLen2 FROM ft"""
+ORACLE["pair_ratios"] = with_(V2, TOK) + f"""
+SELECT id, round({_ratio('lWCount1', 'lWCount2')}, 6) AS lWCount_ratio,
+       round({_ratio('qWCount1', 'qWCount2')}, 6) AS qWCount_ratio,
+       round({_ratio('lLen1', 'lLen2')}, 6) AS lLen_ratio,
+       round({_ratio('qLen1', 'qLen2')}, 6) AS qLen_ratio,
+       round(qNgrams_1 / (1 + greatest(qWCount1, qWCount2)), 6) AS qUnigram_ratio,
+       round(lNgrams_1 / (1 + greatest(lWCount1, lWCount2)), 6) AS lUnigram_ratio FROM ft"""
+ORACLE["pair_ngrams"] = with_(V2, TOK) + "SELECT id, " + ", ".join(
+    f"CAST({k}Ngrams_{n} AS INTEGER) AS {k}Ngrams_{n}" for k in "ql" for n in (1, 2, 3)) + " FROM ft"
+ORACLE["pair_corpus_full_join"] = with_(V2, TOK) + """,
+a AS (SELECT array_to_string(lemma_tok1, ' ') AS k FROM tk),
+b AS (SELECT array_to_string(lemma_tok2, ' ') AS k FROM tk),
+ca AS (SELECT k, count(*) AS n FROM a GROUP BY k),
+cb AS (SELECT k, count(*) AS n FROM b GROUP BY k),
+j AS (SELECT coalesce(a.k, b.k) AS corpus_key FROM a FULL JOIN b ON a.k = b.k)
+SELECT corpus_key, ca.n AS n_left, cb.n AS n_right, count(*) AS n_rows
+FROM j LEFT JOIN ca ON ca.k = corpus_key LEFT JOIN cb ON cb.k = corpus_key
+GROUP BY corpus_key, ca.n, cb.n"""
+
+
+def _tfidf(corpus: str) -> str:
+    if corpus == "union":
+        docs = """docs AS (SELECT lemma_tok1 AS words, 1 AS w FROM tk UNION ALL SELECT lemma_tok2, 1 FROM tk)"""
+    else:
+        docs = """ka AS (SELECT lemma_tok1 AS words, count(*) AS n FROM tk GROUP BY 1),
+kb AS (SELECT lemma_tok2 AS words, count(*) AS n FROM tk GROUP BY 1),
+docs AS (SELECT coalesce(ka.words, kb.words) AS words,
+                CASE WHEN ka.n IS NOT NULL AND kb.n IS NOT NULL THEN ka.n * kb.n ELSE coalesce(ka.n, kb.n) END AS w
+         FROM ka FULL JOIN kb ON ka.words = kb.words)"""
+    return with_(V2, TOK) + "," + docs + """,
+nd AS (SELECT sum(w) AS n FROM docs),
+dfq AS (SELECT token, sum(w) AS df FROM (SELECT unnest(list_distinct(words)) AS token, w FROM docs) GROUP BY token),
+voc AS (SELECT token, ln((n + 1) / (df + 1)) AS idf FROM dfq, nd WHERE df >= 2),
+diff AS (SELECT id, token, sum(s) AS d FROM (
+           SELECT id, unnest(lemma_tok1) AS token, 1 AS s FROM tk
+           UNION ALL SELECT id, unnest(lemma_tok2), -1 FROM tk) GROUP BY id, token),
+dist AS (SELECT id, sum(pow(d * idf, 2)) AS dd FROM diff JOIN voc USING (token) WHERE d <> 0 GROUP BY id)
+SELECT tk.id, round(coalesce(dd, 0.0), 6) AS tfidfDistance FROM tk LEFT JOIN dist USING (id)"""
+
+
+ORACLE["pair_tfidf_distance"] = _tfidf("union")
+ORACLE["pair_tfidf_full_join"] = _tfidf("full_join")
