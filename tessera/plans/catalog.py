@@ -440,3 +440,268 @@ def feature_table(spark, sf):
 @query("pair_features")
 def pair_features(spark, sf):
     return feature_table(spark, sf)
+
+
+# --------------------------------------------- models / clustering / recommender
+from tessera.operators import cluster as clu  # noqa: E402
+from tessera.operators import models as mdl  # noqa: E402
+from tessera.operators import recommend as rec  # noqa: E402
+from tessera.operators import twotower as tt  # noqa: E402
+from tessera.session import ensure_checkpoint_dir  # noqa: E402
+
+PAIR_CONFIGS = {
+    "glm": ("glm", {}),
+    "dt": ("dt", {"maxDepth": 15}),
+    "rf": ("rf", {}),
+    "gbt": ("gbt", {"maxIter": 40, "stepSize": 0.05, "maxDepth": 4}),
+}
+NLP = [f for f in tp.FEATURES]
+
+
+def _pair_sets(spark, sf):
+    """Feature table cached once: the sweep fits four models on it."""
+    f = feature_table(spark, sf).cache()
+    lab = f.filter(F.col("split") == "train")
+    s = sampling.hash_split(lab, ["id"], [0.7, 0.3], 0, names=["fit", "holdout"])
+    return f, lab, s.filter(F.col("split") == "fit"), s.filter(F.col("split") == "holdout")
+
+
+@query("pair_models")
+def pair_models(spark, sf):
+    _, _, fit, hold = _pair_sets(spark, sf)
+    res, _ = mdl.sweep(fit, hold, PAIR_CONFIGS, [mdl.assemble(NLP)], "is_duplicate")
+    return res.select("config", "kind", r6("auc").alias("auc"))
+
+
+@query("pair_best_scores")
+def pair_best_scores(spark, sf):
+    f, lab, fit, hold = _pair_sets(spark, sf)
+    res, _ = mdl.sweep(fit, hold, PAIR_CONFIGS, [mdl.assemble(NLP)], "is_duplicate")
+    best = mdl.best_config(res, list(PAIR_CONFIGS))
+    kind, params = PAIR_CONFIGS[best]
+    est = mdl.make_estimator(kind, "is_duplicate", **params)
+    _, scored = mdl.fit_score(est, [mdl.assemble(NLP)], lab, f.filter(F.col("split") == "test"), kind)
+    return scored.select("id", r6("score").alias("predict"), F.lit(best).alias("model"))
+
+
+@query("feature_importance")
+def feature_importance(spark, sf):
+    _, _, fit, _ = _pair_sets(spark, sf)
+    out = None
+    for name in ("rf", "gbt"):
+        kind, params = PAIR_CONFIGS[name]
+        m, _ = mdl.fit_score(mdl.make_estimator(kind, "is_duplicate", **params), [mdl.assemble(NLP)],
+                             fit, fit.limit(0), kind)
+        t = mdl.importance(m, NLP).withColumn("model", F.lit(name))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+def _v6_tokens(spark, sf):
+    p = pairs(spark, sf)
+    return p, tp.with_tokens(p, "q1", "q2").select("id", "q_tok1", "q_tok2")
+
+
+@query("two_tower_features")
+def two_tower_features(spark, sf):
+    _, toks = _v6_tokens(spark, sf)
+    emb = V.vectors(spark, sf)
+    n = emb.count()                     # size of the embedding table: one scalar
+    return tt.two_tower_features(toks, "id", "q_tok1", "q_tok2", emb, n, 64)
+
+
+@query("mlp_scores")
+def mlp_scores(spark, sf):
+    """MOD-16/17/18: MLP on two-tower ⧺ NLP features; epochs chosen on the
+    holdout log-loss; the unlabelled pairs are scored."""
+    f, lab, fit, hold = _pair_sets(spark, sf)
+    feats = two_tower_features(spark, sf)
+    from pyspark.ml.functions import array_to_vector
+
+    def prep(df):
+        j = df.join(feats, "id")
+        return j.withColumn("tower", array_to_vector(F.concat("sq_diff", "sum")))
+    from pyspark.ml.feature import VectorSizeHint
+    stages = [VectorSizeHint(inputCol="tower", size=128, handleInvalid="error"),
+              mdl.assemble(["tower"] + NLP, "raw"), mdl.standardize("raw", "features")]
+    best, best_ll = None, None
+    for it in (10, 30):
+        est = mdl.make_estimator("mlp", "is_duplicate", layers=[128 + len(NLP), 100, 2], maxIter=it,
+                                 blockSize=1025)
+        _, sc = mdl.fit_score(est, stages, prep(fit), prep(hold), "mlp")
+        ll = mdl.binary_metrics(sc, "is_duplicate", "score").first()["log_loss"]
+        if best_ll is None or ll < best_ll:
+            best, best_ll = it, ll
+    est = mdl.make_estimator("mlp", "is_duplicate", layers=[128 + len(NLP), 100, 2], maxIter=best,
+                             blockSize=1025)
+    _, sc = mdl.fit_score(est, stages, prep(lab), prep(f.filter(F.col("split") == "test")), "mlp")
+    return sc.select("id", r6("score").alias("predict"), F.lit(best).alias("epochs"))
+
+
+# SAS-style rare-event models on V5 (target: toxic)
+V5_INTERVAL = ["n_chars", "quality"]
+V5_NOMINAL = ["lang", "source"]
+TREE_CONFIGS = {
+    "tree1": (3, 4, V5_INTERVAL + V5_NOMINAL),
+    "tree2": (5, 4, V5_INTERVAL + V5_NOMINAL),
+    "tree3": (4, 4, V5_INTERVAL + V5_NOMINAL),
+    "tree4": (6, 3, V5_INTERVAL + V5_NOMINAL),
+    "tree5": (6, 4, ["quality", "lang", "source"]),
+    "tree6": (4, 4, ["n_chars"]),
+    "tree7": (4, 4, ["n_chars", "lang"]),
+}
+
+
+def _v5_parts(spark, sf):
+    """Training / validation partitions, cached: every fit in a sweep reuses them."""
+    p = sampling.stratified_partition(V.risk_rows(spark, sf), "toxic", "doc_id", 0.7, 20161117).cache()
+    return p.filter("partition = 1"), p.filter("partition = 0")
+
+
+def _tree_pipeline(cols, depth, leaf):
+    nom = [c for c in cols if c in V5_NOMINAL]
+    idx = [mdl.StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetAsc",
+                             handleInvalid="keep") for c in nom]
+    feats = [c for c in cols if c not in V5_NOMINAL] + [f"{c}__idx" for c in nom]
+    est = mdl.make_estimator("dt", "toxic", impurity="entropy", maxDepth=depth,
+                             minInstancesPerNode=leaf, maxBins=64, seed=20161117)
+    return idx + [mdl.assemble(feats)], est
+
+
+@query("tree_sweep")
+def tree_sweep(spark, sf):
+    train, valid = _v5_parts(spark, sf)
+    rows = []
+    for name, (depth, leaf, cols) in TREE_CONFIGS.items():
+        stages, est = _tree_pipeline(cols, depth, leaf)
+        m, sc = mdl.fit_score(est, stages, train, valid, "dt")
+        a = mdl.auc(sc, "toxic", "score").first()["auc"]
+        rows.append((name, depth, leaf, len(cols), float(a) if a is not None else None,
+                     int(m.stages[-1].numNodes)))
+    return spark.createDataFrame(rows, "config STRING, max_depth INT, min_leaf INT, n_inputs INT, "
+                                       "auc DOUBLE, n_nodes INT")
+
+
+@query("tree_nodes")
+def tree_nodes(spark, sf):
+    train, _ = _v5_parts(spark, sf)
+    depth, leaf, cols = TREE_CONFIGS["tree2"]
+    stages, est = _tree_pipeline(cols, depth, leaf)
+    m, _ = mdl.fit_score(est, stages, train, train.limit(0), "dt")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/tree_nodes"
+    return mdl.tree_nodes(m, path)
+
+
+@query("logistic_estimates")
+def logistic_estimates(spark, sf):
+    train, _ = _v5_parts(spark, sf)
+    nst, ohe = mdl.nominal_stages(["lang"])
+    m, _ = mdl.fit_score(mdl.make_estimator("glm", "toxic"), nst + [mdl.assemble(ohe + ["n_chars", "quality"])],
+                         train, train.limit(0), "glm")
+    langs = sorted(r[0] for r in train.select("lang").distinct().collect())
+    names = [f"lang_{v}" for v in langs[:-1]] + ["n_chars", "quality"]
+    return mdl.glm_estimates(m, names)
+
+
+@query("model_metrics")
+def model_metrics(spark, sf):
+    """MOD-14 on the tree scores of the validation partition; threshold = the
+    training event rate as a probability (Q23)."""
+    train, valid = _v5_parts(spark, sf)
+    rate = train.agg(F.avg("toxic")).first()[0]
+    depth, leaf, cols = TREE_CONFIGS["tree5"]
+    stages, est = _tree_pipeline(cols, depth, leaf)
+    _, sc = mdl.fit_score(est, stages, train, valid, "dt")
+    return mdl.binary_metrics(sc, "toxic", "score", threshold=float(rate))
+
+
+def _fixed_score(df):
+    return df.withColumn("score", F.least(F.lit(1.0), F.col("n_chars") / F.lit(20000.0)))
+
+
+@query("model_metrics_fixed")
+def model_metrics_fixed(spark, sf):
+    m = mdl.binary_metrics(_fixed_score(V.risk_rows(spark, sf)), "toxic", "score", threshold=0.1)
+    return m.select("n", "tp", "fp", "tn", "fn", r6("brier").alias("brier"),
+                    r6("log_loss").alias("log_loss"), r6("misclassification").alias("misclassification"),
+                    r6("sensitivity").alias("sensitivity"), r6("specificity").alias("specificity"),
+                    r6("precision").alias("precision"), r6("auc").alias("auc"))
+
+
+@query("persisted_scores")
+def persisted_scores(spark, sf):
+    """MOD-13: save the fitted pipeline, load it back, score the other partition."""
+    train, valid = _v5_parts(spark, sf)
+    depth, leaf, cols = TREE_CONFIGS["tree5"]
+    stages, est = _tree_pipeline(cols, depth, leaf)
+    m, _ = mdl.fit_score(est, stages, train, train.limit(0), "dt")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/persisted_tree5"
+    mdl.save_model(m, path)
+    return mdl.load_and_score(path, valid, "dt", "doc_id").select("doc_id", r6("score").alias("score"))
+
+
+def _v6_parts(spark, sf):
+    v = clu.standardized_features(V.vectors(spark, sf), vector="embedding")
+    s = sampling.hash_split(v, ["vec_id"], [0.7, 0.3], 20161117, names=["fit", "valid"])
+    return s.filter("split = 'fit'"), s.filter("split = 'valid'")
+
+
+@query("kmeans_choice")
+def kmeans_choice(spark, sf):
+    fit, _ = _v6_parts(spark, sf)
+    table, _ = clu.kmeans_choose_k(fit.cache(), 2, 20, 20161117, max_iter=100)
+    return table.select("k", r6("log_w").alias("log_w"), r6("gap").alias("gap"), r6("s").alias("s"), "chosen")
+
+
+@query("kmeans_clusters")
+def kmeans_clusters(spark, sf):
+    fit, valid = _v6_parts(spark, sf)
+    fit = fit.cache()
+    _, k = clu.kmeans_choose_k(fit, 2, 20, 20161117, max_iter=100)
+    from pyspark.ml.clustering import KMeans
+    model = KMeans(k=k, seed=20161117, maxIter=100, predictionCol="cluster").fit(fit)
+    return model.transform(valid).select("vec_id", "label", "cluster")
+
+
+KMODES_COLS = ["lang", "source", "quality", "toxic"]
+KMODES_K = 4
+
+
+@query("kmodes_assign")
+def kmodes_assign(spark, sf):
+    """CLU-02/03 one assignment step against the seeded initial modes."""
+    df = V.risk_rows(spark, sf)
+    init = [tuple(r) for r in clu.initial_modes(df, "doc_id", KMODES_COLS, KMODES_K, 20161117)
+            .orderBy("cluster").collect()]
+    return clu.assign_modes(df, init, KMODES_COLS).select("doc_id", "cluster", "mismatch")
+
+
+@query("kmodes_fit")
+def kmodes_fit(spark, sf):
+    assigned, _ = clu.kmodes(V.risk_rows(spark, sf), "doc_id", KMODES_COLS, KMODES_K, 20161117)
+    return assigned.select("doc_id", "cluster", "mismatch")
+
+
+# recommender (V1)
+ALS_GRID = {"ranks": [30, 35, 40], "alphas": [2.0, 5.0, 12.0], "regs": [2.0, 3.0, 3.5]}
+
+
+@query("als_scores")
+def als_scores(spark, sf):
+    """REC-01/03: fit on the training split, score the held-out pairs."""
+    train, test, _ = negatives(spark, sf)
+    m = rec.als(30, 2.0, 2.0, "user_id", "item_id", "plays", seed=0).fit(train.select("user_id", "item_id", "plays"))
+    return rec.score_pairs(m, test, "user_id", "item_id").select("user_id", "item_id", r6("score").alias("score"))
+
+
+@query("als_grid")
+def als_grid(spark, sf):
+    from tessera.session import materialize
+    train, test, neg = negatives(spark, sf)
+    neg = materialize(neg)                # drawn once for the whole grid
+    train = materialize(train.select("user_id", "item_id", "plays"))
+    g = rec.als_grid(train, test, neg, "user_id", "item_id", "plays", **ALS_GRID)
+    best = rec.best_params(g).select(F.struct("rank", "alpha", "reg").alias("b")).first()["b"]
+    return g.select("rank", "alpha", "reg", r6("mean_auc").alias("mean_auc"),
+                    ((F.col("rank") == best["rank"]) & (F.col("alpha") == best["alpha"])
+                     & (F.col("reg") == best["reg"])).alias("best"))

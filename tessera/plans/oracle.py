@@ -478,3 +478,32 @@ SELECT tk.id, round(coalesce(dd, 0.0), 6) AS tfidfDistance FROM tk LEFT JOIN dis
 
 ORACLE["pair_tfidf_distance"] = _tfidf("union")
 ORACLE["pair_tfidf_full_join"] = _tfidf("full_join")
+
+
+# --------------------------------------------- models / clustering (oracle part)
+ORACLE["model_metrics_fixed"] = with_(V5) + """,
+s AS (SELECT toxic AS y, least(1.0, n_chars / 20000.0) AS p FROM v5),
+c AS (SELECT count(*) AS n,
+        count(*) FILTER (WHERE p >= 0.1 AND y = 1) AS tp, count(*) FILTER (WHERE p >= 0.1 AND y = 0) AS fp,
+        count(*) FILTER (WHERE p < 0.1 AND y = 0) AS tn, count(*) FILTER (WHERE p < 0.1 AND y = 1) AS fn,
+        avg((p - y) * (p - y)) AS brier,
+        -avg(y * ln(least(greatest(p, 1e-15), 1 - 1e-15)) + (1 - y) * ln(1 - least(greatest(p, 1e-15), 1 - 1e-15))) AS log_loss
+      FROM s),
+a AS (SELECT sum(CASE WHEN a.p > b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0.0 END)
+             / (count(*)) AS auc
+      FROM s a JOIN s b ON a.y = 1 AND b.y = 0)
+SELECT n, tp, fp, tn, fn, round(brier, 6) AS brier, round(log_loss, 6) AS log_loss,
+       round((fp + fn) / n, 6) AS misclassification,
+       round(tp / nullif(tp + fn, 0), 6) AS sensitivity, round(tn / nullif(tn + fp, 0), 6) AS specificity,
+       round(tp / nullif(tp + fp, 0), 6) AS precision, round(auc, 6) AS auc
+FROM c, a"""
+_KM_COLS = ["lang", "source", "quality", "toxic"]
+ORACLE["kmodes_assign"] = with_(V5) + f""",
+init AS (SELECT row_number() OVER (ORDER BY {sql_hash32(20161117, 'doc_id')}, doc_id) - 1 AS cluster,
+                {", ".join(_KM_COLS)} FROM v5 ORDER BY {sql_hash32(20161117, 'doc_id')}, doc_id LIMIT 4),
+d AS (SELECT v5.doc_id, init.cluster,
+             {" + ".join(f"CASE WHEN v5.{c} = init.{c} THEN 0 ELSE 1 END" for c in _KM_COLS)} AS mismatch
+      FROM v5 CROSS JOIN init)
+SELECT doc_id, CAST(arg_min(cluster, mismatch * 1000 + cluster) AS INTEGER) AS cluster,
+       CAST(min(mismatch) AS INTEGER) AS mismatch
+FROM d GROUP BY doc_id"""
