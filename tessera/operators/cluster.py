@@ -93,6 +93,23 @@ def initial_modes(df: DataFrame, key: str, cols: list[str], k: int, seed) -> Dat
             .select("cluster", *cols))
 
 
+def farthest_first_modes(df: DataFrame, key: str, cols: list[str], k: int, seed) -> list[tuple]:
+    """Diverse seeds: the first is the smallest keyed hash, each next one the
+    row with the largest mismatch count to its nearest chosen seed (ties →
+    smallest hash).  One aggregation per seed; at most k rows on the driver."""
+    h = df.select(key, *cols).withColumn("__h", hash32(seed, key))
+    first = h.orderBy("__h", key).select(*cols).first()
+    modes = [(0, *first)]
+    for c in range(1, k):
+        a = assign_modes(h, modes, cols)
+        r = a.agg(F.max_by(F.struct(*cols), F.struct("mismatch", -F.col("__h"))).alias("m"),
+                  F.max("mismatch").alias("d")).first()
+        if r["d"] is None or r["d"] == 0:
+            break                       # fewer than k distinct patterns
+        modes.append((c, *[r["m"][x] for x in cols]))
+    return modes
+
+
 def assign_modes(df: DataFrame, modes: list[tuple], cols: list[str]) -> DataFrame:
     """CLU-02/03: nearest mode by number of mismatching columns (NULL never
     matches); ties go to the lowest cluster id.
@@ -122,12 +139,17 @@ def update_modes(assigned: DataFrame, cols: list[str]) -> DataFrame:
     return out
 
 
-def kmodes(df: DataFrame, key: str, cols: list[str], k: int, seed, max_iter: int = 20):
-    """CLU-02: Lloyd-style k-modes; stops when the modes no longer change."""
+def kmodes(df: DataFrame, key: str, cols: list[str], k: int, seed, max_iter: int = 20,
+           init: str = "farthest"):
+    """CLU-02: Lloyd-style k-modes; stops when the modes no longer change.
+    ``init='farthest'`` (default) or ``'hash'`` (k smallest keyed hashes)."""
     spark = df.sparkSession
     modes = initial_modes(df, key, cols, k, seed)
-    cur = [tuple(r) for r in modes.orderBy("cluster").collect()]
     schema = modes.schema
+    if init == "hash":
+        cur = [tuple(r) for r in modes.orderBy("cluster").collect()]
+    else:
+        cur = farthest_first_modes(df, key, cols, k, seed)
     for _ in range(max_iter):
         assigned = assign_modes(df, cur, cols)
         upd = {r[0]: tuple(r) for r in update_modes(assigned, cols).select("cluster", *cols).collect()}
