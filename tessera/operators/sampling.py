@@ -107,27 +107,28 @@ def sample_negatives(positives: DataFrame, pool: DataFrame, user: str, item: str
     the first n_pos surviving draws.  First pass: draws 1..min(oversample·n, |pool|);
     users left short get all |pool| draws in a second pass, so the answer is
     exact without drawing |pool| items for everyone.  Per-user work is
-    bounded by |pool| (≤ k), so the per-user windows are bounded too.
+    bounded by |pool| (≤ k), so the per-user windows are bounded too.  The
+    pool size travels as a column of a one-row broadcast: no driver action.
     """
-    pool_size = pool.count()          # ≤ k (top-k pool): a bounded scalar
+    psize = F.broadcast(pool.agg(F.count(F.lit(1)).alias("__P")))    # 1 row
     excl = (exclude if exclude is not None else positives).select(user, item).distinct()
     pos_n = positives.select(user, item).distinct().groupBy(user).agg(
-        F.count(F.lit(1)).alias("n_pos"))
+        F.count(F.lit(1)).alias("n_pos")).crossJoin(psize)
     bpool = F.broadcast(pool.select(item, "idx"))        # ≤ k rows
 
     def draw(users: DataFrame, upper) -> DataFrame:
-        d = users.select(user, "n_pos", F.explode(F.sequence(F.lit(1), upper)).alias("draw"))
-        d = d.withColumn("idx", F.pmod(hash32(seed, user, "draw"), F.lit(pool_size)))
-        d = d.join(bpool, "idx").drop("idx").join(excl, [user, item], "left_anti")
+        d = users.select(user, "n_pos", "__P", F.explode(F.sequence(F.lit(1), upper)).alias("draw"))
+        d = d.withColumn("idx", F.pmod(hash32(seed, user, "draw"), F.col("__P")))
+        d = d.join(bpool, "idx").drop("idx", "__P").join(excl, [user, item], "left_anti")
         rn = F.row_number().over(Window.partitionBy(user).orderBy("draw"))
         return d.withColumn("__rn", rn).filter(F.col("__rn") <= F.col("n_pos"))
 
-    first = draw(pos_n, F.least(F.col("n_pos") * oversample, F.lit(pool_size)))
+    first = draw(pos_n, F.least(F.col("n_pos") * oversample, F.col("__P")))
     got = first.groupBy(user).agg(F.count(F.lit(1)).alias("__got"))
     short = (pos_n.join(got, user, "left")
              .filter((F.coalesce("__got", F.lit(0)) < F.col("n_pos"))
-                     & (F.col("n_pos") * oversample < F.lit(pool_size)))
-             .select(user, "n_pos"))
-    second = draw(short, F.lit(pool_size))
+                     & (F.col("n_pos") * oversample < F.col("__P")))
+             .select(user, "n_pos", "__P"))
+    second = draw(short, F.col("__P"))
     done = first.join(short.select(user), user, "left_anti")
     return done.unionByName(second).select(user, "draw", item)

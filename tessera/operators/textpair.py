@@ -76,7 +76,7 @@ def pair_features(df: DataFrame, a: str = "q1", b: str = "q2") -> DataFrame:
         "lLen1": F.length(la), "lLen2": F.length(lb), "qLen1": F.length(qa), "qLen2": F.length(qb),
         **{f"qNgrams_{n}": T.shared_ngrams(F.col("q_tok1"), F.col("q_tok2"), n) for n in (1, 2, 3)},
         **{f"lNgrams_{n}": T.shared_ngrams(F.col("l_tok1"), F.col("l_tok2"), n) for n in (1, 2, 3)},
-        "lemma_leven": F.levenshtein(la, lb), "question_leven": F.levenshtein(qa, qb),
+        "lemma_leven": T.edit_distance(la, lb), "question_leven": T.edit_distance(qa, qb),
     })
     return t.withColumns({
         "lWCount_ratio": T.rel_diff(F.col("lWCount1"), F.col("lWCount2")),
@@ -114,18 +114,29 @@ def tfidf_distance(df: DataFrame, id_col: str, a_tokens: str, b_tokens: str, min
     (a very common token is a skewed key that AQE splits).
     """
     if corpus == "union":
-        docs = (df.select(F.col(a_tokens).alias("words"), F.lit(1).cast("long").alias("w"))
-                .unionByName(df.select(F.col(b_tokens).alias("words"), F.lit(1).cast("long").alias("w"))))
+        # one exploded pass: per (id, token) the counts on each side.  Both the
+        # document frequencies and the tf differences read this one aggregate,
+        # so its shuffle is shared and the texts are tokenised once.
+        toks = F.concat(F.transform(F.col(a_tokens), lambda t: F.struct(t.alias("token"), F.lit(1).alias("side"))),
+                        F.transform(F.col(b_tokens), lambda t: F.struct(t.alias("token"), F.lit(2).alias("side"))))
+        per = (df.select(id_col, F.explode(toks).alias("__t"))
+               .groupBy(id_col, F.col("__t.token").alias("token"))
+               .agg(F.count_if(F.col("__t.side") == 1).alias("c1"),
+                    F.count_if(F.col("__t.side") == 2).alias("c2")))
+        n_docs = df.agg((F.count(F.lit(1)) * 2).alias("__N"))
+        dfreq = per.groupBy("token").agg(
+            F.sum((F.col("c1") > 0).cast("long") + (F.col("c2") > 0).cast("long")).alias("df"))
+        diff = per.select(id_col, "token", (F.col("c1") - F.col("c2")).alias("d"))
     else:
         docs = corpus_multiplicity(df, a_tokens, b_tokens).select("words", F.col("n_rows").alias("w"))
-    n_docs = docs.agg(F.sum("w").alias("__N"))
-    dfreq = (docs.select(F.explode(F.array_distinct("words")).alias("token"), "w")
-             .groupBy("token").agg(F.sum("w").alias("df")))
+        n_docs = docs.agg(F.sum("w").alias("__N"))
+        dfreq = (docs.select(F.explode(F.array_distinct("words")).alias("token"), "w")
+                 .groupBy("token").agg(F.sum("w").alias("df")))
+        diff = (df.select(id_col, F.explode(a_tokens).alias("token"), F.lit(1).alias("s"))
+                .unionByName(df.select(id_col, F.explode(b_tokens).alias("token"), F.lit(-1).alias("s")))
+                .groupBy(id_col, "token").agg(F.sum("s").alias("d")))
     vocab = (dfreq.filter(F.col("df") >= min_df).crossJoin(F.broadcast(n_docs))   # 1-row broadcast
              .select("token", F.log((F.col("__N") + 1) / (F.col("df") + 1)).alias("idf")))
-    diff = (df.select(id_col, F.explode(a_tokens).alias("token"), F.lit(1).alias("s"))
-            .unionByName(df.select(id_col, F.explode(b_tokens).alias("token"), F.lit(-1).alias("s")))
-            .groupBy(id_col, "token").agg(F.sum("s").alias("d")))
     dist = (diff.filter(F.col("d") != 0).join(vocab, "token")
             .groupBy(id_col).agg(F.sum(F.pow(F.col("d") * F.col("idf"), 2)).alias("tfidfDistance")))
     return df.select(id_col).join(dist, id_col, "left").select(

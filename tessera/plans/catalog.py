@@ -356,7 +356,11 @@ from tessera.operators import textpair as tp  # noqa: E402
 
 
 def pairs(spark, sf):
-    return tp.drop_incomplete(V.pairs_raw(spark, sf), ["q1", "q2"])
+    """Cleaned V2 pairs, spread over cpu_partitions tasks by id: every
+    consumer runs CPU-heavy per-row text work."""
+    from tessera.session import cpu_partitions
+    return tp.drop_incomplete(V.pairs_raw(spark, sf), ["q1", "q2"]).repartition(
+        cpu_partitions(spark), "id")
 
 
 @query("pair_dropna")
@@ -431,9 +435,13 @@ def pair_tfidf_full_join(spark, sf):
 
 def feature_table(spark, sf):
     """FEA-06: id, the 23 features in order, label and split."""
-    p = pairs(spark, sf)
-    f = tp.pair_features(p)
-    d = tp.tfidf_distance(f.select("id", "lemma_tok1", "lemma_tok2"), "id", "lemma_tok1", "lemma_tok2")
+    from tessera.session import materialize
+    feats = [c for c in tp.FEATURES if c != "tfidfDistance"]
+    # one pass over the texts (all row-local features + token arrays), written
+    # once to the checkpoint dir; TF-IDF and the final join read that table
+    f = tp.pair_features(pairs(spark, sf)).select(
+        "id", *feats, "is_duplicate", "split", "lemma_tok1", "lemma_tok2")
+    d = tp.tfidf_distance(f, "id", "lemma_tok1", "lemma_tok2")
     return f.join(d, "id").select("id", *tp.FEATURES, "is_duplicate", "split")
 
 
@@ -515,7 +523,7 @@ def mlp_scores(spark, sf):
     """MOD-16/17/18: MLP on two-tower ⧺ NLP features; epochs chosen on the
     holdout log-loss; the unlabelled pairs are scored."""
     f, lab, fit, hold = _pair_sets(spark, sf)
-    feats = two_tower_features(spark, sf)
+    feats = two_tower_features(spark, sf).cache()     # reused by every fit below
     from pyspark.ml.functions import array_to_vector
 
     def prep(df):

@@ -51,7 +51,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss) to cut lineage before loops."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # persist first: otherwise the checkpoint write recomputes the whole plan
+    # a second time after the triggering action
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
@@ -61,3 +66,15 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def cpu_partitions(spark: SparkSession) -> int:
+    """Task count for CPU-heavy per-row work (tokenising, edit distance).
+
+    AQE sizes post-shuffle partitions by bytes, which leaves a few tasks for
+    compact but expensive rows; an explicit repartition with this count keeps
+    every core busy.  On a cluster ``spark.sql.shuffle.partitions`` already
+    reflects its size.
+    """
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, 4 * spark.sparkContext.defaultParallelism)

@@ -89,3 +89,20 @@ def test_corpus_multiplicity_matches_join(spark):
                                "t1 ARRAY<STRING>, t2 ARRAY<STRING>")
     k = tp.corpus_multiplicity(df, "t1", "t2")
     assert k.agg(F.sum("n_rows")).first()[0] == 6
+
+
+def test_bitparallel_edit_distance_matches_dp():
+    import random
+    rnd = random.Random(11)
+    for _ in range(500):
+        a = "".join(rnd.choice("abé c") for _ in range(rnd.randint(0, 70)))
+        b = "".join(rnd.choice("abé c") for _ in range(rnd.randint(0, 70)))
+        assert T._edit_distance(a, b) == levenshtein_np(a, b)
+
+
+def test_edit_distance_udf_matches_builtin(spark):
+    df = spark.createDataFrame([("kitten", "sitting"), ("été", "ete"), (None, "x"), ("", "abc")],
+                               "a STRING, b STRING")
+    r = df.select(T.edit_distance(F.col("a"), F.col("b")).alias("u"),
+                  F.levenshtein("a", "b").alias("v")).collect()
+    assert [x.u for x in r] == [x.v for x in r] == [3, 2, None, 3]
