@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.binning import bin_right_closed
@@ -110,3 +110,32 @@ def cohort_steps(flags, dates, dx_cutoff: str, early_date: str, race: str):
 
 def apply_steps(df: DataFrame, steps) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [c for _, c in steps]))
+
+
+def fill_missing(df: DataFrame, cols, value) -> DataFrame:
+    """FLT-07: NULL → a dummy constant (offered for parity; the default
+    pipeline keeps NULLs and writes NULL-aware predicates, Q14)."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(value).cast(df.schema[c].dataType)) for c in cols})
+
+
+def subset_levels(df: DataFrame, col: str, levels) -> tuple[DataFrame, DataFrame]:
+    """FLT-12: keep two (or more) category levels; the re-derived level set is
+    the distinct values of the result (empty levels disappear, as with R's
+    ``factor()`` re-levelling)."""
+    sub = df.filter(F.col(col).isin(list(levels)))
+    return sub, sub.select(col).distinct()
+
+
+def surrogate_id(df: DataFrame, order_by: list[str], name: str = "row_id") -> DataFrame:
+    """PRJ-07: consecutive 1-based ids in ``order_by`` order without a global
+    window: a range-partitioned sort, row counts per partition (one small
+    aggregate), partition offsets (a window over the partition-count table,
+    bounded by the number of partitions) and a per-partition row number."""
+    s = df.orderBy(*order_by).withColumns({"__pid": F.spark_partition_id(),
+                                           "__mid": F.monotonically_increasing_id()})
+    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    offs = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rn = F.row_number().over(Window.partitionBy("__pid").orderBy("__mid"))
+    return (s.join(F.broadcast(offs.select("__pid", "__off")), "__pid")     # ≤ #partitions rows
+            .withColumn(name, F.col("__off") + rn).drop("__pid", "__mid", "__off"))

@@ -65,12 +65,19 @@ def outlier_thresholds(spark, sf):
 
 
 def eligible(spark, sf) -> DataFrame:
-    items = prof.eligible_items(_item_profile(spark, sf), "n_users", V.V1_ITEM_MIN_USERS,
+    """Eligibility chain.  The interaction table feeds four consumers (fact,
+    item profile, user profile, user threshold); it is written once to the
+    shared checkpoint dir rather than re-joined and re-aggregated four times."""
+    from tessera.session import materialize
+    v1 = materialize(V.interactions(spark, sf))
+    ip = prof.with_dimension(prof.entity_profile(v1, "item_id", "plays", "user_id", "total_plays",
+                                                 "n_users", "plays_per_user"), V.items(spark, sf), "item_id")
+    up = prof.entity_profile(v1, "user_id", "plays", "item_id", "total_plays", "n_items", "plays_per_item")
+    items = prof.eligible_items(ip, "n_users", V.V1_ITEM_MIN_USERS,
                                 name_col="name", exclude_names=V.V1_ITEM_EXCLUDE_NAMES,
                                 exclude_like=V.V1_ITEM_EXCLUDE_LIKE)
-    users = prof.eligible_users(_user_profile(spark, sf), "plays_per_item", V.V1_USER_K,
-                                "n_items", V.V1_USER_MIN_ITEMS)
-    return prof.restrict(V.interactions(spark, sf), {"item_id": items, "user_id": users})
+    users = prof.eligible_users(up, "plays_per_item", V.V1_USER_K, "n_items", V.V1_USER_MIN_ITEMS)
+    return prof.restrict(v1, {"item_id": items, "user_id": users})
 
 
 @query("eligible_interactions")
@@ -102,7 +109,12 @@ def top_items(spark, sf):
 
 
 def negatives(spark, sf):
-    s = split(spark, sf)
+    """Split, popular pool and sampled negatives.  The eligible split feeds
+    the pool, the positives, the exclusions and the short-user pass, so it is
+    written once to the checkpoint dir instead of being re-derived (scan, join,
+    profiles, semi-joins) by each consumer."""
+    from tessera.session import materialize
+    s = materialize(split(spark, sf))
     train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
     pool = sampling.indexed_pool(popularity(train), "item_id", "n_users", V.TOP_K)
     neg = sampling.sample_negatives(test, pool, "user_id", "item_id", V.SPLIT_SEED)
@@ -162,6 +174,12 @@ def cohort_attrition(spark, sf):
     return desc.attrition(d, steps)
 
 
+@query("surrogate_ids")
+def surrogate_ids(spark, sf):
+    """PRJ-07 on the labelled documents: consecutive ids in doc_id order."""
+    return coh.surrogate_id(V.risk_rows(spark, sf).select("doc_id", "toxic"), ["doc_id"], "patient_id")
+
+
 @query("cohort_derived")
 def cohort_derived(spark, sf):
     d, steps = cohort_frame(spark, sf)
@@ -345,6 +363,12 @@ def cox_interaction(spark, sf):
     return _cox(spark, sf, True)[2][0]
 
 
+@query("cox_concordance")
+def cox_concordance(spark, sf):
+    d, xs, (coefs, _) = _cox(spark, sf, False)
+    return sv.concordance(d, "time", "event", xs, coefs, "stratum")
+
+
 @query("cox_curve")
 def cox_curve(spark, sf):
     d, xs, (coefs, _) = _cox(spark, sf, False)
@@ -411,7 +435,11 @@ def pair_levenshtein(spark, sf):
 
 
 def _lemma_tokens(spark, sf):
-    return tp.with_tokens(pairs(spark, sf), "q1", "q2").select("id", "lemma_tok1", "lemma_tok2")
+    """(id, lemma tokens ×2) written once: the TF-IDF plan reads it three times
+    and re-deriving it would re-join and re-tokenise whole texts each time."""
+    from tessera.session import materialize
+    return materialize(tp.with_tokens(pairs(spark, sf), "q1", "q2")
+                       .select("id", "lemma_tok1", "lemma_tok2"))
 
 
 @query("pair_corpus_full_join")
@@ -439,8 +467,8 @@ def feature_table(spark, sf):
     feats = [c for c in tp.FEATURES if c != "tfidfDistance"]
     # one pass over the texts (all row-local features + token arrays), written
     # once to the checkpoint dir; TF-IDF and the final join read that table
-    f = tp.pair_features(pairs(spark, sf)).select(
-        "id", *feats, "is_duplicate", "split", "lemma_tok1", "lemma_tok2")
+    f = materialize(tp.pair_features(pairs(spark, sf)).select(
+        "id", *feats, "is_duplicate", "split", "lemma_tok1", "lemma_tok2"))
     d = tp.tfidf_distance(f, "id", "lemma_tok1", "lemma_tok2")
     return f.join(d, "id").select("id", *tp.FEATURES, "is_duplicate", "split")
 

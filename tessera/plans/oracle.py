@@ -507,3 +507,6 @@ d AS (SELECT v5.doc_id, init.cluster,
 SELECT doc_id, CAST(arg_min(cluster, mismatch * 1000 + cluster) AS INTEGER) AS cluster,
        CAST(min(mismatch) AS INTEGER) AS mismatch
 FROM d GROUP BY doc_id"""
+
+ORACLE["surrogate_ids"] = with_(V5) + """
+SELECT doc_id, toxic, row_number() OVER (ORDER BY doc_id) AS patient_id FROM v5"""

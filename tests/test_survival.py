@@ -95,3 +95,24 @@ def test_curve_crossings(leuk):
     km = sv.kaplan_meier(leuk, "time", "event", "arm")
     r = sv.curve_crossings(km, "time", "arm", "6-MP", "control").collect()[0]
     assert r.n_crossings == 0
+
+
+def test_concordance(leuk):
+    d = leuk.withColumn("ctl", (F.col("arm") == "control").cast("double"))
+    coefs, _ = sv.cox_ph(d, "time", "event", ["ctl"])
+    r = sv.concordance(d, "time", "event", ["ctl"], coefs).collect()[0]
+    # brute force over subject pairs with the same definition
+    rows = d.collect()
+    beta = coefs.collect()[0].coef
+    conc = disc = tie = 0
+    for a in rows:
+        if a.event != 1:
+            continue
+        for b in rows:
+            if b.time > a.time or (b.time == a.time and b.event == 0):
+                ra, rb = beta * a.ctl, beta * b.ctl
+                conc += ra > rb
+                disc += ra < rb
+                tie += ra == rb
+    assert (r.concordant, r.discordant, r.tied_risk) == (conc, disc, tie)
+    assert 0.5 < r.concordance < 1.0
