@@ -12,6 +12,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import broadcast_if_bounded
+
 
 def freq(df: DataFrame, col: str) -> DataFrame:
     """AGG-09 / WIN-07 / MOD-15: level, n, pct, cumulative n and pct, n_levels.
@@ -37,8 +39,8 @@ def crosstab_complete(df: DataFrame, a: str, b: str) -> DataFrame:
     """
     counts = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
     la = df.select(a).distinct()
-    lb = df.select(b).distinct()
-    grid = la.crossJoin(F.broadcast(lb))   # levels × levels: bounded by the level counts
+    lb = broadcast_if_bounded(df.select(b).distinct(), 100_000)   # size checked before broadcast
+    grid = la.crossJoin(lb)
     return grid.join(counts, [a, b], "left").select(a, b, F.coalesce("n", F.lit(0)).alias("n"))
 
 
