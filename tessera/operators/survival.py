@@ -26,7 +26,7 @@ Z975 = 1.959963984540054
 
 
 def _keys(stratum, group):
-    return [c for c in ([stratum] if stratum else []) + ([group] if group else [])]
+    return ([stratum] if stratum else []) + ([group] if group else [])
 
 
 def collapse(df: DataFrame, time: str, event: str, keys: list[str]) -> DataFrame:
@@ -70,7 +70,7 @@ def kaplan_meier(df: DataFrame, time: str, event: str, group: str | None = None,
                     F.when(ok, F.least(F.lit(1.0), F.col("surv") * F.exp(Z975 * se_log))).alias("upper"))
 
 
-def km_median(km: DataFrame, time: str, keys: list[str], totals: DataFrame | None = None) -> DataFrame:
+def km_median(km: DataFrame, time: str, keys: list[str]) -> DataFrame:
     """SUR-04: per group n, events, median survival time and its 95 % CI
     (first time the curve / its upper / lower band reaches 0.5)."""
     g = km.groupBy(*keys).agg(

@@ -23,10 +23,10 @@ V1 = """v1 AS (
 IPROF = """iprof AS (
   SELECT v.item_id, p_name AS name, v.total_plays, v.n_users,
          CAST(v.total_plays AS DOUBLE) / v.n_users AS plays_per_user
-  FROM (SELECT item_id, sum(plays) AS total_plays, count(user_id) AS n_users FROM v1 GROUP BY item_id) v
+  FROM (SELECT item_id, CAST(sum(plays) AS BIGINT) AS total_plays, count(user_id) AS n_users FROM v1 GROUP BY item_id) v
   JOIN part ON p_partkey = v.item_id)"""
 UPROF = """uprof AS (
-  SELECT user_id, sum(plays) AS total_plays, count(item_id) AS n_items,
+  SELECT user_id, CAST(sum(plays) AS BIGINT) AS total_plays, count(item_id) AS n_items,
          CAST(sum(plays) AS DOUBLE) / count(item_id) AS plays_per_item
   FROM v1 GROUP BY user_id)"""
 _like = " ".join(f"AND name NOT LIKE '{p}'" for p in V.V1_ITEM_EXCLUDE_LIKE)
@@ -64,7 +64,7 @@ ORACLE["user_profile"] = with_(V1, UPROF) + """
 SELECT user_id, total_plays, n_items, round(plays_per_item, 6) AS plays_per_item FROM uprof"""
 ORACLE["outlier_thresholds"] = with_(V1, IPROF, UPROF) + f"""
 SELECT 'item' AS entity, round(avg(plays_per_user), 6) AS mean, round(stddev_samp(plays_per_user), 6) AS sd,
-       {V.V1_ITEM_K} AS k, round(avg(plays_per_user) + {V.V1_ITEM_K} * stddev_samp(plays_per_user), 6) AS cutoff
+       CAST({V.V1_ITEM_K} AS DOUBLE) AS k, round(avg(plays_per_user) + {V.V1_ITEM_K} * stddev_samp(plays_per_user), 6) AS cutoff
 FROM iprof
 UNION ALL
 SELECT 'user', round(avg(plays_per_item), 6), round(stddev_samp(plays_per_item), 6),
@@ -73,7 +73,7 @@ FROM uprof"""
 ORACLE["eligible_interactions"] = with_(V1, IPROF, UPROF, ELIG) + "SELECT * FROM elig"
 ORACLE["hash_split_counts"] = with_(V1, IPROF, UPROF, ELIG, SPLIT) + """
 SELECT split, count(*) AS n_rows, count(DISTINCT user_id) AS n_users,
-       count(DISTINCT item_id) AS n_items, sum(plays) AS total_plays FROM sp GROUP BY split"""
+       count(DISTINCT item_id) AS n_items, CAST(sum(plays) AS BIGINT) AS total_plays FROM sp GROUP BY split"""
 ORACLE["top_items"] = with_(V1, IPROF, UPROF, ELIG, SPLIT) + f"""
 SELECT item_id, n_users FROM pop ORDER BY n_users DESC, item_id LIMIT {V.TOP_K}"""
 ORACLE["sampled_negatives"] = with_(V1, IPROF, UPROF, ELIG, SPLIT, POOL) + "SELECT * FROM neg"
@@ -204,7 +204,7 @@ FROM v3 GROUP BY 1"""
 
 def _freq(src: str, col: str) -> str:
     return f"""SELECT {col}, n, round(n * 100.0 / sum(n) OVER (), 6) AS pct,
-       sum(n) OVER (ORDER BY {col} NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_n,
+       CAST(sum(n) OVER (ORDER BY {col} NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_n,
        round(sum(n) OVER (ORDER BY {col} NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
              * 100.0 / sum(n) OVER (), 6) AS cum_pct,
        count(*) OVER () AS n_levels
@@ -271,7 +271,7 @@ ds AS (SELECT stratum, count(age) AS n, stddev_samp(age) AS sd,
 dg AS (SELECT stratum, n, 0.9 * least(sd, iqr / 1.34) * pow(n, -0.2) AS bw, lo, hi,
               unnest(range(0, 32)) AS point FROM ds),
 dx AS (SELECT *, lo + point * (hi - lo) / 31 AS x FROM dg)
-SELECT dx.stratum, dx.point, round(dx.x, 6) AS x,
+SELECT dx.stratum, CAST(dx.point AS INTEGER) AS point, round(dx.x, 6) AS x,
        round(sum(h.n * exp(-0.5 * ((dx.x - (h.bin_lo + h.bin_hi) / 2) / dx.bw) ** 2) / sqrt(2 * pi()))
              / (dx.n * dx.bw), 6) AS density
 FROM dx JOIN hist h USING (stratum) GROUP BY dx.stratum, dx.point, dx.x, dx.n, dx.bw"""
@@ -311,7 +311,7 @@ top AS (SELECT stratum, group2, max(k) AS kmax FROM b GROUP BY ALL),
 grid AS (SELECT stratum, group2, unnest(range(0, kmax + 1)) AS k FROM top),
 g AS (SELECT grid.stratum, grid.group2, grid.k, coalesce(m, 0) AS m, coalesce(d, 0) AS d, coalesce(c, 0) AS c
       FROM grid LEFT JOIN b USING (stratum, group2, k))
-SELECT stratum, group2, k * 500 AS time,
+SELECT stratum, group2, CAST(k * 500 AS INTEGER) AS time,
   CAST(sum(m) OVER (PARTITION BY stratum, group2 ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS n_risk,
   CAST(coalesce(sum(d) OVER (PARTITION BY stratum, group2 ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS cum_events,
   CAST(coalesce(sum(c) OVER (PARTITION BY stratum, group2 ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS cum_censored
