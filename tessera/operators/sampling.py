@@ -41,38 +41,38 @@ def flag_first_n(df: DataFrame, group: list[str], order: str, tie: str, need: Da
     without putting a whole group into one window partition.
 
     ``order`` is a BIGINT in [0, 2^32).  Radix selection: count rows per
-    (group, high 16 bits) with map-side partial aggregation, locate the bucket
-    holding the cut by a window over at most 65,536 counts per group, repeat
-    on the low 16 bits inside that bucket, and only rows sharing the exact cut
-    value get a row_number.  A group holding a third of the data therefore
-    costs two small aggregations, not one giant sort.
+    (group, high 16 bits) with map-side partial aggregation and locate the
+    bucket holding the cut (a window over at most 65,536 counts per group);
+    repeat on the low 16 bits for the rows of that bucket only.  The final
+    pass compares every row with its group's two cut values; only rows whose
+    whole 32-bit value equals the cut need a row number, taken within
+    (group, value) partitions that hold about one row each.  A group with a
+    third of the data costs two small aggregations, never one giant sort.
 
     ``need``: group columns + ``need`` (rows to keep per group).
     """
     x = df.withColumns({"__hi": F.shiftright(F.col(order), RADIX_BITS),
                         "__lo": F.col(order).bitwiseAND(F.lit(RADIX_MASK))})
     c1 = _cumulate(x.groupBy(*group, "__hi").agg(F.count(F.lit(1)).alias("__n")), group, "__hi")
-    c1 = c1.join(need, group)
-    cut1 = c1.filter((F.col("__before") < F.col("need")) & (F.col("__cum") >= F.col("need"))) \
-        .select(*group, F.col("__hi").alias("__hi1"), (F.col("need") - F.col("__before")).alias("__need2"))
-    # groups without a cut bucket keep everything (need >= size) or nothing (need <= 0)
-    x1 = x.join(need, group).join(cut1, group, "left")
-    decided = x1.filter(F.col("__hi1").isNull() | (F.col("__hi") != F.col("__hi1"))).withColumn(
-        flag, F.when(F.col("__hi1").isNull(), F.col("need") > 0).otherwise(F.col("__hi") < F.col("__hi1")))
-
-    x2 = x1.filter(F.col("__hi") == F.col("__hi1"))
-    c2 = _cumulate(x2.groupBy(*group, "__lo").agg(F.count(F.lit(1)).alias("__n")), group, "__lo")
-    c2 = c2.join(cut1.select(*group, "__need2"), group)
-    cut2 = c2.filter((F.col("__before") < F.col("__need2")) & (F.col("__cum") >= F.col("__need2"))) \
-        .select(*group, F.col("__lo").alias("__lo2"), (F.col("__need2") - F.col("__before")).alias("__need3"))
-    x2 = x2.join(cut2, group)
-    decided2 = x2.filter(F.col("__lo") != F.col("__lo2")).withColumn(flag, F.col("__lo") < F.col("__lo2"))
-    ties = x2.filter(F.col("__lo") == F.col("__lo2"))
-    rn = F.row_number().over(Window.partitionBy(*group).orderBy(tie))
-    decided3 = ties.withColumn(flag, rn <= F.col("__need3"))
-
-    cols = df.columns + [flag]
-    return decided.select(*cols).unionByName(decided2.select(*cols)).unionByName(decided3.select(*cols))
+    cut1 = (c1.join(need, group)
+            .filter((F.col("__before") < F.col("need")) & (F.col("__cum") >= F.col("need")))
+            .select(*group, F.col("__hi").alias("__hi1"),
+                    (F.col("need") - F.col("__before")).alias("__need2")))
+    in_bucket = x.join(cut1, group).filter(F.col("__hi") == F.col("__hi1"))
+    c2 = _cumulate(in_bucket.groupBy(*group, "__lo").agg(F.count(F.lit(1)).alias("__n")), group, "__lo")
+    cut2 = (c2.join(cut1.select(*group, "__need2"), group)
+            .filter((F.col("__before") < F.col("__need2")) & (F.col("__cum") >= F.col("__need2")))
+            .select(*group, F.col("__lo").alias("__lo2"),
+                    (F.col("__need2") - F.col("__before")).alias("__need3")))
+    cuts = need.join(cut1, group, "left").join(cut2, group, "left")    # one row per group
+    rn = F.row_number().over(Window.partitionBy(*group, order).orderBy(tie))
+    j = x.withColumn("__rn", rn).join(cuts, group)
+    hi, lo, hi1, lo2 = F.col("__hi"), F.col("__lo"), F.col("__hi1"), F.col("__lo2")
+    keep = (F.when(hi1.isNull(), F.col("need") > 0)          # need >= size (all) or <= 0 (none)
+            .when(hi != hi1, hi < hi1)
+            .when(lo != lo2, lo < lo2)
+            .otherwise(F.col("__rn") <= F.col("__need3")))
+    return j.withColumn(flag, keep).select(*df.columns, flag)
 
 
 def stratified_partition(df: DataFrame, target: str, key: str, frac: float, seed,
