@@ -70,15 +70,23 @@ def kaplan_meier(df: DataFrame, time: str, event: str, group: str | None = None,
                     F.when(ok, F.least(F.lit(1.0), F.col("surv") * F.exp(Z975 * se_log))).alias("upper"))
 
 
+def _half_time(curve: str, time: str):
+    """First time the curve reaches 0.5; if it sits exactly at 0.5, the
+    midpoint between that time and the time it drops below (R's rule)."""
+    eps = 1e-12
+    t_eq = F.min(F.when(F.abs(F.col(curve) - 0.5) < eps, F.col(time)))
+    t_lt = F.min(F.when(F.col(curve) < 0.5 - eps, F.col(time)))
+    return F.when(t_eq.isNotNull(), (t_eq + F.coalesce(t_lt, t_eq)) / 2.0).otherwise(t_lt.cast("double"))
+
+
 def km_median(km: DataFrame, time: str, keys: list[str]) -> DataFrame:
     """SUR-04: per group n, events, median survival time and its 95 % CI
-    (first time the curve / its upper / lower band reaches 0.5)."""
-    g = km.groupBy(*keys).agg(
+    (the time the curve / its lower / upper band reaches 0.5)."""
+    return km.groupBy(*keys).agg(
         F.max("n_risk").alias("n"), F.sum("n_event").alias("events"),
-        F.min(F.when(F.col("surv") <= 0.5, F.col(time))).alias("median"),
-        F.min(F.when(F.col("lower") <= 0.5, F.col(time))).alias("median_lcl"),
-        F.min(F.when(F.col("upper") <= 0.5, F.col(time))).alias("median_ucl"))
-    return g
+        _half_time("surv", time).alias("median"),
+        _half_time("lower", time).alias("median_lcl"),
+        _half_time("upper", time).alias("median_ucl"))
 
 
 def risk_table(df: DataFrame, time: str, event: str, step: int, group: str | None = None,

@@ -300,9 +300,9 @@ SELECT stratum, group2, time, round(surv, 6) AS surv, round(std_err, 6) AS std_e
        round(lower, 6) AS lower, round(upper, 6) AS upper FROM km"""
 ORACLE["km_median"] = with_(V3, _KMSQL) + """
 SELECT stratum, group2, max(n_risk) AS n, CAST(sum(n_event) AS BIGINT) AS events,
-       min(time) FILTER (WHERE surv <= 0.5) AS median,
-       min(time) FILTER (WHERE lower <= 0.5) AS median_lcl,
-       min(time) FILTER (WHERE upper <= 0.5) AS median_ucl
+       CASE WHEN min(time) FILTER (WHERE abs(surv - 0.5) < 1e-12) IS NOT NULL THEN (min(time) FILTER (WHERE abs(surv - 0.5) < 1e-12) + coalesce(min(time) FILTER (WHERE surv < 0.5 - 1e-12), min(time) FILTER (WHERE abs(surv - 0.5) < 1e-12))) / 2.0 ELSE CAST(min(time) FILTER (WHERE surv < 0.5 - 1e-12) AS DOUBLE) END AS median,
+       CASE WHEN min(time) FILTER (WHERE abs(lower - 0.5) < 1e-12) IS NOT NULL THEN (min(time) FILTER (WHERE abs(lower - 0.5) < 1e-12) + coalesce(min(time) FILTER (WHERE lower < 0.5 - 1e-12), min(time) FILTER (WHERE abs(lower - 0.5) < 1e-12))) / 2.0 ELSE CAST(min(time) FILTER (WHERE lower < 0.5 - 1e-12) AS DOUBLE) END AS median_lcl,
+       CASE WHEN min(time) FILTER (WHERE abs(upper - 0.5) < 1e-12) IS NOT NULL THEN (min(time) FILTER (WHERE abs(upper - 0.5) < 1e-12) + coalesce(min(time) FILTER (WHERE upper < 0.5 - 1e-12), min(time) FILTER (WHERE abs(upper - 0.5) < 1e-12))) / 2.0 ELSE CAST(min(time) FILTER (WHERE upper < 0.5 - 1e-12) AS DOUBLE) END AS median_ucl
 FROM km GROUP BY stratum, group2"""
 ORACLE["risk_table"] = with_(V3) + """,
 b AS (SELECT stratum, group2, CAST(floor(time / 500) AS INTEGER) AS k, count(*) AS m,

@@ -116,3 +116,10 @@ def test_concordance(leuk):
                 tie += ra == rb
     assert (r.concordant, r.discordant, r.tied_risk) == (conc, disc, tie)
     assert 0.5 < r.concordance < 1.0
+
+
+def test_km_median_flat_half(spark):
+    """R's rule: a curve exactly at 0.5 on [2, 3) has median 2.5."""
+    df = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 1)], "time INT, event INT")
+    km = sv.kaplan_meier(df, "time", "event")
+    assert sv.km_median(km, "time", []).first().median == 2.5
