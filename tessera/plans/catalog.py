@@ -682,10 +682,15 @@ def _v6_parts(spark, sf):
     return s.filter("split = 'fit'"), s.filter("split = 'valid'")
 
 
+GAP_REFS = 3     # uniform reference sets per k (gives the gap's standard error)
+_CHOSEN_K: dict[str, int] = {}   # chosen k per input dir: one small number, reused by kmeans_clusters
+
+
 @query("kmeans_choice")
 def kmeans_choice(spark, sf):
     fit, _ = _v6_parts(spark, sf)
-    table, _ = clu.kmeans_choose_k(fit.cache(), 2, 20, 20161117, max_iter=100)
+    table, k = clu.kmeans_choose_k(fit.cache(), 2, 20, 20161117, max_iter=100, refs=GAP_REFS)
+    _CHOSEN_K[sf] = k
     return table.select("k", r6("log_w").alias("log_w"), r6("gap").alias("gap"), r6("s").alias("s"), "chosen")
 
 
@@ -693,7 +698,10 @@ def kmeans_choice(spark, sf):
 def kmeans_clusters(spark, sf):
     fit, valid = _v6_parts(spark, sf)
     fit = fit.cache()
-    _, k = clu.kmeans_choose_k(fit, 2, 20, 20161117, max_iter=100)
+    k = _CHOSEN_K.get(sf)
+    if k is None:
+        _, k = clu.kmeans_choose_k(fit, 2, 20, 20161117, max_iter=100, refs=GAP_REFS)
+        _CHOSEN_K[sf] = k
     from pyspark.ml.clustering import KMeans
     model = KMeans(k=k, seed=20161117, maxIter=100, predictionCol="cluster").fit(fit)
     return model.transform(valid).select("vec_id", "label", "cluster")
