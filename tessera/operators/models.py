@@ -14,7 +14,8 @@ import math
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -38,6 +39,17 @@ def nominal_stages(cols: list[str], drop_last: bool = True) -> tuple[list, list[
     return idx + [ohe], [f"{c}__ohe" for c in cols]
 
 
+def impute_interval(cols: list[str], strategy: str = "median") -> tuple[list, list[str]]:
+    """MOD-04 missing values: Spark trees reject NULL features, so interval
+    inputs are imputed (median by default) before assembly.  This stands in
+    for SAS's ``assignmissing=popular``; nominal NULLs become their own
+    category through the indexers' ``handleInvalid='keep'``."""
+    if not cols:
+        return [], []
+    out = [f"{c}__imp" for c in cols]
+    return [Imputer(inputCols=list(cols), outputCols=out, strategy=strategy)], out
+
+
 def standardize(inp: str = "features", out: str = "scaled") -> StandardScaler:
     """FEA-10."""
     return StandardScaler(inputCol=inp, outputCol=out, withMean=True, withStd=True)

@@ -598,10 +598,11 @@ def _tree_pipeline(cols, depth, leaf):
     nom = [c for c in cols if c in V5_NOMINAL]
     idx = [mdl.StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetAsc",
                              handleInvalid="keep") for c in nom]
-    feats = [c for c in cols if c not in V5_NOMINAL] + [f"{c}__idx" for c in nom]
+    imp, interval = mdl.impute_interval([c for c in cols if c not in V5_NOMINAL])
+    feats = interval + [f"{c}__idx" for c in nom]
     est = mdl.make_estimator("dt", "toxic", impurity="entropy", maxDepth=depth,
                              minInstancesPerNode=leaf, maxBins=64, seed=20161117)
-    return idx + [mdl.assemble(feats)], est
+    return idx + imp + [mdl.assemble(feats)], est
 
 
 @query("tree_sweep")
