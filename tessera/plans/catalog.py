@@ -186,7 +186,7 @@ def cohort_derived(spark, sf):
     return coh.apply_steps(d, steps).select(
         "user_id", "sex", "race", "cancer_type", r6("dx_age").alias("dx_age"),
         r6("death_age").alias("death_age"), "age_cat", r6("dx2death").alias("dx2death"),
-        "dx_date", "tt_event", "death")
+        "dx_date", F.year("dx_date").alias("dx_year"), "tt_event", "death")
 
 
 # -------------------------------------------------- descriptive (V3/V5) family

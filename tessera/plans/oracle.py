@@ -180,7 +180,8 @@ ORACLE["cohort_attrition"] = with_(V4, COH) + "SELECT * FROM (\n" + "\nUNION ALL
        for i, ((n, _), c) in enumerate(zip(_steps, _cum), 1)]) + ")"
 ORACLE["cohort_derived"] = with_(V4, COH) + f"""
 SELECT user_id, sex, race, cancer_type, round(dx_age, 6) AS dx_age, round(death_age, 6) AS death_age,
-       age_cat, round(dx2death, 6) AS dx2death, dx_date, tt_event, death
+       age_cat, round(dx2death, 6) AS dx2death, dx_date, CAST(year(dx_date) AS INTEGER) AS dx_year,
+       tt_event, death
 FROM c2 WHERE {_cum[-1]}"""
 
 
