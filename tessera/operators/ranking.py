@@ -11,7 +11,7 @@ is just a skewed equi-join that AQE splits (the array side is one row).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,8 +31,44 @@ def count_less(sorted_arr: Column, n: Column, x: Column, strict: bool = True) ->
     return F.aggregate(F.sequence(F.lit(1), F.lit(32)), init, step, lambda acc: acc["lo"])
 
 
+BUCKETS = 1 << 16
+
+
+def _bucketed_auc(pos: DataFrame, neg: DataFrame, user: str, score: str, half: bool) -> DataFrame:
+    """Exact per-user rank counting for unbounded negatives.
+
+    Positives and negatives are collapsed to distinct (user, score) counts,
+    scores are range-bucketed per user (65,536 buckets; NaN, which Spark
+    orders above every number, gets its own top bucket), negatives below a
+    score = negatives of lower buckets (window over at most 65,537 bucket rows
+    per user) + lower scores of the same bucket (window over one bucket's
+    distinct scores).  No window ever holds all rows of a user.
+    """
+    allv = (pos.select(user, score, F.lit(1).alias("__p"), F.lit(0).alias("__n"))
+            .unionByName(neg.select(user, score, F.lit(0).alias("__p"), F.lit(1).alias("__n"))))
+    c = allv.groupBy(user, score).agg(F.sum("__p").alias("__p"), F.sum("__n").alias("__n"))
+    x = F.col(score)
+    rng = c.groupBy(user).agg(F.min(F.when(~F.isnan(x), x)).alias("__lo"),
+                              F.max(F.when(~F.isnan(x), x)).alias("__hi"))
+    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(BUCKETS))
+    c = c.join(rng, user).withColumn(
+        "__b", F.when(F.isnan(x), F.lit(BUCKETS))
+                .when(width > 0, F.least(F.floor((x - F.col("__lo")) / width), F.lit(BUCKETS - 1)))
+                .otherwise(F.lit(0)).cast("int"))
+    bt = c.groupBy(user, "__b").agg(F.sum("__n").alias("__bn"))
+    bt = bt.withColumn("__below_b", F.coalesce(F.sum("__bn").over(
+        Window.partitionBy(user).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    c = c.join(bt.select(user, "__b", "__below_b"), [user, "__b"])
+    w = Window.partitionBy(user, "__b").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("__below", F.col("__below_b") + F.coalesce(F.sum("__n").over(w), F.lit(0)))
+    credit = F.col("__p") * (F.col("__below") + (0.5 * F.col("__n") if half else F.lit(0)))
+    out = c.groupBy(user).agg(F.sum("__n").alias("n_neg"), F.sum("__p").alias("n_pos"),
+                              F.sum(credit).alias("n_correct"))
+    return out.filter((F.col("n_pos") > 0) & (F.col("n_neg") > 0))
+
+
 def user_auc(pos: DataFrame, neg: DataFrame, user: str, score: str, ties: str = "wrong",
-             drop_zero_users: bool = False) -> DataFrame:
+             drop_zero_users: bool = False, neg_bound: int | None = None) -> DataFrame:
     """Per user: n_pos, n_neg, n_correct (pairs with pos > neg), auc.
 
     ``ties='wrong'`` counts equal scores as losses (reference, Q4); ``'half'``
@@ -41,18 +77,26 @@ def user_auc(pos: DataFrame, neg: DataFrame, user: str, score: str, ties: str =
     inner join that drops users with no correct pair (Q2); by default they
     stay with auc 0.  Spark orders NaN above all numbers, consistently in the
     sort and in the comparison (Q3).
+
+    ``neg_bound``: a guaranteed bound on negatives per user (the sampler's
+    pool size).  With it, each user's negatives become one sorted array and
+    positives binary-search it; without it, the bucketed path runs, which
+    never gathers a user's rows in one place.
     """
-    negs = neg.groupBy(user).agg(F.array_sort(F.collect_list(score)).alias("__negs"),
-                                 F.count(F.lit(1)).alias("n_neg"))
-    j = pos.select(user, score).join(negs, user)
-    below = count_less(F.col("__negs"), F.col("n_neg"), F.col(score), strict=True)
-    if ties == "half":
-        below_eq = count_less(F.col("__negs"), F.col("n_neg"), F.col(score), strict=False)
-        credit = below + (below_eq - below) * F.lit(0.5)
+    if neg_bound is None:
+        out = _bucketed_auc(pos, neg, user, score, ties == "half")
     else:
-        credit = below
-    out = (j.withColumn("__c", credit).groupBy(user, "n_neg")
-           .agg(F.count(F.lit(1)).alias("n_pos"), F.sum("__c").alias("n_correct")))
+        negs = neg.groupBy(user).agg(F.array_sort(F.collect_list(score)).alias("__negs"),
+                                     F.count(F.lit(1)).alias("n_neg"))
+        j = pos.select(user, score).join(negs, user)
+        below = count_less(F.col("__negs"), F.col("n_neg"), F.col(score), strict=True)
+        if ties == "half":
+            below_eq = count_less(F.col("__negs"), F.col("n_neg"), F.col(score), strict=False)
+            credit = below + (below_eq - below) * F.lit(0.5)
+        else:
+            credit = below
+        out = (j.withColumn("__c", credit).groupBy(user, "n_neg")
+               .agg(F.count(F.lit(1)).alias("n_pos"), F.sum("__c").alias("n_correct")))
     out = out.withColumn("auc", F.col("n_correct") / (F.col("n_pos") * F.col("n_neg")))
     if drop_zero_users:
         out = out.filter(F.col("n_correct") > 0)

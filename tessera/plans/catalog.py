@@ -134,7 +134,8 @@ def user_auc(spark, sf):
     def scored(df):
         return df.join(pop, "item_id", "left").withColumn(
             "score", F.coalesce(F.col("n_users"), F.lit(0)).cast("double"))
-    per = ranking.user_auc(scored(test), scored(neg), "user_id", "score")
+    # negatives per user are at most the pool size (the sampler's draw bound)
+    per = ranking.user_auc(scored(test), scored(neg), "user_id", "score", neg_bound=V.TOP_K)
     return per.select("user_id", "n_pos", "n_neg", F.col("n_correct").cast("bigint").alias("n_correct"),
                       r6("auc").alias("auc"))
 
@@ -745,7 +746,7 @@ def als_grid(spark, sf):
     train, test, neg = negatives(spark, sf)
     neg = materialize(neg)                # drawn once for the whole grid
     train = materialize(train.select("user_id", "item_id", "plays"))
-    g = rec.als_grid(train, test, neg, "user_id", "item_id", "plays", **ALS_GRID)
+    g = rec.als_grid(train, test, neg, "user_id", "item_id", "plays", neg_bound=V.TOP_K, **ALS_GRID)
     best = rec.best_params(g).select(F.struct("rank", "alpha", "reg").alias("b")).first()["b"]
     return g.select("rank", "alpha", "reg", r6("mean_auc").alias("mean_auc"),
                     ((F.col("rank") == best["rank"]) & (F.col("alpha") == best["alpha"])

@@ -125,3 +125,17 @@ def test_drop_zero_users(spark):
     n = spark.createDataFrame([(1, 1.0), (2, 1.0)], "user_id INT, score DOUBLE")
     assert ranking.user_auc(p, n, "user_id", "score").count() == 2
     assert ranking.user_auc(p, n, "user_id", "score", drop_zero_users=True).count() == 1
+
+
+@pytest.mark.parametrize("ties", ["wrong", "half"])
+def test_array_path_equals_bucketed_path(spark, ties):
+    rnd = random.Random(8)
+    prow = [(u, float(rnd.randint(0, 9))) for u in range(15) for _ in range(rnd.randint(1, 6))]
+    nrow = [(u, float(rnd.randint(0, 9))) for u in range(15) for _ in range(rnd.randint(1, 6))]
+    p = spark.createDataFrame(prow, "user_id INT, score DOUBLE")
+    n = spark.createDataFrame(nrow, "user_id INT, score DOUBLE")
+    a = {r.user_id: r.auc for r in ranking.user_auc(p, n, "user_id", "score", ties=ties).collect()}
+    b = {r.user_id: r.auc for r in ranking.user_auc(p, n, "user_id", "score", ties=ties,
+                                                      neg_bound=100).collect()}
+    assert a.keys() == b.keys()
+    assert all(a[u] == pytest.approx(b[u]) for u in a)
