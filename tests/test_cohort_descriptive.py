@@ -70,3 +70,18 @@ def test_auc_sql_matches_brute_force(spark):
     neg = [s for y, s in rows if y == 0]
     exp = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg) / (len(pos) * len(neg))
     assert got == pytest.approx(exp)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_surrogate_id_consecutive(spark, parts):
+    df = spark.createDataFrame([(i * 3 % 101, ) for i in range(101)], "k INT").repartition(parts)
+    out = sorted((r.k, r.row_id) for r in coh.surrogate_id(df, ["k"]).collect())
+    assert [rid for _, rid in out] == list(range(1, 102))
+
+
+def test_fill_and_subset_levels(spark):
+    df = spark.createDataFrame([("a", None), ("b", 2), ("c", 3)], "g STRING, x INT")
+    filled = {r.g: r.x for r in coh.fill_missing(df, ["x"], 0).collect()}
+    assert filled == {"a": 0, "b": 2, "c": 3}
+    sub, levels = coh.subset_levels(df, "g", ["a", "b", "z"])
+    assert sub.count() == 2 and sorted(r.g for r in levels.collect()) == ["a", "b"]
