@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tessera.llm.near_dup import op5_near_dup
+from tessera.llm.passages import op8_suffix_array_dedup
 
 QUERIES = {
     "op5_near_dup": op5_near_dup,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
 }
 
 ORACLE: dict[str, str] = {}

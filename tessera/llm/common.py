@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20           # text handled by one numpy step; a longer document is a step of its own
+SLICE_BYTES = 1 << 20           # text handled by one numpy step; a longer document is a step of its own
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D      # odd, so invertible modulo 2**64
 _tables: dict[str, np.ndarray] = {}
