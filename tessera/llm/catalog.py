@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from tessera.llm.bpe import op10_bpe
 from tessera.llm.near_dup import op5_near_dup
+from tessera.llm.packing import op1_packing
 from tessera.llm.passages import op8_suffix_array_dedup
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op5_near_dup": op5_near_dup,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE: dict[str, str] = {}
