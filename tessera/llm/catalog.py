@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from tessera.llm.bpe import op10_bpe
+from tessera.llm.langid import op7_language_id
 from tessera.llm.near_dup import op5_near_dup
 from tessera.llm.packing import op1_packing
 from tessera.llm.passages import op8_suffix_array_dedup
+from tessera.llm.quality import op6_quality_rules
 
 QUERIES = {
     "op1_packing": op1_packing,
     "op5_near_dup": op5_near_dup,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_language_id": op7_language_id,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op10_bpe": op10_bpe,
 }
