@@ -48,6 +48,12 @@ def text_key(col: str = "text"):
     return F.unhex(F.md5(F.coalesce(F.col(col), F.lit("")).cast("binary")))
 
 
+def doc_key(doc_id: str = "doc_id", text: str = "text"):
+    """128-bit key of a document: rows equal in doc_id and text share it (a null id is an id of its own)."""
+    number = F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit("null")).cast("binary")
+    return F.unhex(F.md5(F.concat(number, F.lit(b"\n"), text_key(text))))
+
+
 def text_buffer(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts end to end and their offsets; null reads as empty."""
     if isinstance(col, pa.ChunkedArray):

@@ -190,7 +190,8 @@ def _block_pairs(df: DataFrame, blocks: str, by: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text; more columns are ignored).
+    """doc_id, tk, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text; more columns are ignored).
+    ``tk`` is ``text_key``, so a row can be told from others of its doc_id.
 
     Two documents are linked if 100 * |A and B| >= percent * |A or B| over their sets of
     ``words``-word shingles (A-Z lower-cased, split at ASCII white space).  component_id is
@@ -238,11 +239,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS) -> D
         "sk", F.coalesce("root", "sk").alias("root"), "least")
     names = of.groupBy("root").agg(F.min("least").alias("component_id"))
     named = of.join(names, "root").select("sk", "component_id")
-    out = signed.select("doc_id", "n_shingles", "sk").join(named, "sk", "left")
+    out = signed.select("doc_id", "tk", "n_shingles", "sk").join(named, "sk", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+    return out.select("doc_id", "tk", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents", ["doc_id", "text"]), percent=85)
+    return near_duplicates(read(spark, sf_dir, "documents", ["doc_id", "text"]), percent=85).drop("tk")

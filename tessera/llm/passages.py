@@ -223,7 +223,8 @@ def _sort_columns(length: int):
 
 def _cover(length: int):
     """Kept bytes of each text and how many bytes in how many runs went."""
-    schema = pa.schema([("tk", pa.binary()), ("kept", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
+    schema = pa.schema([("tk", pa.binary()), ("kept", pa.binary()), ("text", pa.string()),
+                        ("n_removed", pa.int64()), ("n_spans", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Emit(schema, 256)
@@ -234,17 +235,18 @@ def _cover(length: int):
             np.add.at(gone, edge[:, 0], 1)
             np.add.at(gone, edge[:, 1] + length - 1, -1)
             keep = np.cumsum(gone[:-1]) == 0
-            if out.add(tk, np.frombuffer(text, np.uint8)[keep].tobytes(), int((~keep).sum()), len(_runs(~keep))):
+            rest = np.frombuffer(text, np.uint8)[keep].tobytes()
+            if out.add(tk, rest, rest.decode("utf-8", "ignore"), int((~keep).sum()), len(_runs(~keep))):
                 yield from out.take()
         yield from out.take()
     return run
 
 
 def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(tk, kept, n_removed, n_spans) of each distinct text that loses bytes; every other text stays whole.
+    """(tk, kept, text, n_removed, n_spans) of each distinct text that loses bytes; every other text stays whole.
 
     ``docs`` has doc_id and text.  ``tk`` is ``text_key``; ``kept`` the remaining bytes end to
-    end (a cut may fall inside a character), ``n_spans`` the maximal removed runs.  Rows with
+    end (a cut may fall inside a character), ``text`` the same without split characters, ``n_spans`` the maximal removed runs.  Rows with
     equal texts are repeats of each other.  Null and empty texts and those shorter than
     ``length`` bytes never lose anything.  Empty input: no rows.
     """
@@ -281,10 +283,10 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     lost = texts.select("tk", "text").join(spans, "tk").join(
         copies.filter("copies > 1").select("tk"), "tk", "left_anti")
     partly = lost.select("tk", "text", "spans").mapInArrow(
-        _cover(length), "tk binary, kept binary, n_removed long, n_spans long")
+        _cover(length), "tk binary, kept binary, text string, n_removed long, n_spans long")
     all_gone = whole.select("tk", F.octet_length("text").cast("long").alias("n_removed")).groupBy("tk").agg(
         F.max("n_removed").alias("n_removed"), F.count("*").alias("copies")).filter("copies > 1").select(
-        "tk", F.lit(b"").alias("kept"), "n_removed", F.lit(1).cast("long").alias("n_spans"))
+        "tk", F.lit(b"").alias("kept"), F.lit("").alias("text"), "n_removed", F.lit(1).cast("long").alias("n_spans"))
     return partly.unionByName(all_gone)
 
 
