@@ -22,6 +22,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
 from tessera.functions.hashing import hash32
 
 
@@ -41,7 +42,7 @@ def _wcss(df: DataFrame, k: int, seed: int, max_iter: int):
 
 
 def kmeans_choose_k(df: DataFrame, k_min: int, k_max: int, seed: int, max_iter: int = 100,
-                    refs: int = 1) -> tuple[DataFrame, int]:
+                    refs: int = 1, key: str = "vec_id") -> tuple[DataFrame, int]:
     """CLU-01: for k in [k_min, k_max]: log W_k on the data and on ``refs``
     uniform reference sets; gap = mean(log W*_k) − log W_k; choose the
     smallest k with gap_k ≥ gap_{k+1} − s_{k+1} (Tibshirani et al. 2001).
@@ -56,9 +57,9 @@ def kmeans_choose_k(df: DataFrame, k_min: int, k_max: int, seed: int, max_iter:
                       *[F.max(F.col("__a")[i]).alias(f"hi{i}") for i in range(dim)]).first()
     ref_sets = []
     for r in range(refs):
-        cols = [(F.rand(seed + 1000 * (r + 1) + i) * (bounds[f"hi{i}"] - bounds[f"lo{i}"]) + bounds[f"lo{i}"])
+        cols = [(hash32(seed + 1000 * (r + 1) + i, key) / F.lit(float(1 << 32)) * (bounds[f"hi{i}"] - bounds[f"lo{i}"]) + bounds[f"lo{i}"])
                 for i in range(dim)]
-        ref_sets.append(df.select(array_to_vector(F.array(*cols)).alias("features")).cache())
+        ref_sets.append(materialize(df.select(array_to_vector(F.array(*cols)).alias("features"))))
     rows = []
     for k in range(k_min, k_max + 1):
         _, w = _wcss(df, k, seed, max_iter)
@@ -67,8 +68,6 @@ def kmeans_choose_k(df: DataFrame, k_min: int, k_max: int, seed: int, max_iter:
         sd = math.sqrt(sum((x - mean_ref) ** 2 for x in lw_ref) / len(lw_ref))
         s = sd * math.sqrt(1 + 1 / len(lw_ref))
         rows.append([k, math.log(max(w, 1e-300)), mean_ref - math.log(max(w, 1e-300)), s])
-    for rs in ref_sets:
-        rs.unpersist()
     chosen = rows[-1][0]
     for cur, nxt in zip(rows, rows[1:]):
         if cur[2] >= nxt[2] - nxt[3]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.binning import bin_right_closed
 from tessera.functions.dates import parse_date, row_max, years_between
+from tessera.session import materialize
 
 
 def clean_sentinels(df: DataFrame, sentinels=("NULL", "#N/A"), columns=None) -> DataFrame:
@@ -128,14 +129,17 @@ def subset_levels(df: DataFrame, col: str, levels) -> tuple[DataFrame, DataFrame
 
 def surrogate_id(df: DataFrame, order_by: list[str], name: str = "row_id") -> DataFrame:
     """PRJ-07: consecutive 1-based ids in ``order_by`` order without a global
-    window: a range-partitioned sort, row counts per partition (one small
-    aggregate), partition offsets (a window over the partition-count table,
-    bounded by the number of partitions) and a per-partition row number."""
-    s = df.orderBy(*order_by).withColumns({"__pid": F.spark_partition_id(),
-                                           "__mid": F.monotonically_increasing_id()})
-    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offs = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
-        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    rn = F.row_number().over(Window.partitionBy("__pid").orderBy("__mid"))
-    return (s.join(F.broadcast(offs.select("__pid", "__off")), "__pid")     # ≤ #partitions rows
-            .withColumn(name, F.col("__off") + rn).drop("__pid", "__mid", "__off"))
+    window.  The range-sorted rows are written once with
+    ``monotonically_increasing_id`` (partition number above 33 bits of row
+    number); row counts per partition and the ids are both read from that
+    table, so they always speak of the same partitions.  An id is the rows of
+    the partitions before plus the row number; the offsets are one row per
+    partition."""
+    s = materialize(df.orderBy(*order_by).withColumn("__mid", F.monotonically_increasing_id()))
+    pid = F.shiftright("__mid", 33)
+    counts = s.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
+    offs = counts.select("__pid", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    row = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (s.withColumn("__pid", pid).join(F.broadcast(offs), "__pid")     # one row per partition
+            .withColumn(name, F.col("__off") + row + 1).drop("__pid", "__mid", "__off"))

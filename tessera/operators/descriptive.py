@@ -12,7 +12,6 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import broadcast_if_bounded
 
 
 def freq(df: DataFrame, col: str) -> DataFrame:
@@ -34,12 +33,11 @@ def freq(df: DataFrame, col: str) -> DataFrame:
 def crosstab_complete(df: DataFrame, a: str, b: str) -> DataFrame:
     """AGG-10 / AGG-22: counts for every (a, b) level pair, zeros included.
 
-    Levels are the distinct values (small); their cross product is joined to
-    the observed counts.
+    The grid of all level pairs is the result itself; it is read off the
+    counts, so the rows are aggregated once.
     """
     counts = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
-    la = df.select(a).distinct()
-    lb = broadcast_if_bounded(df.select(b).distinct(), 100_000)   # size checked before broadcast
+    la, lb = counts.select(a).distinct(), counts.select(b).distinct()
     grid = la.crossJoin(lb)
     return grid.join(counts, [a, b], "left").select(a, b, F.coalesce("n", F.lit(0)).alias("n"))
 

@@ -9,19 +9,17 @@ sorts the whole table in one partition.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
+from pyspark.ml.feature import (Imputer, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-AUC_BUCKETS = 1 << 16
+from tessera.operators.ranking import negatives_below, ranged
 
 
 def assemble(cols: list[str], out: str = "features") -> VectorAssembler:
@@ -29,14 +27,23 @@ def assemble(cols: list[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep")
 
 
-def nominal_stages(cols: list[str], drop_last: bool = True) -> tuple[list, list[str]]:
-    """FEA-09: alphabetical level index + one-hot with the last level as the
-    reference (SAS ``param=glm``)."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetAsc",
-                         handleInvalid="keep") for c in cols]
-    ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in cols], outputCols=[f"{c}__ohe" for c in cols],
-                        dropLast=drop_last, handleInvalid="keep")
-    return idx + [ohe], [f"{c}__ohe" for c in cols]
+def dummies(df: DataFrame, levels: dict[str, list]) -> tuple[DataFrame, list[str]]:
+    """FEA-09: one 0/1 column per level of each nominal input but the last, which
+    is the reference (SAS ``param=glm``).  A NULL or a level not in the list
+    has zeros throughout, like the reference."""
+    names = {f"{c}_{v}": F.coalesce((F.col(c) == F.lit(v)).cast("double"), F.lit(0.0))
+             for c, own in levels.items() for v in own[:-1]}
+    return df.withColumns(names), list(names)
+
+
+def levels_of(df: DataFrame, cols: list[str], most: int = 1000) -> dict[str, list]:
+    """The sorted levels of nominal inputs; raises beyond ``most`` of them."""
+    out = {}
+    for c in cols:
+        out[c] = sorted(r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct().limit(most + 1).collect())
+        if len(out[c]) > most:
+            raise ValueError(f"{c} has over {most} levels; it is not a nominal input")
+    return out
 
 
 def impute_interval(cols: list[str], strategy: str = "median") -> tuple[list, list[str]]:
@@ -83,25 +90,14 @@ def positive_score(pred: DataFrame, kind: str) -> DataFrame:
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """MOD-10: exact area under the ROC curve (ties count half), one row.
 
-    Rows are collapsed to distinct scores (partial aggregation), scores are
-    range-bucketed into 65,536 buckets on [min, max], negatives below each
-    score = negatives of lower buckets (window over ≤ 65,536 bucket rows) +
-    lower scores of the same bucket (window over one bucket's distinct
-    scores).  No step sorts all rows in a single partition.
+    Rows are collapsed to distinct scores (partial aggregation) and dealt by
+    ``ranking.ranged``: neither an outlier nor NaN (above all numbers, as in
+    Spark's ordering) crowds a range.  Negatives below a score are those of
+    lower ranges (a window over one row per range) plus lower scores of its own.
     """
-    c = df.groupBy(score).agg(F.sum(F.col(label).cast("long")).alias("__p"),
-                              F.sum((1 - F.col(label)).cast("long")).alias("__n"))
-    rng = F.broadcast(c.agg(F.min(score).alias("__lo"), F.max(score).alias("__hi")))   # 1 row
-    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(AUC_BUCKETS))
-    c = c.crossJoin(rng).withColumn(
-        "__b", F.when(width > 0, F.least(F.floor((F.col(score) - F.col("__lo")) / width),
-                                         F.lit(AUC_BUCKETS - 1))).otherwise(F.lit(0)).cast("int"))
-    bt = c.groupBy("__b").agg(F.sum("__n").alias("__bn"))
-    bt = bt.withColumn("__below_b", F.coalesce(F.sum("__bn").over(
-        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    c = c.join(bt.select("__b", "__below_b"), "__b")
-    w = Window.partitionBy("__b").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("__below", F.col("__below_b") + F.coalesce(F.sum("__n").over(w), F.lit(0)))
+    c = df.groupBy(F.col(score).cast("double").alias("__s")).agg(
+        F.sum(F.col(label).cast("long")).alias("__p"), F.sum((1 - F.col(label)).cast("long")).alias("__n"))
+    c = negatives_below(ranged(c, ["__s"]), [], "__s")
     credit = F.col("__p") * (F.col("__below") + 0.5 * F.col("__n"))
     return c.agg((F.sum(credit) / (F.sum("__p") * F.sum("__n"))).alias("auc"))
 
@@ -186,13 +182,10 @@ def glm_estimates(model, names: list[str]) -> DataFrame:
     sm = est.summary
     coefs = list(est.coefficients.toArray()) + [est.intercept]
     terms = list(names) + ["(intercept)"]
-    try:
-        se, tv, pv = sm.coefficientStandardErrors, sm.tValues, sm.pValues
-    except Exception:  # noqa: BLE001  (singular fit: no standard errors)
-        se = tv = pv = [math.nan] * len(coefs)
+    se, tv, pv = sm.coefficientStandardErrors, sm.tValues, sm.pValues     # raises on a singular design
     s = SparkSession.getActiveSession()
     return s.createDataFrame([(t, float(c), float(a), float(b), float(d))
-                              for t, c, a, b, d in zip(terms, coefs, se, tv, pv)],
+                              for t, c, a, b, d in zip(terms, coefs, se, tv, pv, strict=True)],
                              "term STRING, estimate DOUBLE, std_error DOUBLE, z DOUBLE, p_value DOUBLE")
 
 

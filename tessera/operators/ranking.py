@@ -4,9 +4,9 @@ The reference joins every positive with every negative of the same user and
 counts wins.  Here each user's negative scores (bounded: at most |pool|
 sampled negatives per user) are gathered into one sorted array; every
 positive then counts the negatives below its score with a 32-step binary
-search inside a higher-order function.  Work is linear in positives, the
-pos×neg product is never built, and a user with a huge number of positives
-is just a skewed equi-join that AQE splits (the array side is one row).
+search inside a higher-order function.  Work is linear in positives and the
+pos×neg product is never built.  A user's equal scores are counted before
+the join, so a hot user sends its distinct scores only.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 
 def count_less(sorted_arr: Column, n: Column, x: Column, strict: bool = True) -> Column:
     """Number of elements of an ascending array that are < x (or <= x)."""
@@ -31,36 +33,36 @@ def count_less(sorted_arr: Column, n: Column, x: Column, strict: bool = True) ->
     return F.aggregate(F.sequence(F.lit(1), F.lit(32)), init, step, lambda acc: acc["lo"])
 
 
-BUCKETS = 1 << 16
+def ranged(df: DataFrame, by: list[str]) -> DataFrame:
+    """``df`` range-partitioned by ``by`` (bounds sampled from the rows themselves) and
+    written once with the number of each row's range as ``__range``."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartitionByRange(parts, *by).withColumn("__range", F.spark_partition_id()))
+
+
+def negatives_below(c: DataFrame, keys: list[str], score: str) -> DataFrame:
+    """``c`` (distinct scores with ``__n`` negatives, see :func:`ranged`) with ``__below``: the
+    negatives of the same keys at lower scores."""
+    totals = c.groupBy(*keys, "__range").agg(F.sum("__n").alias("__rn"))
+    lower = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*keys, "__range", F.coalesce(F.sum("__rn").over(lower), F.lit(0)).alias("__lower"))
+    own = Window.partitionBy(*keys, "__range").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("__own", F.coalesce(F.sum("__n").over(own), F.lit(0)))
+    return c.join(totals, [*keys, "__range"]).withColumn("__below", F.col("__lower") + F.col("__own"))
 
 
 def _bucketed_auc(pos: DataFrame, neg: DataFrame, user: str, score: str, half: bool) -> DataFrame:
     """Exact per-user rank counting for unbounded negatives.
 
     Positives and negatives are collapsed to distinct (user, score) counts,
-    scores are range-bucketed per user (65,536 buckets; NaN, which Spark
-    orders above every number, gets its own top bucket), negatives below a
-    score = negatives of lower buckets (window over at most 65,537 bucket rows
-    per user) + lower scores of the same bucket (window over one bucket's
-    distinct scores).  No window ever holds all rows of a user.
+    which ``ranged`` deals by (user, score), so a hot user spreads over many
+    ranges and an outlier score crowds none.  Negatives below a score are
+    those of the user's lower ranges plus lower scores of its own range.
     """
     allv = (pos.select(user, score, F.lit(1).alias("__p"), F.lit(0).alias("__n"))
             .unionByName(neg.select(user, score, F.lit(0).alias("__p"), F.lit(1).alias("__n"))))
     c = allv.groupBy(user, score).agg(F.sum("__p").alias("__p"), F.sum("__n").alias("__n"))
-    x = F.col(score)
-    rng = c.groupBy(user).agg(F.min(F.when(~F.isnan(x), x)).alias("__lo"),
-                              F.max(F.when(~F.isnan(x), x)).alias("__hi"))
-    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(BUCKETS))
-    c = c.join(rng, user).withColumn(
-        "__b", F.when(F.isnan(x), F.lit(BUCKETS))
-                .when(width > 0, F.least(F.floor((x - F.col("__lo")) / width), F.lit(BUCKETS - 1)))
-                .otherwise(F.lit(0)).cast("int"))
-    bt = c.groupBy(user, "__b").agg(F.sum("__n").alias("__bn"))
-    bt = bt.withColumn("__below_b", F.coalesce(F.sum("__bn").over(
-        Window.partitionBy(user).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    c = c.join(bt.select(user, "__b", "__below_b"), [user, "__b"])
-    w = Window.partitionBy(user, "__b").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("__below", F.col("__below_b") + F.coalesce(F.sum("__n").over(w), F.lit(0)))
+    c = negatives_below(ranged(c, [user, score]), [user], score)
     credit = F.col("__p") * (F.col("__below") + (0.5 * F.col("__n") if half else F.lit(0)))
     out = c.groupBy(user).agg(F.sum("__n").alias("n_neg"), F.sum("__p").alias("n_pos"),
                               F.sum(credit).alias("n_correct"))
@@ -88,7 +90,7 @@ def user_auc(pos: DataFrame, neg: DataFrame, user: str, score: str, ties: str =
     else:
         negs = neg.groupBy(user).agg(F.array_sort(F.collect_list(score)).alias("__negs"),
                                      F.count(F.lit(1)).alias("n_neg"))
-        j = pos.select(user, score).join(negs, user)
+        j = pos.groupBy(user, score).agg(F.count(F.lit(1)).alias("__m")).join(negs, user)
         below = count_less(F.col("__negs"), F.col("n_neg"), F.col(score), strict=True)
         if ties == "half":
             below_eq = count_less(F.col("__negs"), F.col("n_neg"), F.col(score), strict=False)
@@ -96,7 +98,7 @@ def user_auc(pos: DataFrame, neg: DataFrame, user: str, score: str, ties: str =
         else:
             credit = below
         out = (j.withColumn("__c", credit).groupBy(user, "n_neg")
-               .agg(F.count(F.lit(1)).alias("n_pos"), F.sum("__c").alias("n_correct")))
+               .agg(F.sum("__m").alias("n_pos"), F.sum(F.col("__c") * F.col("__m")).alias("n_correct")))
     out = out.withColumn("auc", F.col("n_correct") / (F.col("n_pos") * F.col("n_neg")))
     if drop_zero_users:
         out = out.filter(F.col("n_correct") > 0)

@@ -70,6 +70,14 @@ def kaplan_meier(df: DataFrame, time: str, event: str, group: str | None = None,
                     F.when(ok, F.least(F.lit(1.0), F.col("surv") * F.exp(Z975 * se_log))).alias("upper"))
 
 
+def clip_time(curve: DataFrame, time: str, lo=None, hi=None) -> DataFrame:
+    """SUR-07: the rows of a curve or risk table inside a plotting window [lo, hi]
+    (either may be None); the estimates are those of the whole data."""
+    if lo is not None:
+        curve = curve.filter(F.col(time) >= lo)
+    return curve if hi is None else curve.filter(F.col(time) <= hi)
+
+
 def _half_time(curve: str, time: str):
     """First time the curve reaches 0.5; if it sits exactly at 0.5, the
     midpoint between that time and the time it drops below (R's rule)."""
@@ -91,7 +99,7 @@ def km_median(km: DataFrame, time: str, keys: list[str]) -> DataFrame:
 
 def risk_table(df: DataFrame, time: str, event: str, step: int, group: str | None = None,
                stratum: str | None = None) -> DataFrame:
-    """SUR-05/07: number at risk, cumulative events and censored at break
+    """SUR-05: number at risk, cumulative events and censored at break
     times 0, step, 2·step, … up to the group's last time.
 
     Counts are bucketed by floor(time/step) first, so the break grid costs
@@ -235,6 +243,20 @@ def design(df: DataFrame, factors: list[str], interactions: list[tuple[str, str]
     return out, cols
 
 
+TIE_BLOCK = 1 << 16
+MAX_STRATA = 10_000
+
+
+def _tied(t: DataFrame, d: str, keys: list[str]) -> DataFrame:
+    """One row per tied event number ``__l`` in [0, d): times with many ties are
+    cut into blocks that are spread over tasks before they are expanded, so
+    neither an array nor a task holds all ties of a time."""
+    blocks = t.withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col(d) - 1, F.lit(TIE_BLOCK).cast("long"))))
+    return (blocks.repartition(*keys, "__from")
+            .withColumn("__l", F.explode(F.sequence("__from", F.least(F.col("__from") + TIE_BLOCK, F.col(d)) - 1)))
+            .drop("__from"))
+
+
 def _cox_pass(coll: DataFrame, sk: list[str], xs: list[str], beta: DataFrame, time: str) -> DataFrame:
     """One Efron pass: per stratum loglik, score U and information I."""
     p = len(xs)
@@ -257,7 +279,7 @@ def _cox_pass(coll: DataFrame, sk: list[str], xs: list[str], beta: DataFrame, ti
     s_cols = ["__A0"] + [f"__A1_{i}" for i in range(p)] + [f"__A2_{i}_{k}" for i, k in pairs]
     t = t.withColumns({c.replace("__A", "__S"): F.sum(c).over(rev) for c in s_cols})
     t = t.filter(F.col("__d") > 0)
-    t = t.withColumn("__l", F.explode(F.sequence(F.lit(0), (F.col("__d") - 1).cast("int"))))
+    t = _tied(t, "__d", [*sk, time])
     f = F.col("__l") / F.col("__d")
     den = F.col("__S0") - f * F.col("__E0")
     m1 = [(F.col(f"__S1_{i}") - f * F.col(f"__E1_{i}")) / den for i in range(p)]
@@ -280,7 +302,10 @@ def cox_ph(df: DataFrame, time: str, event: str, xs: list[str], stratum: str | N
     their coefficient is reported as NULL (R prints NA).
 
     Returns (coefficients, tests): coef, hr, se, z, p, CI per covariate and
-    loglik0/loglik, LRT, Wald and score tests per stratum.
+    loglik0/loglik, LRT, Wald and score tests per stratum; ``converged`` tells
+    whether the stratum's last step was below ``eps`` within ``max_iter``.
+    The models are solved on the driver, so there may be at most ``MAX_STRATA``
+    strata; more raise an error.
     """
     spark = df.sparkSession
     sk = [stratum] if stratum else []
@@ -291,7 +316,9 @@ def cox_ph(df: DataFrame, time: str, event: str, xs: list[str], stratum: str | N
     coll = materialize(df.groupBy(*sk, time, *xs).agg(
         F.sum(F.col(event).cast("long")).alias("n_event"), F.count(F.lit(1)).alias("n_obs")))
     # aliased columns: constant within a stratum
-    var = coll.groupBy(*sk).agg(*[(F.max(x) - F.min(x)).alias(x) for x in xs]).collect()
+    var = coll.groupBy(*sk).agg(*[(F.max(x) - F.min(x)).alias(x) for x in xs]).limit(MAX_STRATA + 1).collect()
+    if len(var) > MAX_STRATA:
+        raise ValueError(f"over {MAX_STRATA} strata: {stratum} is no stratum")
     strata = [tuple(r[k] for k in sk) for r in var]
     active = {tuple(r[k] for k in sk): [i for i, x in enumerate(xs) if (r[x] or 0) > 0] for r in var}
 
@@ -361,14 +388,14 @@ def cox_ph(df: DataFrame, time: str, event: str, xs: list[str], stratum: str | N
         lrt = 2 * (ll - ll0)
         k = len(idx)
         test_rows.append((*s, k, float(ll0), float(ll), float(lrt), stats.chi2_sf(lrt, k),
-                          wald, stats.chi2_sf(wald, k), score, stats.chi2_sf(score, k)))
+                          wald, stats.chi2_sf(wald, k), score, stats.chi2_sf(score, k), conv[s]))
     sks = [f"{k} STRING" for k in sk]
     coefs = spark.createDataFrame(coef_rows, ", ".join(sks + [
         "term STRING", "coef DOUBLE", "hr DOUBLE", "se DOUBLE", "z DOUBLE", "p_value DOUBLE",
         "hr_lower DOUBLE", "hr_upper DOUBLE"]))
     tests = spark.createDataFrame(test_rows, ", ".join(sks + [
         "df INT", "loglik0 DOUBLE", "loglik DOUBLE", "lrt DOUBLE", "lrt_p DOUBLE", "wald DOUBLE",
-        "wald_p DOUBLE", "score DOUBLE", "score_p DOUBLE"]))
+        "wald_p DOUBLE", "score DOUBLE", "score_p DOUBLE", "converged BOOLEAN"]))
     return coefs, tests
 
 
@@ -395,8 +422,7 @@ def cox_curve(df: DataFrame, time: str, event: str, xs: list[str], coefs: DataFr
     rev = (Window.partitionBy(*sk).orderBy(F.col(time).desc())
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     t = t.withColumns({"__S0": F.sum("__A0").over(rev), "n_risk": F.sum("__m").over(rev)})
-    ev = t.filter(F.col("n_event") > 0).withColumn(
-        "__l", F.explode(F.sequence(F.lit(0), (F.col("n_event") - 1).cast("int"))))
+    ev = _tied(t.filter(F.col("n_event") > 0), "n_event", [*sk, time])
     dh = ev.groupBy(*sk, time).agg(
         F.sum(1.0 / (F.col("__S0") - F.col("__l") / F.col("n_event") * F.col("__E0"))).alias("__dh"))
     t = t.join(dh, sk + [time], "left")
@@ -413,10 +439,11 @@ def concordance(df: DataFrame, time: str, event: str, xs: list[str], coefs: Data
     A pair is comparable when the shorter time is an event; the partner has a
     longer time or is censored at that same time.  Concordant when the event
     subject has the higher risk score, half credit for equal scores.
-    Computed on (stratum, time, covariate pattern) counts: each event cell is
-    joined with the pattern cells of the same stratum and time, carrying
-    "still at risk later" counts from a reverse window — patterns² × times
-    rows, independent of the subject count.
+    Distinct risk scores are numbered in order, and pairs are counted bit by
+    bit of that number: two scores differ first at one bit, under one common
+    prefix, where the higher has 1 and the lower 0.  Per (bit, prefix, time)
+    the counts of both sides are collapsed and multiplied with those still at
+    risk later: patterns × log(patterns) rows, no pairs of patterns.
     """
     sk = [stratum] if stratum else []
     if stratum:
@@ -428,20 +455,26 @@ def concordance(df: DataFrame, time: str, event: str, xs: list[str], coefs: Data
     c = (j.withColumn("__r", F.round(r, 12)).groupBy(*sk, time, "__r")
          .agg(F.sum(F.col(event).cast("long")).alias("__d"),
               F.sum((1 - F.col(event)).cast("long")).alias("__c"), F.count(F.lit(1)).alias("__m")))
-    times = c.select(*sk, time).distinct()
-    pats = c.select(*sk, "__r").distinct()
-    grid = (times.join(pats, sk) if sk else times.crossJoin(pats))
-    g = grid.join(c, sk + [time, "__r"], "left").na.fill(0, ["__d", "__c", "__m"])
-    later = (Window.partitionBy(*sk, "__r").orderBy(F.col(time).desc())
+    rank = F.dense_rank().over(Window.partitionBy(*sk).orderBy("__r")) - 1
+    pats = c.select(*sk, "__r").distinct().withColumn("__k", rank.cast("long"))
+    c = materialize(c.join(pats, [*sk, "__r"]))
+    most = c.agg(F.max("__k")).first()[0] or 0
+    bits = F.explode(F.sequence(F.lit(-1), F.lit(int(most).bit_length() - 1)) if most else F.array(F.lit(-1)))
+    g = c.select("*", bits.alias("__bit"))
+    tied = F.col("__bit") < 0
+    one = F.expr("shiftright(__k, greatest(__bit, 0)) & 1") == 1
+    g = g.withColumns({"__prefix": F.when(tied, F.col("__k")).otherwise(F.expr("shiftright(__k, greatest(__bit, 0) + 1)")),
+                       "__one": ~tied & one})
+    sums = {f"{v}{x}": F.sum(F.when(F.col("__one") == bool(x), F.col(v)).otherwise(0)) for v in ("__d", "__c", "__m") for x in (0, 1)}
+    g = g.groupBy(*sk, "__bit", "__prefix", time).agg(*[v.alias(k) for k, v in sums.items()])
+    later = (Window.partitionBy(*sk, "__bit", "__prefix").orderBy(F.col(time).desc())
              .rowsBetween(Window.unboundedPreceding, -1))
-    g = g.withColumn("__after", F.coalesce(F.sum("__m").over(later), F.lit(0)) + F.col("__c"))
-    ev = g.filter(F.col("__d") > 0).select(*sk, time, F.col("__r").alias("__ri"), "__d")
-    pt = g.select(*sk, time, F.col("__r").alias("__rj"), "__after")
-    pr = ev.join(pt, sk + [time])
-    w = F.col("__d") * F.col("__after")
-    agg = pr.groupBy(*sk).agg(
-        F.sum(F.when(F.col("__ri") > F.col("__rj"), w).otherwise(0)).alias("concordant"),
-        F.sum(F.when(F.col("__ri") < F.col("__rj"), w).otherwise(0)).alias("discordant"),
-        F.sum(F.when(F.col("__ri") == F.col("__rj"), w).otherwise(0)).alias("tied_risk"))
+    after = {x: F.coalesce(F.sum(f"__m{x}").over(later), F.lit(0)) + F.col(f"__c{x}") for x in (0, 1)}
+    g = g.withColumns({"__after0": after[0], "__after1": after[1]})
+    split = F.col("__bit") >= 0
+    agg = g.groupBy(*sk).agg(
+        F.sum(F.when(split, F.col("__d1") * F.col("__after0")).otherwise(0)).alias("concordant"),
+        F.sum(F.when(split, F.col("__d0") * F.col("__after1")).otherwise(0)).alias("discordant"),
+        F.sum(F.when(~split, F.col("__d0") * F.col("__after0")).otherwise(0)).alias("tied_risk"))
     return agg.withColumn("concordance", (F.col("concordant") + 0.5 * F.col("tied_risk"))
                           / (F.col("concordant") + F.col("discordant") + F.col("tied_risk")))

@@ -181,6 +181,61 @@ def surrogate_ids(spark, sf):
     return coh.surrogate_id(V.risk_rows(spark, sf).select("doc_id", "toxic"), ["doc_id"], "patient_id")
 
 
+@query("surrogate_ids_lines")
+def surrogate_ids_lines(spark, sf):
+    """PRJ-07 on all order lines with their payload."""
+    li = V.load(spark, sf, "lineitem", None)
+    return coh.surrogate_id(li, LINE_ORDER, "line_id").select("line_id", *LINE_ORDER)
+
+
+LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+@query("cohort_filled")
+def cohort_filled(spark, sf):
+    """FLT-07: the cohort with missing values as dummies."""
+    d, steps = cohort_frame(spark, sf)
+    d = coh.fill_missing(coh.apply_steps(d, steps).select("user_id", "race", "dx2death"), ["dx2death"], -1)
+    return d.select("user_id", "race", r6("dx2death").alias("dx2death"))
+
+
+@query("cohort_subset")
+def cohort_subset(spark, sf):
+    """FLT-12: two levels of race, counted."""
+    d, steps = cohort_frame(spark, sf)
+    sub, _ = coh.subset_levels(coh.apply_steps(d, steps), "race", ["Asian", "Black"])
+    return sub.groupBy("race").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("column_summary")
+def column_summary_orders(spark, sf):
+    """SRC-08 on all orders."""
+    from tessera.sources.schema import column_summary
+    s = column_summary(V.load(spark, sf, "orders", ["o_totalprice", "o_custkey"]))
+    return s.select("column_name", "n", "n_null", *[r6(c).alias(c) for c in ("min", "q1", "median", "mean", "q3", "max")])
+
+
+@query("schema_listing")
+def schema_listing_customer(spark, sf):
+    """SRC-05/06: columns and labels of the customer table."""
+    from tessera.sources.schema import schema_listing, with_labels
+    return schema_listing(with_labels(V.load(spark, sf, "customer", None), {"c_acctbal": "account balance"}))
+
+
+@query("delimited_round_trip")
+def delimited_round_trip(spark, sf):
+    """SRC-01..04 / SNK-01..04: customers written as tab-separated text and read back by a declared schema."""
+    from tessera.session import scratch_path
+    from tessera.sources.delimited import coerce, read_delimited
+    from tessera.sources.sinks import write_ordered
+    df = V.load(spark, sf, "customer", ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"])
+    path = scratch_path(spark, "delimited")
+    write_ordered(df, path, "c_custkey", sep="\t")
+    back = read_delimited(spark, path, "c_custkey STRING, c_name STRING, c_acctbal STRING, c_mktsegment STRING",
+                          sep="\t", header=True)
+    return coerce(back, {"c_custkey": "BIGINT", "c_acctbal": "DOUBLE"})
+
+
 @query("cohort_derived")
 def cohort_derived(spark, sf):
     d, steps = cohort_frame(spark, sf)
@@ -301,6 +356,12 @@ def km_curve(spark, sf):
     return _km(spark, sf).select(*KM_COLS, r6("surv").alias("surv"))
 
 
+@query("km_curve_window")
+def km_curve_window(spark, sf):
+    """SUR-07: the curve from day 100 to day 1,000."""
+    return sv.clip_time(_km(spark, sf), "time", 100, 1000).select(*KM_COLS, r6("surv").alias("surv"))
+
+
 @query("km_ci")
 def km_ci(spark, sf):
     return _km(spark, sf).select("stratum", "group2", "time", r6("surv").alias("surv"),
@@ -390,9 +451,10 @@ def pairs(spark, sf):
 
 @query("pair_dropna")
 def pair_dropna(spark, sf):
-    raw = V.pairs_raw(spark, sf)
-    ok = F.col("q1").isNotNull() & F.col("q2").isNotNull()
-    return raw.groupBy("split").agg(F.count(F.lit(1)).alias("n_before"), F.count_if(ok).alias("n_after"))
+    raw = V.pairs_with_gaps(spark, sf)
+    before = raw.groupBy("split").agg(F.count(F.lit(1)).alias("n_before"))
+    after = tp.drop_incomplete(raw, ["q1", "q2"]).groupBy("split").agg(F.count(F.lit(1)).alias("n_after"))
+    return before.join(after, "split", "left").select("split", "n_before", F.coalesce("n_after", F.lit(0)).alias("n_after"))
 
 
 @query("pair_union_shift")
@@ -484,7 +546,7 @@ from tessera.operators import cluster as clu  # noqa: E402
 from tessera.operators import models as mdl  # noqa: E402
 from tessera.operators import recommend as rec  # noqa: E402
 from tessera.operators import twotower as tt  # noqa: E402
-from tessera.session import ensure_checkpoint_dir  # noqa: E402
+from tessera.session import materialize, scratch_path  # noqa: E402
 
 PAIR_CONFIGS = {
     "glm": ("glm", {}),
@@ -496,8 +558,8 @@ NLP = [f for f in tp.FEATURES]
 
 
 def _pair_sets(spark, sf):
-    """Feature table cached once: the sweep fits four models on it."""
-    f = feature_table(spark, sf).cache()
+    """Feature table written once: the sweep fits four models on it."""
+    f = materialize(feature_table(spark, sf))
     lab = f.filter(F.col("split") == "train")
     s = sampling.hash_split(lab, ["id"], [0.7, 0.3], 0, names=["fit", "holdout"])
     return f, lab, s.filter(F.col("split") == "fit"), s.filter(F.col("split") == "holdout")
@@ -552,7 +614,7 @@ def mlp_scores(spark, sf):
     """MOD-16/17/18: MLP on two-tower ⧺ NLP features; epochs chosen on the
     holdout log-loss; the unlabelled pairs are scored."""
     f, lab, fit, hold = _pair_sets(spark, sf)
-    feats = two_tower_features(spark, sf).cache()     # reused by every fit below
+    feats = materialize(two_tower_features(spark, sf))     # read by every fit below
     from pyspark.ml.functions import array_to_vector
 
     def prep(df):
@@ -590,8 +652,8 @@ TREE_CONFIGS = {
 
 
 def _v5_parts(spark, sf):
-    """Training / validation partitions, cached: every fit in a sweep reuses them."""
-    p = sampling.stratified_partition(V.risk_rows(spark, sf), "toxic", "doc_id", 0.7, 20161117).cache()
+    """Training / validation partitions, written once: every fit in a sweep reads them."""
+    p = materialize(sampling.stratified_partition(V.risk_rows(spark, sf), "toxic", "doc_id", 0.7, 20161117))
     return p.filter("partition = 1"), p.filter("partition = 0")
 
 
@@ -626,21 +688,34 @@ def tree_nodes(spark, sf):
     depth, leaf, cols = TREE_CONFIGS["tree2"]
     stages, est = _tree_pipeline(cols, depth, leaf)
     m, _ = mdl.fit_score(est, stages, train, train.limit(0), "dt")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/tree_nodes"
-    return mdl.tree_nodes(m, path)
+    return mdl.tree_nodes(m, scratch_path(spark, "models"))
 
 
 @query("logistic_estimates")
 def logistic_estimates(spark, sf):
     train, _ = _v5_parts(spark, sf)
-    nst, ohe = mdl.nominal_stages(["lang"])
-    m, _ = mdl.fit_score(mdl.make_estimator("glm", "toxic"), nst + [mdl.assemble(ohe + ["n_chars", "quality"])],
-                         train, train.limit(0), "glm")
-    langs = sorted(r[0] for r in train.select("lang").distinct().collect())
-    names = [f"lang_{v}" for v in langs[:-1]] + ["n_chars", "quality"]
+    m, names, _ = _logistic(train)
     return mdl.glm_estimates(m, names)
 
 
+def _logistic(train):
+    """The logistic model of V5: lang with its last level as the reference, n_chars, quality."""
+    levels = mdl.levels_of(train, ["lang"])
+    fit, names = mdl.dummies(train, levels)
+    names = names + ["n_chars", "quality"]
+    m, _ = mdl.fit_score(mdl.make_estimator("glm", "toxic"), [mdl.assemble(names)], fit, fit.limit(0), "glm")
+    return m, names, levels
+
+
+@query("logistic_scores")
+def logistic_scores(spark, sf):
+    """MOD-02/13: the logistic model applied to the validation partition."""
+    train, valid = _v5_parts(spark, sf)
+    m, _, levels = _logistic(train)
+    rows, _ = mdl.dummies(valid, levels)
+    return mdl.positive_score(m.transform(rows), "glm").select("doc_id", "toxic", r6("score").alias("score"))
+
+
 @query("model_metrics")
 def model_metrics(spark, sf):
     """MOD-14 on the tree scores of the validation partition; threshold = the
@@ -673,7 +748,7 @@ def persisted_scores(spark, sf):
     depth, leaf, cols = TREE_CONFIGS["tree5"]
     stages, est = _tree_pipeline(cols, depth, leaf)
     m, _ = mdl.fit_score(est, stages, train, train.limit(0), "dt")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/persisted_tree5"
+    path = scratch_path(spark, "models")
     mdl.save_model(m, path)
     return mdl.load_and_score(path, valid, "dt", "doc_id").select("doc_id", r6("score").alias("score"))
 
@@ -685,25 +760,19 @@ def _v6_parts(spark, sf):
 
 
 GAP_REFS = 3     # uniform reference sets per k (gives the gap's standard error)
-_CHOSEN_K: dict[str, int] = {}   # chosen k per input dir: one small number, reused by kmeans_clusters
-
 
 @query("kmeans_choice")
 def kmeans_choice(spark, sf):
     fit, _ = _v6_parts(spark, sf)
-    table, k = clu.kmeans_choose_k(fit.cache(), 2, 20, 20161117, max_iter=100, refs=GAP_REFS)
-    _CHOSEN_K[sf] = k
+    table, _ = clu.kmeans_choose_k(materialize(fit), 2, 20, 20161117, max_iter=100, refs=GAP_REFS, key="vec_id")
     return table.select("k", r6("log_w").alias("log_w"), r6("gap").alias("gap"), r6("s").alias("s"), "chosen")
 
 
 @query("kmeans_clusters")
 def kmeans_clusters(spark, sf):
     fit, valid = _v6_parts(spark, sf)
-    fit = fit.cache()
-    k = _CHOSEN_K.get(sf)
-    if k is None:
-        _, k = clu.kmeans_choose_k(fit, 2, 20, 20161117, max_iter=100, refs=GAP_REFS)
-        _CHOSEN_K[sf] = k
+    fit = materialize(fit)
+    _, k = clu.kmeans_choose_k(fit, 2, 20, 20161117, max_iter=100, refs=GAP_REFS, key="vec_id")
     from pyspark.ml.clustering import KMeans
     model = KMeans(k=k, seed=20161117, maxIter=100, predictionCol="cluster").fit(fit)
     return model.transform(valid).select("vec_id", "label", "cluster")
@@ -711,6 +780,7 @@ def kmeans_clusters(spark, sf):
 
 KMODES_COLS = ["lang", "source", "quality", "toxic"]
 KMODES_K = 4
+KMODES_MOST = 20
 
 
 @query("kmodes_assign")
@@ -724,8 +794,14 @@ def kmodes_assign(spark, sf):
 
 @query("kmodes_fit")
 def kmodes_fit(spark, sf):
-    assigned, _ = clu.kmodes(V.risk_rows(spark, sf), "doc_id", KMODES_COLS, KMODES_K, 20161117)
-    return assigned.select("doc_id", "cluster", "mismatch")
+    """CLU-02/03: modes fitted on the training partition (at most 20 clusters), both
+    partitions labelled with their nearest mode."""
+    train, valid = _v5_parts(spark, sf)
+    assigned, modes = clu.kmodes(train, "doc_id", KMODES_COLS, KMODES_MOST, 20161117)
+    cur = [tuple(r) for r in modes.orderBy("cluster").collect()]          # at most 20 rows
+    both = clu.assign_modes(valid, cur, KMODES_COLS).withColumn("part", F.lit("valid")).unionByName(
+        assigned.withColumn("part", F.lit("train")))
+    return both.select("doc_id", "part", "cluster", "mismatch")
 
 
 # recommender (V1)
@@ -740,9 +816,21 @@ def als_scores(spark, sf):
     return rec.score_pairs(m, test, "user_id", "item_id").select("user_id", "item_id", r6("score").alias("score"))
 
 
+@query("als_final_scores")
+def als_final_scores(spark, sf):
+    """REC-03: the grid's best parameters refitted on all eligible rows, applied to the held-out pairs."""
+    train, test, neg = negatives(spark, sf)
+    train = materialize(train.select("user_id", "item_id", "plays"))
+    test, neg = materialize(test), materialize(neg)
+    g = rec.als_grid(train, test, neg, "user_id", "item_id", "plays", neg_bound=V.TOP_K, **ALS_GRID)
+    best = rec.best_params(g).first()
+    every = train.unionByName(test.select("user_id", "item_id", "plays"))
+    m = rec.als(best["rank"], best["alpha"], best["reg"], "user_id", "item_id", "plays", seed=0).fit(every)
+    return rec.score_pairs(m, test, "user_id", "item_id").select("user_id", "item_id", r6("score").alias("score"))
+
+
 @query("als_grid")
 def als_grid(spark, sf):
-    from tessera.session import materialize
     train, test, neg = negatives(spark, sf)
     neg = materialize(neg)                # drawn once for the whole grid
     train = materialize(train.select("user_id", "item_id", "plays"))

@@ -353,8 +353,7 @@ FROM (SELECT DISTINCT stratum FROM km) k LEFT JOIN cr USING (stratum)"""
 from tessera.functions import text as TX  # noqa: E402
 
 _tc = int(round(V.V2_TEST_FRACTION * TWO_32))
-_nc = int(round(V.V2_NULL_FRACTION * TWO_32))
-V2 = f"""d2 AS (SELECT doc_id, text FROM documents WHERE lang = 'en'),
+V2 = f"""d2 AS (SELECT doc_id, text FROM documents),
 rep2 AS (SELECT text, min(doc_id) AS rep_id FROM d2 GROUP BY text),
 p20 AS (SELECT rep2.rep_id AS a_id, d2.doc_id AS b_id, d2.text AS q1, d2.text AS q2, 1 AS is_duplicate
         FROM d2 JOIN rep2 USING (text) WHERE d2.doc_id <> rep2.rep_id
@@ -362,12 +361,10 @@ p20 AS (SELECT rep2.rep_id AS a_id, d2.doc_id AS b_id, d2.text AS q1, d2.text AS
         SELECT a.doc_id, b.doc_id, a.text, b.text, 0 FROM d2 a JOIN d2 b ON b.doc_id = a.doc_id + 1
         WHERE a.text <> b.text),
 p21 AS (SELECT *, a_id * {TWO_32} + b_id AS id FROM p20),
-v2raw AS (SELECT id, q1,
-    CASE WHEN {sql_hash32('v2null', 'id')} < {_nc} THEN NULL ELSE q2 END AS q2,
+v2 AS (SELECT id, q1, q2,
     CASE WHEN {sql_hash32('v2split', 'id')} < {_tc} THEN NULL ELSE is_duplicate END AS is_duplicate,
     CASE WHEN {sql_hash32('v2split', 'id')} < {_tc} THEN 'test' ELSE 'train' END AS split
-  FROM p21),
-v2 AS (SELECT * FROM v2raw WHERE q1 IS NOT NULL AND q2 IS NOT NULL)"""
+  FROM p21)"""
 
 
 def _words(s: str) -> str:
@@ -424,9 +421,10 @@ ft AS (SELECT id,
     {", ".join(f"len(list_intersect({_ngrams('l_tok1', n)}, {_ngrams('l_tok2', n)})) AS lNgrams_{n}" for n in (1, 2, 3))}
   FROM tk3)"""
 
-ORACLE["pair_dropna"] = with_(V2) + """
-SELECT split, count(*) AS n_before, count(*) FILTER (WHERE q1 IS NOT NULL AND q2 IS NOT NULL) AS n_after
-FROM v2raw GROUP BY split"""
+ORACLE["pair_dropna"] = """
+SELECT CASE WHEN a.doc_id % 2 = 0 THEN 'train' ELSE 'test' END AS split, count(*) AS n_before,
+       count(*) FILTER (WHERE a.text IS NOT NULL AND b.text IS NOT NULL) AS n_after
+FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id * 2 GROUP BY ALL"""
 ORACLE["pair_union_shift"] = with_(V2) + """,
 mx AS (SELECT max(id) AS m FROM v2 WHERE split = 'train')
 SELECT id, id AS orig_id, is_duplicate, m AS max_train_id FROM v2, mx WHERE split = 'train'
@@ -511,3 +509,19 @@ FROM d GROUP BY doc_id"""
 
 ORACLE["surrogate_ids"] = with_(V5) + """
 SELECT doc_id, toxic, row_number() OVER (ORDER BY doc_id) AS patient_id FROM v5"""
+
+ORACLE["surrogate_ids_lines"] = """
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS line_id,
+       l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem"""
+ORACLE["km_curve_window"] = with_(V3, _KMSQL) + """
+SELECT stratum, group2, time, n_risk, n_event, n_censor, round(surv, 6) AS surv FROM km WHERE time BETWEEN 100 AND 1000"""
+ORACLE["cohort_filled"] = (
+    "SELECT user_id, race, coalesce(dx2death, -1) AS dx2death FROM (" + ORACLE["cohort_derived"] + ")")
+ORACLE["cohort_subset"] = (
+    "SELECT race, count(*) AS n FROM (" + ORACLE["cohort_derived"] + ") WHERE race IN ('Asian', 'Black') GROUP BY race")
+ORACLE["column_summary"] = " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count({c}) AS n, count(*) - count({c}) AS n_null, round(CAST(min({c}) AS DOUBLE), 6) AS min,
+       round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q1, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS median,
+       round(avg({c}), 6) AS mean, round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q3,
+       round(CAST(max({c}) AS DOUBLE), 6) AS max FROM orders""" for c in ("o_totalprice", "o_custkey"))
+ORACLE["delimited_round_trip"] = "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer"

@@ -25,7 +25,6 @@ SPLIT_WEIGHTS = (0.9, 0.1)
 TOP_K = 10000                   # popular-item pool size
 
 V2_TEST_FRACTION = 0.2          # pairs with no label (the unlabelled part)
-V2_NULL_FRACTION = 1.0 / 17.0   # pairs whose second text is missing
 V3_STUDY_END = "2001-08-01"
 V3_EVENT_PRICE = 470000.0
 V3_GROUP2_BALANCE = 4500.0
@@ -48,16 +47,18 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pairs_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """V2 before cleaning: (id, q1, q2, is_duplicate, split) over whole English texts.
+    """V2: (id, q1, q2, is_duplicate, split) over the whole texts of every language.
 
     Duplicates: every copy of a text paired with the smallest doc_id holding
     that text (star pairs: linear in the copies, never all pairs of a group).
     Non-duplicates: consecutive doc ids with different texts.
     """
-    d = load(spark, sf, "documents", ["doc_id", "text", "lang"]).filter(F.col("lang") == "en") \
-        .select("doc_id", "text")
-    rep = d.groupBy("text").agg(F.min("doc_id").alias("rep_id"))
-    dup = (d.join(rep, "text").filter(F.col("doc_id") != F.col("rep_id"))
+    d = load(spark, sf, "documents", ["doc_id", "text"])
+    # texts are grouped by a 64-bit hash; equality is then confirmed on the texts
+    key = F.xxhash64("text").alias("key")
+    rep = d.groupBy(key).agg(F.min("doc_id").alias("rep_id"), F.min_by("text", "doc_id").alias("rep_text"))
+    dup = (d.select("*", key).join(rep, "key")
+           .filter((F.col("doc_id") != F.col("rep_id")) & (F.col("text") == F.col("rep_text")))
            .select(F.col("rep_id").alias("a_id"), F.col("doc_id").alias("b_id"),
                    F.col("text").alias("q1"), F.col("text").alias("q2"),
                    F.lit(1).alias("is_duplicate")))
@@ -69,16 +70,23 @@ def pairs_raw(spark: SparkSession, sf: str) -> DataFrame:
                    F.lit(0).alias("is_duplicate")))
     p = dup.unionByName(non).withColumn("id", F.col("a_id") * F.lit(TWO_32) + F.col("b_id"))
     test_cut = int(round(V2_TEST_FRACTION * TWO_32))
-    null_cut = int(round(V2_NULL_FRACTION * TWO_32))
     unl = hash32("v2split", "id") < F.lit(test_cut)
     return p.select(
-        "id", "q1",
-        F.when(hash32("v2null", "id") < F.lit(null_cut), F.lit(None).cast("string"))
-         .otherwise(F.col("q2")).alias("q2"),
+        "id", "q1", "q2",
         F.when(unl, F.lit(None).cast("int")).otherwise(F.col("is_duplicate")).alias("is_duplicate"),
         F.when(unl, F.lit("test")).otherwise(F.lit("train")).alias("split"))
 
 
+def pairs_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """V2 as a raw file would hold it, for FLT-04 alone: a document's next one may
+    not exist, which leaves the pair's second text NULL."""
+    d = load(spark, sf, "documents", ["doc_id", "text"])
+    a, b = d.alias("a"), d.alias("b")
+    return a.join(b, F.col("b.doc_id") == F.col("a.doc_id") * 2, "left").select(
+        F.col("a.doc_id").alias("id"), F.col("a.text").alias("q1"), F.col("b.text").alias("q2"),
+        F.when(F.col("a.doc_id") % 2 == 0, "train").otherwise("test").alias("split"))
+
+
 def subjects(spark: SparkSession, sf: str) -> DataFrame:
     """V3: one subject per customer with orders; time-to-event in days."""
     o = load(spark, sf, "orders", ["o_custkey", "o_orderdate", "o_totalprice"])

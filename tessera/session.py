@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -35,7 +35,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only tests get a local one."""
+    """The cluster's shared ``spark.checkpoint.dir``.  A local session without one gets a
+    temporary folder; on a cluster, where tasks could not see it, that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -43,32 +44,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path of its own under the shared checkpoint dir."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a parquet table under the shared checkpoint dir and
     read it back: cuts lineage, survives executor loss (the files live on the
     cluster's shared storage) and, unlike RDD checkpoints, keeps columnar
     scans with pruning and pushdown for every consumer."""
-    import uuid
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/tables/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, "tables")
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after checking the row count; otherwise let AQE choose.
-
-    Used for sides whose size is not bounded by construction.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def cpu_partitions(spark: SparkSession) -> int:
     """Task count for CPU-heavy per-row work (tokenising, edit distance).
 

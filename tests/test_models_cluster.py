@@ -64,7 +64,7 @@ def test_kmeans_gap_picks_clusters(spark):
             for i, c in ((i, i % 3) for i in range(150))]
     df = spark.createDataFrame(rows, "id INT, v ARRAY<DOUBLE>")
     f = clu.standardized_features(df, vector="v")
-    table, k = clu.kmeans_choose_k(f, 2, 5, 1, refs=2)
+    table, k = clu.kmeans_choose_k(f, 2, 5, 1, refs=2, key="id")
     assert k == 3
 
 
