@@ -33,6 +33,7 @@ LOWER_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^%s\p{L}\p{N}]+" % WHI
 #: Unions of whole words: no word crosses them, so a chunk's ids depend on the chunk alone.
 BYTE_CHUNKS = r" ?[^%s]+|[%s]+(?![^%s])|[%s]+" % ((WHITE,) * 4)
 LOWER_CHUNKS = r"[^%s]+" % WHITE
+SEPARATORS = re.compile("[\x1c-\x1f]")
 CACHE = 500_000         # chunks whose ids a task keeps
 NEVER = np.int64(2**40)
 END, GAP = "\u0100", "\u0101"     # the end of a word, where the vocabulary marks it; between words
@@ -256,31 +257,39 @@ class Bpe:
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(per_chunk)])
 
     def _chunks(self, text: str) -> list[str]:
+        # str.split() splits at WHITE and the four separators of SEPARATORS
+        cut = str.split if self.prepare and not SEPARATORS.search(text) else self.chunk.findall
         if self.split_special is None or "<" not in text:
-            return self.chunk.findall(text)
+            return cut(text)
         out = []
         for k, part in enumerate(self.split_special.split(text)):
-            out += [part] if k % 2 else self.chunk.findall(part)
+            out += [part] if k % 2 else cut(part)
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and how many each has."""
         if len(self.known) > CACHE:
             self._forget()
         cut = [self._chunks(t) for t in texts]
         first_new = len(self.known)
-        new = list({c for x in cut for c in set(x) if c not in self.known})
+        every = list(itertools.chain.from_iterable(cut))
+        new = list(set(every).difference(self.known))
         if new:
             self._learn(new)
-        known, out = self.known, []
         size = np.diff(self.at)
         self.again = np.append(self.again, np.zeros(len(size) - len(self.again), bool))
-        for x in cut:
-            k = np.fromiter(map(known.__getitem__, x), np.int64, len(x))
-            self.again[k[k < first_new]] = True
-            n = size[k]
-            out.append(self.flat[np.repeat(self.at[k] - np.cumsum(n) + n, n) + np.arange(n.sum())])
-        return out
+        k = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
+        self.again[k[k < first_new]] = True
+        n = size[k]
+        flat = self.flat[np.repeat(self.at[k] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        done = np.concatenate(([0], np.cumsum(n)))
+        ends = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
+        return flat, np.diff(done[np.concatenate(([0], ends))])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        flat, n = self.encode_flat(texts)
+        return np.split(flat, np.cumsum(n)[:-1]) if len(n) else []
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, special tokens included; bytes that are no UTF-8 read as U+FFFD."""

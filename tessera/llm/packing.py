@@ -40,18 +40,23 @@ def pieces(docs: DataFrame, path: str, end_id: int, room: int = ROOM) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, part = load(path), TaskContext.get().partitionId()
         seen = np.zeros(room + 1, np.int64)
-        end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             for i, j, texts in text_slices_decoded(b.column("text")):
-                ids = bpe.encode(texts)
-                total = np.fromiter(map(len, ids), np.int64, len(ids)) + 1
+                flat, count = bpe.encode_flat(texts)
+                total = count + 1
+                line = np.empty(len(flat) + len(total), "<u4")      # every document's ids and the end behind
+                last = np.cumsum(total) - 1
+                line[last] = end_id
+                inside = np.ones(len(line), bool)
+                inside[last] = False
+                line[inside] = flat
                 n = -(-total // room)
-                doc = np.repeat(np.arange(len(ids)), n)
+                doc = np.repeat(np.arange(len(total)), n)
                 start = (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * room
                 length = np.minimum(room, total[doc] - start)
-                raw = [x.astype("<u4").tobytes() + end for x in ids]
-                data = [raw[d][4 * s:4 * (s + m)] for d, s, m in
-                        zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
+                at = np.repeat(last + 1 - total, n) + start
+                data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [     # pieces follow each other in line
+                    None, pa.py_buffer(np.append(4 * at, 4 * len(line)).astype(np.int64)), pa.py_buffer(line)]).cast(pa.binary())
                 order = np.argsort(length, kind="stable")
                 ranked = length[order]
                 head = np.searchsorted(ranked, ranked)
