@@ -484,7 +484,7 @@ def pair_counts(spark, sf):
 def pair_ratios(spark, sf):
     cols = ["lWCount_ratio", "qWCount_ratio", "lLen_ratio", "qLen_ratio", "qUnigram_ratio",
             "lUnigram_ratio"]
-    return _features(spark, sf).select("id", *[r6(c).alias(c) for c in cols])
+    return _features(spark, sf).select("id", *cols)
 
 
 @query("pair_ngrams")

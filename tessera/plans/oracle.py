@@ -436,12 +436,10 @@ SELECT id, CAST(lWCount1 AS INTEGER) AS lWCount1, CAST(lWCount2 AS INTEGER) AS l
        CAST(qWCount1 AS INTEGER) AS qWCount1, CAST(qWCount2 AS INTEGER) AS qWCount2,
        lLen1, lLen2, qLen1, qLen2 FROM ft"""
 ORACLE["pair_ratios"] = with_(V2, TOK) + f"""
-SELECT id, round({_ratio('lWCount1', 'lWCount2')}, 6) AS lWCount_ratio,
-       round({_ratio('qWCount1', 'qWCount2')}, 6) AS qWCount_ratio,
-       round({_ratio('lLen1', 'lLen2')}, 6) AS lLen_ratio,
-       round({_ratio('qLen1', 'qLen2')}, 6) AS qLen_ratio,
-       round(qNgrams_1 / (1 + greatest(qWCount1, qWCount2)), 6) AS qUnigram_ratio,
-       round(lNgrams_1 / (1 + greatest(lWCount1, lWCount2)), 6) AS lUnigram_ratio FROM ft"""
+SELECT id, {_ratio('lWCount1', 'lWCount2')} AS lWCount_ratio, {_ratio('qWCount1', 'qWCount2')} AS qWCount_ratio,
+       {_ratio('lLen1', 'lLen2')} AS lLen_ratio, {_ratio('qLen1', 'qLen2')} AS qLen_ratio,
+       qNgrams_1 / (1 + greatest(qWCount1, qWCount2)) AS qUnigram_ratio,
+       lNgrams_1 / (1 + greatest(lWCount1, lWCount2)) AS lUnigram_ratio FROM ft"""
 ORACLE["pair_ngrams"] = with_(V2, TOK) + "SELECT id, " + ", ".join(
     f"CAST({k}Ngrams_{n} AS INTEGER) AS {k}Ngrams_{n}" for k in "ql" for n in (1, 2, 3)) + " FROM ft"
 ORACLE["pair_corpus_full_join"] = with_(V2, TOK) + """,
