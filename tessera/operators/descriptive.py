@@ -12,6 +12,9 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.quantiles import quantiles
+from tessera.session import per_group
+
 
 
 def freq(df: DataFrame, col: str) -> DataFrame:
@@ -78,7 +81,7 @@ def histogram(df: DataFrame, x: str, bins: int, by: list[str] | None = None) ->
     by = by or []
     bounds = df.groupBy(*by).agg(F.min(x).alias("__lo"), F.max(x).alias("__hi"),
                                  F.count(x).alias("__N"))
-    j = df.join(bounds, by) if by else df.crossJoin(F.broadcast(bounds))
+    j = df.join(per_group(bounds), by) if by else df.crossJoin(F.broadcast(bounds))
     width = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
     idx = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(x) - F.col("__lo")) / width), F.lit(bins - 1))).cast("int")
@@ -94,15 +97,14 @@ def histogram(df: DataFrame, x: str, bins: int, by: list[str] | None = None) ->
 
 def box_stats(df: DataFrame, x: str, by: list[str]) -> DataFrame:
     """AGG-19: five-number summary (type-7 quantiles), whiskers at 1.5·IQR and
-    the outlier count, per group.  Quantiles are exact aggregates; at very
-    large scale swap ``percentile`` for ``percentile_approx``."""
-    q = df.groupBy(*by).agg(
-        F.count(x).alias("n"), F.min(x).alias("min"),
-        F.percentile(x, 0.25).alias("q1"), F.median(x).alias("median"),
-        F.percentile(x, 0.75).alias("q3"), F.max(x).alias("max"))
+    the outlier count, per group.  Quantiles are exact, by rank."""
+    q = df.groupBy(*by).agg(F.count(x).alias("n"), F.min(x).alias("min"), F.max(x).alias("max")).join(
+        quantiles(df, by, x, {"q1": 0.25, "median": 0.5, "q3": 0.75}), by).select(
+        *by, "n", "min", "q1", "median", "q3", "max")
     q = q.withColumns({"iqr": F.col("q3") - F.col("q1")})
     q = q.withColumns({"fence_lo": F.col("q1") - 1.5 * F.col("iqr"),
                        "fence_hi": F.col("q3") + 1.5 * F.col("iqr")})
+    q = per_group(q)
     j = df.join(q.select(*by, "fence_lo", "fence_hi"), by)
     inside = (F.col(x) >= F.col("fence_lo")) & (F.col(x) <= F.col("fence_hi"))
     w = j.groupBy(*by).agg(F.min(F.when(inside, F.col(x))).alias("whisker_lo"),
@@ -122,9 +124,9 @@ def density(df: DataFrame, x: str, by: list[str], grid_points: int = 64, bins: i
     """
     h = histogram(df, x, bins, by)
     stats = df.groupBy(*by).agg(
-        F.count(x).alias("__n"), F.stddev_samp(x).alias("__sd"),
-        (F.percentile(x, 0.75) - F.percentile(x, 0.25)).alias("__iqr"),
-        F.min(x).alias("__lo"), F.max(x).alias("__hi"))
+        F.count(x).alias("__n"), F.stddev_samp(x).alias("__sd"), F.min(x).alias("__lo"), F.max(x).alias("__hi"))
+    spread = quantiles(df, by, x, {"__q1": 0.25, "__q3": 0.75})
+    stats = (stats.join(spread, by) if by else stats.crossJoin(spread)).withColumn("__iqr", F.col("__q3") - F.col("__q1"))
     if bandwidth is None:
         bw = 0.9 * F.least(F.col("__sd"), F.col("__iqr") / 1.34) * F.pow(F.col("__n"), -0.2)
     else:

@@ -45,10 +45,14 @@ def negatives_below(c: DataFrame, keys: list[str], score: str) -> DataFrame:
     negatives of the same keys at lower scores."""
     totals = c.groupBy(*keys, "__range").agg(F.sum("__n").alias("__rn"))
     lower = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*keys, "__range", F.coalesce(F.sum("__rn").over(lower), F.lit(0)).alias("__lower"))
+    totals = totals.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__range").alias("__in"),
+                           F.coalesce(F.sum("__rn").over(lower), F.lit(0)).alias("__lower"))
     own = Window.partitionBy(*keys, "__range").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     c = c.withColumn("__own", F.coalesce(F.sum("__n").over(own), F.lit(0)))
-    return c.join(totals, [*keys, "__range"]).withColumn("__below", F.col("__lower") + F.col("__own"))
+    same = F.col("__range") == F.col("__in")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return c.join(totals, same).drop("__in", *[f"__{k}" for k in keys]).withColumn("__below", F.col("__lower") + F.col("__own"))
 
 
 def _bucketed_auc(pos: DataFrame, neg: DataFrame, user: str, score: str, half: bool) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import per_group
 from tessera.functions.hashing import cumulative_cutoffs, hash32
 
 RADIX_BITS = 16
@@ -54,25 +55,26 @@ def flag_first_n(df: DataFrame, group: list[str], order: str, tie: str, need: Da
     x = df.withColumns({"__hi": F.shiftright(F.col(order), RADIX_BITS),
                         "__lo": F.col(order).bitwiseAND(F.lit(RADIX_MASK))})
     c1 = _cumulate(x.groupBy(*group, "__hi").agg(F.count(F.lit(1)).alias("__n")), group, "__hi")
-    cut1 = (c1.join(need, group)
-            .filter((F.col("__before") < F.col("need")) & (F.col("__cum") >= F.col("need")))
-            .select(*group, F.col("__hi").alias("__hi1"),
-                    (F.col("need") - F.col("__before")).alias("__need2")))
+    need = per_group(need)
+    cut1 = per_group(c1.join(need, group)
+                     .filter((F.col("__before") < F.col("need")) & (F.col("__cum") >= F.col("need")))
+                     .select(*group, F.col("__hi").alias("__hi1"),
+                             (F.col("need") - F.col("__before")).alias("__need2")))
     in_bucket = x.join(cut1, group).filter(F.col("__hi") == F.col("__hi1"))
     c2 = _cumulate(in_bucket.groupBy(*group, "__lo").agg(F.count(F.lit(1)).alias("__n")), group, "__lo")
     cut2 = (c2.join(cut1.select(*group, "__need2"), group)
             .filter((F.col("__before") < F.col("__need2")) & (F.col("__cum") >= F.col("__need2")))
             .select(*group, F.col("__lo").alias("__lo2"),
                     (F.col("__need2") - F.col("__before")).alias("__need3")))
-    cuts = need.join(cut1, group, "left").join(cut2, group, "left")    # one row per group
-    rn = F.row_number().over(Window.partitionBy(*group, order).orderBy(tie))
-    j = x.withColumn("__rn", rn).join(cuts, group)
+    cuts = per_group(need.join(cut1, group, "left").join(cut2, group, "left"))    # one row per group
+    j = x.join(cuts, group)
     hi, lo, hi1, lo2 = F.col("__hi"), F.col("__lo"), F.col("__hi1"), F.col("__lo2")
+    edge = F.coalesce((hi == hi1) & (lo == lo2), F.lit(False))      # rows equal to the cut: about one per group
     keep = (F.when(hi1.isNull(), F.col("need") > 0)          # need >= size (all) or <= 0 (none)
-            .when(hi != hi1, hi < hi1)
-            .when(lo != lo2, lo < lo2)
-            .otherwise(F.col("__rn") <= F.col("__need3")))
-    return j.withColumn(flag, keep).select(*df.columns, flag)
+            .when(hi != hi1, hi < hi1).otherwise(lo < lo2))
+    rn = F.row_number().over(Window.partitionBy(*group, order).orderBy(tie))
+    cut = j.filter(edge).withColumn(flag, rn <= F.col("__need3")).select(*df.columns, flag)
+    return j.filter(~edge).withColumn(flag, keep).select(*df.columns, flag).unionByName(cut)
 
 
 def stratified_partition(df: DataFrame, target: str, key: str, frac: float, seed,

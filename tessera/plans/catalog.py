@@ -284,7 +284,7 @@ def group_summary(spark, sf):
     g = s.groupBy("stratum").agg(
         F.count(F.lit(1)).alias("n"), F.sum("event").alias("n_event"),
         F.count_if((F.col("event") == 1) & (F.col("time") <= 1000)).alias("n_event_1000"),
-        F.median("time").alias("median_time"), F.min("time").alias("min_time"))
+        F.min("time").alias("min_time")).join(quantiles(s, ["stratum"], "time", {"median_time": 0.5}), "stratum")
     return g.select("stratum", "n", F.col("n_event").cast("bigint").alias("n_event"),
                     F.round(F.col("n_event") * 100.0 / F.col("n"), 2).alias("pct_event"),
                     "n_event_1000",
@@ -439,6 +439,7 @@ def cox_curve(spark, sf):
 
 # ---------------------------------------------------- text pairs (V2) family
 from tessera.operators import textpair as tp  # noqa: E402
+from tessera.operators.quantiles import quantiles  # noqa: E402
 
 
 def pairs(spark, sf):

@@ -66,6 +66,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def per_group(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """A table of one row (or a few) per group, written once and counted: up to
+    ``most`` rows it is broadcast, so raw rows are never shuffled on a key of
+    few values; beyond, the key has many values and an ordinary join deals
+    them out."""
+    from pyspark.sql import functions as F
+    t = materialize(df)
+    return F.broadcast(t) if t.limit(most + 1).count() <= most else t
+
+
 def cpu_partitions(spark: SparkSession) -> int:
     """Task count for CPU-heavy per-row work (tokenising, edit distance).
 

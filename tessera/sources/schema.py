@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.quantiles import quantiles
+
 
 def schema_listing(df: DataFrame) -> DataFrame:
     """SRC-05: one row per column (position, name, type, nullable, label).
@@ -35,23 +35,17 @@ def preview(df: DataFrame, n: int = 100) -> DataFrame:
 def column_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """SRC-08: per numeric/date column: n, n_null, min, q1, median, mean, q3, max.
 
-    One aggregation pass; the result is unpivoted to long form (one row per
-    column).  Quantiles are exact (``percentile``) which is a sort-free
-    aggregate in Spark; use ``approx=True`` style sketches at very large scale.
+    Values are unpivoted to (column, value) rows; the counts and extremes are one
+    aggregation, the quantiles are exact, by rank.
     """
     cols = columns or [f.name for f in df.schema.fields
                        if f.dataType.typeName() in ("integer", "long", "double", "float",
                                                     "short", "decimal")]
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"), F.count_if(x.isNull()).alias(f"{c}__n_null"),
-                 F.min(x).alias(f"{c}__min"), F.percentile(x, 0.25).alias(f"{c}__q1"),
-                 F.median(x).alias(f"{c}__median"), F.avg(x).alias(f"{c}__mean"),
-                 F.percentile(x, 0.75).alias(f"{c}__q3"), F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    parts = [wide.select(F.lit(c).alias("column_name"),
-                         *[F.col(f"{c}__{s}").alias(s) for s in
-                           ("n", "n_null", "min", "q1", "median", "mean", "q3", "max")])
-             for c in cols]
-    return reduce(DataFrame.unionByName, parts)
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
+                                         for c in cols])).alias("v")).select("v.*")
+    x = F.col("value")
+    plain = long.groupBy("column_name").agg(F.count(x).alias("n"), F.count_if(x.isNull()).alias("n_null"),
+                                            F.min(x).alias("min"), F.avg(x).alias("mean"), F.max(x).alias("max"))
+    q = quantiles(long, ["column_name"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    return plain.join(q, "column_name", "left").select(
+        "column_name", "n", "n_null", "min", "q1", "median", "mean", "q3", "max")

@@ -129,3 +129,19 @@ def test_logistic_estimates_match_an_independent_fit(spark):
     for k, term in enumerate(["lang_de", "lang_en", "x", "(intercept)"]):
         assert got[term].estimate == pytest.approx(b[k], abs=1e-4)
         assert got[term].std_error == pytest.approx(se[k], abs=1e-3)
+
+
+def test_quantiles_by_rank_with_hot_group_and_value(spark):
+    import numpy as np
+    from tessera.operators.quantiles import quantiles
+    rnd = random.Random(6)
+    rows = [("hot", rnd.choice([5.0, 5.0, rnd.random() * 10])) for _ in range(900)]
+    rows += [(f"g{i % 7}", rnd.random()) for i in range(200)] + [("one", 3.0), ("none", None), (None, 1.0), (None, 2.0)]
+    df = spark.createDataFrame(rows, "g STRING, x DOUBLE").repartition(6)
+    got = {r.g: r for r in quantiles(df, ["g"], "x", {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}).collect()}
+    assert set(got) == {g for g, x in rows if x is not None}
+    for g, r in got.items():
+        own = [x for k, x in rows if k == g and x is not None]
+        for name, p in zip("abcde", (0, 0.25, 0.5, 0.9, 1.0)):
+            assert r[name] == pytest.approx(np.quantile(own, p))
+    assert quantiles(df.limit(0), ["g"], "x", {"a": 0.5}).count() == 0
