@@ -77,6 +77,16 @@ def flag_first_n(df: DataFrame, group: list[str], order: str, tie: str, need: Da
     return j.filter(~edge).withColumn(flag, keep).select(*df.columns, flag).unionByName(cut)
 
 
+def tail_split(df: DataFrame, order_by: list[str], frac: float, flag: str = "split") -> DataFrame:
+    """SMP-04: the last ``frac`` of the rows in ``order_by`` order is the validation part
+    (as a framework's ``validation_split`` takes it); ranks as in ``cohort.surrogate_id``."""
+    from tessera.operators.cohort import surrogate_id
+    s = surrogate_id(df, order_by, "__row")
+    cut = F.broadcast(s.agg(F.floor(F.count(F.lit(1)) * (1 - frac)).alias("__cut")))      # 1 row
+    side = F.when(F.col("__row") <= F.col("__cut"), "train").otherwise("valid")
+    return s.crossJoin(cut).withColumn(flag, side).drop("__row", "__cut")
+
+
 def stratified_partition(df: DataFrame, target: str, key: str, frac: float, seed,
                          flag: str = "partition") -> DataFrame:
     """SMP-03 / WIN-06: exactly ceil(frac * n_level) rows of each target level

@@ -152,7 +152,7 @@ def logrank_terms(df: DataFrame, time: str, event: str, group: str,
     g = g.filter(F.col("d_t") > 0)
     w = F.when(F.col("n_t") > 1, F.col("d_t") * (F.col("n_t") - F.col("d_t")) / (F.col("n_t") - 1)) \
         .otherwise(F.lit(0.0))
-    g = g.withColumns({"__p": F.col("n_g") / F.col("n_t"), "__w": w})
+    g = materialize(g.withColumns({"__p": F.col("n_g") / F.col("n_t"), "__w": w}))      # read three times
     per = g.groupBy(*sk, group).agg(
         F.sum("n_event").alias("observed"),
         F.sum(F.col("d_t") * F.col("__p")).alias("expected"),
@@ -169,21 +169,27 @@ def logrank_terms(df: DataFrame, time: str, event: str, group: str,
 def logrank_test(df: DataFrame, time: str, event: str, group: str,
                  stratum: str | None = None) -> DataFrame:
     """SUR-08: χ² = U' V⁻ U with df = rank(V), p from the χ² tail — one row
-    per stratum.  The k×k matrices are tiny; the driver does the algebra."""
+    per stratum.  The k×k matrices are solved on the driver, so there may be at
+    most ``MAX_CELLS`` of their cells over all strata; more raise an error."""
     per, pair = logrank_terms(df, time, event, group, stratum)
     sk = [stratum] if stratum else []
-    per_rows = per.collect()          # groups per stratum: bounded by the model
-    pair_rows = pair.collect()        # groups² per stratum
+    pair_rows = pair.limit(MAX_CELLS + 1).collect()
+    if len(pair_rows) > MAX_CELLS:
+        raise ValueError(f"over {MAX_CELLS} pairs of groups: {stratum} or {group} is no factor")
+    per_rows = per.collect()          # fewer than the pairs
+    cells, by = {}, {}
+    for r in pair_rows:
+        cells.setdefault(tuple(r[k] for k in sk), []).append(r)
+    for r in per_rows:
+        by.setdefault(tuple(r[k] for k in sk), []).append(r)
     out = []
-    strata = sorted({tuple(r[s] for s in sk) for r in per_rows})
-    for s in strata:
-        rows = sorted([r for r in per_rows if tuple(r[k] for k in sk) == s], key=lambda r: str(r[group]))
-        lv = [r[group] for r in rows]
+    for s in sorted(by):
+        rows = sorted(by[s], key=lambda r: str(r[group]))
+        lv = {r[group]: k for k, r in enumerate(rows)}
         u = np.array([r["observed"] - r["expected"] for r in rows], dtype=float)
         v = np.zeros((len(lv), len(lv)))
-        for r in pair_rows:
-            if tuple(r[k] for k in sk) == s:
-                v[lv.index(r["g"]), lv.index(r["h"])] = r["v"]
+        for r in cells.get(s, []):
+            v[lv[r["g"]], lv[r["h"]]] = r["v"]
         dof = int(np.linalg.matrix_rank(v, tol=1e-10)) if len(lv) > 1 else 0
         chi = stats.quad_form_inv(u, v) if dof > 0 else float("nan")
         out.append((*s, len(lv), float(chi), dof, stats.chi2_sf(chi, dof) if dof > 0 else float("nan")))
@@ -244,6 +250,7 @@ def design(df: DataFrame, factors: list[str], interactions: list[tuple[str, str]
 
 
 TIE_BLOCK = 1 << 16
+MAX_CELLS = 1_000_000
 MAX_STRATA = 10_000
 
 

@@ -146,6 +146,14 @@ def mean_user_auc(spark, sf):
     return per.agg(r6(F.avg("auc")).alias("mean_auc"), F.count(F.lit(1)).alias("n_users"))
 
 
+@query("tail_split_orders")
+def tail_split_orders(spark, sf):
+    """SMP-04: the last tenth of all orders by key, counted."""
+    o = sampling.tail_split(V.load(spark, sf, "orders", ["o_orderkey", "o_totalprice"]), ["o_orderkey"], 0.1)
+    return o.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"),
+                                  F.max("o_orderkey").alias("last_key"))
+
+
 @query("stratified_partition")
 def stratified_partition(spark, sf):
     return sampling.stratified_partition(V.risk_rows(spark, sf), "toxic", "doc_id", 0.7,
@@ -610,10 +618,14 @@ def two_tower_features(spark, sf):
     return tt.two_tower_features(toks, "id", "q_tok1", "q_tok2", emb, n, 64)
 
 
+EPOCH_STEP, MOST_EPOCHS, PATIENCE = 5, 30, 3
+
+
 @query("mlp_scores")
 def mlp_scores(spark, sf):
-    """MOD-16/17/18: MLP on two-tower ⧺ NLP features; epochs chosen on the
-    holdout log-loss; the unlabelled pairs are scored."""
+    """MOD-16/17/18: MLP on two-tower ⧺ NLP features; training stops when the
+    holdout log-loss has not improved for three steps, 30 epochs at most; the
+    unlabelled pairs are scored with the best number of epochs."""
     f, lab, fit, hold = _pair_sets(spark, sf)
     feats = materialize(two_tower_features(spark, sf))     # read by every fit below
     from pyspark.ml.functions import array_to_vector
@@ -624,18 +636,25 @@ def mlp_scores(spark, sf):
     from pyspark.ml.feature import VectorSizeHint
     stages = [VectorSizeHint(inputCol="tower", size=128, handleInvalid="error"),
               mdl.assemble(["tower"] + NLP, "raw"), mdl.standardize("raw", "features")]
-    best, best_ll = None, None
-    for it in (10, 30):
-        est = mdl.make_estimator("mlp", "is_duplicate", layers=[128 + len(NLP), 100, 2], maxIter=it,
-                                 blockSize=1025)
-        _, sc = mdl.fit_score(est, stages, prep(fit), prep(hold), "mlp")
+    best, best_ll, weights, since = None, None, None, 0
+    for it in range(EPOCH_STEP, MOST_EPOCHS + 1, EPOCH_STEP):      # each fit goes on from the last one's weights
+        more = {} if weights is None else {"initialWeights": weights}
+        est = mdl.make_estimator("mlp", "is_duplicate", layers=[128 + len(NLP), 100, 2], maxIter=EPOCH_STEP,
+                                 blockSize=1025, **more)
+        m, sc = mdl.fit_score(est, stages, prep(fit), prep(hold), "mlp")
+        weights = m.stages[-1].weights
         ll = mdl.binary_metrics(sc, "is_duplicate", "score").first()["log_loss"]
         if best_ll is None or ll < best_ll:
-            best, best_ll = it, ll
+            best, best_ll, since = it, ll, 0
+        else:
+            since += 1
+        if since >= PATIENCE:
+            break
     est = mdl.make_estimator("mlp", "is_duplicate", layers=[128 + len(NLP), 100, 2], maxIter=best,
                              blockSize=1025)
     _, sc = mdl.fit_score(est, stages, prep(lab), prep(f.filter(F.col("split") == "test")), "mlp")
-    return sc.select("id", r6("score").alias("predict"), F.lit(best).alias("epochs"))
+    return sc.select("id", r6("score").alias("predict"), F.lit(best).alias("epochs"),
+                     F.lit(round(best_ll, 6)).alias("holdout_loss"))
 
 
 # SAS-style rare-event models on V5 (target: toxic)

@@ -523,3 +523,7 @@ SELECT '{c}' AS column_name, count({c}) AS n, count(*) - count({c}) AS n_null, r
        round(avg({c}), 6) AS mean, round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q3,
        round(CAST(max({c}) AS DOUBLE), 6) AS max FROM orders""" for c in ("o_totalprice", "o_custkey"))
 ORACLE["delimited_round_trip"] = "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer"
+ORACLE["tail_split_orders"] = """
+SELECT CASE WHEN r <= floor(n * (1 - 0.1)) THEN 'train' ELSE 'valid' END AS split, count(*) AS n,
+       min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS r, count(*) OVER () AS n FROM orders) GROUP BY 1"""
