@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read
+from tessera.llm.common import read, map_arrow
 from tessera.session import materialize
 
 SAMPLE = 20_000         # vectors the tree is fitted on at most, chosen by hash
@@ -169,7 +169,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, recall: float = RECALL) ->
     about = entries.agg(F.count("*").alias("n"), F.max(norm).alias("largest")).first()
     share = min(1.0, SAMPLE / max(1, about.n))
     chosen = entries.filter(F.pmod(F.xxhash64("embedding"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    x = np.array([r[0] for r in chosen.select("embedding").sort(F.xxhash64("embedding")).collect()], float).reshape(-1, dim)
+    x = np.array([r[0] for r in chosen.select("embedding").sort(F.xxhash64("embedding")).collect()], float).reshape(about.n and -1, dim)
     tree = fit(x, float(about.largest or 0.0))
     visits = leaves_needed(tree, x, k, recall)
     n_leaves = int(tree.leaf.max()) + 1
@@ -180,7 +180,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, recall: float = RECALL) ->
             v = np.array(b.column("embedding").to_pylist(), float).reshape(-1, dim)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shared.value.assign(v))], names=["embedding", "ids", "leaf"])
 
-    placed = materialize(entries.select("embedding", "ids").mapInArrow(put, "embedding array<double>, ids array<bigint>, leaf long"))
+    placed = materialize(entries.select("embedding", "ids").transform(map_arrow, put, "embedding array<double>, ids array<bigint>, leaf long"))
     size = np.zeros(n_leaves, np.int64)         # one number a leaf, bounded by the sample
     for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect():
         size[r.leaf] = r.n
@@ -215,7 +215,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, recall: float = RECALL) ->
 
     n_queries = rows.filter(is_query).count()
     sets = max(1, -(-n_queries // QUERIES))
-    asked = rows.filter(is_query).mapInArrow(visit, "block long, query_id long, embedding array<double>, leaves array<bigint>") \
+    asked = rows.filter(is_query).transform(map_arrow, visit, "block long, query_id long, embedding array<double>, leaves array<bigint>") \
         .withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(sets)))
     dealt = placed.join(F.broadcast(leaf_blocks), "leaf").select(
         (F.col("first") + F.pmod(F.xxhash64("embedding"), F.col("cuts"))).alias("block"), "leaf", "embedding", "ids",

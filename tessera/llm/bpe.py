@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batch, read, slices, text_buffer
+from tessera.llm.common import batch, read, slices, text_buffer, map_arrow
 
 #: White space as the tokenizers' patterns see it (fixed values).
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -34,7 +34,7 @@ LOWER_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^%s\p{L}\p{N}]+" % WHI
 BYTE_CHUNKS = r" ?[^%s]+|[%s]+(?![^%s])|[%s]+" % ((WHITE,) * 4)
 LOWER_CHUNKS = r"[^%s]+" % WHITE
 SEPARATORS = re.compile("[\x1c-\x1f]")
-CACHE = 500_000         # chunks whose ids a task keeps
+CACHE = 200_000         # chunks whose ids a task keeps
 NEVER = np.int64(2**40)
 END, GAP = "\u0100", "\u0101"     # the end of a word, where the vocabulary marks it; between words
 
@@ -320,7 +320,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
             for i, j, texts in text_slices_decoded(b.column(1)):
                 ids = pa.array([x for x in bpe.encode(texts)], schema.field("ids").type)
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], ids], names=[key, "ids"])
-    return docs.select(key, "text").mapInArrow(run, f"`{key}` {kind.simpleString()}, ids array<int>")
+    return docs.select(key, "text").transform(map_arrow, run, f"`{key}` {kind.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
@@ -332,7 +332,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
         for b in batches:
             texts = [bpe.decode(np.array(x or [], np.int64)) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[key, "text"])
-    return encoded.select(key, "ids").mapInArrow(run, f"`{key}` {kind.simpleString()}, text string")
+    return encoded.select(key, "ids").transform(map_arrow, run, f"`{key}` {kind.simpleString()}, text string")
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
@@ -353,7 +353,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                     b.column("doc_id")[i:j], [len(x) for x in ids],
                     [digest(",".join(map(bpe.text.__getitem__, x.tolist())).encode()) for x in ids],
                     [digest(bpe.decode(x).encode()) for x in ids]])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(map_arrow, 
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 

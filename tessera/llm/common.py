@@ -6,6 +6,7 @@ task on another executor gives the same values.
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 from collections.abc import Iterable, Iterator
 
@@ -14,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_ROWS = 2000       # rows handed to Python at a time
 SLICE_BYTES = 1 << 20           # text handled by one numpy step; a longer document is a step of its own
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D      # odd, so invertible modulo 2**64
@@ -34,6 +36,29 @@ SPACE = np.zeros(256, bool)     # space, \t \n \v \f \r
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+def release() -> None:
+    """Hands memory that Arrow and the allocator keep for later back to the system, so a worker
+    that is reused by other stages does not carry the peak of this one."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim:
+        trim(0)
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` in batches of at most ``BATCH_ROWS`` rows (texts may be long), releasing memory at a task's end."""
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(key)) > BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(tidy, schema)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str, cols: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return df.select(*cols) if cols else df

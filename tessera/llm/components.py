@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batch
+from tessera.llm.common import batch, map_arrow
 from tessera.session import materialize
 
 
@@ -59,7 +59,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     a, b = edges.columns
     e = edges.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("root")).filter("node != root")
     kind = {f.name: f.dataType for f in e.schema}["node"].simpleString()
-    e = materialize(e.mapInArrow(_local, f"node {kind}, root {kind}").distinct())
+    e = materialize(e.transform(map_arrow, _local, f"node {kind}, root {kind}").distinct())
     state = None
     while True:
         least = e.groupBy("node").agg(F.min("root").alias("to"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import text_slices_decoded
-from tessera.llm.common import GOLD, batch, mix, read, word_spans, _powers
+from tessera.llm.common import GOLD, batch, mix, read, word_spans, _powers, map_arrow
 
 ORDER = 5
 MARK = 32                   # word boundary
@@ -29,7 +29,7 @@ MAX_LANGS = 200             # the most frequent labels; later ones are not learn
 ALPHABET = 4096             # size of the uniform model below order 1
 CALIBRATE = 10              # one in so many sample texts is kept from the counts to set the rejection limits
 SLACK = 1.0                 # nats per character above what calibration texts reach
-CACHE = 400_000             # words whose scores a task keeps
+CACHE = 200_000             # words whose scores a task keeps
 _letters: list[np.ndarray] = []
 
 
@@ -217,7 +217,7 @@ def train(labelled: DataFrame) -> Model:
     draw = (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30))
     sample = rows.join(F.broadcast(share), "lang").filter(draw < F.col("share"))     # at most MAX_LANGS rows
     kept = F.pmod(F.xxhash64("text", F.lit("calibrate")), F.lit(CALIBRATE)) == 0
-    counts = (sample.filter(~kept).select("lang", "text").mapInArrow(_count_grams, "lang string, gram string, n long")
+    counts = (sample.filter(~kept).select("lang", "text").transform(map_arrow, _count_grams, "lang string, gram string, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
     langs = sorted(set(counts.column("lang").to_pylist()))
     if not langs:
@@ -245,7 +245,7 @@ def train(labelled: DataFrame) -> Model:
                 if rows_:
                     yield batch(schema, list(map(list, zip(*rows_, strict=True))))
 
-    found = sample.filter(kept).select("lang", "text").mapInArrow(measure, "lang string, entropy double, chars long")
+    found = sample.filter(kept).select("lang", "text").transform(map_arrow, measure, "lang string, entropy double, chars long")
     means = found.groupBy("lang").agg((F.sum(F.col("entropy") * F.col("chars")) / F.sum("chars")).alias("mean"))
     reach = {r.lang: (r.mean, r.reach) for r in found.join(F.broadcast(means), "lang").groupBy("lang").agg(
         F.first("mean").alias("mean"),
@@ -291,7 +291,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     own + [pa.array(x, t) if not isinstance(x, pa.Array) else x for x, t in
                            zip(found, (pa.string(), pa.float64(), pa.float64(), pa.bool_()), strict=True)], names=names + new)
-    return docs.select(*names).mapInArrow(run, f"{kinds}, lang_pred string, score double, entropy double, rejected boolean")
+    return docs.select(*names).transform(map_arrow, run, f"{kinds}, lang_pred string, score double, entropy double, rejected boolean")
 
 
 def held_out():

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import (
     GOLD, Emit, SPACE, _powers, batch, doc_key, groups, mix, prefix_sums, read, shuffle_partitions, span_hash, text_slices,
-    word_spans)
+    word_spans, map_arrow)
 from tessera.session import materialize
 
 DEPTH = 3               # leading tokens that lead to a leaf
@@ -146,21 +146,21 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
     """(dk, doc_id, leaf, line) of every document's lines, and (leaf, line, template) of recurring templates' lines."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    lines = materialize(docs.select("dk", "doc_id", "text").mapInArrow(_leaves, "dk binary, doc_id long, leaf long, line long")
+    lines = materialize(docs.select("dk", "doc_id", "text").transform(map_arrow, _leaves, "dk binary, doc_id long, leaf long, line long")
                         .dropDuplicates(["dk", "line"]))
     shared = lines.groupBy("leaf").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("leaf")
     wanted = lines.join(shared, "leaf")
     one = wanted.groupBy("leaf", "line").agg(F.min("dk").alias("dk"))       # a document to read each line from
     sources = one.groupBy("dk").agg(F.collect_list("line").alias("lines"))
     tokens = materialize(docs.select("dk", "text").join(sources, "dk").dropDuplicates(["dk"]).select("text", "lines")
-                         .mapInArrow(_tokens, "leaf long, line long, tokens binary").dropDuplicates(["leaf", "line"]))
+                         .transform(map_arrow, _tokens, "leaf long, line long, tokens binary").dropDuplicates(["leaf", "line"]))
     size = tokens.groupBy("leaf").agg(F.ceil(F.count("*") / CROWD).alias("cuts"))
     salted = tokens.join(size, "leaf").select("leaf", F.pmod("line", "cuts").alias("cut"), "line", "tokens", "cuts")
     spec = "leaf long, line long, template long, tokens binary"
 
     def parsed(df: DataFrame) -> DataFrame:
         return (df.select("leaf", "cut", "line", "tokens").repartition(parts, "leaf", "cut")
-                .sortWithinPartitions("leaf", "cut", "line").mapInArrow(_parse, spec))
+                .sortWithinPartitions("leaf", "cut", "line").transform(map_arrow, _parse, spec))
 
     first = materialize(parsed(salted))
     crowded = size.filter("cuts > 1").select("leaf")
@@ -191,7 +191,7 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
         F.collect_set("line").alias("gone"))
     kind = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
     out = keyed.join(gone, "dk", "left").select("row", "text", F.coalesce("gone", F.array().cast("array<bigint>")).alias("gone"))
-    return out.mapInArrow(_without, f"row {kind}, kept string, n_lines long, n_dropped long")
+    return out.transform(map_arrow, _without, f"row {kind}, kept string, n_lines long, n_dropped long")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

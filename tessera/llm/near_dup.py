@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import (
     GOLD, Emit, batch, binary_rows, groups, lower_ascii, mix, ngram_hash, prefix_sums, read, shuffle_partitions,
-    span_hash, text_key, text_slices, word_spans)
+    span_hash, text_key, text_slices, word_spans, map_arrow)
 from tessera.llm.components import Forest, connected_components
 from tessera.session import materialize
 
@@ -203,12 +203,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS) -> D
     """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    signed = materialize(docs.select(F.col("doc_id").cast("long"), "text", text_key().alias("tk")).mapInArrow(
+    signed = materialize(docs.select(F.col("doc_id").cast("long"), "text", text_key().alias("tk")).transform(map_arrow, 
         _sign(words), "doc_id long, tk binary, n_shingles long, sk binary, bands binary, sig binary"))
     full = signed.filter("n_shingles > 0")
     # one row per distinct set; its signature and one document to read the text from
     classes = materialize(full.groupBy("sk").agg(
-        F.min(F.struct("doc_id", "tk", "bands", "sig")).alias("r")).select("sk", "r.*"))
+        F.min(F.struct("doc_id", "tk", "bands", "sig")).alias("r"), F.min("doc_id").alias("least")).select("sk", "least", "r.*"))
     n_bands = HASHES // BAND
     keyed = classes.select("sk", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(n_bands - 1)),
@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS) -> D
     member = keyed.join(sized.select("key", "blocks"), "key").join(classes.select("sk", "sig"), "sk")
     estimated = (_block_pairs(member, "blocks", "sk").select("key", "a", "b", "sk", "sig")
                  .repartition(parts, "key", "a", "b").sortWithinPartitions("key", "a", "b", "sk")
-                 .mapInArrow(_bucket_links(percent / 100 - MARGIN), "u binary, v binary"))
+                 .transform(map_arrow, _bucket_links(percent / 100 - MARGIN), "u binary, v binary"))
     coarse = connected_components(estimated)
     coarse = coarse.unionByName(coarse.select(F.col("root").alias("node"), "root").distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("d"), "text", text_key().alias("t"))
@@ -231,10 +231,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS) -> D
         F.ceil(F.sum("size") / BLOCK_BYTES)).cast("int").alias("blocks"))
     confirmed = (_block_pairs(near.join(groups_, "root"), "blocks", "sk").select("root", "a", "b", "sk", "text")
                  .repartition(parts, "root", "a", "b").sortWithinPartitions("root", "a", "b", "sk")
-                 .mapInArrow(_set_links(words, percent), "u binary, v binary"))
+                 .transform(map_arrow, _set_links(words, percent), "u binary, v binary"))
     found = connected_components(confirmed)
     # the smallest doc_id of each class, then of each component
-    of = classes.select("sk", F.col("doc_id").alias("least")).join(
+    of = classes.select("sk", "least").join(
         found.select(F.col("node").alias("sk"), "root"), "sk", "left").select(
         "sk", F.coalesce("root", "sk").alias("root"), "least")
     names = of.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import load, text_slices_decoded
-from tessera.llm.common import batch, read
+from tessera.llm.common import batch, read, map_arrow
 from tessera.session import materialize
 
 ROOM = 4096
@@ -65,7 +65,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, room: int = ROOM) -> DataFra
                 seen += np.bincount(length, minlength=room + 1)
                 yield batch(schema, [b.column("doc_id")[i:j].take(pa.array(doc)), start, length, data, total[doc],
                                      np.full(len(doc), part), rank])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(map_arrow, 
         run, "doc_id long, start long, length long, ids binary, doc_tokens long, part long, rank long")
 
 
@@ -149,7 +149,7 @@ def pack(cut: DataFrame, room: int = ROOM) -> DataFrame:
                                              names=[*names, "sequence_id", "offset"])
 
     ranked = cut.join(base, ["length", "part"]).withColumn("rank", F.col("rank") + F.col("base"))
-    return ranked.select(*names, "rank").mapInArrow(place, f"{kinds}, sequence_id long, offset long")
+    return ranked.select(*names, "rank").transform(map_arrow, place, f"{kinds}, sequence_id long, offset long")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (
-    Emit, batch, mix, prefix_sums, read, rows, shuffle_partitions, span_hash, text_buffer, text_key, text_slices)
+    Emit, batch, mix, prefix_sums, read, rows, shuffle_partitions, span_hash, text_buffer, text_key, text_slices, map_arrow)
 from tessera.session import materialize
 
 LENGTH = 400
@@ -253,7 +253,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     whole = docs.select(text_key().alias("tk"), "text").filter(F.octet_length("text") >= length)
-    anchors = materialize(whole.mapInArrow(_anchors(length), "tk binary, key long"))
+    anchors = materialize(whole.transform(map_arrow, _anchors(length), "tk binary, key long"))
     per_text = anchors.groupBy("key", "tk").agg(F.count("*").alias("n"))
     copies = whole.groupBy("tk").agg(F.count("*").alias("copies"))
     # a text's own copies hold its anchors once each: count them once
@@ -261,7 +261,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     repeated = per_text.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
     wanted = per_text.join(repeated, "key").groupBy("tk").agg(F.collect_list("key").alias("keys"))
     texts = materialize(whole.join(wanted, "tk").dropDuplicates(["tk"]).select("tk", "text", "keys"))
-    pieces = materialize(texts.repartition(parts, "tk").mapInArrow(
+    pieces = materialize(texts.repartition(parts, "tk").transform(map_arrow, 
         _pieces(length), "tk binary, start long, key long, piece long, lead int, data binary"))
     distinct = pieces.groupBy("key", "piece").agg(
         F.count("*").alias("n"), F.first("lead").alias("lead"), F.first("data", ignorenulls=True).alias("data"))
@@ -269,10 +269,10 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     hot = distinct.groupBy("key").agg(F.count("*").alias("pieces")).filter(F.col("pieces") > HOT).select("key")
     plain = distinct.join(hot, "key", "left_anti").select(
         F.col("key").alias("grp"), "key", "piece", F.lit(0).alias("base"), "lead", "data")
-    split = distinct.join(hot, "key").select("key", "piece", "data").repartition(parts).mapInArrow(
+    split = distinct.join(hot, "key").select("key", "piece", "data").repartition(parts).transform(map_arrow, 
         _resplit(length), "grp long, key long, piece long, base int, lead int, data binary")
     sorted_ = (plain.unionByName(split).repartition(parts, "grp").sortWithinPartitions("grp", "key", "piece", "base")
-               .mapInArrow(_sort_columns(length), "key long, piece long, first long, last long"))
+               .transform(map_arrow, _sort_columns(length), "key long, piece long, first long, last long"))
     # a piece that occurs twice is repeated whole
     twice = distinct.filter("n > 1").select("key", "piece", F.lit(0).cast("long").alias("first"),
                                             (F.octet_length("data") - length + 1).cast("long").alias("last"))
@@ -282,7 +282,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = spans.groupBy("tk").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     lost = texts.select("tk", "text").join(spans, "tk").join(
         copies.filter("copies > 1").select("tk"), "tk", "left_anti")
-    partly = lost.select("tk", "text", "spans").mapInArrow(
+    partly = lost.select("tk", "text", "spans").transform(map_arrow, 
         _cover(length), "tk binary, kept binary, text string, n_removed long, n_spans long")
     all_gone = whole.select("tk", F.octet_length("text").cast("long").alias("n_removed")).groupBy("tk").agg(
         F.max("n_removed").alias("n_removed"), F.count("*").alias("copies")).filter("copies > 1").select(

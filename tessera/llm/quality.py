@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (
-    batch, ngram_hash, prefix_sums, read, span_hash, text_slices, word_spans)
+    batch, ngram_hash, prefix_sums, read, span_hash, text_slices, word_spans, map_arrow)
 
 MIN_WORDS = 50
 REPEAT_WINDOW, REPEAT_PERCENT = 3, 50
@@ -113,7 +113,7 @@ def quality(docs: DataFrame) -> DataFrame:
                 yield batch(schema, [b.column("doc_id")[i:j], *map(list, zip(*found, strict=True))])
 
     spec = "doc_id long, " + ", ".join([f"{n} long" for n in names] + [f"{n} double" for n in shares])
-    m = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, spec)
+    m = docs.select(F.col("doc_id").cast("long"), "text").transform(map_arrow, run, spec)
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     reason = F.when(F.col("n_words") < MIN_WORDS, "words").when(base, "repeated windows")
     for n, most in COVERAGE.items():
