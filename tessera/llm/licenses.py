@@ -179,6 +179,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", ["doc_id", "text"])
     found = scan(docs).groupBy("tk").agg(F.collect_set("label").alias("own"), F.max("weight").alias("weight"),
                                          F.count("*").alias("n_detections"))
+    found = materialize(found)      # so the join below is free to split the rows of a text with many copies
     norm = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("tk"), words().alias("norm"))
     split = F.when(F.col("norm").contains("license"), F.split("norm", " ")).otherwise(F.array().cast("array<string>"))
     n = F.when(F.col("norm") == "", 0).otherwise(F.length("norm") - F.length(F.translate("norm", " ", "")) + 1)

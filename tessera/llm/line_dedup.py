@@ -149,6 +149,7 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
     lines = materialize(docs.select("dk", "doc_id", "text").transform(map_arrow, _leaves, "dk binary, doc_id long, leaf long, line long")
                         .dropDuplicates(["dk", "line"]))
     shared = lines.groupBy("leaf").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("leaf")
+    shared = materialize(shared)    # so the join is free to split a crowded leaf
     wanted = lines.join(shared, "leaf")
     one = wanted.groupBy("leaf", "line").agg(F.min("dk").alias("dk"))       # a document to read each line from
     sources = one.groupBy("dk").agg(F.collect_list("line").alias("lines"))

@@ -259,6 +259,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # a text's own copies hold its anchors once each: count them once
     per_text = materialize(per_text.join(copies, "tk").select("key", "tk", (F.col("n") / F.col("copies")).alias("n")))
     repeated = per_text.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
+    repeated = materialize(repeated)    # so the join is free to split a frequent anchor
     wanted = per_text.join(repeated, "key").groupBy("tk").agg(F.collect_list("key").alias("keys"))
     texts = materialize(whole.join(wanted, "tk").dropDuplicates(["tk"]).select("tk", "text", "keys"))
     pieces = materialize(texts.repartition(parts, "tk").transform(map_arrow, 
