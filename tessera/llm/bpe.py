@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batch, read, slices, text_buffer, map_arrow
+from tessera.llm.common import KEPT, batch, map_arrow, read, slices, text_buffer
 
 #: White space as the tokenizers' patterns see it (fixed values).
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -301,6 +301,9 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+KEPT.append(load.cache_clear)
+
+
 def text_slices_decoded(col) -> Iterator[tuple[int, int, list[str]]]:
     buf, off = text_buffer(col)
     raw = buf.tobytes()
@@ -320,6 +323,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
             for i, j, texts in text_slices_decoded(b.column(1)):
                 ids = pa.array([x for x in bpe.encode(texts)], schema.field("ids").type)
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], ids], names=[key, "ids"])
+    run.keeps = True
     return docs.select(key, "text").transform(map_arrow, run, f"`{key}` {kind.simpleString()}, ids array<int>")
 
 
@@ -332,6 +336,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
         for b in batches:
             texts = [bpe.decode(np.array(x or [], np.int64)) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[key, "text"])
+    run.keeps = True
     return encoded.select(key, "ids").transform(map_arrow, run, f"`{key}` {kind.simpleString()}, text string")
 
 
@@ -353,6 +358,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                     b.column("doc_id")[i:j], [len(x) for x in ids],
                     [digest(",".join(map(bpe.text.__getitem__, x.tolist())).encode()) for x in ids],
                     [digest(bpe.decode(x).encode()) for x in ids]])
+    run.keeps = True
     return docs.select(F.col("doc_id").cast("long"), "text").transform(map_arrow, 
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -36,9 +36,14 @@ SPACE = np.zeros(256, bool)     # space, \t \n \v \f \r
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+#: What other operators keep in a worker between tasks; dropped when a task of another kind begins.
+KEPT: list = []
+
+
 def release() -> None:
     """Hands memory that Arrow and the allocator keep for later back to the system, so a worker
     that is reused by other stages does not carry the peak of this one."""
+    _tables.clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
     if trim:
@@ -48,6 +53,10 @@ def release() -> None:
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """``mapInArrow`` in batches of at most ``BATCH_ROWS`` rows (texts may be long), releasing memory at a task's end."""
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not getattr(run, "keeps", False):
+            from tessera.llm import common      # the worker's own list
+            for drop in common.KEPT:
+                drop()
         try:
             yield from run(batches)
         finally:

@@ -65,6 +65,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, room: int = ROOM) -> DataFra
                 seen += np.bincount(length, minlength=room + 1)
                 yield batch(schema, [b.column("doc_id")[i:j].take(pa.array(doc)), start, length, data, total[doc],
                                      np.full(len(doc), part), rank])
+    run.keeps = True
     return docs.select(F.col("doc_id").cast("long"), "text").transform(map_arrow, 
         run, "doc_id long, start long, length long, ids binary, doc_tokens long, part long, rank long")
 
