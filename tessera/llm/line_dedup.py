@@ -2,8 +2,11 @@
 
 A line's tokens (digits make a token variable) lead to a leaf by their count and the
 first ``DEPTH`` of them.  In a leaf, lines join the template they agree with in most
-positions, and positions that differ become variable.  A template that recurs in at
-least ``MIN_DOCS`` documents is dropped from all of them but the first.
+positions, and positions that differ become variable, as long as most tokens and one
+behind the first ``DEPTH`` stay constant.  A template that recurs in at least
+``MIN_DOCS`` documents is dropped from all of them but the first.  A line with too few
+constant tokens of its own (a row of numbers) has no template: it is dropped only where
+the very same tokens recur, digits and all.
 
 Leaves are found by hashes alone; tokens are only sent for distinct lines of leaves
 that enough documents share.  A crowded leaf is parsed in parts whose templates are
@@ -30,41 +33,60 @@ SIMILAR = 0.7           # share of equal positions to join a template
 MIN_DOCS = 10           # documents a template recurs in
 CROWD = 4000            # distinct lines of a leaf parsed together
 ANY = np.uint64(0x2A2A2A2A2A2A2A2A)     # a variable token
+NO_LEAF = 0             # the leaf of lines that are compared whole
 NEWLINE = np.isin(np.arange(256), [10])
 DIGIT = np.isin(np.arange(256), list(b"0123456789"))
 
 
 def parse_lines(buf: np.ndarray, off: np.ndarray):
-    """Non-empty lines of texts laid end to end: document, byte span, token hashes, leaf and line keys."""
+    """Non-empty lines of texts laid end to end: document, byte span, token hashes, leaf, line and whole keys.
+
+    The line key leaves variable tokens out, the whole key does not; they are the same where
+    the leaf is ``NO_LEAF``, as such lines have too few constant tokens for a template.
+    """
     sums = prefix_sums(buf)
     a, b, _ = word_spans(buf, off, NEWLINE)
     starts, ends, _ = word_spans(buf, off, SPACE)
     tokens = span_hash(sums, starts, ends)
     digits = np.concatenate(([0], np.cumsum(DIGIT[buf])))
-    tokens[digits[ends] > digits[starts]] = ANY
+    variable = digits[ends] > digits[starts]
     first, last = np.searchsorted(starts, a), np.searchsorted(starts, b)
     n = last - first
     power, inverse = _powers(len(tokens) + 1)
-    total = np.zeros(len(tokens) + 1, np.uint64)
-    np.cumsum(tokens * power[:len(tokens)], out=total[1:])
-    line = mix((total[last] - total[first]) * inverse[first] + n.astype(np.uint64) * GOLD)
+
+    def totals():
+        total = np.zeros(len(tokens) + 1, np.uint64)
+        np.cumsum(tokens * power[:len(tokens)], out=total[1:])
+        return total
+
+    def key(total):
+        return mix((total[last] - total[first]) * inverse[first] + n.astype(np.uint64) * GOLD).astype(np.int64)
+
+    whole = key(totals())
+    tokens[variable] = ANY
+    total = totals()
     head = np.minimum(last, first + DEPTH)
-    leaf = mix((total[head] - total[first]) * inverse[first] ^ mix(n.astype(np.uint64) * GOLD))
+    leaf = mix((total[head] - total[first]) * inverse[first] ^ mix(n.astype(np.uint64) * GOLD)).astype(np.int64)
+    constant = np.concatenate(([0], np.cumsum(~variable)))
+    told = (constant[last] > constant[head]) & (2 * (constant[last] - constant[first]) > n)
     doc = np.searchsorted(off, a, "right") - 1
-    return doc, a, b, first, last, tokens, leaf.astype(np.int64), line.astype(np.int64)
+    return (doc, a, b, first, last, tokens, np.where(told, np.where(leaf == NO_LEAF, 1, leaf), NO_LEAF),
+            np.where(told, key(total), whole), whole)
 
 
 def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("dk", pa.binary()), ("doc_id", pa.int64()), ("leaf", pa.int64()), ("line", pa.int64())])
+    """The lines of each document once; ``whole`` is null where it is the line key."""
+    schema = pa.schema([("dk", pa.binary()), ("doc_id", pa.int64()), ("leaf", pa.int64()), ("line", pa.int64()), ("whole", pa.int64())])
     for b in batches:
         for i, j, buf, off in text_slices(b.column("text")):
-            doc, _, _, first, last, _, leaf, line = parse_lines(buf, off)
+            doc, _, _, first, last, _, leaf, line, whole = parse_lines(buf, off)
             use = np.flatnonzero(last - first >= MIN_TOKENS)
-            each = np.unique(np.stack([doc[use], line[use]]), axis=1, return_index=True)[1]
+            each = np.unique(np.stack([doc[use], whole[use]]), axis=1, return_index=True)[1]
             use = use[each]
             if len(use):
                 at = pa.array(doc[use])
-                yield batch(schema, [b.column("dk")[i:j].take(at), b.column("doc_id")[i:j].take(at), leaf[use], line[use]])
+                yield batch(schema, [b.column("dk")[i:j].take(at), b.column("doc_id")[i:j].take(at), leaf[use], line[use],
+                                     pa.array(whole[use], mask=whole[use] == line[use])])
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,21 +95,27 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         want, at = np.asarray(b.column("lines").values), np.asarray(b.column("lines").offsets)
         for i, j, buf, off in text_slices(b.column("text")):
-            _, _, _, first, last, tokens, leaf, line = parse_lines(buf, off)
+            _, _, _, first, last, tokens, leaf, line, _ = parse_lines(buf, off)
             line_, use = np.unique(line, return_index=True)
-            use = use[np.isin(line_, want[at[i]:at[j]]) & (last[use] - first[use] >= MIN_TOKENS)]
+            use = use[np.isin(line_, want[at[i]:at[j]]) & (leaf[use] != NO_LEAF)]
             if len(use):
                 yield batch(schema, [leaf[use], line[use], [tokens[first[k]:last[k]].tobytes() for k in use.tolist()]])
 
 
 def parse_leaf(lines: list[np.ndarray]) -> tuple[list[int], list[np.ndarray]]:
-    """Template of each line of one leaf, in the order given, and the templates."""
+    """Template of each line of one leaf, in the order given, and the templates.
+
+    A line does not join a template that would be left with too few constant tokens.
+    """
     table = np.zeros((0, len(lines[0])), np.uint64)
     used, found = 0, []
     for t in lines:
         best = -1
         if used:
-            same = (table[:used] == t).mean(axis=1)
+            equal = table[:used] == t
+            constant = equal & (t != ANY)
+            told = constant[:, DEPTH:].any(axis=1) & (2 * constant.sum(axis=1) > len(t))
+            same = np.where(told, equal.mean(axis=1), 0.0)
             best = int(same.argmax())
         if best >= 0 and same[best] >= SIMILAR:
             table[best][table[best] != t] = ANY
@@ -119,14 +147,14 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gone = b.column("gone")
         want, at = np.asarray(gone.values), np.asarray(gone.offsets)
         for i, j, buf, off in text_slices(b.column("text")):
-            doc, a, e, first, last, _, _, line = parse_lines(buf, off)
+            doc, a, e, first, last, _, _, _, whole = parse_lines(buf, off)
             raw = buf.tobytes()
             edge = np.searchsorted(doc, np.arange(j - i + 1))
             for d in range(j - i):
                 text = raw[off[d]:off[d + 1]]
                 lines.append(text.count(b"\n") + 1 if text else 0)
                 lo, hi = edge[d], edge[d + 1]
-                drop = np.isin(line[lo:hi], want[at[i + d]:at[i + d + 1]]) & (last[lo:hi] - first[lo:hi] >= MIN_TOKENS)
+                drop = np.isin(whole[lo:hi], want[at[i + d]:at[i + d + 1]]) & (last[lo:hi] - first[lo:hi] >= MIN_TOKENS)
                 dropped.append(int(drop.sum()))
                 if dropped[-1]:
                     cut = {int(x) for x in a[lo:hi][drop] - off[d]}
@@ -143,14 +171,18 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
-    """(dk, doc_id, leaf, line) of every document's lines, and (leaf, line, template) of recurring templates' lines."""
+    """(dk, doc_id, leaf, line, whole) of every document's lines, and (leaf, line, template) of recurring templates' lines.
+
+    A line of ``NO_LEAF`` is its own template.
+    """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    lines = materialize(docs.select("dk", "doc_id", "text").transform(map_arrow, _leaves, "dk binary, doc_id long, leaf long, line long")
-                        .dropDuplicates(["dk", "line"]))
-    shared = lines.groupBy("leaf").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("leaf")
+    lines = materialize(docs.select("dk", "doc_id", "text").transform(map_arrow, _leaves,
+                        "dk binary, doc_id long, leaf long, line long, whole long").dropDuplicates(["dk", "line", "whole"]))
+    told = lines.filter(F.col("leaf") != NO_LEAF)
+    shared = told.groupBy("leaf").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("leaf")
     shared = materialize(shared)    # so the join is free to split a crowded leaf
-    wanted = lines.join(shared, "leaf")
+    wanted = told.join(shared, "leaf")
     one = wanted.groupBy("leaf", "line").agg(F.min("dk").alias("dk"))       # a document to read each line from
     sources = one.groupBy("dk").agg(F.collect_list("line").alias("lines"))
     tokens = materialize(docs.select("dk", "text").join(sources, "dk").dropDuplicates(["dk"]).select("text", "lines")
@@ -170,18 +202,21 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
         "leaf", F.col("line").alias("template"), F.col("template").alias("top"))
     of = materialize(first.join(again, ["leaf", "template"], "left").select(
         "leaf", "line", F.coalesce("top", "template").alias("template")))
-    held = lines.join(of, ["leaf", "line"]).select("template", "dk", "doc_id", "leaf").distinct()
-    recurring = held.groupBy("leaf", "template").agg(
-        F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "dk")).alias("first")).filter(F.col("n_docs") >= min_docs)
-    return lines, of.join(recurring, ["leaf", "template"]).select(
-        "leaf", "line", "template", "n_docs", F.col("first.dk").alias("first_dk"))
+    held = told.join(of, ["leaf", "line"]).select("template", "dk", "doc_id", "leaf").distinct()
+    docs_of = [F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "dk")).alias("first")]
+    recurring = held.groupBy("leaf", "template").agg(*docs_of).filter(F.col("n_docs") >= min_docs)
+    same = lines.filter(F.col("leaf") == NO_LEAF).groupBy("leaf", "line").agg(*docs_of).filter(F.col("n_docs") >= min_docs)
+    names = ["leaf", "line", "template", "n_docs", F.col("first.dk").alias("first_dk")]
+    return lines, materialize(of.join(recurring, ["leaf", "template"]).select(*names).unionByName(
+        same.withColumn("template", F.col("line")).select(*names)))     # small; so the join with it is free to split
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct), ``kept`` (its text without dropped lines), n_lines, n_dropped.
 
     Needs doc_id and text.  Lines are split at \\n; empty lines and lines of fewer than
-    ``MIN_TOKENS`` tokens always stay.  A template's first document, the one of smallest doc_id
+    ``MIN_TOKENS`` tokens always stay.  Rows of numbers and other lines with too few constant
+    tokens go only if the same tokens recur in as many documents.  A template's first document, the one of smallest doc_id
     (null before all), keeps its lines.  Rows equal in doc_id and text are one document.  Null
     texts stay null with 0 lines; empty input gives no rows.
     """
@@ -189,7 +224,7 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
     keyed = keyed.withColumn("dk", doc_key())
     lines, recurring = templates(keyed, min_docs)
     gone = lines.join(recurring, ["leaf", "line"]).filter(F.col("dk") != F.col("first_dk")).groupBy("dk").agg(
-        F.collect_set("line").alias("gone"))
+        F.collect_set(F.coalesce("whole", "line")).alias("gone"))
     kind = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
     out = keyed.join(gone, "dk", "left").select("row", "text", F.coalesce("gone", F.array().cast("array<bigint>")).alias("gone"))
     return out.transform(map_arrow, _without, f"row {kind}, kept string, n_lines long, n_dropped long")
@@ -203,37 +238,52 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def brute_force(rows_: list[tuple[int, str]], min_docs: int) -> dict[int, tuple[int, int, str]]:
     """The same by plain Python, for tests with distinct doc ids: doc_id -> (lines, dropped, kept text)."""
-    leaves: dict[tuple, dict[tuple, set]] = {}
+    mask = lambda t: tuple("<*>" if any(c in b"0123456789" for c in w) else w for w in t)
+    told = lambda t: any(x != "<*>" for x in t[DEPTH:]) and 2 * sum(x != "<*>" for x in t) > len(t)
+    merge = lambda x, y: tuple(p if p == q else "<*>" for p, q in zip(x, y, strict=True))
+    alike = lambda x, y: sum(p == q for p, q in zip(x, y, strict=True)) / len(x)
+    leaves: dict[tuple, dict[tuple, dict[tuple, set]]] = {}
+    whole: dict[tuple, set] = {}
     for doc, text in rows_:
         for part in (text or "").split("\n"):
-            t = tuple("<*>" if any(c in b"0123456789" for c in w) else w for w in part.encode().split())
-            if len(t) >= MIN_TOKENS:
-                leaves.setdefault((len(t), t[:DEPTH]), {}).setdefault(t, set()).add(doc)
+            t = tuple(part.encode().split())
+            m = mask(t)
+            if len(t) < MIN_TOKENS:
+                continue
+            if told(m):
+                leaves.setdefault((len(t), m[:DEPTH]), {}).setdefault(m, {}).setdefault(t, set()).add(doc)
+            else:
+                whole.setdefault(t, set()).add(doc)
     buf_of = lambda t: " ".join("0" if w == "<*>" else w.decode() for w in t).encode()
     gone: dict[int, set] = {}
+
+    def drop(members: dict[tuple, set]) -> None:
+        docs = set().union(*members.values())
+        if len(docs) >= min_docs:
+            for t, own in members.items():
+                for d in own - {min(docs)}:
+                    gone.setdefault(d, set()).add(t)
+
     for own in leaves.values():
         keyed = []
-        for t in own:
-            b = buf_of(t)
-            keyed.append((int(parse_lines(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[7][0]), t))
+        for m in own:
+            b = buf_of(m)
+            keyed.append((int(parse_lines(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[7][0]), m))
         tops: list[list] = []
-        for _, t in sorted(keyed):
-            best = max(tops, key=lambda p: sum(x == y for x, y in zip(p[0], t, strict=True)), default=None)
-            if best and sum(x == y for x, y in zip(best[0], t, strict=True)) / len(t) >= SIMILAR:
-                best[0] = tuple(x if x == y else "<*>" for x, y in zip(best[0], t, strict=True))
-                best[1].append(t)
+        for _, m in sorted(keyed):
+            best = max((p for p in tops if told(merge(p[0], m))), key=lambda p: alike(p[0], m), default=None)
+            if best and alike(best[0], m) >= SIMILAR:
+                best[0] = merge(best[0], m)
+                best[1].append(m)
             else:
-                tops.append([t, [t]])
+                tops.append([m, [m]])
         for _, members in tops:
-            docs = set().union(*(own[m] for m in members))
-            if len(docs) >= min_docs:
-                for m in members:
-                    for d in own[m] - {min(docs)}:
-                        gone.setdefault(d, set()).add(m)
+            drop({t: docs for m in members for t, docs in own[m].items()})
+    for t, docs in whole.items():
+        drop({t: docs})
     out = {}
     for doc, text in rows_:
         parts = (text or "").split("\n")
-        mask = lambda p: tuple("<*>" if any(c in b"0123456789" for c in w) else w for w in p.encode().split())
-        rest = [p for p in parts if mask(p) not in gone.get(doc, ())]
+        rest = [p for p in parts if tuple(p.encode().split()) not in gone.get(doc, ())]
         out[doc] = (len(parts) if text else 0, len(parts) - len(rest), "\n".join(rest))
     return out
