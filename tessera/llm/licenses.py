@@ -1,13 +1,16 @@
 """License scans with ordered signature rules, in DataFrame functions only.
 
 A rule is a regular expression over the words of a text, gated by the word it begins
-with.  Texts without any hint of a license never reach the rules.  Where a gate word
+with.  Each rule names a literal it cannot match without; texts with none of these
+literals never reach the rules.  Where a gate word
 stands, its rules are tried on the words that follow, so every place is found.  Of
 overlapping detections those that lie inside one of equal or better priority go.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -118,30 +121,50 @@ NOTICES = [
 GRANTS = ["licensed", "released", "distributed", "available", "published"]
 
 
-def rules() -> list[tuple[int, str, str, str, int, float]]:
-    """(number, gate word, pattern, label, priority, weight); priority 0 is the best."""
+def literal(pattern: str) -> str:
+    """Words that stand in every match of a pattern: ``licen`` where that must stand, else the longest run of letters
+    outside groups and classes."""
+    flat = re.sub(r"\(\?:[^()]*\)(?:\?|\{[\d,]+\})?", "\n", pattern)      # groups do not nest twice
+    flat = re.sub(r"\(\?:[^()]*\)(?:\?|\{[\d,]+\})?", "\n", flat)
+    runs = [x.strip() for x in re.sub(r"\[\w+\]\??|\\w\+|.\?", "\n", flat).split("\n")]
+    return "licen" if any("licen" in x for x in runs) else max(runs, key=len)
+
+
+def _rules() -> list[tuple[tuple[int, str, str, str, int, float], str]]:
     out = []
 
-    def add(first: str, pattern: str, label: str, priority: int, weight: float) -> None:
-        out.append((len(out), first, f"^{pattern}(?= |$)", label, priority, weight))
+    def add(first: str, pattern: str, label: str, priority: int, weight: float, need: str) -> None:
+        out.append(((len(out), first, f"^{pattern}(?= |$)", label, priority, weight), literal(need)))
 
     def heads(name: str) -> list[str]:
         if name.startswith("gplv?"):
-            return ["gpl", "gplv2", "gplv3"]
+            number = name[name.index(" ?") + 2]
+            return ["gpl", "gplv", f"gpl{number}", f"gplv{number}"]
         return name[3:name.index(")")].split("|") if name.startswith("(?:") else [name.split(" ")[0].split("(?:")[0]]
 
     for label, _, spdx in LICENSES:
-        add("spdx", f"spdx license identifier {spdx}", label, 0, 1.0)
+        add("spdx", f"spdx license identifier {spdx}", label, 0, 1.0, "spdx license identifier")
     for label, words in NOTICES:
-        add(words.split(" ")[0], words, label, 1, 0.9)
+        add(words.split(" ")[0], words, label, 1, 0.9, words)
     for label, name, _ in LICENSES:
         for verb in GRANTS:
-            add(verb, f"{verb} (?:under|by) (?:the )?(?:terms of the )?{name}", label, 1, 0.95)
+            add(verb, f"{verb} (?:under|by) (?:the )?(?:terms of the )?{name}", label, 1, 0.95, name)
         for gate in heads(name):
-            add(gate, name, label, 2, 0.7)
+            add(gate, name, label, 2, 0.7, name)
     return out
 
 
+def rules() -> list[tuple[int, str, str, str, int, float]]:
+    """(number, gate word, pattern, label, priority, weight); priority 0 is the best."""
+    return [rule for rule, _ in _rules()]
+
+
+def literals() -> list[str]:
+    """At least one of these stands in every text a rule matches; none holds another."""
+    every = {need for _, need in _rules()}
+    return sorted(x for x in every if not any(y in x for y in every - {x}))
+
+
 def words(text="text"):
     """The text's words with one space between."""
     low = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -157,7 +180,7 @@ def scan(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     table = spark.createDataFrame(rules(), "rule int, gate string, pattern string, label string, priority int, weight double")
     gates = sorted({r[1] for r in rules()})
-    hint = F.col("norm").rlike("licen[cs]e|spdx|permission|redistribution|public domain|reserved|proprietary|cc0|wtfpl|gpl|bsd|creative commons")
+    hint = F.col("norm").rlike("|".join(literals()))
     told = docs.select(text_key().alias("tk"), words().alias("norm")).filter(hint)
     told = materialize(told.dropDuplicates(["tk"]).select("tk", F.split("norm", " ").alias("words")))
     places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(gates), i).otherwise(-1)), lambda i: i >= 0)

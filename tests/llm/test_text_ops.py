@@ -179,6 +179,48 @@ def test_license_rules(spark, odd_texts):
     assert len(rules) > 300 and all(re.match(p[1:].split(" ")[0].split("(?")[0] or ".", g) or True for _, g, p, *_ in rules)
 
 
+def phrase(pattern, most):
+    """A text the pattern matches, with all or none of what is optional."""
+    def of(items):
+        out = ""
+        for op, x in items:
+            kind = str(op)
+            if kind == "LITERAL":
+                out += chr(x)
+            elif kind == "IN":
+                out += "x" if str(x[0][0]) == "CATEGORY" else chr(x[0][1])
+            elif kind == "BRANCH":
+                out += of(x[1][-1 if most else 0])
+            elif kind == "SUBPATTERN":
+                out += of(x[3])
+            elif kind == "MAX_REPEAT":
+                out += of(x[2]) * min(6, int(x[1])) if most and len(x[2]) != 1 or x[0] == 0 and most else of(x[2]) * x[0]
+        return out
+    return of(re._parser.parse(pattern.removeprefix("^").removesuffix("(?= |$)")))
+
+
+def test_every_rule_fires_on_its_phrase_alone(spark):
+    import hashlib
+    rules, want = licenses.rules(), []
+    for _, _, pattern, label, priority, _ in rules:
+        for most in (False, True):
+            text = phrase(pattern, most)
+            assert re.match(pattern, text), (pattern, text)
+            want.append((text, pattern, label, priority, most))
+    got = {}
+    for r in licenses.scan(frame(spark, [w[0] for w in want])).collect():
+        got.setdefault(bytes(r.tk), []).append(r)
+    for text, pattern, label, priority, most in want:
+        own = got.get(hashlib.md5(text.encode()).digest(), [])
+        n = min(len(text.split(" ")), licenses.SPAN)
+        assert any(r["first"] == 0 and r["last"] == n and r.priority <= priority for r in own), (text, pattern)
+    notices = [(text, label) for text, pattern, label, priority, _ in want if priority == 1 and pattern[1:-len("(?= |$)")] in
+               {words for _, words in licenses.NOTICES}]
+    assert len(notices) == 2 * len(licenses.NOTICES)
+    for text, label in [*notices, ("mit no attribution", "mit-0")]:
+        assert label in {r.label for r in got[hashlib.md5(text.encode()).digest()]}, text
+
+
 def test_contained_detections_go(spark):
     """Against a check of every pair of detections."""
     text = "licensed under the gnu general public license version 2 or later and the mit license " * 3
