@@ -5,8 +5,9 @@ first ``DEPTH`` of them.  In a leaf, lines join the template they agree with in
 positions, and positions that differ become variable, as long as most tokens and one
 behind the first ``DEPTH`` stay constant.  A template that recurs in at least
 ``MIN_DOCS`` documents is dropped from all of them but the first.  A line with too few
-constant tokens of its own (a row of numbers) has no template: it is dropped only where
-the very same tokens recur, digits and all.
+constant tokens of its own (a row of numbers, or any line of up to ``DEPTH`` tokens, as
+all lines of scripts without spaces) has no template: it is dropped only where the very
+same tokens recur, digits and all.
 
 Leaves are found by hashes alone; tokens are only sent for distinct lines of leaves
 that enough documents share.  A crowded leaf is parsed in parts whose templates are
@@ -28,7 +29,6 @@ from tessera.llm.common import (
 from tessera.session import materialize
 
 DEPTH = 3               # leading tokens that lead to a leaf
-MIN_TOKENS = 3          # shorter lines are left alone
 SIMILAR = 0.7           # share of equal positions to join a template
 MIN_DOCS = 10           # documents a template recurs in
 CROWD = 4000            # distinct lines of a leaf parsed together
@@ -80,7 +80,7 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i, j, buf, off in text_slices(b.column("text")):
             doc, _, _, first, last, _, leaf, line, whole = parse_lines(buf, off)
-            use = np.flatnonzero(last - first >= MIN_TOKENS)
+            use = np.flatnonzero(last > first)
             each = np.unique(np.stack([doc[use], whole[use]]), axis=1, return_index=True)[1]
             use = use[each]
             if len(use):
@@ -154,7 +154,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text = raw[off[d]:off[d + 1]]
                 lines.append(text.count(b"\n") + 1 if text else 0)
                 lo, hi = edge[d], edge[d + 1]
-                drop = np.isin(whole[lo:hi], want[at[i + d]:at[i + d + 1]]) & (last[lo:hi] - first[lo:hi] >= MIN_TOKENS)
+                drop = np.isin(whole[lo:hi], want[at[i + d]:at[i + d + 1]]) & (last[lo:hi] > first[lo:hi])
                 dropped.append(int(drop.sum()))
                 if dropped[-1]:
                     cut = {int(x) for x in a[lo:hi][drop] - off[d]}
@@ -214,9 +214,9 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct), ``kept`` (its text without dropped lines), n_lines, n_dropped.
 
-    Needs doc_id and text.  Lines are split at \\n; empty lines and lines of fewer than
-    ``MIN_TOKENS`` tokens always stay.  Rows of numbers and other lines with too few constant
-    tokens go only if the same tokens recur in as many documents.  A template's first document, the one of smallest doc_id
+    Needs doc_id and text.  Lines are split at \\n; blank lines always stay.  Short lines, rows of
+    numbers and other lines with too few constant tokens go only if the same tokens recur in as
+    many documents.  A template's first document, the one of smallest doc_id
     (null before all), keeps its lines.  Rows equal in doc_id and text are one document.  Null
     texts stay null with 0 lines; empty input gives no rows.
     """
@@ -248,7 +248,7 @@ def brute_force(rows_: list[tuple[int, str]], min_docs: int) -> dict[int, tuple[
         for part in (text or "").split("\n"):
             t = tuple(part.encode().split())
             m = mask(t)
-            if len(t) < MIN_TOKENS:
+            if not t:
                 continue
             if told(m):
                 leaves.setdefault((len(t), m[:DEPTH]), {}).setdefault(m, {}).setdefault(t, set()).add(doc)

@@ -140,6 +140,13 @@ def test_distinct_numeric_rows_stay(spark):
     assert {k: (5, 5 - len(v), "\n".join(v)) for k, v in got.items()} == line_dedup.brute_force(list(enumerate(texts)), 10)
 
 
+def test_short_lines_and_scripts_without_spaces(spark):
+    texts = [f"Les.\nAnd so.\n  \n\n著作権所有。無断転載を禁じます。\nnur {i}\n第{i}章" for i in range(11)]
+    got = {r.row.doc_id: r.kept for r in line_dedup.drop_recurring_lines(frame(spark, texts)).collect()}
+    assert got == {i: f"  \n\nnur {i}\n第{i}章" if i else texts[0] for i in range(11)}
+    assert got == {k: v[2] for k, v in line_dedup.brute_force(list(enumerate(texts)), 10).items()}
+
+
 # ------------------------------------------------------------------- licenses
 def base_license(text):
     w = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOW))
