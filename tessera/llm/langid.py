@@ -6,7 +6,8 @@ bounded labelled sample; the driver turns the counts into sorted hash arrays, wh
 are broadcast.  As a word's score depends on the word alone and a position's on one
 ORDER-gram, a task scores each distinct word once, from a table of the ORDER-grams it
 has met.  The language of lowest cross-entropy per character wins; a text whose
-entropy lies above what calibration texts of that language reach is rejected.
+entropy lies far above that of most calibration texts of that language and length is
+rejected.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.bpe import text_slices_decoded
 from tessera.llm.common import GOLD, batch, mix, read, word_spans, _powers, map_arrow
+from tessera.session import materialize
 
 ORDER = 5
 MARK = 32                   # word boundary
@@ -28,7 +30,11 @@ MAX_CHARS = 6_000_000       # bound on the characters counted per language (whol
 MAX_LANGS = 200             # the most frequent labels; later ones are not learnt
 ALPHABET = 4096             # size of the uniform model below order 1
 CALIBRATE = 10              # one in so many sample texts is kept from the counts to set the rejection limits
-SLACK = 1.0                 # nats per character above what calibration texts reach
+HIGH = 0.9                  # quantile of the calibration texts' excess over their language's median entropy
+REACH = 8                   # so many times that quantile, of texts as long, is not rejected
+LEAST = 0.04                # nats per character the quantile counts as at least
+FEW = 20                    # calibration texts below which a length class takes the quantile of others
+CLASSES = 32                # length classes: powers of 2 in characters
 CACHE = 200_000             # words whose scores a task keeps
 _letters: list[np.ndarray] = []
 
@@ -88,8 +94,8 @@ class Model:
     logs: list[np.ndarray] = field(default_factory=list)
     contexts: list[np.ndarray] = field(default_factory=list)
     weights: list[np.ndarray] = field(default_factory=list)
-    mean: np.ndarray | None = None      # calibration: entropy per character,
-    reach: np.ndarray | None = None     # and its largest excess times the root of the characters
+    middle: np.ndarray | None = None    # calibration: median entropy per character,
+    reach: np.ndarray | None = None     # and the excess that is not rejected, by length class
 
     def score(self, grams: np.ndarray) -> np.ndarray:
         """Log probability of each ORDER-gram's last character given the ones before, by language."""
@@ -245,24 +251,47 @@ def train(labelled: DataFrame) -> Model:
                 if rows_:
                     yield batch(schema, list(map(list, zip(*rows_, strict=True))))
 
-    found = sample.filter(kept).select("lang", "text").transform(map_arrow, measure, "lang string, entropy double, chars long")
-    means = found.groupBy("lang").agg((F.sum(F.col("entropy") * F.col("chars")) / F.sum("chars")).alias("mean"))
-    reach = {r.lang: (r.mean, r.reach) for r in found.join(F.broadcast(means), "lang").groupBy("lang").agg(
-        F.first("mean").alias("mean"),
-        F.max((F.col("entropy") - F.col("mean")) * F.sqrt("chars")).alias("reach")).collect()}
-    # a language without calibration texts rejects nothing
-    model.mean = np.array([reach.get(x, (np.inf, 0.0))[0] for x in langs])
-    model.reach = np.array([max(0.0, reach.get(x, (0.0, 0.0))[1]) for x in langs])
+    found = materialize(sample.filter(kept).select("lang", "text").transform(
+        map_arrow, measure, "lang string, entropy double, chars long"))
+    model.middle, model.reach = _limits(found, langs)
     return model
 
 
+def _limits(found: DataFrame, langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Median entropy of each language's calibration texts, and the excess over it allowed in each length class.
+
+    A class of fewer than ``FEW`` texts takes the quantile of the next shorter class that has
+    them, or of the next longer one, grown by the root of the lengths' ratio; a language without
+    such a class that of all its texts, or with fewer than ``FEW`` that of all languages' texts.
+    A language without calibration texts rejects nothing.
+    """
+    own = found.groupBy("lang").agg(F.percentile("entropy", F.lit(0.5)).alias("middle"))
+    found = found.join(F.broadcast(own), "lang").select(      # a row a label
+        "lang", "middle", (F.col("entropy") - F.col("middle")).alias("excess"), F.floor(F.log2("chars")).cast("int").alias("size"))
+    high, n = F.percentile("excess", F.lit(HIGH)).alias("high"), F.count("*").alias("n")
+    sizes: dict[str, dict[int, float]] = {}
+    for r in found.groupBy("lang", "size").agg(high, n).filter(F.col("n") >= FEW).collect():
+        sizes.setdefault(r.lang, {})[min(r["size"], CLASSES - 1)] = r.high
+    every = found.agg(high).first().high
+    middle, reach = np.full(len(langs), np.inf), np.zeros((len(langs), CLASSES))
+    for r in found.groupBy("lang").agg(F.first("middle").alias("middle"), high, n, F.percentile("size", F.lit(0.5)).alias("size")).collect():
+        known = sizes.get(r.lang) or {min(int(r["size"]), CLASSES - 1): r.high if r.n >= FEW else every}
+        k = langs.index(r.lang)
+        middle[k] = r.middle
+        for c in range(CLASSES):
+            shorter = [x for x in known if x <= c]
+            high_ = known[max(shorter)] if shorter else known[min(known)] * 2 ** ((min(known) - c) / 2)
+            reach[k, c] = REACH * max(LEAST, high_)
+    return middle, reach
+
+
 def classify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred, score, entropy and rejected (columns of these names are replaced).
 
     lang_pred is ``und`` with score 0 if the text is null or has no letter; else the language of
     least cross-entropy per character (ties: the first by name).  score is that language's share
     of the evidence of up to 100 characters.  rejected: ``und``, or an entropy beyond what
-    calibration texts of that length reach by more than ``SLACK``.  Every input row comes out once.
+    ``REACH`` times the ``HIGH`` quantile of calibration texts of that length.  Every input row comes out once.
     """
     new = ["lang_pred", "score", "entropy", "rejected"]
     names = [c for c in docs.columns if c not in new]
@@ -282,7 +311,8 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
                     least = e[np.arange(len(e)), best]
                     seen = np.minimum(chars, 100)[:, None]
                     score = 1 / np.exp(np.minimum(0, (least[:, None] - e) * seen)).sum(axis=1)
-                    limit = m.mean[best] + m.reach[best] / np.sqrt(np.maximum(chars, 1)) + SLACK
+                    size = np.log2(np.maximum(chars, 1)).astype(np.int64)
+                    limit = m.middle[best] + m.reach[best, np.minimum(size, CLASSES - 1)]
                     none = chars == 0
                     found = [["und" if x else m.langs[k] for x, k in zip(none, best, strict=True)],
                              np.where(none, 0.0, score), pa.array(least, pa.float64(), mask=none),

@@ -91,6 +91,20 @@ def test_language_odd_texts_and_rejection(spark, odd_texts):
     assert langid.classify(frame(spark, texts).limit(0), model).count() == 0
 
 
+def test_rejection_with_noisy_labels_and_unlearnt_languages(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text", "lang")
+    rnd = random.Random(4)
+    junk = ["".join(rnd.choice("qxzvkjw ") for _ in range(10_000)) for _ in range(4)]
+    noisy = F.when(F.crc32("text") % 25 == 0, F.lit("en")).otherwise(F.col("lang"))
+    known = docs.filter("lang <> 'de'").withColumn("lang", noisy).unionByName(frame(spark, junk, lang="en"))
+    model = langid.train(known)
+    out = langid.classify(docs.unionByName(frame(spark, [" ".join(junk[0].split())[:900]], lang="de")).filter(F.col("text").rlike(r"\p{L}")), model)
+    rows = out.filter(F.length("text") >= 200).collect()
+    lost = [r.rejected for r in rows if r.lang != "de"]
+    gone = [r.rejected for r in rows if r.lang == "de"]
+    assert sum(lost) <= 0.005 * len(lost) and sum(gone) >= 0.9 * len(gone) > 50
+
+
 def test_kneser_ney_sums_to_one():
     import numpy as np
     grams = np.array([[32, 32, 32, 32, c] for c in (97, 97, 98)] + [[32, 32, 32, 97, c] for c in (98, 98, 99)], np.uint32)
