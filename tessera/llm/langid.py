@@ -27,7 +27,6 @@ from tessera.session import materialize
 ORDER = 5
 MARK = 32                   # word boundary
 MAX_CHARS = 6_000_000       # bound on the characters counted per language (whole texts, chosen by hash)
-MAX_LANGS = 200             # the most frequent labels; later ones are not learnt
 ALPHABET = 4096             # size of the uniform model below order 1
 CALIBRATE = 10              # one in so many sample texts is kept from the counts to set the rejection limits
 HIGH = 0.9                  # quantile of the calibration texts' excess over their language's median entropy
@@ -213,16 +212,17 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame) -> Model:
     """A model of (text, lang) rows; rows with a null in either, or no letter, teach nothing.
 
-    At most ``MAX_LANGS`` languages, and for each whole texts of about ``MAX_CHARS`` characters,
-    chosen by a hash of the text, so equal inputs give equal models on any partitioning.
-    Without any usable row the model has no languages.
+    Every label is learnt, from whole texts of about ``MAX_CHARS`` characters, chosen by a hash of
+    the text, so equal inputs give equal models on any partitioning.  The text of a label's least
+    hash always teaches.  Without any usable row the model has no languages.
     """
-    rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
-    share = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).orderBy(F.desc("chars"), "lang").limit(MAX_LANGS)
-    share = share.select("lang", F.least(F.lit(1.0), F.lit(float(MAX_CHARS)) / F.greatest(F.col("chars"), F.lit(1))).alias("share"))
+    rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).filter(
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     draw = (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30))
-    sample = rows.join(F.broadcast(share), "lang").filter(draw < F.col("share"))     # at most MAX_LANGS rows
-    kept = F.pmod(F.xxhash64("text", F.lit("calibrate")), F.lit(CALIBRATE)) == 0
+    share = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), F.min(draw).alias("first"))
+    share = share.select("lang", "first", F.least(F.lit(1.0), F.lit(float(MAX_CHARS)) / F.greatest(F.col("chars"), F.lit(1))).alias("share"))
+    sample = rows.join(F.broadcast(share), "lang").filter((draw < F.col("share")) | (draw == F.col("first")))    # a row a label
+    kept = (F.pmod(F.xxhash64("text", F.lit("calibrate")), F.lit(CALIBRATE)) == 0) & (draw > F.col("first"))
     counts = (sample.filter(~kept).select("lang", "text").transform(map_arrow, _count_grams, "lang string, gram string, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
     langs = sorted(set(counts.column("lang").to_pylist()))

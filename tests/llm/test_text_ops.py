@@ -105,6 +105,12 @@ def test_rejection_with_noisy_labels_and_unlearnt_languages(spark):
     assert sum(lost) <= 0.005 * len(lost) and sum(gone) >= 0.9 * len(gone) > 50
 
 
+def test_every_label_is_learnt(spark):
+    rows = [(f"{chr(97 + i % 26) * 3}{chr(97 + i // 26) * 3} text{chr(97 + i % 26)}", f"l{i:03}") for i in range(230)]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.langs == sorted(x for _, x in rows)
+
+
 def test_kneser_ney_sums_to_one():
     import numpy as np
     grams = np.array([[32, 32, 32, 32, c] for c in (97, 97, 98)] + [[32, 32, 32, 97, c] for c in (98, 98, 99)], np.uint32)
