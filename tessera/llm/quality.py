@@ -21,11 +21,13 @@ from tessera.llm.common import (
 
 MIN_WORDS = 50
 REPEAT_WINDOW, REPEAT_PERCENT = 3, 50
-#: n-gram length -> largest share of word characters inside n-grams that occur twice.  The shares
-#: are those published for web-text filters, with room for short texts of few words.
-COVERAGE = {5: 0.50, 6: 0.48, 7: 0.46, 8: 0.44, 9: 0.42, 10: 0.40}
-LINE_COVERAGE = 0.50        # of word characters in lines that occur earlier in the text
-SYMBOLS_PER_WORD = 0.30
+#: n-gram length -> largest share of word characters inside n-grams that occur twice: the shares
+#: published for web-text filters.  In texts of under 300 words the two places of a single run of
+#: ``RUN`` words (a sentence) may hold more than that, 2 RUN / words; there that is the limit.
+COVERAGE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+RUN = 15
+LINE_COVERAGE = 0.20        # of word characters in lines that occur earlier in the text
+SYMBOLS_PER_WORD = 0.10
 SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
 NEWLINE = np.isin(np.arange(256), [10])
 LEADS = (np.arange(256) & 0xC0) != 0x80                 # first bytes of code points
@@ -98,8 +100,8 @@ def quality(docs: DataFrame) -> DataFrame:
     doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, reason,
     dup_line_share, dup_5_share ... dup_10_share.  base_failed: fewer than 50 words, or over half of
     them in 3-word windows that occur twice.  The method's verdict fails a text whose repeated
-    n-grams or lines cover more than ``COVERAGE`` / ``LINE_COVERAGE``, or with over three symbols for
-    ten words.  ``reason`` names the first rule that failed.  Null, empty and blank texts have
+    n-grams or lines cover more than ``COVERAGE`` (in short texts more than a run's two places)
+    / ``LINE_COVERAGE``, or with over one symbol for ten words.  ``reason`` names the first rule that failed.  Null, empty and blank texts have
     zeros throughout and fail; repeated rows are judged alike; empty input gives no rows.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -117,7 +119,8 @@ def quality(docs: DataFrame) -> DataFrame:
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     reason = F.when(F.col("n_words") < MIN_WORDS, "words").when(base, "repeated windows")
     for n, most in COVERAGE.items():
-        reason = reason.when(F.col(f"dup_{n}_share") > most, f"repeated {n}-grams")
+        room = F.greatest(F.lit(most), F.lit(2.0 * RUN) / F.col("n_words"))
+        reason = reason.when(F.col(f"dup_{n}_share") > room, f"repeated {n}-grams")
     reason = (reason.when(F.col("dup_line_share") > LINE_COVERAGE, "repeated lines")
               .when(F.col("n_symbols") > SYMBOLS_PER_WORD * F.col("n_words"), "symbols"))
     return m.withColumn("base_failed", base).withColumn("reason", reason).select(

@@ -65,6 +65,21 @@ def test_quality_keeps_clean_documents(spark):
     assert rows.filter("quality = 1 and not kept and not base_failed").count() == 0
 
 
+def test_quality_published_shares_and_short_texts(spark):
+    rnd = random.Random(5)
+    words = lambda n: [f"w{rnd.randint(10**6, 10**7)}" for _ in range(n)]
+    again = [words(5) for _ in range(100)]
+    texts = [" ".join(sum(([*a, *words(3), *a, *words(9)] for a in again), [])),                # 45 % in repeated 5-grams
+             *(" ".join([*(a := words(10)), *words(n), *a, *words(n)]) for n in (25, 60, 300)),   # one 10-gram, twice
+             " ".join([*(a := words(10)), *words(5), *a, *words(5), *(b := words(10)), *words(9), *b, *words(30)]),
+             "\n".join([*(" ".join(words(10)) for _ in range(30)), *[" ".join(words(10))] * 15]),
+             " ".join([*words(100), *["#"] * 15])]
+    got = {r.doc_id: r.reason for r in quality.quality(frame(spark, texts)).collect()}
+    assert not any(r.base_failed for r in quality.quality(frame(spark, texts)).collect())
+    assert got[0] == "repeated 5-grams" and [got[k] for k in (1, 2, 3)] == [None] * 3
+    assert got[4] and got[5] and got[6]
+
+
 # --------------------------------------------------------------- language ID
 def test_language_accuracy_and_contract(spark):
     got = {r.doc_id: r for r in langid.op7_language_id(spark, SF01).collect()}
