@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import doc_key, lower_ascii, map_arrow, read, text_slices, word_spans
+from tessera.llm.common import binary_rows, doc_key, lower_ascii, map_arrow, read, text_slices, word_spans
 from tessera.operators.cohort import surrogate_id
 from tessera.session import materialize
 
+RUN = 512               # buckets whose sums travel together
 LONG = 64               # bytes; longer words are hashed by zlib one by one
 OUTSIDE = np.ones(256, bool)        # bytes between words: all ASCII but digits and letters a-z
 OUTSIDE[48:58] = OUTSIDE[97:123] = OUTSIDE[128:] = False
@@ -126,20 +127,32 @@ def _lists(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def bucket_sums(counted_rows: DataFrame, buckets: int) -> np.ndarray:
-    """Occurrences of each bucket over all rows, every row ``times`` times."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(buckets, np.int64)
+    """Occurrences of each bucket over all rows, every row ``times`` times.
+
+    A task hands on its sums in a few runs of ``RUN`` buckets, and runs are added up as they stream in.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(-(-buckets // RUN) * RUN, np.int64)
         for b in batches:
-            bucket, count, row = _lists(b)
-            np.add.at(total, bucket, count * b.column("times").to_numpy()[row])
-        full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], names=["bucket", "n"])
-
-    out = np.zeros(buckets, np.int64)
-    sums = map_arrow(counted_rows.select("buckets", "counts", "times"), run, "bucket long, n long")
-    for r in sums.groupBy("bucket").agg(F.sum("n").alias("n")).collect():       # one row a bucket
-        out[r.bucket] = r.n
-    return out
+            bucket, n, row = _lists(b)
+            np.add.at(total, bucket, n * b.column("times").to_numpy()[row])
+        runs = total.reshape(-1, RUN)
+        full = np.flatnonzero(runs.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(full), binary_rows(runs[full])], names=["run", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {}
+        for b in batches:
+            for run, sums in zip(b.column("run").to_pylist(), b.column("sums").to_pylist(), strict=True):
+                total[run] = total.get(run, 0) + np.frombuffer(sums, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([t.tobytes() for t in total.values()], pa.binary())],
+                                         names=["run", "sums"])
+
+    out = np.zeros((-(-buckets // RUN), RUN), np.int64)
+    parts = map_arrow(counted_rows.select("buckets", "counts", "times"), count, "run long, sums binary")
+    for r in map_arrow(parts.repartition("run"), add, "run long, sums binary").collect():       # one number a bucket
+        out[r.run] = np.frombuffer(r.sums, np.int64)
+    return out.ravel()[:buckets]
 
 
 def with_weight(counted_rows: DataFrame, gain: np.ndarray) -> DataFrame:
