@@ -1,5 +1,5 @@
-"""Model sweeps, metrics, importances, node tables, persisted scoring
-(FEA-07/09/10, MOD-01..19).
+"""Model sweeps, metrics, importances, persisted scoring (FEA-07/09/10,
+MOD-01..19; entropy trees with missing values are in :mod:`tree`).
 
 Fitting is Spark ML (distributed); the driver loop only iterates over a
 handful of configurations and keeps one metric per configuration.  Metrics
@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.feature import (Imputer, StandardScaler, StringIndexer,
-                                VectorAssembler)
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -46,24 +45,13 @@ def levels_of(df: DataFrame, cols: list[str], most: int = 1000) -> dict[str, lis
     return out
 
 
-def impute_interval(cols: list[str], strategy: str = "median") -> tuple[list, list[str]]:
-    """MOD-04 missing values: Spark trees reject NULL features, so interval
-    inputs are imputed (median by default) before assembly.  This stands in
-    for SAS's ``assignmissing=popular``; nominal NULLs become their own
-    category through the indexers' ``handleInvalid='keep'``."""
-    if not cols:
-        return [], []
-    out = [f"{c}__imp" for c in cols]
-    return [Imputer(inputCols=list(cols), outputCols=out, strategy=strategy)], out
-
-
 def standardize(inp: str = "features", out: str = "scaled") -> StandardScaler:
     """FEA-10."""
     return StandardScaler(inputCol=inp, outputCol=out, withMean=True, withStd=True)
 
 
 def make_estimator(kind: str, label: str, features: str = "features", seed: int = 0, **params):
-    """MOD-01/03/04/07/08/16 estimators by name."""
+    """MOD-01/03/07/08/16 estimators by name."""
     if kind == "glm":
         return GeneralizedLinearRegression(family="binomial", link="logit", labelCol=label,
                                            featuresCol=features, **params)
@@ -163,19 +151,6 @@ def importance(model, names: list[str]) -> DataFrame:
     return df.orderBy(F.col("importance").desc(), "feature")
 
 
-def tree_nodes(model, path: str) -> DataFrame:
-    """MOD-06: node detail table of a fitted decision tree, read from the
-    saved model's node data (id, prediction, impurity, gain, children, split)."""
-    est = model.stages[-1] if isinstance(model, PipelineModel) else model
-    est.write().overwrite().save(path)
-    s = SparkSession.getActiveSession()
-    nodes = s.read.parquet(f"{path}/data")
-    return nodes.select("id", "prediction", "impurity", "gain", "leftChild", "rightChild",
-                        F.col("split.featureIndex").alias("feature_index"),
-                        F.col("split.leftCategoriesOrThreshold").alias("threshold"),
-                        F.col("rawCount").alias("n") if "rawCount" in nodes.columns else F.lit(None).alias("n"))
-
-
 def glm_estimates(model, names: list[str]) -> DataFrame:
     """MOD-02: parameter-estimate table of a binomial GLM (coef, SE, z, p)."""
     est = model.stages[-1] if isinstance(model, PipelineModel) else model

@@ -554,6 +554,7 @@ def pair_features(spark, sf):
 from tessera.operators import cluster as clu  # noqa: E402
 from tessera.operators import models as mdl  # noqa: E402
 from tessera.operators import recommend as rec  # noqa: E402
+from tessera.operators import tree as entropy_tree  # noqa: E402
 from tessera.operators import twotower as tt  # noqa: E402
 from tessera.session import materialize, scratch_path  # noqa: E402
 
@@ -657,35 +658,32 @@ def mlp_scores(spark, sf):
                      F.lit(round(best_ll, 6)).alias("holdout_loss"))
 
 
-# SAS-style rare-event models on V5 (target: toxic)
-V5_INTERVAL = ["n_chars", "quality"]
-V5_NOMINAL = ["lang", "source"]
+# SAS-style rare-event models on V5 (target: toxic); depths, leaf sizes and the
+# seven variable subsets are fixed values
+V5_INTERVAL = ["n_chars", "next_chars", "quality"]
+V5_NOMINAL = ["lang", "next_lang", "source"]
 TREE_CONFIGS = {
     "tree1": (3, 4, V5_INTERVAL + V5_NOMINAL),
     "tree2": (5, 4, V5_INTERVAL + V5_NOMINAL),
     "tree3": (4, 4, V5_INTERVAL + V5_NOMINAL),
-    "tree4": (6, 3, V5_INTERVAL + V5_NOMINAL),
-    "tree5": (6, 4, ["quality", "lang", "source"]),
-    "tree6": (4, 4, ["n_chars"]),
-    "tree7": (4, 4, ["n_chars", "lang"]),
+    "tree4": (4, 3, V5_INTERVAL + V5_NOMINAL),
+    "tree5": (6, 4, ["quality", "lang", "next_lang", "source"]),
+    "tree6": (5, 4, ["n_chars", "next_chars", "quality", "lang"]),
+    "tree7": (4, 4, ["quality", "lang", "source"]),
 }
+TREE_BINS = 100
 
 
 def _v5_parts(spark, sf):
     """Training / validation partitions, written once: every fit in a sweep reads them."""
-    p = materialize(sampling.stratified_partition(V.risk_rows(spark, sf), "toxic", "doc_id", 0.7, 20161117))
+    p = materialize(sampling.stratified_partition(V.risk_inputs(spark, sf), "toxic", "doc_id", 0.7, 20161117))
     return p.filter("partition = 1"), p.filter("partition = 0")
 
 
-def _tree_pipeline(cols, depth, leaf):
-    nom = [c for c in cols if c in V5_NOMINAL]
-    idx = [mdl.StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetAsc",
-                             handleInvalid="keep") for c in nom]
-    imp, interval = mdl.impute_interval([c for c in cols if c not in V5_NOMINAL])
-    feats = interval + [f"{c}__idx" for c in nom]
-    est = mdl.make_estimator("dt", "toxic", impurity="entropy", maxDepth=depth,
-                             minInstancesPerNode=leaf, maxBins=64, seed=20161117)
-    return idx + imp + [mdl.assemble(feats)], est
+def _tree(train, name):
+    depth, leaf, cols = TREE_CONFIGS[name]
+    return entropy_tree.grow(train, "toxic", [c for c in cols if c in V5_INTERVAL], [c for c in cols if c in V5_NOMINAL],
+                             depth, leaf, TREE_BINS)
 
 
 @query("tree_sweep")
@@ -693,11 +691,9 @@ def tree_sweep(spark, sf):
     train, valid = _v5_parts(spark, sf)
     rows = []
     for name, (depth, leaf, cols) in TREE_CONFIGS.items():
-        stages, est = _tree_pipeline(cols, depth, leaf)
-        m, sc = mdl.fit_score(est, stages, train, valid, "dt")
-        a = mdl.auc(sc, "toxic", "score").first()["auc"]
-        rows.append((name, depth, leaf, len(cols), float(a) if a is not None else None,
-                     int(m.stages[-1].numNodes)))
+        tree = _tree(train, name)
+        a = mdl.auc(tree.score(valid), "toxic", "score").first()["auc"]
+        rows.append((name, depth, leaf, len(cols), round(float(a), 6) if a is not None else None, len(tree.nodes)))
     return spark.createDataFrame(rows, "config STRING, max_depth INT, min_leaf INT, n_inputs INT, "
                                        "auc DOUBLE, n_nodes INT")
 
@@ -705,10 +701,9 @@ def tree_sweep(spark, sf):
 @query("tree_nodes")
 def tree_nodes(spark, sf):
     train, _ = _v5_parts(spark, sf)
-    depth, leaf, cols = TREE_CONFIGS["tree2"]
-    stages, est = _tree_pipeline(cols, depth, leaf)
-    m, _ = mdl.fit_score(est, stages, train, train.limit(0), "dt")
-    return mdl.tree_nodes(m, scratch_path(spark, "models"))
+    t = _tree(train, "tree2").table(spark)
+    return t.select("node", "parent", "depth", "n", "n_event", r6("p_event").alias("p_event"), r6("entropy").alias("entropy"),
+                    "input", r6("cut").alias("cut"), "left_levels", "missing_to", r6("gain").alias("gain"))
 
 
 @query("logistic_estimates")
@@ -742,10 +737,9 @@ def model_metrics(spark, sf):
     training event rate as a probability (Q23)."""
     train, valid = _v5_parts(spark, sf)
     rate = train.agg(F.avg("toxic")).first()[0]
-    depth, leaf, cols = TREE_CONFIGS["tree5"]
-    stages, est = _tree_pipeline(cols, depth, leaf)
-    _, sc = mdl.fit_score(est, stages, train, valid, "dt")
-    return mdl.binary_metrics(sc, "toxic", "score", threshold=float(rate))
+    m = mdl.binary_metrics(_tree(train, "tree5").score(valid), "toxic", "score", threshold=float(rate))
+    return m.select("n", "tp", "fp", "tn", "fn", *[r6(c).alias(c) for c in (
+        "brier", "log_loss", "misclassification", "sensitivity", "specificity", "precision", "auc")])
 
 
 def _fixed_score(df):
@@ -763,14 +757,11 @@ def model_metrics_fixed(spark, sf):
 
 @query("persisted_scores")
 def persisted_scores(spark, sf):
-    """MOD-13: save the fitted pipeline, load it back, score the other partition."""
+    """MOD-13: save the fitted tree, load it back, score the other partition."""
     train, valid = _v5_parts(spark, sf)
-    depth, leaf, cols = TREE_CONFIGS["tree5"]
-    stages, est = _tree_pipeline(cols, depth, leaf)
-    m, _ = mdl.fit_score(est, stages, train, train.limit(0), "dt")
     path = scratch_path(spark, "models")
-    mdl.save_model(m, path)
-    return mdl.load_and_score(path, valid, "dt", "doc_id").select("doc_id", r6("score").alias("score"))
+    _tree(train, "tree5").save(spark, path)
+    return entropy_tree.EntropyTree.load(spark, path).score(valid).select("doc_id", "node", r6("score").alias("score"))
 
 
 def _v6_parts(spark, sf):

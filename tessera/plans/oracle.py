@@ -527,3 +527,111 @@ ORACLE["tail_split_orders"] = """
 SELECT CASE WHEN r <= floor(n * (1 - 0.1)) THEN 'train' ELSE 'valid' END AS split, count(*) AS n,
        min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
 FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS r, count(*) OVER () AS n FROM orders) GROUP BY 1"""
+
+
+# ------------------------------------------------ entropy trees (MOD-04..06)
+def _mass(n: str, k: str) -> str:
+    """n times the entropy of n rows with k events, in nats."""
+    return " + ".join(f"CASE WHEN {c} > 0 THEN -{c} * ln({c}::DOUBLE / {n}) ELSE 0 END" for c in (k, f"({n} - {k})"))
+
+
+def _tree_ctes(depth: int, leaf: int, interval: list[str], nominal: list[str], bins: int, p: str) -> str:
+    """CTEs of one tree grown by plain SQL over long rows (row, input, bin): ``{p}n0`` .. ``{p}n{depth}`` hold the
+    node of every row, ``{p}s0`` .. the splits, of each level."""
+    inputs = interval + nominal
+    long = []
+    for i, c in enumerate(inputs):
+        if c in interval:
+            at = (f"CASE WHEN {c} IS NOT NULL THEN CASE WHEN hi = lo THEN 0 ELSE "
+                  f"greatest(0, least({bins - 1}, floor(({c} - lo) / ((hi - lo) / {float(bins)})))) END END")
+            src = f"v5p, (SELECT min({c})::DOUBLE AS lo, max({c})::DOUBLE AS hi FROM v5p WHERE partition = 1)"
+            long.append(f"SELECT doc_id, partition, toxic, {i} AS i, CAST({at} AS INTEGER) AS b, "
+                        f"lo + (CAST({at} AS INTEGER) + 1) * ((hi - lo) / {float(bins)}) AS edge, NULL AS level FROM {src}")
+        else:
+            long.append(f"SELECT doc_id, partition, toxic, {i}, CAST(r AS INTEGER), NULL, {c} FROM v5p LEFT JOIN "
+                        f"(SELECT {c} AS lev, row_number() OVER (ORDER BY {c}) - 1 AS r FROM v5p "
+                        f"WHERE partition = 1 AND {c} IS NOT NULL GROUP BY {c}) ON lev = {c}")
+    out = [f"{p}l AS MATERIALIZED ({' UNION ALL '.join(long)})",
+           f"{p}n0 AS MATERIALIZED (SELECT doc_id, partition, toxic, 1::BIGINT AS node FROM v5p)"]
+    gain = (f"round((({_mass('tn', 'tk')}) - ({_mass('n', 'k')}) - ({_mass('(tn - n)', '(tk - k)')})) / tn / ln(2), 9)")
+    for d in range(depth):
+        out.append(f"""{p}h{d} AS MATERIALIZED (
+  SELECT node, i, b, any_value(edge) AS edge, any_value(level) AS level, count(*) AS n, sum(l.toxic) AS k
+  FROM {p}l l JOIN {p}n{d} USING (doc_id) WHERE l.partition = 1 GROUP BY node, i, b),
+{p}t{d} AS (SELECT node, count(*) AS tn, sum(toxic) AS tk FROM {p}n{d} WHERE partition = 1 GROUP BY node),
+{p}o{d} AS MATERIALIZED (
+  SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY node, i) AS m,
+    sum(n) OVER w AS cn, sum(k) OVER w AS ck, sum(n) OVER (PARTITION BY node, i) AS alln
+  FROM {p}h{d} WHERE b IS NOT NULL
+  WINDOW w AS (PARTITION BY node, i ORDER BY CASE WHEN i >= {len(interval)} THEN k::DOUBLE / n ELSE 0 END, b
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+{p}c{d} AS (
+  SELECT o.node, o.i, o.pos, o.b, o.edge, cn >= alln - cn AS miss_left, tn, tk,
+    cn + CASE WHEN cn >= alln - cn THEN coalesce(g.n, 0) ELSE 0 END AS n,
+    ck + CASE WHEN cn >= alln - cn THEN coalesce(g.k, 0) ELSE 0 END AS k
+  FROM {p}o{d} o JOIN {p}t{d} USING (node) LEFT JOIN {p}h{d} g ON g.node = o.node AND g.i = o.i AND g.b IS NULL
+  WHERE o.pos < o.m AND tk > 0 AND tk < tn AND o.node >= {2 ** d}),
+{p}s{d} AS MATERIALIZED (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, i, pos) AS r
+                 FROM (SELECT *, {gain} AS gain FROM {p}c{d}) WHERE gain > 0 AND least(n, tn - n) >= {leaf}) WHERE r = 1),
+{p}n{d + 1} AS MATERIALIZED (
+  SELECT x.doc_id, x.partition, x.toxic, CASE WHEN s.node IS NULL THEN x.node ELSE 2 * x.node + CASE WHEN
+    CASE WHEN l.b IS NULL OR (s.i >= {len(interval)} AND o.pos IS NULL) THEN s.miss_left
+         WHEN s.i >= {len(interval)} THEN o.pos <= s.pos ELSE l.b <= s.b END THEN 0 ELSE 1 END END AS node
+  FROM {p}n{d} x LEFT JOIN {p}s{d} s USING (node)
+  LEFT JOIN {p}l l ON l.doc_id = x.doc_id AND l.i = s.i
+  LEFT JOIN {p}o{d} o ON o.node = x.node AND o.i = s.i AND o.b = l.b)""")
+    every = " UNION ".join(f"SELECT node, doc_id, toxic FROM {p}n{d} WHERE partition = 1" for d in range(depth + 1))
+    out.append(f"{p}every AS MATERIALIZED (SELECT node, count(*) AS n, sum(toxic)::BIGINT AS n_event FROM ({every}) GROUP BY node)")
+    out.append(f"{p}scored AS MATERIALIZED (SELECT doc_id, x.partition, toxic, node, n_event::DOUBLE / n AS score "
+               f"FROM {p}n{depth} x JOIN {p}every USING (node))")
+    return ",\n".join(out)
+
+
+def _catalog_trees() -> None:
+    from tessera.plans import catalog as C
+    v5p = f"""v5n AS (SELECT a.*, b.n_chars AS next_chars, b.lang AS next_lang FROM v5 a LEFT JOIN v5 b ON b.doc_id = a.doc_id + 1),
+v5p AS MATERIALIZED (SELECT *, CASE WHEN row_number() OVER (PARTITION BY toxic ORDER BY {sql_hash32(20161117, 'doc_id')}, doc_id)
+            <= ceil(count(*) OVER (PARTITION BY toxic) * 0.7) THEN 1 ELSE 0 END AS partition FROM v5n)"""
+
+    def ctes(name: str) -> tuple[str, int, list[str]]:
+        depth, leaf, cols = C.TREE_CONFIGS[name]
+        own = [c for c in cols if c in C.V5_INTERVAL], [c for c in cols if c in C.V5_NOMINAL]
+        return _tree_ctes(depth, leaf, *own, C.TREE_BINS, name), depth, own[0] + own[1]
+
+    text, depth, inputs = ctes("tree2")
+    names = "[" + ", ".join(f"'{c}'" for c in inputs) + "]"
+    splits = " UNION ALL ".join(f"""SELECT s.node, s.i, s.edge, s.miss_left, s.gain,
+  (SELECT string_agg(level, ',' ORDER BY b) FROM tree2o{d} o WHERE o.node = s.node AND o.i = s.i AND o.pos <= s.pos) AS levels
+  FROM tree2s{d} s""" for d in range(depth))
+    bits = f"({_mass('n', 'n_event')}) / n / ln(2)"
+    ORACLE["tree_nodes"] = with_(V5, v5p, text) + f""",
+sp AS ({splits})
+SELECT e.node, CASE WHEN e.node > 1 THEN e.node // 2 END AS parent, CAST(floor(log2(e.node)) AS INTEGER) AS depth, n, n_event,
+  round(n_event::DOUBLE / n, 6) AS p_event, round({bits}, 6) AS entropy, {names}[i + 1] AS input, round(edge, 6) AS cut,
+  CASE WHEN i >= {sum(c in C.V5_INTERVAL for c in inputs)} THEN levels END AS left_levels,
+  CASE WHEN miss_left THEN 'left' WHEN NOT miss_left THEN 'right' END AS missing_to, round(gain, 6) AS gain
+FROM tree2every e LEFT JOIN sp USING (node)"""
+    pairs = "(SELECT avg(CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END) FROM {t}scored a " \
+            "JOIN {t}scored b ON a.toxic = 1 AND b.toxic = 0 AND a.partition = 0 AND b.partition = 0)"
+    ORACLE["tree_sweep"] = with_(V5, v5p, *[ctes(t)[0] for t in C.TREE_CONFIGS]) + " UNION ALL ".join(
+        f"SELECT '{t}' AS config, {d} AS max_depth, {leaf} AS min_leaf, {len(cols)} AS n_inputs, round({pairs.format(t=t)}, 6) AS auc, "
+        f"(SELECT count(*) FROM {t}every)::INTEGER AS n_nodes" for t, (d, leaf, cols) in C.TREE_CONFIGS.items())
+    text = ctes("tree5")[0]
+    ORACLE["persisted_scores"] = with_(V5, v5p, text) + "SELECT doc_id, node, round(score, 6) AS score FROM tree5scored WHERE partition = 0"
+    ORACLE["model_metrics"] = with_(V5, v5p, text) + f""",
+s AS (SELECT toxic AS y, score AS p, (SELECT avg(toxic) FROM v5p WHERE partition = 1) AS cut FROM tree5scored WHERE partition = 0),
+c AS (SELECT count(*) AS n,
+        count(*) FILTER (WHERE p >= cut AND y = 1) AS tp, count(*) FILTER (WHERE p >= cut AND y = 0) AS fp,
+        count(*) FILTER (WHERE p < cut AND y = 0) AS tn, count(*) FILTER (WHERE p < cut AND y = 1) AS fn,
+        avg((p - y) * (p - y)) AS brier,
+        -avg(y * ln(least(greatest(p, 1e-15), 1 - 1e-15)) + (1 - y) * ln(1 - least(greatest(p, 1e-15), 1 - 1e-15))) AS log_loss
+      FROM s)
+SELECT n, tp, fp, tn, fn, round(brier, 6) AS brier, round(log_loss, 6) AS log_loss,
+       round((fp + fn) / n, 6) AS misclassification,
+       round(tp / nullif(tp + fn, 0), 6) AS sensitivity, round(tn / nullif(tn + fp, 0), 6) AS specificity,
+       round(tp / nullif(tp + fp, 0), 6) AS precision, round({pairs.format(t='tree5')}, 6) AS auc
+FROM c"""
+
+
+_catalog_trees()

@@ -153,6 +153,14 @@ def risk_rows(spark: SparkSession, sf: str) -> DataFrame:
     return d.join(lab, "doc_id")
 
 
+def risk_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    """V5 with two inputs that have gaps: length and language of the next document,
+    missing where that one has no label."""
+    v = risk_rows(spark, sf)
+    after = v.select((F.col("doc_id") - 1).alias("doc_id"), F.col("n_chars").alias("next_chars"), F.col("lang").alias("next_lang"))
+    return v.join(after, "doc_id", "left")
+
+
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
     """V6: embedding vectors (vec_id, embedding array<float>, label)."""
     return load(spark, sf, "embeddings", ["vec_id", "embedding", "label"])

@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import cluster as clu
 from tessera.operators import models as mdl
@@ -76,12 +75,3 @@ def test_als_grid_smoke(spark):
     g = rec.als_grid(train, pos, neg, "user_id", "item_id", "plays", [2], [1.0], [0.1, 1.0], max_iter=3)
     assert g.count() == 2
     assert rec.best_params(g).count() == 1
-
-
-def test_tree_with_missing_interval_values(spark):
-    """Interval NULLs are median-imputed, so the tree fits and scores every row."""
-    rows = [(i, None if i % 10 == 0 else float(i % 2) * 5 + 1, i % 2) for i in range(100)]
-    df = spark.createDataFrame(rows, "id INT, x DOUBLE, y INT")
-    imp, cols = mdl.impute_interval(["x"])
-    m, sc = mdl.fit_score(mdl.make_estimator("dt", "y", maxDepth=2), imp + [mdl.assemble(cols)], df, df, "dt")
-    assert sc.filter(F.col("score").isNull()).count() == 0 and sc.count() == 100
