@@ -1,18 +1,22 @@
 """Text-pair features (STR-*, MTH-01/02, SET-01/03, PRJ-03/05, FLT-04,
 FEA-01..06, JN-03).
 
-The reference runs seven Python UDFs per row; here every feature is a native
-expression in one projection (tokens computed once per text and reused), and
-TF-IDF is computed in exploded relational form (FEA-05): no vocabulary is
+The reference runs seven Python UDFs per row; here every feature but the edit
+distance is a native expression in one projection (tokens computed once per text
+and reused), lemmas come from a dictionary joined per distinct token, and TF-IDF is computed in exploded relational form (FEA-05): no vocabulary is
 collected to the driver, no vector self-join, no vocabulary cap.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.session import cpu_partitions, materialize, per_group
+from tessera.sources.delimited import read_delimited
 
 FEATURES = ["lWCount1", "lWCount2", "qWCount1", "qWCount2", "lLen1", "lLen2", "qLen1", "qLen2",
             "lWCount_ratio", "qWCount_ratio", "lLen_ratio", "qLen_ratio",
@@ -54,21 +58,67 @@ def split_unlabelled(df: DataFrame, id_col: str = "id") -> tuple[DataFrame, Data
     return lab, unl
 
 
-def with_tokens(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Token arrays computed once per text (reused by every feature)."""
-    return df.withColumns({
-        "lemma_tok1": T.lemma_tokens(F.col(a)), "lemma_tok2": T.lemma_tokens(F.col(b)),
+def lemma_exceptions(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """STR-04: the lemma dictionary (surface, tag n or v, lemma), one row a (surface, tag).
+
+    ``path`` is tab-separated text with a header, on storage that all executors see; without
+    one, a small list of irregular English forms that comes with the package.
+    """
+    schema = "surface STRING, tag STRING, lemma STRING"
+    if path:
+        table = read_delimited(spark, path, schema, sep="\t", header=True)
+    else:
+        lines = Path(__file__).parents[1].joinpath("functions", "lemma_exceptions.tsv").read_text().splitlines()
+        table = spark.createDataFrame([tuple(x.split("\t")) for x in lines[1:]], schema)
+    return table.filter("surface is not null and lemma is not null").groupBy("surface", "tag").agg(F.min("lemma").alias("lemma"))
+
+
+def lemma_table(tokens: DataFrame, exceptions: DataFrame) -> DataFrame:
+    """(token, lemma) of distinct tokens: looked up as a noun, the result as a verb; what the
+    dictionary does not list goes by the suffix rules."""
+    def listed(tag: str, key: str, value: str) -> DataFrame:
+        return exceptions.filter(F.col("tag") == tag).select(F.col("surface").alias(key), F.col("lemma").alias(value))
+    noun = tokens.join(listed("n", "token", "__n"), "token", "left").select(
+        "token", F.coalesce("__n", T.noun_rules(F.col("token"))).alias("__noun"))
+    return noun.join(listed("v", "__noun", "__v"), "__noun", "left").select(
+        "token", F.coalesce("__v", T.verb_rules(F.col("__noun"))).alias("lemma"))
+
+
+def with_lemmas(df: DataFrame, id_col: str, names: dict[str, str], exceptions: DataFrame) -> DataFrame:
+    """``df`` with the lemma arrays ``names[c]`` of its token arrays ``c``; ``id_col`` is unique.
+
+    The dictionary is joined once per distinct token.  Tokens whose lemma is not what the rules
+    give are then few; each text gets those of its own as a small map, so the texts themselves
+    are neither exploded in order nor gathered again.
+    """
+    tokens = F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in names])
+    distinct = df.select(F.explode(tokens).alias("token")).distinct()
+    rules = T.verb_rules(F.col("__r"))
+    found = lemma_table(distinct, exceptions).withColumn("__r", T.noun_rules(F.col("token")))
+    hits = per_group(found.filter(F.col("lemma") != rules).select("token", "lemma"))
+    own = df.select(id_col, F.explode(F.array_distinct(tokens)).alias("token")).join(hits, "token").groupBy(id_col).agg(
+        F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("__listed"))     # at most one per dictionary entry
+    out = df.join(own, id_col, "left")
+    return out.withColumns({new: T.lemma_by_rules(F.col(c), F.col("__listed")) for c, new in names.items()}).drop("__listed")
+
+
+def with_tokens(df: DataFrame, a: str, b: str, id_col: str = "id", exceptions: DataFrame | None = None) -> DataFrame:
+    """Token arrays computed once per text (reused by every feature): the content tokens are
+    written once, as the dictionary join reads them several times."""
+    kept = materialize(df.withColumns({"__c1": T.content_tokens(F.col(a)), "__c2": T.content_tokens(F.col(b))}))
+    lemmas = with_lemmas(kept, id_col, {"__c1": "lemma_tok1", "__c2": "lemma_tok2"},
+                         exceptions or lemma_exceptions(df.sparkSession)).drop("__c1", "__c2")
+    return lemmas.withColumns({
         "q_tok1": T.clean_tokens(F.col(a)), "q_tok2": T.clean_tokens(F.col(b)),
-    }).withColumns({
         "lemma1": F.array_join("lemma_tok1", " "), "lemma2": F.array_join("lemma_tok2", " "),
     }).withColumns({
         "l_tok1": T.clean_tokens(F.col("lemma1")), "l_tok2": T.clean_tokens(F.col("lemma2")),
     })
 
 
-def pair_features(df: DataFrame, a: str = "q1", b: str = "q2") -> DataFrame:
+def pair_features(df: DataFrame, a: str = "q1", b: str = "q2", id_col: str = "id") -> DataFrame:
     """FEA-06 without the TF-IDF column: the 22 row-local features."""
-    t = with_tokens(df, a, b)
+    t = with_tokens(df, a, b, id_col).repartition(cpu_partitions(df.sparkSession), id_col)
     qa, qb, la, lb = F.col(a), F.col(b), F.col("lemma1"), F.col("lemma2")
     t = t.withColumns({
         "lWCount1": T.word_count(la), "lWCount2": T.word_count(lb),

@@ -547,7 +547,7 @@ def feature_table(spark, sf):
 
 @query("pair_features")
 def pair_features(spark, sf):
-    return feature_table(spark, sf)
+    return feature_table(spark, sf).withColumn("tfidfDistance", r6("tfidfDistance"))
 
 
 # --------------------------------------------- models / clustering / recommender
@@ -607,8 +607,9 @@ def feature_importance(spark, sf):
 
 
 def _v6_tokens(spark, sf):
+    from tessera.functions.text import clean_tokens
     p = pairs(spark, sf)
-    return p, tp.with_tokens(p, "q1", "q2").select("id", "q_tok1", "q_tok2")
+    return p, p.select("id", clean_tokens(F.col("q1")).alias("q_tok1"), clean_tokens(F.col("q2")).alias("q_tok2"))
 
 
 @query("two_tower_features")

@@ -6,6 +6,8 @@ from the same constants as :mod:`tessera.plans.views`.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from tessera.functions.hashing import TWO_32, cumulative_cutoffs, sql_hash32
 from tessera.plans import views as V
 
@@ -371,22 +373,29 @@ def _words(s: str) -> str:
     return f"list_filter(regexp_split_to_array({s}, '\\s+'), lambda x: x <> '')"
 
 
-def _rules(x: str, rules) -> str:
-    whens = " ".join(
-        f"WHEN regexp_matches({x}, '{pat}') AND length({x}) >= {mn} "
-        f"THEN substr({x}, 1, length({x}) - {drop}) || '{app}'"
-        for pat, mn, drop, app in rules)
-    return f"(CASE {whens} ELSE {x} END)"
+# What the lemma step should do, told in SQL on its own: dictionary, else suffix rules; noun, then verb.
+_DOUBLE = "(" + "|".join(c + c for c in "bdgkmnprt") + ")"
+_NOUN = """CASE WHEN suffix(x, 'ies') AND length(x) > 4 THEN x[:-4] || 'y'
+  WHEN suffix(x, 'sses') AND length(x) > 4 THEN x[:-3]
+  WHEN (suffix(x, 'ches') OR suffix(x, 'shes') OR suffix(x, 'xes') OR suffix(x, 'zes')) AND length(x) > 4 THEN x[:-3]
+  WHEN suffix(x, 's') AND length(x) > 3 AND NOT (suffix(x, 'ss') OR suffix(x, 'us') OR suffix(x, 'is')) THEN x[:-2] ELSE x END"""
+_VERB = f"""CASE WHEN length(y) > 6 AND regexp_matches(y, '{_DOUBLE}ing$') THEN y[:-5]
+  WHEN length(y) > 5 AND suffix(y, 'ing') THEN y[:-4]
+  WHEN length(y) > 5 AND regexp_matches(y, '{_DOUBLE}ed$') THEN y[:-4]
+  WHEN length(y) > 4 AND suffix(y, 'ed') THEN y[:-3] ELSE y END"""
+_STOPS = _q(TX.STOP_WORDS_EN)      # the same fixed list
+_LISTED = [x.split("\t") for x in Path(TX.__file__).with_name("lemma_exceptions.tsv").read_text().splitlines()[1:]]
 
 
-_STOPS = _q(TX.STOP_WORDS_EN)
+def _dictionary(tag: str) -> str:
+    return "MAP {" + ", ".join(f"'{w}': '{lem}'" for w, t, lem in _LISTED if t == tag) + "}"
 
 
 def _lemma_tokens(s: str) -> str:
     kept = (f"list_filter({_words(f'lower({s})')}, lambda x: regexp_full_match(x, '\\p{{L}}+') "
             f"AND NOT list_contains([{_STOPS}], x))")
-    return f"list_transform(list_transform({kept}, lambda x: {_rules('x', TX.NOUN_RULES)}), " \
-           f"lambda y: {_rules('y', TX.VERB_RULES)})"
+    return f"list_transform(list_transform({kept}, lambda x: coalesce({_dictionary('n')}[x], {_NOUN})), " \
+           f"lambda y: coalesce({_dictionary('v')}[y], {_VERB}))"
 
 
 def _clean_tokens(s: str) -> str:
@@ -453,6 +462,18 @@ FROM j LEFT JOIN ca ON ca.k = corpus_key LEFT JOIN cb ON cb.k = corpus_key
 GROUP BY corpus_key, ca.n, cb.n"""
 
 
+# DuckDB's levenshtein counts bytes: every other character of the corpus is put in the place of an ASCII one that
+# no text has, so a character is a byte.
+_BYTES = """used AS MATERIALIZED (SELECT DISTINCT unnest(string_split(q1 || q2 || lemma1 || lemma2, '')) AS c FROM tk2),
+wide AS (SELECT c, row_number() OVER (ORDER BY c) AS r FROM used WHERE octet_length(encode(c)) > 1),
+free AS (SELECT chr(i::INTEGER) AS c, row_number() OVER (ORDER BY i) AS r FROM (SELECT unnest(range(1, 128)) AS i) WHERE chr(i::INTEGER) NOT IN (SELECT c FROM used)),
+put AS (SELECT string_agg(wide.c, '' ORDER BY wide.r) AS old, string_agg(free.c, '' ORDER BY wide.r) AS new FROM wide JOIN free USING (r)),
+lev AS (SELECT id, levenshtein(translate(lemma1, old, new), translate(lemma2, old, new)) AS lemma_leven,
+               levenshtein(translate(q1, old, new), translate(q2, old, new)) AS question_leven FROM tk2, put)"""
+ORACLE["pair_levenshtein"] = with_(V2, TOK, _BYTES) + """
+SELECT id, CAST(lemma_leven AS INTEGER) AS lemma_leven, CAST(question_leven AS INTEGER) AS question_leven FROM lev"""
+
+
 def _tfidf(corpus: str) -> str:
     if corpus == "union":
         docs = """docs AS (SELECT lemma_tok1 AS words, 1 AS w FROM tk UNION ALL SELECT lemma_tok2, 1 FROM tk)"""
@@ -474,6 +495,14 @@ SELECT tk.id, round(coalesce(dd, 0.0), 6) AS tfidfDistance FROM tk LEFT JOIN dis
 
 
 ORACLE["pair_tfidf_distance"] = _tfidf("union")
+ORACLE["pair_features"] = with_(V2, TOK, _BYTES) + f""",
+counts AS ({ORACLE["pair_counts"].split(TOK)[1]}),
+ratios AS ({ORACLE["pair_ratios"].split(TOK)[1]}),
+grams AS ({ORACLE["pair_ngrams"].split(TOK)[1]}),
+td AS (WITH {_tfidf("union").split(TOK)[1].lstrip("\n,")})
+SELECT counts.*, ratios.* EXCLUDE (id), grams.* EXCLUDE (id), td.tfidfDistance, CAST(lemma_leven AS INTEGER) AS lemma_leven,
+  CAST(question_leven AS INTEGER) AS question_leven, is_duplicate, split
+FROM counts JOIN ratios USING (id) JOIN grams USING (id) JOIN td USING (id) JOIN lev USING (id) JOIN v2 USING (id)"""
 ORACLE["pair_tfidf_full_join"] = _tfidf("full_join")
 
 

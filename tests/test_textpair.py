@@ -49,13 +49,13 @@ def test_tokens_hand_fixture(spark):
         [(1, "", "A  b"), (2, "Spark? is great", "don_t été"), (3, "The boxes were running", "x")],
         "id INT, a STRING, b STRING")
     out = {r.id: r for r in df.select(
-        "id", T.lemma_tokens(F.col("a")).alias("la"), T.clean_tokens(F.col("b")).alias("cb"),
+        "id", T.lemma_by_rules(T.content_tokens(F.col("a"))).alias("la"), T.clean_tokens(F.col("b")).alias("cb"),
         T.word_count(F.col("b")).alias("wb")).collect()}
     assert out[1].la == []                 # empty text → no tokens (Q9 default)
     assert out[1].cb == ["a", "b"] and out[1].wb == 2
     assert out[2].la == ["great"]          # 'spark?' dropped whole (Q8), 'is' stop word
     assert out[2].cb == ["dont", "été"]    # underscore stripped, accents kept (STR-07)
-    assert out[3].la == ["box", "runn"]    # rule lemmas: noun then verb suffix rules
+    assert out[3].la == ["box", "run"]     # rule lemmas: noun then verb suffix rules
 
 
 def test_ngrams_guard(spark):
@@ -106,3 +106,26 @@ def test_edit_distance_udf_matches_builtin(spark):
     r = df.select(T.edit_distance(F.col("a"), F.col("b")).alias("u"),
                   F.levenshtein("a", "b").alias("v")).collect()
     assert [x.u for x in r] == [x.v for x in r] == [3, 2, None, 3]
+
+
+def test_lemma_dictionary(spark, tmp_path):
+    """Dictionary before rules, noun before verb, once per token; 'running' is 'run'."""
+    words = "running stopped children went making geese boxes thing falling added was wolves"
+    df = spark.createDataFrame([(1, words, "nothing listed here"), (2, "", "Children children"), (3, None, "x")],
+                               "id INT, q1 STRING, q2 STRING")
+    got = {r.id: r for r in tp.with_tokens(df, "q1", "q2").collect()}
+    assert got[1].lemma_tok1 == ["run", "stop", "child", "go", "make", "goose", "box", "thing", "fall", "add", "wolf"]
+    assert got[2].lemma_tok1 == [] and got[2].lemma_tok2 == ["child", "child"] and got[3].lemma_tok1 is None
+    own = tmp_path / "own.tsv"
+    own.write_text("surface\ttag\tlemma\nrunning\tv\tdash\nboxes\tn\tcrate\ncrate\tv\tpack\n\tn\tx\nboxes\tn\tzoo\n")
+    mine = tp.with_tokens(df, "q1", "q2", exceptions=tp.lemma_exceptions(spark, str(own))).filter("id = 1").first()
+    assert mine.lemma_tok1[0] == "dash" and mine.lemma_tok1[6] == "pack" and mine.lemma_tok1[2] == "children"
+
+
+def test_lemma_table_joins_distinct_tokens(spark):
+    """A token that fills a third of all texts is looked up once."""
+    df = spark.createDataFrame([(i, ["went"] * 50 + [f"w{i}"], ["x"]) for i in range(300)], "id INT, a ARRAY<STRING>, b ARRAY<STRING>")
+    out = tp.with_lemmas(df, "id", {"a": "la", "b": "lb"}, tp.lemma_exceptions(spark))
+    assert out.filter("size(filter(la, x -> x = 'go')) = 50 AND lb = array('x')").count() == 300
+    table = tp.lemma_table(spark.createDataFrame([("went",), ("geese",), ("zzz",)], "token STRING"), tp.lemma_exceptions(spark))
+    assert {r.token: r.lemma for r in table.collect()} == {"went": "go", "geese": "goose", "zzz": "zzz"}
