@@ -2,10 +2,9 @@
 log-rank and Cox proportional hazards (Efron ties).
 
 Every operator first collapses subjects to (stratum, group, time) counts with
-a partial aggregation, so all windows run over *distinct times* of a group —
-bounded by the time domain, never by the number of subjects, even when one
-stratum holds a third of all rows.  All strata and groups are computed in one
-plan (no per-stratum loop).  The Cox Newton loop runs one aggregation per
+a partial aggregation, so running sums go over *distinct times* of a group, and
+:mod:`scan` runs them range by range where there are many, stratum or not.  All
+strata and groups are computed in one plan (no per-stratum loop).  The Cox Newton loop runs one aggregation per
 iteration over collapsed (stratum, time, covariate pattern) counts that are
 checkpointed once; the driver only sees p + p² numbers per stratum.
 """
@@ -20,6 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import stats
+from tessera.operators.models import levels_of
+from tessera.operators.scan import dense_rank, ordered, running
 from tessera.session import materialize
 
 Z975 = 1.959963984540054
@@ -46,20 +47,15 @@ def kaplan_meier(df: DataFrame, time: str, event: str, group: str | None = None,
     d = n makes S = 0 from there on (tracked by a zero counter).
     """
     keys = _keys(stratum, group)
-    c = collapse(df, time, event, keys)
-    rev = (Window.partitionBy(*keys).orderBy(F.col(time).desc())
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    fwd = (Window.partitionBy(*keys).orderBy(F.col(time).asc())
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    c = c.withColumn("n_risk", F.sum("n_obs").over(rev))
+    c = ordered(collapse(df, time, event, keys), keys, time)
+    c = running(c, keys, time, {"n_risk": ("sum", "n_obs")}, descending=True)
     d, n = F.col("n_event"), F.col("n_risk")
     c = c.withColumns({
         "__log": F.when(d < n, F.log1p(-d / n)).otherwise(F.lit(0.0)),
         "__zero": F.when(d >= n, 1).otherwise(0),
         "__gw": F.when(d < n, d / (n * (n - d))).otherwise(F.lit(0.0)),
     })
-    c = c.withColumns({"__slog": F.sum("__log").over(fwd), "__nz": F.sum("__zero").over(fwd),
-                       "__sgw": F.sum("__gw").over(fwd)})
+    c = running(c, keys, time, {"__slog": ("sum", "__log"), "__nz": ("sum", "__zero"), "__sgw": ("sum", "__gw")})
     surv = F.when(F.col("__nz") > 0, F.lit(0.0)).otherwise(F.exp("__slog"))
     c = c.withColumn("surv", surv)
     se_log = F.sqrt("__sgw")
@@ -141,12 +137,13 @@ def logrank_terms(df: DataFrame, time: str, event: str, group: str,
     sk = [stratum] if stratum else []
     c = collapse(df, time, event, sk + [group])
     times = c.select(*sk, time).distinct()
-    groups = c.select(*sk, group).distinct()
-    grid = (times.join(groups, sk) if sk else times.crossJoin(groups))
+    if sk:
+        grid = times.join(c.select(*sk, group).distinct(), sk)
+    else:       # the levels of one factor, bounded
+        known = F.array(*[F.lit(v) for v in levels_of(c, [group])[group]])
+        grid = times.withColumn(group, F.explode(known))
     g = grid.join(c, sk + [group, time], "left").na.fill(0, ["n_event", "n_censor", "n_obs"])
-    rev = (Window.partitionBy(*sk, group).orderBy(F.col(time).desc())
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    g = g.withColumn("n_g", F.sum("n_obs").over(rev))
+    g = running(ordered(g, [*sk, group], time), [*sk, group], time, {"n_g": ("sum", "n_obs")}, descending=True)
     at_t = Window.partitionBy(*sk, time)
     g = g.withColumns({"n_t": F.sum("n_g").over(at_t), "d_t": F.sum("n_event").over(at_t)})
     g = g.filter(F.col("d_t") > 0)
@@ -205,13 +202,10 @@ def curve_crossings(km: DataFrame, time: str, group: str, a, b, stratum: str | N
     sa = km.filter(F.col(group) == a).select(*sk, time, F.col("surv").alias("sa"))
     sb = km.filter(F.col(group) == b).select(*sk, time, F.col("surv").alias("sb"))
     j = sa.join(sb, sk + [time], "full")
-    w = Window.partitionBy(*sk).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-    j = j.withColumns({"sa": F.coalesce(F.last("sa", True).over(w), F.lit(1.0)),
-                       "sb": F.coalesce(F.last("sb", True).over(w), F.lit(1.0))})
-    j = j.withColumn("__sign", F.signum(F.round(F.col("sa") - F.col("sb"), 12)))
-    nz = j.filter(F.col("__sign") != 0)
-    w2 = Window.partitionBy(*sk).orderBy(time)
-    nz = nz.withColumn("__prev", F.lag("__sign").over(w2))
+    j = running(ordered(j, sk, time), sk, time, {"__sa": ("last", "sa"), "__sb": ("last", "sb")})
+    gap = F.coalesce("__sa", F.lit(1.0)) - F.coalesce("__sb", F.lit(1.0))
+    nz = j.withColumn("__sign", F.signum(F.round(gap, 12))).filter(F.col("__sign") != 0)
+    nz = running(nz, sk, time, {"__prev": ("last", "__sign")}, own=False)
     cross = nz.filter(F.col("__prev").isNotNull() & (F.col("__prev") != F.col("__sign")))
     base = km.select(*sk).distinct() if sk else km.sparkSession.range(1).select()
     agg = cross.groupBy(*sk).agg(F.count(F.lit(1)).alias("n_crossings"),
@@ -229,7 +223,7 @@ def design(df: DataFrame, factors: list[str], interactions: list[tuple[str, str]
     cols, exprs = [], {}
     dummies = {}
     for f in factors:
-        lv = levels.get(f) or sorted(r[0] for r in df.select(f).distinct().collect() if r[0] is not None)
+        lv = levels.get(f) or levels_of(df, [f])[f]
         dummies[f] = []
         for v in lv[1:]:
             name = f"{f}_{v}"
@@ -280,11 +274,9 @@ def _cox_pass(coll: DataFrame, sk: list[str], xs: list[str], beta: DataFrame, ti
     for i, k in pairs:
         a[f"__A2_{i}_{k}"] = F.sum(F.col("n_obs") * F.col("__w") * F.col(xs[i]) * F.col(xs[k]))
         a[f"__E2_{i}_{k}"] = F.sum(F.col("n_event") * F.col("__w") * F.col(xs[i]) * F.col(xs[k]))
-    t = j.groupBy(*sk, time).agg(*[v.alias(k) for k, v in a.items()])
-    rev = (Window.partitionBy(*sk).orderBy(F.col(time).desc())
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    t = j.groupBy(*sk, time, *[c for c in coll.columns if c == "__range"]).agg(*[v.alias(k) for k, v in a.items()])
     s_cols = ["__A0"] + [f"__A1_{i}" for i in range(p)] + [f"__A2_{i}_{k}" for i, k in pairs]
-    t = t.withColumns({c.replace("__A", "__S"): F.sum(c).over(rev) for c in s_cols})
+    t = running(t, sk, time, {c.replace("__A", "__S"): ("sum", c) for c in s_cols}, descending=True)
     t = t.filter(F.col("__d") > 0)
     t = _tied(t, "__d", [*sk, time])
     f = F.col("__l") / F.col("__d")
@@ -320,8 +312,8 @@ def cox_ph(df: DataFrame, time: str, event: str, xs: list[str], stratum: str | N
         df = df.withColumn(stratum, F.col(stratum).cast("string"))
     p = len(xs)
     pairs = list(combinations_with_replacement(range(p), 2))
-    coll = materialize(df.groupBy(*sk, time, *xs).agg(
-        F.sum(F.col(event).cast("long")).alias("n_event"), F.count(F.lit(1)).alias("n_obs")))
+    coll = ordered(df.groupBy(*sk, time, *xs).agg(
+        F.sum(F.col(event).cast("long")).alias("n_event"), F.count(F.lit(1)).alias("n_obs")), sk, time)
     # aliased columns: constant within a stratum
     var = coll.groupBy(*sk).agg(*[(F.max(x) - F.min(x)).alias(x) for x in xs]).limit(MAX_STRATA + 1).collect()
     if len(var) > MAX_STRATA:
@@ -426,16 +418,12 @@ def cox_curve(df: DataFrame, time: str, event: str, xs: list[str], coefs: DataFr
     t = j.groupBy(*sk, time).agg(F.sum(F.col("n_obs") * F.col("__w")).alias("__A0"),
                                  F.sum(F.col("n_event") * F.col("__w")).alias("__E0"),
                                  F.sum("n_event").alias("n_event"), F.sum("n_obs").alias("__m"))
-    rev = (Window.partitionBy(*sk).orderBy(F.col(time).desc())
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    t = t.withColumns({"__S0": F.sum("__A0").over(rev), "n_risk": F.sum("__m").over(rev)})
+    t = running(ordered(t, sk, time), sk, time, {"__S0": ("sum", "__A0"), "n_risk": ("sum", "__m")}, descending=True)
     ev = _tied(t.filter(F.col("n_event") > 0), "n_event", [*sk, time])
     dh = ev.groupBy(*sk, time).agg(
         F.sum(1.0 / (F.col("__S0") - F.col("__l") / F.col("n_event") * F.col("__E0"))).alias("__dh"))
     t = t.join(dh, sk + [time], "left")
-    fwd = (Window.partitionBy(*sk).orderBy(F.col(time).asc())
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    t = t.withColumn("cumhaz", F.sum(F.coalesce("__dh", F.lit(0.0))).over(fwd))
+    t = running(t.withColumn("__dh", F.coalesce("__dh", F.lit(0.0))), sk, time, {"cumhaz": ("sum", "__dh")})
     return t.select(*sk, time, "n_risk", "n_event", "cumhaz", F.exp(-F.col("cumhaz")).alias("surv"))
 
 
@@ -462,9 +450,7 @@ def concordance(df: DataFrame, time: str, event: str, xs: list[str], coefs: Data
     c = (j.withColumn("__r", F.round(r, 12)).groupBy(*sk, time, "__r")
          .agg(F.sum(F.col(event).cast("long")).alias("__d"),
               F.sum((1 - F.col(event)).cast("long")).alias("__c"), F.count(F.lit(1)).alias("__m")))
-    rank = F.dense_rank().over(Window.partitionBy(*sk).orderBy("__r")) - 1
-    pats = c.select(*sk, "__r").distinct().withColumn("__k", rank.cast("long"))
-    c = materialize(c.join(pats, [*sk, "__r"]))
+    c = materialize(c.join(dense_rank(c.select(*sk, "__r").distinct(), sk, "__r", "__k"), [*sk, "__r"]))
     most = c.agg(F.max("__k")).first()[0] or 0
     bits = F.explode(F.sequence(F.lit(-1), F.lit(int(most).bit_length() - 1)) if most else F.array(F.lit(-1)))
     g = c.select("*", bits.alias("__bit"))
@@ -474,9 +460,9 @@ def concordance(df: DataFrame, time: str, event: str, xs: list[str], coefs: Data
                        "__one": ~tied & one})
     sums = {f"{v}{x}": F.sum(F.when(F.col("__one") == bool(x), F.col(v)).otherwise(0)) for v in ("__d", "__c", "__m") for x in (0, 1)}
     g = g.groupBy(*sk, "__bit", "__prefix", time).agg(*[v.alias(k) for k, v in sums.items()])
-    later = (Window.partitionBy(*sk, "__bit", "__prefix").orderBy(F.col(time).desc())
-             .rowsBetween(Window.unboundedPreceding, -1))
-    after = {x: F.coalesce(F.sum(f"__m{x}").over(later), F.lit(0)) + F.col(f"__c{x}") for x in (0, 1)}
+    same = [*sk, "__bit", "__prefix"]
+    g = running(ordered(g, same, time), same, time, {f"__late{x}": ("sum", f"__m{x}") for x in (0, 1)}, descending=True, own=False)
+    after = {x: F.col(f"__late{x}") + F.col(f"__c{x}") for x in (0, 1)}
     g = g.withColumns({"__after0": after[0], "__after1": after[1]})
     split = F.col("__bit") >= 0
     agg = g.groupBy(*sk).agg(
