@@ -4,17 +4,18 @@ k-means: Spark ML on standardised inputs; the number of clusters is chosen by
 the gap statistic against uniform reference data drawn over the bounding box
 (generated by Spark with a seeded ``rand``, so it scales with the data).
 
-k-modes (nominal inputs): a DataFrame loop.  Each iteration compares every
-row with the k current modes (k is bounded by the caller — at most 20 as in
-the reference — and inlined as a literal array, so assignment is a narrow
-projection), assigns the closest mode by mismatch count (ties → lowest
-cluster id), and recomputes modes per column with grouped counts (partial
-aggregation).  The driver only holds the k modes between iterations.
+k-modes (nominal inputs): rows are collapsed once to distinct patterns with
+counts; seeds, steps and the stop rule run on that table.  Each iteration compares
+every pattern with the k current modes (k is bounded by the caller — at most 20 —
+and inlined as a literal array, so assignment is a narrow projection), assigns the
+closest mode by mismatch count (ties → lowest cluster id), and recomputes all
+columns' modes in one job.  The driver only holds the k modes between iterations.
 """
 
 from __future__ import annotations
 
 import math
+from functools import partial
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -22,7 +23,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import materialize
+from tessera.session import concurrently, materialize
 from tessera.functions.hashing import hash32
 
 
@@ -60,14 +61,15 @@ def kmeans_choose_k(df: DataFrame, k_min: int, k_max: int, seed: int, max_iter:
         cols = [(hash32(seed + 1000 * (r + 1) + i, key) / F.lit(float(1 << 32)) * (bounds[f"hi{i}"] - bounds[f"lo{i}"]) + bounds[f"lo{i}"])
                 for i in range(dim)]
         ref_sets.append(materialize(df.select(array_to_vector(F.array(*cols)).alias("features"))))
-    rows = []
-    for k in range(k_min, k_max + 1):
+    def one(k):
         _, w = _wcss(df, k, seed, max_iter)
         lw_ref = [math.log(max(_wcss(rs, k, seed, max_iter)[1], 1e-300)) for rs in ref_sets]
         mean_ref = sum(lw_ref) / len(lw_ref)
         sd = math.sqrt(sum((x - mean_ref) ** 2 for x in lw_ref) / len(lw_ref))
         s = sd * math.sqrt(1 + 1 / len(lw_ref))
-        rows.append([k, math.log(max(w, 1e-300)), mean_ref - math.log(max(w, 1e-300)), s])
+        return [k, math.log(max(w, 1e-300)), mean_ref - math.log(max(w, 1e-300)), s]
+
+    rows = concurrently([partial(one, k) for k in range(k_min, k_max + 1)])
     chosen = rows[-1][0]
     for cur, nxt in zip(rows, rows[1:]):
         if cur[2] >= nxt[2] - nxt[3]:
@@ -92,18 +94,27 @@ def initial_modes(df: DataFrame, key: str, cols: list[str], k: int, seed) -> Dat
             .select("cluster", *cols))
 
 
-def farthest_first_modes(df: DataFrame, key: str, cols: list[str], k: int, seed) -> list[tuple]:
-    """Diverse seeds: the first is the smallest keyed hash, each next one the
-    row with the largest mismatch count to its nearest chosen seed (ties →
-    smallest hash).  One aggregation per seed; at most k rows on the driver."""
-    h = df.select(key, *cols).withColumn("__h", hash32(seed, key))
-    first = h.orderBy("__h", key).select(*cols).first()
-    modes = [(0, *first)]
-    for c in range(1, k):
-        a = assign_modes(h, modes, cols)
-        r = a.agg(F.max_by(F.struct(*cols), F.struct("mismatch", -F.col("__h"))).alias("m"),
-                  F.max("mismatch").alias("d")).first()
-        if r["d"] is None or r["d"] == 0:
+SMALL = 10_000          # patterns that one task may hold
+
+
+def patterns(df: DataFrame, key: str, cols: list[str], seed) -> DataFrame:
+    """The distinct combinations of ``cols`` with their rows ``__n`` and the smallest keyed hash ``__h`` among
+    them, from one scan, written once: k-modes needs no more of the rows.  A small table is one task."""
+    t = materialize(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"), F.min(hash32(seed, key)).alias("__h")))
+    return t.coalesce(1) if t.limit(SMALL + 1).count() <= SMALL else t
+
+
+def farthest_first_modes(pats: DataFrame, cols: list[str], k: int) -> list[tuple]:
+    """Diverse seeds: the first is the pattern of the smallest keyed hash, each next one the
+    pattern with the largest mismatch count to its nearest chosen seed (ties → smallest hash,
+    then smallest pattern).  One aggregation per seed; at most k rows on the driver."""
+    own = F.struct(*cols)
+    first = pats.agg(F.min_by(own, F.struct("__h", own)).alias("m")).first()["m"]
+    modes = [(0, *[first[x] for x in cols])] if first else []
+    for c in range(1, k if modes else 0):
+        a = assign_modes(pats, modes, cols)
+        r = a.agg(F.min_by(own, F.struct(-F.col("mismatch"), F.col("__h"), own)).alias("m"), F.max("mismatch").alias("d")).first()
+        if not r["d"]:
             break                       # fewer than k distinct patterns
         modes.append((c, *[r["m"][x] for x in cols]))
     return modes
@@ -127,33 +138,34 @@ def assign_modes(df: DataFrame, modes: list[tuple], cols: list[str]) -> DataFram
         {"cluster": F.col("__b.cluster"), "mismatch": F.col("__b.mismatch")}).drop("__b")
 
 
-def update_modes(assigned: DataFrame, cols: list[str]) -> DataFrame:
-    """Most frequent value per (cluster, column); ties → smallest value."""
-    out = None
-    for c in cols:
-        cnt = assigned.groupBy("cluster", c).agg(F.count(F.lit(1)).alias("__n"))
-        m = cnt.groupBy("cluster").agg(
-            F.min_by(F.col(c), F.struct(-F.col("__n"), F.col(c))).alias(c))
-        out = m if out is None else out.join(m, "cluster")
-    return out
+def update_modes(assigned: DataFrame, cols: list[str]) -> dict[int, tuple]:
+    """{cluster: mode}: the most frequent value (``__n`` rows a pattern) per cluster and column; ties → smallest
+    value, NULL first.  One job for all columns, one row a cluster."""
+    best = []
+    for i, c in enumerate(cols):
+        n = F.sum("__n").over(Window.partitionBy("cluster", c))
+        best.append(F.struct((-n).alias("n"), F.col(c).alias("v")).alias(f"__b{i}"))
+    r = assigned.select("cluster", *best).groupBy("cluster").agg(*[F.min(f"__b{i}").alias(f"b{i}") for i in range(len(cols))])
+    return {x["cluster"]: tuple(x[f"b{i}"]["v"] for i in range(len(cols))) for x in r.collect()}
 
 
 def kmodes(df: DataFrame, key: str, cols: list[str], k: int, seed, max_iter: int = 20,
            init: str = "farthest"):
-    """CLU-02: Lloyd-style k-modes; stops when the modes no longer change.
-    ``init='farthest'`` (default) or ``'hash'`` (k smallest keyed hashes)."""
+    """CLU-02: Lloyd-style k-modes over the table of distinct patterns; stops when the modes no longer
+    change.  ``init='farthest'`` (default) or ``'hash'`` (k smallest keyed hashes).  Returns the rows
+    with their cluster and the modes; an empty table has neither."""
     spark = df.sparkSession
-    modes = initial_modes(df, key, cols, k, seed)
-    schema = modes.schema
+    schema = ", ".join(["cluster INT", *[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols]])
+    pats = patterns(df, key, cols, seed)
     if init == "hash":
-        cur = [tuple(r) for r in modes.orderBy("cluster").collect()]
+        cur = [tuple(r) for r in initial_modes(df, key, cols, k, seed).orderBy("cluster").collect()]
     else:
-        cur = farthest_first_modes(df, key, cols, k, seed)
-    for _ in range(max_iter):
-        assigned = assign_modes(df, cur, cols)
-        upd = {r[0]: tuple(r) for r in update_modes(assigned, cols).select("cluster", *cols).collect()}
-        new = [upd.get(m[0], m) for m in cur]     # an emptied cluster keeps its mode
+        cur = farthest_first_modes(pats, cols, k)
+    for _ in range(max_iter if cur else 0):
+        upd = update_modes(assign_modes(pats, cur, cols), cols)
+        new = [(m[0], *upd.get(m[0], m[1:])) for m in cur]     # an emptied cluster keeps its mode
         if new == cur:
             break
         cur = new
-    return assign_modes(df, cur, cols), spark.createDataFrame(cur, schema)
+    rows = assign_modes(df, cur, cols) if cur else df.withColumns({"cluster": F.lit(0), "mismatch": F.lit(0)})
+    return rows, spark.createDataFrame(cur, schema)

@@ -9,6 +9,8 @@ sorts the whole table in one partition.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.ranking import negatives_below, ranged
+from tessera.session import concurrently
 
 
 def assemble(cols: list[str], out: str = "features") -> VectorAssembler:
@@ -87,7 +90,14 @@ def auc(df: DataFrame, label: str, score: str) -> DataFrame:
         F.sum(F.col(label).cast("long")).alias("__p"), F.sum((1 - F.col(label)).cast("long")).alias("__n"))
     c = negatives_below(ranged(c, ["__s"]), [], "__s")
     credit = F.col("__p") * (F.col("__below") + 0.5 * F.col("__n"))
-    return c.agg((F.sum(credit) / (F.sum("__p") * F.sum("__n"))).alias("auc"))
+    # NULL where a class has no row
+    return c.agg(F.try_divide(F.sum(credit), (F.sum("__p") * F.sum("__n")).cast("double")).alias("auc"))
+
+
+def _log_loss(y, p, eps: float = 1e-15):
+    """MOD-19, as an aggregate."""
+    pc = F.least(F.greatest(p, F.lit(eps)), F.lit(1 - eps))
+    return -F.avg(y * F.log(pc) + (1 - y) * F.log(1 - pc))
 
 
 def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5,
@@ -98,13 +108,12 @@ def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5
     y = F.col(label).cast("double")
     p = F.col(score).cast("double")
     hit = p >= F.lit(threshold)
-    pc = F.least(F.greatest(p, F.lit(eps)), F.lit(1 - eps))
     m = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(hit & (y == 1)).alias("tp"), F.count_if(hit & (y == 0)).alias("fp"),
         F.count_if(~hit & (y == 0)).alias("tn"), F.count_if(~hit & (y == 1)).alias("fn"),
         F.avg((p - y) * (p - y)).alias("brier"),
-        (-F.avg(y * F.log(pc) + (1 - y) * F.log(1 - pc))).alias("log_loss"))
+        _log_loss(y, p, eps).alias("log_loss"))
     m = m.withColumns({
         "misclassification": (F.col("fp") + F.col("fn")) / F.col("n"),
         "sensitivity": F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")),
@@ -119,18 +128,42 @@ def fit_score(estimator, stages: list, train: DataFrame, data: DataFrame, kind:
 
 
 def sweep(train: DataFrame, valid: DataFrame, configs: dict, stages: list, label: str,
-          features: str = "features") -> tuple[DataFrame, dict]:
-    """MOD-05/10/11 and REC-02-style sweep: fit every configuration, AUC on
-    ``valid``.  Returns (results DF: config, kind, auc) and the fitted models."""
-    spark = train.sparkSession
-    rows, models = [], {}
-    for name, (kind, params) in configs.items():
-        est = make_estimator(kind, label, features, **params)
-        model, scored = fit_score(est, stages, train, valid, kind)
+          features: str = "features", at_once: int = 4) -> tuple[DataFrame, dict]:
+    """MOD-05/10/11 sweep: fit every configuration, ``at_once`` side by side, AUC on ``valid``.
+    Returns (results DF: config, kind, auc) and the fitted models."""
+    def one(name, kind, params):
+        model, scored = fit_score(make_estimator(kind, label, features, **params), stages, train, valid, kind)
         a = auc(scored, label, "score").first()["auc"]
-        rows.append((name, kind, float(a) if a is not None else float("nan")))
-        models[name] = model
-    return spark.createDataFrame(rows, "config STRING, kind STRING, auc DOUBLE"), models
+        return (name, kind, float(a) if a is not None else float("nan")), model
+
+    done = concurrently([partial(one, name, *c) for name, c in configs.items()], at_once)
+    return (train.sparkSession.createDataFrame([r for r, _ in done], "config STRING, kind STRING, auc DOUBLE"),
+            {r[0]: m for r, m in done})
+
+
+def fit_epochs(train: DataFrame, valid: DataFrame, label: str, layers: list[int], most: int = 30, patience: int = 3,
+               features: str = "features", seed: int = 0, block: int = 128):
+    """MOD-16/17: a multilayer perceptron trained epoch by epoch on prepared rows, each from the weights of the
+    one before; stops once the validation log-loss has not improved for ``patience`` epochs.
+    Returns the model of the best epoch, as it was then, and the history: (epoch, loss)."""
+    best, history, weights = None, [], None
+    for epoch in range(1, most + 1):
+        more = {} if weights is None else {"initialWeights": weights}
+        model = make_estimator("mlp", label, features, seed, layers=layers, maxIter=1, blockSize=block, **more).fit(train)
+        weights = model.weights
+        scored = positive_score(model.transform(valid), "mlp")
+        loss = scored.agg(_log_loss(F.col(label).cast("double"), F.col("score")).alias("loss")).first().loss
+        if best is None or loss < min(x for _, x in history):
+            best = model
+        history.append((epoch, float(loss)))
+        if epoch - best_epoch(history)[0] >= patience:
+            break
+    return best, history
+
+
+def best_epoch(history: list[tuple[int, float]]) -> tuple[int, float]:
+    """The epoch of least loss, the first of equal ones."""
+    return min(history, key=lambda h: (h[1], h[0]))
 
 
 def best_config(results: DataFrame, order: list[str]) -> str:

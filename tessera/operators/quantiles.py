@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ranking import negatives_below, ranged
+from tessera.operators.scan import ordered, running
 from tessera.session import per_group
 
 
-def quantiles(df: DataFrame, by: list[str], x: str, probs: dict[str, float]) -> DataFrame:
+def quantiles(df: DataFrame, by: list[str], x: str, probs: dict[str, float], times: str | None = None) -> DataFrame:
     """One row per group with a column per name of ``probs``: type-7 quantiles of x.
 
-    Rows are collapsed to (group, value) counts and range-partitioned by them;
-    a value covers the ranks from the counts below it.  The two ranks that a
-    quantile lies between are looked up and interpolated.  NULLs are left out;
-    a group without values has no row.
+    Rows (each counted ``times`` times, if that column is named) are collapsed to
+    (group, value) counts; a value covers the ranks from the running count below it.
+    The two ranks that a quantile lies between are looked up and interpolated.
+    NULLs are left out; a group without values has no row.
     """
     c = df.filter(F.col(x).isNotNull()).groupBy(*by, F.col(x).cast("double").alias("__x")).agg(
-        F.count(F.lit(1)).alias("__n"))
-    c = negatives_below(ranged(c, [*by, "__x"]), by, "__x")
+        F.sum(times if times else F.lit(1)).alias("__n"))
+    c = running(ordered(c, by, "__x"), by, "__x", {"__below": ("sum", "__n")}, own=False)
     names = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(float(p)).alias("p")) for k, p in probs.items()])
     want = c.groupBy(*by).agg(F.sum("__n").alias("__N")).withColumn("__q", F.explode(names))
     at = F.col("__q.p") * (F.col("__N") - 1)

@@ -2,10 +2,10 @@
 
 Re-aimed from a single-machine LSTM: every token of the whole text is mapped
 to an embedding row (hashed token → vec_id), embeddings are averaged per text
-with ``Summarizer.mean`` (a partial aggregate, so a very long text is not a
-hot spot), and the pair representation is (a − b)² ⧺ (a + b) ⧺ the NLP
-features.  A multilayer perceptron stands in for the dense head; the number of
-epochs is picked by validation log-loss (early-stopping stand-in).
+with a count-weighted ``Summarizer.mean`` (a partial aggregate, so a very long
+text is not a hot spot), and the pair representation is (a − b)² ⧺ (a + b) ⧺ the
+NLP features.  A multilayer perceptron stands in for the dense head
+(``models.fit_epochs``).
 """
 
 from __future__ import annotations
@@ -20,13 +20,15 @@ from tessera.functions.hashing import hash32
 
 def text_embeddings(pairs: DataFrame, id_col: str, tok_a: str, tok_b: str, emb: DataFrame,
                     n_vectors: int) -> DataFrame:
-    """Mean embedding per (id, side) over all tokens of the text."""
-    toks = (pairs.select(id_col, F.lit(1).alias("side"), F.explode(tok_a).alias("token"))
-            .unionByName(pairs.select(id_col, F.lit(2).alias("side"), F.explode(tok_b).alias("token"))))
-    toks = toks.withColumn("vec_id", F.pmod(hash32("tok", "token"), F.lit(n_vectors)))
+    """Mean embedding per (id, side) over all tokens of the text: tokens are counted per embedding
+    row first, so the join carries a row per distinct one and the mean is weighted by the counts."""
+    side = lambda k, c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda t: F.struct(
+        F.lit(k).alias("side"), F.pmod(hash32("tok", t), F.lit(n_vectors)).alias("vec_id")))
+    rows = pairs.select(id_col, F.explode(F.concat(side(1, tok_a), side(2, tok_b))).alias("t")).select(id_col, "t.*")
+    counts = rows.groupBy(id_col, "side", "vec_id").agg(F.count("*").cast("double").alias("n"))
     e = emb.select("vec_id", array_to_vector("embedding").alias("v"))
-    return (toks.join(e, "vec_id").groupBy(id_col, "side")
-            .agg(Summarizer.mean(F.col("v")).alias("mean_v")))
+    return (counts.join(e, "vec_id").groupBy(id_col, "side")
+            .agg(Summarizer.mean(F.col("v"), F.col("n")).alias("mean_v")))
 
 
 def two_tower_features(pairs: DataFrame, id_col: str, tok_a: str, tok_b: str, emb: DataFrame,

@@ -8,6 +8,7 @@ Doubles that come out of floating sums are rounded to 6 places on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -287,12 +288,13 @@ def column_percent(spark, sf):
 
 @query("group_summary")
 def group_summary(spark, sf):
-    """AGG-17/12/13/21: totals, events, percents, median and min time per stratum."""
-    s = V.subjects(spark, sf)
+    """AGG-17/12/13/21: totals, events, percents, median and min time per stratum, all from the
+    counts of (stratum, time, event)."""
+    s = materialize(V.subjects(spark, sf).groupBy("stratum", "time", "event").agg(F.count(F.lit(1)).alias("m")))
+    hit = F.when(F.col("event") == 1, F.col("m")).otherwise(0)
     g = s.groupBy("stratum").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("event").alias("n_event"),
-        F.count_if((F.col("event") == 1) & (F.col("time") <= 1000)).alias("n_event_1000"),
-        F.min("time").alias("min_time")).join(quantiles(s, ["stratum"], "time", {"median_time": 0.5}), "stratum")
+        F.sum("m").alias("n"), F.sum(hit).alias("n_event"), F.sum(F.when(F.col("time") <= 1000, hit).otherwise(0)).alias("n_event_1000"),
+        F.min("time").alias("min_time")).join(quantiles(s, ["stratum"], "time", {"median_time": 0.5}, "m"), "stratum")
     return g.select("stratum", "n", F.col("n_event").cast("bigint").alias("n_event"),
                     F.round(F.col("n_event") * 100.0 / F.col("n"), 2).alias("pct_event"),
                     "n_event_1000",
@@ -556,8 +558,9 @@ from tessera.operators import models as mdl  # noqa: E402
 from tessera.operators import recommend as rec  # noqa: E402
 from tessera.operators import tree as entropy_tree  # noqa: E402
 from tessera.operators import twotower as tt  # noqa: E402
-from tessera.session import materialize, scratch_path  # noqa: E402
+from tessera.session import concurrently, materialize, scratch_path  # noqa: E402
 
+# fixed values: model parameters, ALS_GRID below and the feature names of textpair.FEATURES
 PAIR_CONFIGS = {
     "glm": ("glm", {}),
     "dt": ("dt", {"maxDepth": 15}),
@@ -612,51 +615,46 @@ def _v6_tokens(spark, sf):
     return p, p.select("id", clean_tokens(F.col("q1")).alias("q_tok1"), clean_tokens(F.col("q2")).alias("q_tok2"))
 
 
-@query("two_tower_features")
-def two_tower_features(spark, sf):
+def _towers(spark, sf):
     _, toks = _v6_tokens(spark, sf)
     emb = V.vectors(spark, sf)
     n = emb.count()                     # size of the embedding table: one scalar
     return tt.two_tower_features(toks, "id", "q_tok1", "q_tok2", emb, n, 64)
 
 
-EPOCH_STEP, MOST_EPOCHS, PATIENCE = 5, 30, 3
+@query("two_tower_features")
+def two_tower_features(spark, sf):
+    """FEA-08, a row a pair and dimension."""
+    both = F.arrays_zip("sq_diff", "sum")
+    return _towers(spark, sf).select("id", F.posexplode(both).alias("dim", "v")).select(
+        "id", "dim", r6("v.sq_diff").alias("sq_diff"), r6("v.sum").alias("sum"))
+
+
+MOST_EPOCHS, PATIENCE, BLOCK_ROWS = 30, 3, 1025       # fixed values
 
 
 @query("mlp_scores")
 def mlp_scores(spark, sf):
-    """MOD-16/17/18: MLP on two-tower ⧺ NLP features; training stops when the
-    holdout log-loss has not improved for three steps, 30 epochs at most; the
-    unlabelled pairs are scored with the best number of epochs."""
-    f, lab, fit, hold = _pair_sets(spark, sf)
-    feats = materialize(two_tower_features(spark, sf))     # read by every fit below
-    from pyspark.ml.functions import array_to_vector
-
-    def prep(df):
-        j = df.join(feats, "id")
-        return j.withColumn("tower", array_to_vector(F.concat("sq_diff", "sum")))
+    """MOD-16/17/18: MLP on two-tower ⧺ NLP features; training stops when the holdout log-loss has not
+    improved for three epochs, 30 at most; the unlabelled pairs are scored with the best epoch's weights."""
+    from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorSizeHint
+    from pyspark.ml.functions import array_to_vector
+    f, _, fit, hold = _pair_sets(spark, sf)
+    tower = materialize(_towers(spark, sf))
     stages = [VectorSizeHint(inputCol="tower", size=128, handleInvalid="error"),
               mdl.assemble(["tower"] + NLP, "raw"), mdl.standardize("raw", "features")]
-    best, best_ll, weights, since = None, None, None, 0
-    for it in range(EPOCH_STEP, MOST_EPOCHS + 1, EPOCH_STEP):      # each fit goes on from the last one's weights
-        more = {} if weights is None else {"initialWeights": weights}
-        est = mdl.make_estimator("mlp", "is_duplicate", layers=[128 + len(NLP), 100, 2], maxIter=EPOCH_STEP,
-                                 blockSize=1025, **more)
-        m, sc = mdl.fit_score(est, stages, prep(fit), prep(hold), "mlp")
-        weights = m.stages[-1].weights
-        ll = mdl.binary_metrics(sc, "is_duplicate", "score").first()["log_loss"]
-        if best_ll is None or ll < best_ll:
-            best, best_ll, since = it, ll, 0
-        else:
-            since += 1
-        if since >= PATIENCE:
-            break
-    est = mdl.make_estimator("mlp", "is_duplicate", layers=[128 + len(NLP), 100, 2], maxIter=best,
-                             blockSize=1025)
-    _, sc = mdl.fit_score(est, stages, prep(lab), prep(f.filter(F.col("split") == "test")), "mlp")
-    return sc.select("id", r6("score").alias("predict"), F.lit(best).alias("epochs"),
-                     F.lit(round(best_ll, 6)).alias("holdout_loss"))
+
+    def joined(df):
+        return df.join(tower, "id").withColumn("tower", array_to_vector(F.concat("sq_diff", "sum")))
+    prepare = Pipeline(stages=stages).fit(joined(fit))
+
+    def rows(df):       # every epoch reads these
+        return materialize(prepare.transform(joined(df)).select("id", "is_duplicate", "features"))
+    model, history = mdl.fit_epochs(rows(fit), rows(hold), "is_duplicate", [128 + len(NLP), 100, 2], MOST_EPOCHS, PATIENCE, block=BLOCK_ROWS)
+    epoch, loss = mdl.best_epoch(history)
+    sc = mdl.positive_score(model.transform(rows(f.filter(F.col("split") == "test"))), "mlp")
+    return sc.select("id", r6("score").alias("predict"), F.lit(epoch).alias("epochs"), F.lit(round(loss, 6)).alias("holdout_loss"))
 
 
 # SAS-style rare-event models on V5 (target: toxic); depths, leaf sizes and the
@@ -690,11 +688,12 @@ def _tree(train, name):
 @query("tree_sweep")
 def tree_sweep(spark, sf):
     train, valid = _v5_parts(spark, sf)
-    rows = []
-    for name, (depth, leaf, cols) in TREE_CONFIGS.items():
+
+    def one(name, depth, leaf, cols):
         tree = _tree(train, name)
         a = mdl.auc(tree.score(valid), "toxic", "score").first()["auc"]
-        rows.append((name, depth, leaf, len(cols), round(float(a), 6) if a is not None else None, len(tree.nodes)))
+        return name, depth, leaf, len(cols), round(float(a), 6) if a is not None else None, len(tree.nodes)
+    rows = concurrently([partial(one, name, *c) for name, c in TREE_CONFIGS.items()])
     return spark.createDataFrame(rows, "config STRING, max_depth INT, min_leaf INT, n_inputs INT, "
                                        "auc DOUBLE, n_nodes INT")
 

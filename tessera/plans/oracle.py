@@ -557,6 +557,51 @@ SELECT CASE WHEN r <= floor(n * (1 - 0.1)) THEN 'train' ELSE 'valid' END AS spli
        min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
 FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS r, count(*) OVER () AS n FROM orders) GROUP BY 1"""
 
+ORACLE["schema_listing"] = "SELECT CAST(position AS INTEGER) AS position, column_name, data_type, true AS nullable, label, n_rows, n_null, n_distinct FROM (" + \
+    " UNION ALL ".join(f"""SELECT (SELECT column_index FROM duckdb_columns() WHERE table_name = 'customer' AND column_name = '{c}' LIMIT 1) AS position,
+  '{c}' AS column_name, '{t}' AS data_type, {label} AS label, count(*) AS n_rows, count(*) - count({c}) AS n_null,
+  count(DISTINCT {c}) AS n_distinct FROM customer""" for c, t, label in (
+        ("c_custkey", "bigint", "NULL"), ("c_name", "string", "NULL"), ("c_nationkey", "int", "NULL"),
+        ("c_acctbal", "double", "'account balance'"), ("c_mktsegment", "string", "NULL"))) + ")"
+ORACLE["two_tower_features"] = with_(V2) + f""",
+vn AS (SELECT count(*) AS n FROM embeddings),
+tk AS (SELECT id, {_clean_tokens('q1')} AS t1, {_clean_tokens('q2')} AS t2 FROM v2),
+tt AS (SELECT id, 1 AS side, unnest(t1) AS token FROM tk UNION ALL SELECT id, 2, unnest(t2) FROM tk),
+tc AS (SELECT id, side, {sql_hash32('tok', 'token')} % n AS vec_id, count(*) AS m FROM tt, vn GROUP BY ALL),
+td AS (SELECT id, side, dim, sum(m * x) / sum(m) AS x FROM tc JOIN (
+         SELECT vec_id, unnest(range(64)) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings) USING (vec_id) GROUP BY id, side, dim),
+grid AS (SELECT id, unnest(range(64)) AS dim FROM v2)
+SELECT grid.id, CAST(grid.dim AS INTEGER) AS dim, round(pow(coalesce(a.x, 0) - coalesce(b.x, 0), 2), 6) AS sq_diff,
+  round(coalesce(a.x, 0) + coalesce(b.x, 0), 6) AS sum
+FROM grid LEFT JOIN td a ON a.id = grid.id AND a.dim = grid.dim AND a.side = 1
+LEFT JOIN td b ON b.id = grid.id AND b.dim = grid.dim AND b.side = 2"""
+
+
+
+def _kmodes(k: int, steps: int, cols: list[str]) -> str:
+    """k-modes unrolled: k farthest-first seeds, then so many steps (a fixed point stays one)."""
+    p = ", ".join(cols)
+    differ = lambda a, b: " + ".join(f"CASE WHEN {a}.{c} = {b}.{c} THEN 0 ELSE 1 END" for c in cols)
+    ctes = [f"pt AS MATERIALIZED (SELECT {p}, count(*) AS n, min({sql_hash32(20161117, 'doc_id')}) AS h FROM v5p WHERE partition = 1 GROUP BY {p})",
+            f"s0 AS MATERIALIZED (SELECT 0 AS cluster, {p} FROM (SELECT * FROM pt ORDER BY h, {p} LIMIT 1))"]
+    for i in range(1, k):
+        ctes.append(f"""s{i} AS MATERIALIZED (SELECT * FROM s{i - 1} UNION ALL SELECT {i}, {p} FROM (
+  SELECT pt.*, far FROM pt JOIN (SELECT pt.h AS hh, min({differ('pt', 'm')}) AS far FROM pt, s{i - 1} m GROUP BY pt.h) ON hh = pt.h
+  WHERE far > 0 ORDER BY far DESC, h, {p} LIMIT 1))""")
+    mode = f"s{k - 1}"
+    for i in range(steps):
+        ctes.append(f"""a{i} AS MATERIALIZED (SELECT pt.*, (SELECT min_by(m.cluster, ({differ('pt', 'm')}) * 1000 + m.cluster) FROM {mode} m) AS c FROM pt)""")
+        for c in cols:
+            ctes.append(f"""u{i}{c} AS (SELECT c, min_by(v, (-n, v)) AS v FROM (SELECT c, {c} AS v, sum(n) AS n FROM a{i} GROUP BY c, {c}) GROUP BY c)""")
+        joins = " ".join(f"LEFT JOIN u{i}{c} ON u{i}{c}.c = m.cluster" for c in cols)
+        values = ", ".join(f"CASE WHEN u{i}{c}.c IS NULL THEN m.{c} ELSE u{i}{c}.v END AS {c}" for c in cols)
+        ctes.append(f"m{i} AS MATERIALIZED (SELECT m.cluster, {values} FROM {mode} m {joins})")
+        mode = f"m{i}"
+    return ",\n".join(ctes) + f""",
+near AS (SELECT x.doc_id, x.partition, min(({differ('x', 'm')}) * 1000 + m.cluster) AS best FROM v5p x, {mode} m GROUP BY x.doc_id, x.partition)
+SELECT doc_id, CASE WHEN partition = 1 THEN 'train' ELSE 'valid' END AS part, CAST(best % 1000 AS INTEGER) AS cluster,
+  CAST(best // 1000 AS INTEGER) AS mismatch FROM near"""
+
 
 # ------------------------------------------------ entropy trees (MOD-04..06)
 def _mass(n: str, k: str) -> str:
@@ -661,6 +706,7 @@ SELECT n, tp, fp, tn, fn, round(brier, 6) AS brier, round(log_loss, 6) AS log_lo
        round(tp / nullif(tp + fn, 0), 6) AS sensitivity, round(tn / nullif(tn + fp, 0), 6) AS specificity,
        round(tp / nullif(tp + fp, 0), 6) AS precision, round({pairs.format(t='tree5')}, 6) AS auc
 FROM c"""
+    ORACLE["kmodes_fit"] = with_(V5, v5p, _kmodes(C.KMODES_MOST, 20, C.KMODES_COLS))
 
 
 _catalog_trees()

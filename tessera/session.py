@@ -86,3 +86,23 @@ def cpu_partitions(spark: SparkSession) -> int:
     """
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(shuffle, 4 * spark.sparkContext.defaultParallelism)
+
+
+def concurrently(jobs: list, most: int = 4) -> list:
+    """Results of the functions ``jobs``, in their order, at most ``most`` running at a time.
+
+    For small fits whose jobs leave most of a cluster idle.  Threads take over the caller's job
+    properties (group, pool, description); the first error is raised after the running ones end.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.util import inheritable_thread_target
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    with ThreadPoolExecutor(max_workers=max(1, most)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        try:
+            return [r.result() for r in running]
+        except BaseException:
+            for r in running:
+                r.cancel()
+            raise

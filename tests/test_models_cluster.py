@@ -75,3 +75,70 @@ def test_als_grid_smoke(spark):
     g = rec.als_grid(train, pos, neg, "user_id", "item_id", "plays", [2], [1.0], [0.1, 1.0], max_iter=3)
     assert g.count() == 2
     assert rec.best_params(g).count() == 1
+
+
+def test_epochs_carry_weights_and_keep_the_best(spark, separable):
+    """The history is what single epochs from the same weights give, and the model is that of its best epoch."""
+    df = mdl.assemble(["x1", "x2"]).transform(separable)
+    train, valid = df.filter("id % 5 > 0"), df.filter("id % 5 = 0")
+    model, history = mdl.fit_epochs(train, valid, "y", [2, 3, 2], most=8, patience=2, seed=3)
+    loss = lambda m: mdl.binary_metrics(mdl.positive_score(m.transform(valid), "mlp"), "y", "score").first()["log_loss"]
+    best, least = mdl.best_epoch(history)
+    assert loss(model) == pytest.approx(least, abs=1e-12)
+    weights, again = None, []
+    for _ in history:
+        more = {} if weights is None else {"initialWeights": weights}
+        m = mdl.make_estimator("mlp", "y", seed=3, layers=[2, 3, 2], maxIter=1, blockSize=128, **more).fit(train)
+        weights = m.weights
+        again.append(loss(m))
+    assert again == pytest.approx([x for _, x in history], abs=1e-9)
+    # it stops at the first epoch that is ``patience`` behind the best, and not before
+    assert len(history) == 8 or len(history) - best == 2
+    assert mdl.best_epoch([(1, 0.5), (2, 0.3), (3, 0.3), (4, 0.4)]) == (2, 0.3)
+
+
+def test_kmodes_on_patterns_equals_rows(spark, monkeypatch):
+    rnd = random.Random(6)
+    rows = [(i, rnd.choice("abcd"), rnd.choice(["x", "y", None]), rnd.randint(0, 2)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id INT, c1 STRING, c2 STRING, c3 INT")
+    cols = ["c1", "c2", "c3"]
+    assigned, modes = clu.kmodes(df, "id", cols, 4, 7)
+    modes = [tuple(r) for r in modes.orderBy("cluster").collect()]
+    far = lambda r, m: sum(a is None or a != b for a, b in zip(r[1:], m[1:]))
+    want = {r[0]: min((far(r, m), m[0]) for m in modes) for r in rows}
+    assert {r.id: (r.mismatch, r.cluster) for r in assigned.collect()} == want
+    for m in modes:             # a fixed point: every mode holds its rows' most frequent values
+        own = [r for r in rows if want[r[0]][1] == m[0]]
+        for i in (1, 2, 3):
+            count = {v: sum(r[i] == v for r in own) for v in {r[i] for r in own}}
+            assert not own or count[m[i]] == max(count.values())
+    monkeypatch.setattr(clu, "SMALL", 0)
+    assert [tuple(r) for r in clu.kmodes(df, "id", cols, 4, 7)[1].orderBy("cluster").collect()] == modes
+    assert clu.kmodes(df.limit(0), "id", cols, 4, 7)[0].count() == 0
+
+
+def test_concurrent_jobs_keep_order_properties_and_errors(spark):
+    from tessera.session import concurrently
+    sc = spark.sparkContext
+    sc.setLocalProperty("spark.scheduler.pool", "mine")
+    try:
+        assert concurrently([lambda k=k: (k, sc.getLocalProperty("spark.scheduler.pool")) for k in range(6)], 3) == [(k, "mine") for k in range(6)]
+        with pytest.raises(ZeroDivisionError):
+            concurrently([lambda: 1, lambda: 1 // 0, lambda: 2])
+    finally:
+        sc.setLocalProperty("spark.scheduler.pool", None)
+
+
+def test_tower_means_weigh_repeated_tokens(spark):
+    from tessera.functions.hashing import hash32
+    from tessera.operators import twotower as tt
+    from pyspark.sql import functions as F
+    emb = spark.createDataFrame([(i, [float(i), i * i / 7.0]) for i in range(11)], "vec_id LONG, embedding ARRAY<DOUBLE>")
+    pairs = spark.createDataFrame([(1, ["u", "v", "u", "u"], ["w"]), (2, [], ["z", "z"]), (3, None, [])], "id INT, a ARRAY<STRING>, b ARRAY<STRING>")
+    at = {r.t: r.k for r in spark.createDataFrame([(c,) for c in "uvwz"], "t STRING").select("t", F.pmod(hash32("tok", "t"), F.lit(11)).alias("k")).collect()}
+    vec = lambda c: [float(at[c]), at[c] ** 2 / 7.0]
+    mean = lambda cs: [sum(x) / len(cs) for x in zip(*map(vec, cs))] if cs else [0.0, 0.0]
+    got = {r.id: r for r in tt.two_tower_features(pairs, "id", "a", "b", emb, 11, 2).collect()}
+    for i, a, b in [(1, "uvuu", "w"), (2, "", "zz"), (3, "", "")]:
+        assert got[i]["sum"] == pytest.approx([x + y for x, y in zip(mean(a), mean(b))], abs=1e-9)
+        assert got[i]["sq_diff"] == pytest.approx([(x - y) ** 2 for x, y in zip(mean(a), mean(b))], abs=1e-9)
