@@ -63,7 +63,21 @@ def materialize(df: DataFrame) -> DataFrame:
     scans with pruning and pushdown for every consumer."""
     path = scratch_path(df.sparkSession, "tables")
     df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that :func:`materialize` wrote, once everything that reads them is itself written,
+    and lets Spark drop the shuffle files of the plans that are through."""
+    import gc
+    for t in tables:
+        jvm, path = t.sparkSession._jvm, t._scratch
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
 
 
 def per_group(df: DataFrame, most: int = 10_000) -> DataFrame:
