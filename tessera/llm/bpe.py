@@ -34,7 +34,7 @@ LOWER_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^%s\p{L}\p{N}]+" % WHI
 BYTE_CHUNKS = r" ?[^%s]+|[%s]+(?![^%s])|[%s]+" % ((WHITE,) * 4)
 LOWER_CHUNKS = r"[^%s]+" % WHITE
 SEPARATORS = re.compile("[\x1c-\x1f]")
-CACHE = 200_000         # chunks whose ids a task keeps
+CACHE = 500_000         # chunks whose ids a task keeps
 NEVER = np.int64(2**40)
 END, GAP = "\u0100", "\u0101"     # the end of a word, where the vocabulary marks it; between words
 
@@ -240,13 +240,16 @@ class Bpe:
 
     def _learn(self, chunks: list[str]) -> None:
         words = self.word.findall
-        cut = [words(self.prepare(c)) for c in chunks] if self.prepare else [words(c) for c in chunks]
+        if self.prepare:        # all at once: a newline is in no chunk and joins with no character
+            cut = [[c] if c.isalpha() else words(c) for c in self.prepare("\n".join(chunks)).split("\n")]
+        else:                   # letters alone, with a blank before them or not, are one word
+            cut = [[c] if c.removeprefix(" ").isalpha() else words(c) for c in chunks]
         each = list(itertools.chain.from_iterable(cut))
         number = dict(zip(dict.fromkeys(each), itertools.count()))
         which = np.fromiter(map(number.__getitem__, each), np.int64, len(each))
         per_chunk = np.zeros(len(chunks), np.int64)
         if number:
-            flat, n = self.words([w.encode().decode("latin-1") + self.end for w in number])
+            flat, n = self.words([(w if w.isascii() else w.encode().decode("latin-1")) + self.end for w in number])
             at = np.cumsum(n) - n
             per_word, of = n[which], np.repeat(np.arange(len(cut)), [len(c) for c in cut])
             per_chunk = np.bincount(of, weights=per_word, minlength=len(cut)).astype(np.int64)

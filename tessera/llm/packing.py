@@ -11,6 +11,7 @@ tasks' counts gives where its numbers begin.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -28,13 +29,14 @@ ROOM = 4096
 
 
 def pieces(docs: DataFrame, path: str, end_id: int, room: int = ROOM) -> DataFrame:
-    """doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, part, rank.
+    """doc_id, start, length, ids_crc32, doc_tokens, part, rank.
 
     A document's ids are those of its whole text and then ``end_id``; it is cut after every
-    ``room`` ids.  Null and empty texts are ``end_id`` alone.  ``rank`` counts the pieces of
-    one length within the task ``part``.
+    ``room`` ids, however long it is.  Null and empty texts are ``end_id`` alone, rows that repeat
+    are documents of their own, and columns other than doc_id and text are not read.  ``rank``
+    counts the pieces of one length within the task ``part``.  Empty input: no rows.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
                         ("doc_tokens", pa.int64()), ("part", pa.int64()), ("rank", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,19 +57,19 @@ def pieces(docs: DataFrame, path: str, end_id: int, room: int = ROOM) -> DataFra
                 start = (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * room
                 length = np.minimum(room, total[doc] - start)
                 at = np.repeat(last + 1 - total, n) + start
-                data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [     # pieces follow each other in line
-                    None, pa.py_buffer(np.append(4 * at, 4 * len(line)).astype(np.int64)), pa.py_buffer(line)]).cast(pa.binary())
+                raw = memoryview(line).cast("B")
+                crc = [zlib.crc32(raw[4 * a:4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist(), strict=True)]
                 order = np.argsort(length, kind="stable")
                 ranked = length[order]
                 head = np.searchsorted(ranked, ranked)
                 rank = np.empty(len(doc), np.int64)
                 rank[order] = np.arange(len(doc)) - head + seen[ranked]
                 seen += np.bincount(length, minlength=room + 1)
-                yield batch(schema, [b.column("doc_id")[i:j].take(pa.array(doc)), start, length, data, total[doc],
+                yield batch(schema, [b.column("doc_id")[i:j].take(pa.array(doc)), start, length, crc, total[doc],
                                      np.full(len(doc), part), rank])
     run.keeps = True
     return docs.select(F.col("doc_id").cast("long"), "text").transform(map_arrow, 
-        run, "doc_id long, start long, length long, ids binary, doc_tokens long, part long, rank long")
+        run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, rank long")
 
 
 def shortest_pack_first(counts: dict[int, int], room: int = ROOM) -> list[tuple[int, dict[int, int]]]:
@@ -124,10 +126,11 @@ def intervals(patterns: list[tuple[int, dict[int, int]]]) -> np.ndarray:
 
 
 def pack(cut: DataFrame, room: int = ROOM) -> DataFrame:
-    """``cut`` with sequence_id and offset instead of part and rank.
+    """``cut`` with sequence_id and offset in place of part and rank (and of columns of these names).
 
-    Needs length (1 to ``room``), part and rank as ``pieces`` makes them.  Every row lands in
-    exactly one sequence; sequences have no gaps and at most ``room`` tokens.  Empty input: no rows.
+    Needs length (1 to ``room``), part and rank as ``pieces`` makes them; other columns come along,
+    whatever their names.  Every row lands in exactly one sequence; sequences have no gaps and at
+    most ``room`` tokens.  Repeated rows are pieces of their own.  Empty input: no rows.
     """
     spark = cut.sparkSession
     per_part = cut.groupBy("length", "part").agg(F.count("*").alias("n"))
@@ -135,8 +138,8 @@ def pack(cut: DataFrame, room: int = ROOM) -> DataFrame:
         Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("base"))
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most room rows
     table = spark.sparkContext.broadcast(intervals(shortest_pack_first(counts, room)))
-    names = [c for c in cut.columns if c not in ("part", "rank")]
-    kinds = ", ".join(f"`{c}` {cut.schema[c].dataType.simpleString()}" for c in names)
+    names = [c for c in cut.columns if c not in ("part", "rank", "sequence_id", "offset")]
+    rows = cut.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "length", "part", "rank")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = table.value
@@ -146,17 +149,14 @@ def pack(cut: DataFrame, room: int = ROOM) -> DataFrame:
             row = t[np.searchsorted(key, length << 44 | rank, "right") - 1]
             within = rank - row[:, 1]
             sequence, offset = row[:, 2] + within // row[:, 3], row[:, 4] + within % row[:, 3] * length
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [pa.array(sequence), pa.array(offset)],
-                                             names=[*names, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(sequence), pa.array(offset)], names=["row", "sequence_id", "offset"])
 
-    ranked = cut.join(base, ["length", "part"]).withColumn("rank", F.col("rank") + F.col("base"))
-    return ranked.select(*names, "rank").transform(map_arrow, place, f"{kinds}, sequence_id long, offset long")
+    ranked = rows.join(base, ["length", "part"]).select("row", "length", (F.col("rank") + F.col("base")).alias("rank"))
+    placed = ranked.transform(map_arrow, place, f"row {rows.schema['row'].dataType.simpleString()}, sequence_id long, offset long")
+    return placed.select("row.*", "sequence_id", "offset")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     import public_tokenizers
     docs = read(spark, sf_dir, "documents", ["doc_id", "text"])
-    cut = pieces(docs, path or public_tokenizers.path("word_bpe_49k.json"), end_id=2)
-    cut = materialize(cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
-                                 "doc_tokens", "part", "rank"))
-    return pack(cut)
+    return pack(materialize(pieces(docs, path or public_tokenizers.path("word_bpe_49k.json"), end_id=2)))

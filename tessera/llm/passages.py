@@ -14,7 +14,8 @@ first: each round puts one symbol of every piece in front, updates the order
 common-prefix lengths of neighbours, in time linear in the pieces.  As pieces are
 aligned, equal windows meet in one column, so no suffix has to be placed among
 those of other columns.  Sorted shuffle partitions are the sequential external
-files: a task streams its groups and holds one batch of columns.
+files: a task streams its groups and holds one batch of columns, of at most ``HOT``
+pieces a group.  The windows of larger groups are counted by hashes instead.
 """
 
 from __future__ import annotations
@@ -29,12 +30,12 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import (
     Emit, batch, mix, prefix_sums, read, rows, shuffle_partitions, span_hash, text_buffer, text_key, text_slices, map_arrow)
-from tessera.session import materialize
+from tessera.session import discard, materialize
 
 LENGTH = 400
 SEGMENT = 1 << 20       # windows of one document handled at a time
 BATCH = 4 << 20         # piece bytes sorted together, at least one whole group
-HOT = 50_000            # distinct pieces of an anchor beyond which the group is split by a second anchor
+HOT = 50_000            # distinct pieces that are sorted together at most: beyond, a second anchor splits a group
 
 
 def anchor_bytes(length: int) -> int:
@@ -221,6 +222,63 @@ def _sort_columns(length: int):
     return run
 
 
+def _hashed_windows(length: int):
+    """(group, two hashes, key, piece, place) of each window of crowded groups' pieces."""
+    schema = pa.schema([("grp", pa.int64()), ("whole", pa.int64()), ("half", pa.int64()), ("key", pa.int64()),
+                        ("piece", pa.int64()), ("at", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j, buf, off in text_slices(b.column("data")):
+                sums, n = prefix_sums(buf), np.diff(off) - length + 1
+                row = np.repeat(np.arange(j - i), n)
+                at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                s = off[row] + at
+                grp, key, piece, base = (np.asarray(b.column(c))[i:j][row] for c in ("grp", "key", "piece", "base"))
+                yield batch(schema, [grp, span_hash(sums, s, s + length).astype(np.int64),
+                                     span_hash(sums, s, s + (length + 1) // 2).astype(np.int64), key, piece, (base + at).astype(np.int32)])
+    return run
+
+
+def _window_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of the places of a piece's windows."""
+    out = Emit(pa.schema([("key", pa.int64()), ("piece", pa.int64()), ("first", pa.int64()), ("last", pa.int64())]))
+    for key, piece, places in rows(batches):
+        flags = np.zeros(max(places) + 1, bool)
+        flags[places] = True
+        for a, b in _runs(flags):
+            if out.add(key, piece, a, b):
+                yield from out.take()
+    yield from out.take()
+
+
+def sorted_groups(distinct: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Groups of pieces to sort by columns, none of over ``HOT`` pieces, and the pieces of crowded groups.
+
+    A group of more is split by a second anchor.  Pieces of a passage that very many texts share
+    may agree in that one too: what is then still over ``HOT`` is crowded.
+    """
+    parts = shuffle_partitions(distinct.sparkSession)
+    over = lambda df, by: materialize(df.groupBy(by).agg(F.count("*").alias("pieces")).filter(F.col("pieces") > HOT).select(by))
+    hot = over(distinct, "key")
+    plain = distinct.join(hot, "key", "left_anti").select(
+        F.col("key").alias("grp"), "key", "piece", F.lit(0).alias("base"), "lead", "data")
+    split = materialize(distinct.join(hot, "key").select("key", "piece", "data").repartition(parts).transform(
+        map_arrow, _resplit(length), "grp long, key long, piece long, base int, lead int, data binary"))
+    crowded = over(split, "grp")
+    return plain.unionByName(split.join(crowded, "grp", "left_anti")), split.join(crowded, "grp", "left_semi")
+
+
+def crowded_windows(pieces: DataFrame, length: int) -> DataFrame:
+    """(key, piece, first, last): the repeated windows of crowded groups, found by counting windows by two 64-bit
+    hashes with map-side sums, so no task holds a group."""
+    windows = pieces.transform(map_arrow, _hashed_windows(length), "grp long, whole long, half long, key long, piece long, at int")
+    many = windows.groupBy("grp", "whole", "half").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    many = materialize(many)        # so the join is free to split a frequent window
+    return windows.join(many, ["grp", "whole", "half"], "left_semi").groupBy("key", "piece").agg(
+        F.collect_set("at").alias("places")).transform(map_arrow, _window_runs, "key long, piece long, first long, last long")
+
+
 def _cover(length: int):
     """Kept bytes of each text and how many bytes in how many runs went."""
     schema = pa.schema([("tk", pa.binary()), ("kept", pa.binary()), ("text", pa.string()),
@@ -262,22 +320,21 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     repeated = materialize(repeated)    # so the join is free to split a frequent anchor
     wanted = per_text.join(repeated, "key").groupBy("tk").agg(F.collect_list("key").alias("keys"))
     texts = materialize(whole.join(wanted, "tk").dropDuplicates(["tk"]).select("tk", "text", "keys"))
-    pieces = materialize(texts.repartition(parts, "tk").transform(map_arrow, 
-        _pieces(length), "tk binary, start long, key long, piece long, lead int, data binary"))
-    distinct = pieces.groupBy("key", "piece").agg(
-        F.count("*").alias("n"), F.first("lead").alias("lead"), F.first("data", ignorenulls=True).alias("data"))
-    distinct = materialize(distinct)
-    hot = distinct.groupBy("key").agg(F.count("*").alias("pieces")).filter(F.col("pieces") > HOT).select("key")
-    plain = distinct.join(hot, "key", "left_anti").select(
-        F.col("key").alias("grp"), "key", "piece", F.lit(0).alias("base"), "lead", "data")
-    split = distinct.join(hot, "key").select("key", "piece", "data").repartition(parts).transform(map_arrow, 
-        _resplit(length), "grp long, key long, piece long, base int, lead int, data binary")
-    sorted_ = (plain.unionByName(split).repartition(parts, "grp").sortWithinPartitions("grp", "key", "piece", "base")
+    discard(anchors, per_text, repeated)
+    found = materialize(texts.repartition(parts, "tk").transform(
+        map_arrow, _pieces(length), "tk binary, start long, key long, piece long, lead int, data binary"))
+    distinct = materialize(found.groupBy("key", "piece").agg(
+        F.count("*").alias("n"), F.first("lead").alias("lead"), F.first("data", ignorenulls=True).alias("data")))
+    pieces = materialize(found.select("tk", "start", "key", "piece"))
+    discard(found)      # the bytes are in ``distinct`` once
+    calm, crowded = sorted_groups(distinct, length)
+    sorted_ = (calm.repartition(parts, "grp").sortWithinPartitions("grp", "key", "piece", "base")
                .transform(map_arrow, _sort_columns(length), "key long, piece long, first long, last long"))
     # a piece that occurs twice is repeated whole
     twice = distinct.filter("n > 1").select("key", "piece", F.lit(0).cast("long").alias("first"),
                                             (F.octet_length("data") - length + 1).cast("long").alias("last"))
-    inside = materialize(sorted_.unionByName(twice))
+    inside = materialize(sorted_.unionByName(crowded_windows(crowded, length)).unionByName(twice))
+    discard(distinct)
     spans = pieces.select("tk", "start", "key", "piece").join(inside, ["key", "piece"]).select(
         "tk", (F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last"))
     spans = spans.groupBy("tk").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
@@ -292,14 +349,16 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's columns and, behind them, the text that is left (without characters that a cut splits)."""
     docs = read(spark, sf_dir, "documents", ["doc_id", "text"])
-    lost = repeated_passages(docs).select("tk", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha"))
+    lost = repeated_passages(docs).select("tk", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha"), F.col("text").alias("rest"))
     text = F.coalesce("text", F.lit("")).cast("binary")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("tk"),
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("tk"), F.col("text").alias("all"),
                       F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
     return own.join(lost, "tk", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"))
+        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"),
+        F.coalesce("rest", "all", F.lit("")).alias("text"))
 
 
 def brute_force(texts: list[str | None], length: int) -> list[tuple[int, int, int, str]]:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tessera.llm import passages as p
-from tessera.llm.common import doc_key  # noqa: F401
+from tessera.session import materialize
 
 
 def compare(spark, texts, length):
@@ -42,7 +42,17 @@ def test_hot_anchor_is_split(spark, monkeypatch):
     shared = "".join(rnd.choices("abcdefgh ", k=300))
     texts = ["".join(rnd.choices("ijklm ", k=rnd.randint(0, 50))) + shared[rnd.randint(0, 40):rnd.randint(200, 300)]
              + "".join(rnd.choices("nopq ", k=rnd.randint(0, 50))) for _ in range(80)]
+    seen, plain = [], p.sorted_groups
+
+    def spy(*given):
+        seen.append([materialize(d) for d in plain(*given)])
+        return seen[-1]
+
+    monkeypatch.setattr(p, "sorted_groups", spy)
     compare(spark, texts, 60)
+    calm, crowded = seen[0]
+    assert calm.groupBy("grp").count().agg({"count": "max"}).first()[0] <= p.HOT     # what one task sorts at most
+    assert crowded.groupBy("grp").count().agg({"count": "min"}).first()[0] > p.HOT
 
 
 def test_segments_of_a_long_text(spark, monkeypatch):
@@ -54,7 +64,7 @@ def test_segments_of_a_long_text(spark, monkeypatch):
 
 def test_query_on_whole_table(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
-    got = {r.doc_id: tuple(r)[1:] for r in p.op8_suffix_array_dedup(spark, "/root/testdata/sf0.001").collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in p.op8_suffix_array_dedup(spark, "/root/testdata/sf0.001").collect()}
     want = p.brute_force([r.text for r in rows], 400)
     assert got == {r.doc_id: w for r, w in zip(rows, want, strict=True)}
 

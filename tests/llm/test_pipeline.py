@@ -45,8 +45,19 @@ def test_stages_against_plain_python(spark):
 
 def test_odd_rows_pass_every_stage(spark, odd_texts):
     rows = [(None if i == 4 else i // 2, t, None if i % 3 else "en", None, None) for i, t in enumerate(odd_texts)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("tk", F.lit("clash"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns(
+        {c: F.lit("clash") for c in ("tk", "row", "key", "kept", "rest", "__kept", "__key", "__tk", "__rest", "dk", "n_dropped")})
     for data in (docs, docs.limit(0)):
         for _, stage in pipeline.STAGES:
             data = materialize(stage(spark, data, SF))
         data.collect()
+
+
+def test_ties_in_near_dedup(spark):
+    """Of rows equal in doc_id and text the first by their other columns stays, however they are dealt."""
+    text = "one two three four five six seven"
+    rows = [(1, text, "en", s, None) for s in ("b", "a", "c")] + [(2, text, "en", "0", None)]
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(parts)
+        docs = docs.withColumn("extra", F.create_map(F.lit("k"), "source"))
+        assert [(r.doc_id, r.source) for r in pipeline.near_dedup(spark, docs, SF).collect()] == [(1, "a")]
