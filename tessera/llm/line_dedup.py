@@ -1,17 +1,18 @@
 """Line dedup with a fixed-depth log-template tree.
 
 A line's tokens (digits make a token variable) lead to a leaf by their count and the
-first ``DEPTH`` of them.  In a leaf, lines join the template they agree with in most
-positions, and positions that differ become variable, as long as most tokens and one
-behind the first ``DEPTH`` stay constant.  A template that recurs in at least
+first ``DEPTH`` of them.  In a leaf, a token that fewer than ``MIN_DOCS`` lines of documents
+hold at its place is a variable field; what stays constant is the line's template, as long
+as most tokens and one behind the first ``DEPTH`` do.  A template that recurs in at least
 ``MIN_DOCS`` documents is dropped from all of them but the first.  A line with too few
 constant tokens of its own (a row of numbers, or any line of up to ``DEPTH`` tokens, as
 all lines of scripts without spaces) has no template: it is dropped only where the very
 same tokens recur, digits and all.
 
 Leaves are found by hashes alone; tokens are only sent for distinct lines of leaves
-that enough documents share.  A crowded leaf is parsed in parts whose templates are
-then parsed together.
+that enough documents share.  Fields are told by counts per (leaf, place, token), so a
+template depends neither on the order of lines nor on how many a leaf has, and no task
+holds a leaf.
 """
 
 from __future__ import annotations
@@ -24,14 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (
-    GOLD, Emit, SPACE, _powers, batch, doc_key, groups, mix, prefix_sums, read, shuffle_partitions, span_hash, text_slices,
+    GOLD, SPACE, _powers, batch, doc_key, mix, prefix_sums, read, shuffle_partitions, span_hash, text_buffer, text_slices,
     word_spans, map_arrow)
-from tessera.session import materialize
+from tessera.session import discard, materialize
 
 DEPTH = 3               # leading tokens that lead to a leaf
-SIMILAR = 0.7           # share of equal positions to join a template
-MIN_DOCS = 10           # documents a template recurs in
-CROWD = 4000            # distinct lines of a leaf parsed together
+MIN_DOCS = 10           # documents a template recurs in, and lines that hold a constant token
 ANY = np.uint64(0x2A2A2A2A2A2A2A2A)     # a variable token
 NO_LEAF = 0             # the leaf of lines that are compared whole
 NEWLINE = np.isin(np.arange(256), [10])
@@ -102,43 +101,56 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch(schema, [leaf[use], line[use], [tokens[first[k]:last[k]].tobytes() for k in use.tolist()]])
 
 
-def parse_leaf(lines: list[np.ndarray]) -> tuple[list[int], list[np.ndarray]]:
-    """Template of each line of one leaf, in the order given, and the templates.
+def _cells(min_docs: int):
+    """(cell, line, place, n) of the constant tokens behind the leading ones: a cell is a token at its place in a leaf.
 
-    A line does not join a template that would be left with too few constant tokens.
+    Cells that a batch alone finds ``min_docs`` times are counted in one row without a line.
     """
-    table = np.zeros((0, len(lines[0])), np.uint64)
-    used, found = 0, []
-    for t in lines:
-        best = -1
-        if used:
-            equal = table[:used] == t
-            constant = equal & (t != ANY)
-            told = constant[:, DEPTH:].any(axis=1) & (2 * constant.sum(axis=1) > len(t))
-            same = np.where(told, equal.mean(axis=1), 0.0)
-            best = int(same.argmax())
-        if best >= 0 and same[best] >= SIMILAR:
-            table[best][table[best] != t] = ANY
-        else:
-            if used == len(table):
-                table = np.concatenate([table, np.zeros((max(4, used), len(t)), np.uint64)])
-            best, used = used, used + 1
-            table[best] = t
-        found.append(best)
-    return found, list(table[:used])
-
-
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(leaf, line, template, tokens): a template is named after its first line, which carries its tokens."""
-    out = Emit(pa.schema([("leaf", pa.int64()), ("line", pa.int64()), ("template", pa.int64()), ("tokens", pa.binary())]))
-    for (leaf, _), run in groups(batches, 2):
-        found, table = parse_leaf([np.frombuffer(r[3], np.uint64) for r in run])
-        name: dict[int, int] = {}
-        for r, k in zip(run, found, strict=True):
-            new = k not in name
-            if out.add(leaf, r[2], name.setdefault(k, r[2]), table[k].tobytes() if new else None):
-                yield from out.take()
-    yield from out.take()
+    schema = pa.schema([("cell", pa.int64()), ("line", pa.int64()), ("place", pa.int32()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            tokens, off = text_buffer(b.column("tokens"))
+            size = np.diff(off) // 8
+            row = np.repeat(np.arange(b.num_rows), size)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            token = np.frombuffer(tokens.tobytes(), np.uint64)
+            use = np.flatnonzero((place >= DEPTH) & (token != ANY))
+            row, place = row[use], place[use]
+            leaf, line, n = (np.asarray(b.column(c)) for c in ("leaf", "line", "n"))
+            cell = mix(leaf[row].astype(np.uint64) ^ mix(token[use] + place.astype(np.uint64) * GOLD)).astype(np.int64)
+            known, of = np.unique(cell, return_inverse=True)
+            total = np.zeros(len(known), np.int64)
+            np.add.at(total, of, n[row])
+            often = np.flatnonzero(total >= min_docs)
+            if len(often):
+                none = pa.nulls(len(often))
+                yield batch(schema, [known[often], none.cast(pa.int64()), none.cast(pa.int32()), total[often]])
+            rare = np.flatnonzero(total[of] < min_docs)
+            if len(rare):
+                yield batch(schema, [cell[rare], line[row[rare]], place[rare].astype(np.int32), n[row[rare]]])
+    return run
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(leaf, line, template): the hash of the tokens without variable fields, or the line where too few would stay."""
+    schema = pa.schema([("leaf", pa.int64()), ("line", pa.int64()), ("template", pa.int64())])
+    for b in batches:
+        names = []
+        for line, data, fields in zip(*(b.column(c).to_pylist() for c in ("line", "tokens", "fields")), strict=True):
+            t = np.frombuffer(data, np.uint64).copy()
+            t[fields or []] = ANY
+            constant = t != ANY
+            told = constant[DEPTH:].any() and 2 * int(constant.sum()) > len(t)
+            names.append(int(tokens_key(t)) if fields and told else line)
+        yield batch(schema, [b.column("leaf"), b.column("line"), names])
+
+
+def tokens_key(tokens: np.ndarray) -> np.int64:
+    """The line key of ``parse_lines`` for one line's token hashes."""
+    power, _ = _powers(len(tokens) + 1)
+    total = np.array([(tokens * power[:len(tokens)]).sum(dtype=np.uint64)], np.uint64)
+    return mix(total + np.array([len(tokens)], np.uint64) * GOLD).astype(np.int64)[0]
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,25 +195,18 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
     shared = told.groupBy("leaf").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("leaf")
     shared = materialize(shared)    # so the join is free to split a crowded leaf
     wanted = told.join(shared, "leaf")
-    one = wanted.groupBy("leaf", "line").agg(F.min("dk").alias("dk"))       # a document to read each line from
+    one = materialize(wanted.groupBy("leaf", "line").agg(F.min("dk").alias("dk"), F.count("*").alias("n")))  # a document to read each from
     sources = one.groupBy("dk").agg(F.collect_list("line").alias("lines"))
-    tokens = materialize(docs.select("dk", "text").join(sources, "dk").dropDuplicates(["dk"]).select("text", "lines")
-                         .transform(map_arrow, _tokens, "leaf long, line long, tokens binary").dropDuplicates(["leaf", "line"]))
-    size = tokens.groupBy("leaf").agg(F.ceil(F.count("*") / CROWD).alias("cuts"))
-    salted = tokens.join(size, "leaf").select("leaf", F.pmod("line", "cuts").alias("cut"), "line", "tokens", "cuts")
-    spec = "leaf long, line long, template long, tokens binary"
-
-    def parsed(df: DataFrame) -> DataFrame:
-        return (df.select("leaf", "cut", "line", "tokens").repartition(parts, "leaf", "cut")
-                .sortWithinPartitions("leaf", "cut", "line").transform(map_arrow, _parse, spec))
-
-    first = materialize(parsed(salted))
-    crowded = size.filter("cuts > 1").select("leaf")
-    again = parsed(first.filter("tokens is not null").join(crowded, "leaf")
-                   .select("leaf", F.lit(0).cast("long").alias("cut"), "line", "tokens")).select(
-        "leaf", F.col("line").alias("template"), F.col("template").alias("top"))
-    of = materialize(first.join(again, ["leaf", "template"], "left").select(
-        "leaf", "line", F.coalesce("top", "template").alias("template")))
+    tokens = (docs.select("dk", "text").join(sources, "dk").dropDuplicates(["dk"]).select("text", "lines")
+              .transform(map_arrow, _tokens, "leaf long, line long, tokens binary").dropDuplicates(["leaf", "line"]))
+    # lines of a leaf side by side, so most constant tokens are seen within a batch
+    tokens = materialize(tokens.join(one.drop("dk"), ["leaf", "line"]).repartitionByRange(parts, "leaf", "line"))
+    cells = materialize(tokens.transform(map_arrow, _cells(min_docs), "cell long, line long, place int, n long"))
+    variable = materialize(cells.groupBy("cell").agg(F.sum("n").alias("n")).filter(F.col("n") < min_docs).select("cell"))
+    fields = cells.filter("line is not null").join(variable, "cell", "left_semi").groupBy("line").agg(F.collect_set("place").alias("fields"))
+    of = materialize(tokens.join(fields, "line", "left").select("leaf", "line", "tokens", "fields").transform(
+        map_arrow, _named, "leaf long, line long, template long"))
+    discard(one, tokens, cells, variable)
     held = told.join(of, ["leaf", "line"]).select("template", "dk", "doc_id", "leaf").distinct()
     docs_of = [F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "dk")).alias("first")]
     recurring = held.groupBy("leaf", "template").agg(*docs_of).filter(F.col("n_docs") >= min_docs)
@@ -240,8 +245,6 @@ def brute_force(rows_: list[tuple[int, str]], min_docs: int) -> dict[int, tuple[
     """The same by plain Python, for tests with distinct doc ids: doc_id -> (lines, dropped, kept text)."""
     mask = lambda t: tuple("<*>" if any(c in b"0123456789" for c in w) else w for w in t)
     told = lambda t: any(x != "<*>" for x in t[DEPTH:]) and 2 * sum(x != "<*>" for x in t) > len(t)
-    merge = lambda x, y: tuple(p if p == q else "<*>" for p, q in zip(x, y, strict=True))
-    alike = lambda x, y: sum(p == q for p, q in zip(x, y, strict=True)) / len(x)
     leaves: dict[tuple, dict[tuple, dict[tuple, set]]] = {}
     whole: dict[tuple, set] = {}
     for doc, text in rows_:
@@ -254,7 +257,6 @@ def brute_force(rows_: list[tuple[int, str]], min_docs: int) -> dict[int, tuple[
                 leaves.setdefault((len(t), m[:DEPTH]), {}).setdefault(m, {}).setdefault(t, set()).add(doc)
             else:
                 whole.setdefault(t, set()).add(doc)
-    buf_of = lambda t: " ".join("0" if w == "<*>" else w.decode() for w in t).encode()
     gone: dict[int, set] = {}
 
     def drop(members: dict[tuple, set]) -> None:
@@ -265,20 +267,17 @@ def brute_force(rows_: list[tuple[int, str]], min_docs: int) -> dict[int, tuple[
                     gone.setdefault(d, set()).add(t)
 
     for own in leaves.values():
-        keyed = []
-        for m in own:
-            b = buf_of(m)
-            keyed.append((int(parse_lines(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[7][0]), m))
-        tops: list[list] = []
-        for _, m in sorted(keyed):
-            best = max((p for p in tops if told(merge(p[0], m))), key=lambda p: alike(p[0], m), default=None)
-            if best and alike(best[0], m) >= SIMILAR:
-                best[0] = merge(best[0], m)
-                best[1].append(m)
-            else:
-                tops.append([m, [m]])
-        for _, members in tops:
-            drop({t: docs for m in members for t, docs in own[m].items()})
+        lines: dict[tuple, int] = {}       # (place, token) -> lines of documents that hold it
+        for m, members in own.items():
+            for cell in enumerate(m):
+                lines[cell] = lines.get(cell, 0) + sum(map(len, members.values()))
+        same: dict[tuple, dict[tuple, set]] = {}
+        for m, members in own.items():
+            cut = tuple(w if i < DEPTH or lines[i, w] >= min_docs else "<*>" for i, w in enumerate(m))
+            for t, docs in members.items():
+                same.setdefault(cut if told(cut) else m, {}).setdefault(t, set()).update(docs)
+        for members in same.values():
+            drop(members)
     for t, docs in whole.items():
         drop({t: docs})
     out = {}

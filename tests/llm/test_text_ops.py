@@ -152,13 +152,29 @@ def test_line_templates_match_plain_python(spark, odd_texts, monkeypatch):
     assert line_dedup.drop_recurring_lines(frame(spark, texts).limit(0)).count() == 0
 
 
-def test_crowded_leaf_is_parsed_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "CROWD", 5)
+def test_fields_of_a_crowded_leaf(spark):
+    """One leaf for all lines: what varies is a field, however many lines there are."""
     texts = [f"a b c d e f {chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
     got = {r.row.doc_id: r.n_dropped for r in line_dedup.drop_recurring_lines(frame(spark, texts)).collect()}
     assert got == {i: int(i > 0) for i in range(200)}
 
 
+def test_ordinary_lines_in_one_leaf(spark):
+    """Lines of one leaf made of common words, and of rarer ones, in any order and number: equal to plain Python."""
+    rnd = random.Random(4)
+    common, rare = ["red", "fox", "sees", "dog"], [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    texts = []
+    for _ in range(600):
+        lines = [f"the quick brown {' '.join(rnd.choices(common, k=5))}" for _ in range(6)]
+        lines += [f"the quick brown {' '.join(rnd.choices(common, k=3))} {' '.join(rnd.choices(rare, k=2))}" for _ in range(2)]
+        texts.append("\n".join(lines))
+    want = line_dedup.brute_force(list(enumerate(texts)), 10)
+    for parts in (2, 9):
+        got = {r.row.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in line_dedup.drop_recurring_lines(frame(spark, texts).repartition(parts)).collect()}
+        assert got == want
+    assert 0 < sum(x[1] for x in want.values()) < 600 * 8
+
+
 def test_lines_of_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()]
     got = {r.row.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in line_dedup.drop_recurring_lines(
