@@ -197,7 +197,8 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
     wanted = told.join(shared, "leaf")
     one = materialize(wanted.groupBy("leaf", "line").agg(F.min("dk").alias("dk"), F.count("*").alias("n")))  # a document to read each from
     sources = one.groupBy("dk").agg(F.collect_list("line").alias("lines"))
-    tokens = (docs.select("dk", "text").join(sources, "dk").dropDuplicates(["dk"]).select("text", "lines")
+    # ``sources`` and ``gone`` below grow with the lines: merged at every size, never broadcast
+    tokens = (docs.select("dk", "text").join(sources.hint("merge"), "dk").dropDuplicates(["dk"]).select("text", "lines")
               .transform(map_arrow, _tokens, "leaf long, line long, tokens binary").dropDuplicates(["leaf", "line"]))
     # lines of a leaf side by side, so most constant tokens are seen within a batch
     tokens = materialize(tokens.join(one.drop("dk"), ["leaf", "line"]).repartitionByRange(parts, "leaf", "line"))
@@ -231,7 +232,7 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
     gone = lines.join(recurring, ["leaf", "line"]).filter(F.col("dk") != F.col("first_dk")).groupBy("dk").agg(
         F.collect_set(F.coalesce("whole", "line")).alias("gone"))
     kind = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    out = keyed.join(gone, "dk", "left").select("row", "text", F.coalesce("gone", F.array().cast("array<bigint>")).alias("gone"))
+    out = keyed.join(gone.hint("merge"), "dk", "left").select("row", "text", F.coalesce("gone", F.array().cast("array<bigint>")).alias("gone"))
     return out.transform(map_arrow, _without, f"row {kind}, kept string, n_lines long, n_dropped long")
 
 
