@@ -6,9 +6,11 @@ the number of leaves at which calibration queries reach the recall asked for.  T
 largest inner product becomes the smallest distance by one more coordinate that fills
 every vector up to the largest norm.
 
-Leaves are dealt into blocks of bounded size (a crowded leaf over several), queries
-too; a task compares one block of vectors with one block of queries and hands on the
-best of each query.  Equal vectors are one entry with their smallest ids.
+Leaves are dealt into blocks of bounded size (a crowded leaf over several).  Queries are
+dealt into sets by their first leaf, so that a set's queries visit much the same blocks,
+and only blocks that a set visits meet it; a task compares one block of vectors with one
+set of queries and hands on the best of each query.  Equal vectors are one entry with
+their smallest ids.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import read, map_arrow
@@ -148,6 +150,16 @@ def clean(vectors: DataFrame, dim: int | None = None) -> tuple[DataFrame, int]:
     return ok.filter(F.size("embedding") == dim).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), dim
 
 
+def deal(size: np.ndarray, most: int) -> list[tuple[int, int, int]]:
+    """(leaf, first box, boxes): consecutive leaves fill boxes of about ``most``; a larger leaf is dealt over boxes of its own."""
+    cuts = np.maximum(1, -(-size // most))
+    small = np.where(cuts > 1, 0, size)
+    first = (np.cumsum(small) - small) // most
+    own = np.where(cuts > 1, cuts, 0)
+    first = np.where(cuts > 1, int(first.max()) + 1 + np.cumsum(own) - own, first)
+    return [(i, int(f), int(c)) for i, (f, c) in enumerate(zip(first, cuts, strict=True))]
+
+
 def search(vectors: DataFrame, is_query, k: int = 20, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id, score: for each vector where ``is_query`` holds, its k nearest of all others.
 
@@ -160,10 +172,10 @@ def search(vectors: DataFrame, is_query, k: int = 20, recall: float = RECALL) ->
     rows, dim = clean(vectors)
     rows = materialize(rows)
     keep = k + 1            # of equal vectors, no query needs more ids
-    salt = F.pmod(F.xxhash64("vec_id"), F.lit(256))
-    ids = lambda c: F.slice(F.array_sort(c), 1, keep)
-    entries = (rows.groupBy("embedding", salt.alias("salt")).agg(ids(F.collect_list("vec_id")).alias("ids"))
-               .groupBy("embedding").agg(ids(F.flatten(F.collect_list("ids"))).alias("ids")))
+    # the limit on row numbers holds before the shuffle too, so a hot vector sends few rows a task
+    nth = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    entries = rows.withColumn("nth", nth).filter(F.col("nth") <= keep).groupBy("embedding").agg(
+        F.array_sort(F.collect_list("vec_id")).alias("ids"))
     entries = materialize(entries)
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v * v))
     about = entries.agg(F.count("*").alias("n"), F.max(norm).alias("largest")).first()
@@ -184,22 +196,18 @@ def search(vectors: DataFrame, is_query, k: int = 20, recall: float = RECALL) ->
     size = np.zeros(n_leaves, np.int64)         # one number a leaf, bounded by the sample
     for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect():
         size[r.leaf] = r.n
-    # consecutive leaves fill blocks; a leaf of more than a block is dealt over several
-    first = np.maximum(0, (np.cumsum(size) - size) // BLOCK)
-    cuts = np.maximum(1, -(-size // BLOCK))
-    start = np.concatenate(([0], np.cumsum(np.where(cuts > 1, cuts, 0))))[:-1]
-    base = int(first.max()) + 1
-    block_of = [(int(i), int(base + start[i]) if cuts[i] > 1 else int(first[i]), int(cuts[i])) for i in range(n_leaves)]
+    block_of = deal(size, BLOCK)
     leaf_blocks = spark.createDataFrame(block_of, "leaf long, first long, cuts long")       # one row a leaf
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
         for b in batches:
             v = np.array(b.column("embedding").to_pylist(), float).reshape(-1, dim)
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for q, e, order in zip(b.column("vec_id").to_pylist(), b.column("embedding").to_pylist(), t.order(v), strict=True):
-                seen, n, blocks = 0, 0, {}
+                seen, n, blocks, nearest = 0, 0, {}, None
                 for leaf in order:
+                    nearest = leaf if nearest is None else nearest
                     if seen >= visits and n > k:
                         break
                     seen, n = seen + 1, n + int(size[leaf])
@@ -207,19 +215,24 @@ def search(vectors: DataFrame, is_query, k: int = 20, recall: float = RECALL) ->
                     for block in range(at, at + c):
                         blocks.setdefault(block, []).append(leaf)
                 for block, leaves in blocks.items():
-                    for column, value in zip(out, (block, q, e, leaves), strict=True):
+                    for column, value in zip(out, (nearest, block, q, e, leaves), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                                              pa.array(out[2], pa.list_(pa.float64())), pa.array(out[3], pa.list_(pa.int64()))],
-                                             names=["block", "query_id", "embedding", "leaves"])
-
-    n_queries = rows.filter(is_query).count()
-    sets = max(1, -(-n_queries // QUERIES))
-    asked = rows.filter(is_query).transform(map_arrow, visit, "block long, query_id long, embedding array<double>, leaves array<bigint>") \
-        .withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(sets)))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)],
+                                             names=["leaf", "block", "query_id", "embedding", "leaves"])
+
+    asked = materialize(rows.filter(is_query).transform(
+        map_arrow, visit, "leaf long, block long, query_id long, embedding array<double>, leaves array<bigint>"))
+    near = np.zeros(n_leaves, np.int64)         # queries by their first leaf, one number a leaf
+    for r in asked.groupBy("leaf").agg(F.countDistinct("query_id").alias("n")).collect():
+        near[r.leaf] = r.n
+    sets = spark.createDataFrame(deal(near, QUERIES), "leaf long, first long, cuts long")
+    asked = asked.join(F.broadcast(sets), "leaf").select(
+        "block", (F.col("first") + F.pmod(F.xxhash64("query_id"), F.col("cuts"))).alias("part"), "query_id", "embedding", "leaves")
+    visited = asked.groupBy("block").agg(F.collect_set("part").alias("parts"))
     dealt = placed.join(F.broadcast(leaf_blocks), "leaf").select(
-        (F.col("first") + F.pmod(F.xxhash64("embedding"), F.col("cuts"))).alias("block"), "leaf", "embedding", "ids",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sets - 1).cast("long"))).alias("part"))
+        (F.col("first") + F.pmod(F.xxhash64("embedding"), F.col("cuts"))).alias("block"), "leaf", "embedding", "ids")
+    dealt = dealt.join(visited, "block").select("block", "leaf", "embedding", "ids", F.explode("parts").alias("part"))
 
     def compare(own: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []

@@ -2,8 +2,9 @@
 
 One model a language, over the characters of letter words with ``ORDER - 1``
 boundary marks before and one after each.  Spark counts the ORDER-grams of a
-bounded labelled sample; the driver turns the counts into sorted hash arrays, which
-are broadcast.  As a word's score depends on the word alone and a position's on one
+bounded labelled sample; one task a language turns its counts into sorted hash arrays,
+which are broadcast.  A language's arrays hold its own grams only, and the languages
+share ``TOTAL_CHARS``, so the broadcast is bounded however many there are.  As a word's score depends on the word alone and a position's on one
 ORDER-gram, a task scores each distinct word once, from a table of the ORDER-grams it
 has met.  The language of lowest cross-entropy per character wins; a text whose
 entropy lies far above that of most calibration texts of that language and length is
@@ -21,12 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import text_slices_decoded
-from tessera.llm.common import GOLD, batch, mix, read, word_spans, _powers, map_arrow
+from tessera.llm.common import GOLD, batch, mix, read, text_buffer, word_spans, _powers, map_arrow
 from tessera.session import materialize
 
 ORDER = 5
 MARK = 32                   # word boundary
 MAX_CHARS = 6_000_000       # bound on the characters counted per language (whole texts, chosen by hash)
+TOTAL_CHARS = 48_000_000    # and of all languages together: more languages get an equal part of it each
 ALPHABET = 4096             # size of the uniform model below order 1
 CALIBRATE = 10              # one in so many sample texts is kept from the counts to set the rejection limits
 HIGH = 0.9                  # quantile of the calibration texts' excess over their language's median entropy
@@ -34,7 +36,7 @@ REACH = 8                   # so many times that quantile, of texts as long, is
 LEAST = 0.04                # nats per character the quantile counts as at least
 FEW = 20                    # calibration texts below which a length class takes the quantile of others
 CLASSES = 32                # length classes: powers of 2 in characters
-CACHE = 200_000             # words whose scores a task keeps
+CACHE = 1_600_000           # scores (words or grams times languages) a task keeps
 _letters: list[np.ndarray] = []
 
 
@@ -86,29 +88,27 @@ class Words:
 
 @dataclass
 class Model:
-    """Sorted hash arrays by order: log probabilities of grams and log weights of contexts, a column a language."""
+    """By language and order: sorted gram keys with log probabilities, sorted context keys with log weights."""
 
     langs: list[str]
-    grams: list[np.ndarray] = field(default_factory=list)
-    logs: list[np.ndarray] = field(default_factory=list)
-    contexts: list[np.ndarray] = field(default_factory=list)
-    weights: list[np.ndarray] = field(default_factory=list)
+    tables: list[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]] = field(default_factory=list)
     middle: np.ndarray | None = None    # calibration: median entropy per character,
     reach: np.ndarray | None = None     # and the excess that is not rejected, by length class
 
     def score(self, grams: np.ndarray) -> np.ndarray:
         """Log probability of each ORDER-gram's last character given the ones before, by language."""
-        out = np.full((len(grams), len(self.langs)), np.nan)
-        passed = np.zeros_like(out)
-        for n in range(ORDER, 0, -1):
-            own = grams[:, ORDER - n:]
-            at, hit = _find(self.grams[n - 1], _gram_hash(own))
-            found = np.where(hit[:, None], self.logs[n - 1][at], np.nan)
-            out = np.where(np.isnan(out) & ~np.isnan(found), passed + found, out)
-            at, hit = _find(self.contexts[n - 1], _gram_hash(own[:, :-1]))
-            weight = np.where(hit[:, None], self.weights[n - 1][at], np.nan)
-            passed += np.where(np.isnan(weight), 0.0, weight)
-        return np.where(np.isnan(out), passed - np.log(ALPHABET), out)
+        keys = [(_gram_hash(grams[:, ORDER - n:]), _gram_hash(grams[:, ORDER - n:-1])) for n in range(1, ORDER + 1)]
+        out = np.empty((len(grams), len(self.langs)))
+        for k, orders in enumerate(self.tables):
+            open_, passed = np.arange(len(grams)), np.zeros(len(grams))
+            for (gram, context), (known, logs, contexts, weights) in zip(reversed(keys), reversed(orders), strict=True):
+                at, hit = _find(known, gram[open_])
+                out[open_[hit], k] = passed[open_[hit]] + logs[at[hit]]
+                open_ = open_[~hit]
+                at, hit = _find(contexts, context[open_])
+                passed[open_[hit]] += weights[at[hit]]
+            out[open_, k] = passed[open_] - np.log(ALPHABET)
+        return out
 
 
 def _estimate(grams: np.ndarray, counts: np.ndarray) -> list[tuple]:
@@ -135,17 +135,20 @@ def _estimate(grams: np.ndarray, counts: np.ndarray) -> list[tuple]:
     return out
 
 
-def _merge(langs: list[str], parts: list[list[tuple]]) -> Model:
-    m = Model(langs)
-    for n in range(ORDER):
-        for keys, values, own, log in ((m.grams, m.logs, 0, 1), (m.contexts, m.weights, 2, 3)):
-            every = np.unique(np.concatenate([p[n][own] for p in parts]))
-            table = np.full((len(every), len(langs)), np.nan)
-            for k, p in enumerate(parts):
-                table[np.searchsorted(every, p[n][own]), k] = p[n][log]
-            keys.append(every)
-            values.append(table)
-    return m
+#: A language's arrays as handed on by its task: one row an order.
+TABLES = "lang string, n int, grams binary, logs binary, contexts binary, weights binary"
+KINDS = (np.uint64, np.float64, np.uint64, np.float64)
+
+
+def _fit(counts: pa.Table) -> pa.Table:
+    """``TABLES`` of one language's (lang, gram, n); its rows are bounded by the sample's characters."""
+    codes = np.frombuffer(text_buffer(counts.column("gram"))[0].tobytes().decode().encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
+    order = np.lexsort(codes.T[::-1])
+    levels = _estimate(codes[order], counts.column("n").to_numpy()[order])
+    lang = counts.column("lang")[0].as_py()
+    return pa.table([pa.array([lang] * ORDER, pa.string()), pa.array(range(1, ORDER + 1), pa.int32())]
+                    + [pa.array([x.tobytes() for x in column], pa.binary()) for column in zip(*levels, strict=True)],
+                    names=["lang", "n", "grams", "logs", "contexts", "weights"])
 
 
 class Scorer:
@@ -175,7 +178,7 @@ class Scorer:
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per character by language, and the scored characters of each text."""
         w = Words(texts)
-        if len(self.words) > CACHE:
+        if self.word_logs.size + self.gram_logs.size > CACHE:
             self._reset()
         each, first, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
         _, hit = _find(self.words, each)
@@ -209,34 +212,34 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch(schema, [[lang] * len(n), [text[k:k + ORDER] for k in range(0, len(text), ORDER)], n])
 
 
-def train(labelled: DataFrame) -> Model:
+def train(labelled: DataFrame, least_rows: int = 1) -> Model:
     """A model of (text, lang) rows; rows with a null in either, or no letter, teach nothing.
 
-    Every label is learnt, from whole texts of about ``MAX_CHARS`` characters, chosen by a hash of
-    the text, so equal inputs give equal models on any partitioning.  The text of a label's least
-    hash always teaches.  Without any usable row the model has no languages.
+    Every label of at least ``least_rows`` rows is learnt (without that rule all are), from whole
+    texts of about ``MAX_CHARS`` characters, less if the labels together would pass ``TOTAL_CHARS``,
+    chosen by a hash of the text, so equal inputs give equal models on any partitioning.  The text
+    of a label's least hash always teaches.  Without any usable row the model has no languages.
     """
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     draw = (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30))
-    share = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), F.min(draw).alias("first"))
-    share = share.select("lang", "first", F.least(F.lit(1.0), F.lit(float(MAX_CHARS)) / F.greatest(F.col("chars"), F.lit(1))).alias("share"))
+    share = materialize(rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), F.min(draw).alias("first"), F.count("*").alias("rows"))
+                        .filter(F.col("rows") >= least_rows))
+    most = min(MAX_CHARS, TOTAL_CHARS // max(1, share.count()))
+    share = share.select("lang", "first", F.least(F.lit(1.0), F.lit(float(most)) / F.greatest(F.col("chars"), F.lit(1))).alias("share"))
     sample = rows.join(F.broadcast(share), "lang").filter((draw < F.col("share")) | (draw == F.col("first")))    # a row a label
     kept = (F.pmod(F.xxhash64("text", F.lit("calibrate")), F.lit(CALIBRATE)) == 0) & (draw > F.col("first"))
     counts = (sample.filter(~kept).select("lang", "text").transform(map_arrow, _count_grams, "lang string, gram string, n long")
-              .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
-    langs = sorted(set(counts.column("lang").to_pylist()))
+              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    found: dict[str, list] = {}
+    for r in counts.groupBy("lang").applyInArrow(_fit, TABLES).toArrow().to_batches():
+        for lang, n, *arrays in zip(*r.columns, strict=True):
+            levels = found.setdefault(lang.as_py(), [None] * ORDER)
+            levels[n.as_py() - 1] = tuple(np.frombuffer(x.as_buffer(), t) for x, t in zip(arrays, KINDS, strict=True))
+    langs = sorted(found)
     if not langs:
         return Model([])
-    lang = np.array(counts.column("lang").to_pylist())
-    codes = np.frombuffer("".join(counts.column("gram").to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
-    n = counts.column("n").to_numpy()
-    parts = []
-    for x in langs:
-        own = np.flatnonzero(lang == x)
-        own = own[np.lexsort(codes[own].T[::-1])]
-        parts.append(_estimate(codes[own], n[own]))
-    model = _merge(langs, parts)
+    model = Model(langs, [found[x] for x in langs])
     shared = sample.sparkSession.sparkContext.broadcast(model)
     schema = pa.schema([("lang", pa.string()), ("entropy", pa.float64()), ("chars", pa.int64())])
 

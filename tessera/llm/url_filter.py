@@ -2,7 +2,7 @@
 
 Host and path rules decide the urls they fit.  Those urls, with the rules' verdicts as
 labels, train the trees that judge the rest.  Everything is DataFrame expressions and
-Spark ML; only the model and at most ``SUFFIXES`` suffix rates are shared.
+Spark ML; only the model and the suffix rates of the training sample are shared.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from tessera.session import materialize
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/")]
 MAX_TRAIN = 20_000      # labelled urls the trees are fitted on, chosen by hash
-SUFFIXES = 1000         # most frequent host suffixes that get a rate of their own
 TREES, LEVELS = 10, 4
 FEATURES = ["n_chars", "host_chars", "labels", "depth", "digit_share", "entropy", "n_params", "query_chars",
             "hyphens", "longest_label", "escapes", "has_fragment", "secure", "suffix_rate"]
@@ -90,11 +89,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFr
         "label", (F.col("listed") == "block").cast("double"))
     sample = materialize(sample)
     prior = counts.get("block", 0) / sum(counts.values())
-    rates = sample.groupBy("suffix").agg(
-        ((F.sum("label") + 10 * prior) / (F.count("*") + 10)).alias("rate"), F.count("*").alias("n"))
-    rates = spark.createDataFrame(      # at most SUFFIXES rows of the bounded sample
-        [(r.suffix, r.rate) for r in rates.orderBy(F.desc("n"), "suffix").limit(SUFFIXES).collect()] or [("", prior)],
-        "suffix string, rate double")
+    # at most one row a training row, so MAX_TRAIN bounds what is broadcast
+    rates = materialize(sample.groupBy("suffix").agg(((F.sum("label") + 10 * prior) / (F.count("*") + 10)).alias("rate")))
 
     def vectors(df: DataFrame) -> DataFrame:
         df = df.join(F.broadcast(rates), "suffix", "left").withColumn("suffix_rate", F.coalesce("rate", F.lit(prior))).drop("rate")

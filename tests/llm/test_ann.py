@@ -62,3 +62,26 @@ def test_what_takes_no_part(spark):
     assert run(df) == {0: [(1, 0.5), (20, 0.0)], 20: [(1, 1.0), (0, 0.0)]}
     assert ann.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert ann.search(df.filter("vec_id = 0"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_leaves_fill_boxes_of_bounded_size():
+    """Small leaves share boxes in their order, a crowded one has boxes of its own, none is lost."""
+    size = np.array([3, 0, 5, 25, 4, 4, 4, 10, 11, 1])
+    dealt = ann.deal(size, 10)
+    own = {}
+    for (leaf, first, cuts), n in zip(dealt, size.tolist()):
+        assert cuts == max(1, -(-n // 10))
+        for box in range(first, first + cuts):
+            own.setdefault(box, []).append(leaf)
+    assert [leaf for leaf, _, _ in dealt] == list(range(10))
+    for leaves in own.values():
+        crowded = [x for x in leaves if size[x] > 10]
+        assert leaves == crowded[:1] if crowded else sum(size[x] for x in leaves) < 20
+    assert ann.deal(np.zeros(3, np.int64), 10) == [(0, 0, 1), (1, 0, 1), (2, 0, 1)]
+
+
+def test_hot_vector_keeps_few_ids(spark):
+    """A vector of 2,000 rows is one entry of the smallest ids; its queries find each other, ties by id."""
+    df = spark.range(2000).selectExpr("id as vec_id", "array(1.0D, 2.0D) as embedding").repartition(8)
+    got = run(df, 5)
+    assert len(got) == 100 and got[40] == [(i, 5.0) for i in range(5)] and got[0] == [(i, 5.0) for i in range(1, 6)]

@@ -1,9 +1,10 @@
 """Quality rules, language ID, line templates, licenses and URL filters."""
 
+import math
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,17 +125,74 @@ def test_every_label_is_learnt(spark):
     rows = [(f"{chr(97 + i % 26) * 3}{chr(97 + i // 26) * 3} text{chr(97 + i % 26)}", f"l{i:03}") for i in range(230)]
     model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
     assert model.langs == sorted(x for _, x in rows)
+    assert sum(len(t[-1][0]) for t in model.tables) < 230 * 20        # each label keeps its own grams alone
 
 
 def test_kneser_ney_sums_to_one():
     import numpy as np
     grams = np.array([[32, 32, 32, 32, c] for c in (97, 97, 98)] + [[32, 32, 32, 97, c] for c in (98, 98, 99)], np.uint32)
     uniq, n = np.unique(grams, axis=0, return_counts=True)
-    m = langid._merge(["x"], [langid._estimate(uniq, n)])
+    m = langid.Model(["x"], [langid._estimate(uniq, n)])
     every = np.array([[32, 32, 32, 32, c] for c in range(langid.ALPHABET)], np.uint32)
     assert np.exp(langid.Scorer(m).model.score(every)[:, 0]).sum() == pytest.approx(1, abs=1e-6)
 
 
+def plain_kneser_ney(texts):
+    """log p(last character | four before) from nested dictionaries, and the entropy of a text."""
+    words = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    count = [None] * 6
+    count[5] = Counter(line[i:i + 5] for t in texts for w in words(t) for line in ["    " + w + " "] for i in range(len(w) + 1))
+    for n in range(4, 0, -1):
+        count[n] = Counter(g[1:] for g in count[n + 1])
+    discount = {}
+    for n in range(1, 6):
+        ones, twos = (sum(c == k for c in count[n].values()) for k in (1, 2))
+        discount[n] = ones / (ones + 2 * twos) if ones else 0.5
+    following = [defaultdict(list) for _ in range(6)]
+    for n in range(1, 6):
+        for g, c in count[n].items():
+            following[n][g[:-1]].append(c)
+
+    def p(g):
+        n = len(g)
+        if not n:
+            return 1 / langid.ALPHABET
+        after = following[n].get(g[:-1])
+        if after is None:
+            return p(g[1:])
+        return max(count[n][g] - discount[n], 0) / sum(after) + discount[n] * len(after) / sum(after) * p(g[1:])
+
+    def entropy(t):
+        lines = ["    " + w + " " for w in words(t)]
+        grams = [x[i:i + 5] for x in lines for i in range(len(x) - 4)]
+        return -sum(math.log(p(g)) for g in grams) / len(grams)
+    return entropy
+
+
+def test_entropies_equal_a_plain_kneser_ney(spark, monkeypatch):
+    """Three languages of different sizes: each keeps its own grams; words no language has met back off."""
+    monkeypatch.setattr(langid, "CALIBRATE", 1 << 40)
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").filter(F.col("text").rlike("^[ -~\n]+$"))
+    draw = F.crc32("text") % 5
+    docs = docs.select("text", F.when(draw == 0, "p").when(draw < 3, "q").otherwise("r").alias("lang"))
+    rows = docs.collect()
+    model = langid.train(docs)
+    fresh = ["the quick brown fox", "zzyzx qqq", "der Hund und die Katze", "a", "le chat, l'eau et 42 oiseaux"]
+    got, _ = langid.Scorer(model).entropies(fresh + [r.text for r in rows[:20]])
+    for k, lang in enumerate(model.langs):
+        entropy = plain_kneser_ney([r.text for r in rows if r.lang == lang])
+        assert got[:, k].tolist() == pytest.approx([entropy(t) for t in fresh + [r.text for r in rows[:20]]], rel=1e-9)
+    assert len({len(t[-1][0]) for t in model.tables}) == len(model.langs) > 1
+
+
+def test_labels_of_few_rows_by_rule_and_shared_bound(spark, monkeypatch):
+    rows = [(f"alpha beta {chr(97 + i)}", "many") for i in range(20)] + [("gamma", "one"), (None, "one"), ("delta", None)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert langid.train(docs).langs == ["many", "one"] and langid.train(docs, least_rows=2).langs == ["many"]
+    monkeypatch.setattr(langid, "TOTAL_CHARS", 20)
+    assert langid.train(docs).langs == ["many", "one"]
+
+
 # ------------------------------------------------------------- line templates
 def test_line_templates_match_plain_python(spark, odd_texts, monkeypatch):
     rnd = random.Random(2)
