@@ -86,6 +86,16 @@ def eligible_interactions(spark, sf):
     return eligible(spark, sf).select("user_id", "item_id", "plays")
 
 
+@query("eligible_items_optional")
+def eligible_items_optional(spark, sf):
+    """FLT-02: the item filters with the optional cuts, names that match a pattern and plays per user at
+    or above mean + k·sd."""
+    items = prof.eligible_items(_item_profile(spark, sf), "n_users", V.V1_ITEM_MIN_USERS, name_col="name",
+                                exclude_names=V.V1_ITEM_EXCLUDE_NAMES, exclude_like=V.V1_ITEM_EXCLUDE_LIKE,
+                                exclude_rlike=V.V1_ITEM_EXCLUDE_RLIKE, ratio_col="plays_per_user", ratio_k=V.V1_ITEM_K)
+    return items.select("item_id", "name", "n_users", r6("plays_per_user").alias("plays_per_user"))
+
+
 def split(spark, sf) -> DataFrame:
     return sampling.hash_split(eligible(spark, sf), ["user_id", "item_id"], V.SPLIT_WEIGHTS,
                                V.SPLIT_SEED, names=["train", "test"])
@@ -245,6 +255,61 @@ def delimited_round_trip(spark, sf):
     return coerce(back, {"c_custkey": "BIGINT", "c_acctbal": "DOUBLE"})
 
 
+@query("quoted_round_trip")
+def quoted_round_trip(spark, sf):
+    """SRC-02 / SRC-03 / SNK-02: whole texts (line breaks, quotes, separators) written as quoted text
+    with a header and read back without a schema."""
+    from tessera.session import scratch_path
+    from tessera.sources.delimited import coerce, read_delimited
+    from tessera.sources.sinks import write_quoted
+    path = scratch_path(spark, "quoted")
+    write_quoted(V.load(spark, sf, "documents", ["doc_id", "text", "lang", "n_chars"]), path)
+    back = read_delimited(spark, path, header=True, escape='"', multiline=True, null_value=r"\N")
+    return coerce(back, {"doc_id": "BIGINT", "n_chars": "BIGINT"})
+
+
+@query("inferred_schema")
+def inferred_schema(spark, sf):
+    """SRC-04: all orders written as text with a header, read back with inferred types, listed."""
+    from tessera.session import scratch_path
+    from tessera.sources.delimited import read_delimited
+    from tessera.sources.schema import schema_listing
+    from tessera.sources.sinks import write_delimited
+    path = scratch_path(spark, "delimited")
+    orders = V.load(spark, sf, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+    write_delimited(orders.withColumn("o_orderdate", F.to_date("o_orderdate")), path)
+    return schema_listing(read_delimited(spark, path, header=True, infer=True)).select(
+        "position", "column_name", "data_type", "n_rows", "n_null")
+
+
+@query("headerless_tsv")
+def headerless_tsv(spark, sf):
+    """SRC-01 / SNK-01 / STR-13: the interactions as tab-separated text without a header, in a folder
+    named by the time, read back by a declared schema."""
+    from tessera.session import scratch_path
+    from tessera.sources.delimited import read_delimited
+    from tessera.sources.sinks import timestamp_suffix, write_delimited
+    v1 = V.interactions(spark, sf)
+    path = f"{scratch_path(spark, 'delimited')}/{timestamp_suffix(v1)}"
+    write_delimited(v1, path, sep="\t", header=False)
+    return read_delimited(spark, path, "user_id BIGINT, item_id BIGINT, plays BIGINT", sep="\t")
+
+
+@query("split_sink")
+def split_sink(spark, sf):
+    """SNK-03: labelled and unlabelled pairs united, then written to folders of their own, ids un-shifted;
+    a reader of one part prunes the other."""
+    from tessera.session import scratch_path
+    from tessera.sources.sinks import write_split
+    p = V.pairs_raw(spark, sf).select("id", "is_duplicate", "split")
+    parts = [p.filter(F.col("split") == x).drop("split") for x in ("train", "test")]
+    labelled, unlabelled = tp.split_unlabelled(tp.union_unlabelled(*parts, "id", "is_duplicate"))
+    path = scratch_path(spark, "split")
+    write_split(labelled.withColumn("part", F.lit("labelled")).unionByName(
+        unlabelled.withColumn("part", F.lit("unlabelled"))), path, "part")
+    return spark.read.parquet(path).select("part", "id", "is_duplicate")
+
+
 @query("cohort_derived")
 def cohort_derived(spark, sf):
     d, steps = cohort_frame(spark, sf)
@@ -407,6 +472,13 @@ def logrank_test(spark, sf):
     return sv.logrank_test(V.subjects(spark, sf), "time", "event", "region", "stratum")
 
 
+@query("logrank_two_groups")
+def logrank_two_groups(spark, sf):
+    """Two groups per stratum: one degree of freedom."""
+    t = sv.logrank_test(V.subjects(spark, sf), "time", "event", "group2", "stratum")
+    return t.select("stratum", "n_groups", r6("chisq").alias("chisq"), "df", r6("p_value").alias("p_value"))
+
+
 @query("curve_crossings")
 def curve_crossings(spark, sf):
     return sv.curve_crossings(_km(spark, sf), "time", "group2", "low", "high", "stratum")
@@ -420,14 +492,18 @@ def _cox(spark, sf, interaction: bool):
     return d, xs, sv.cox_ph(d, "time", "event", xs, "stratum")
 
 
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[r6(c).alias(c) if t == "double" else c for c, t in df.dtypes])
+
+
 @query("cox_fit")
 def cox_fit(spark, sf):
-    return _cox(spark, sf, False)[2][0]
+    return _rounded(_cox(spark, sf, False)[2][0])
 
 
 @query("cox_tests")
 def cox_tests(spark, sf):
-    return _cox(spark, sf, False)[2][1]
+    return _rounded(_cox(spark, sf, False)[2][1])
 
 
 @query("cox_interaction")
@@ -438,13 +514,13 @@ def cox_interaction(spark, sf):
 @query("cox_concordance")
 def cox_concordance(spark, sf):
     d, xs, (coefs, _) = _cox(spark, sf, False)
-    return sv.concordance(d, "time", "event", xs, coefs, "stratum")
+    return _rounded(sv.concordance(d, "time", "event", xs, coefs, "stratum"))
 
 
 @query("cox_curve")
 def cox_curve(spark, sf):
     d, xs, (coefs, _) = _cox(spark, sf, False)
-    return sv.cox_curve(d, "time", "event", xs, coefs, "stratum")
+    return _rounded(sv.cox_curve(d, "time", "event", xs, coefs, "stratum"))
 
 
 # ---------------------------------------------------- text pairs (V2) family

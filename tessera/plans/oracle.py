@@ -710,3 +710,82 @@ FROM c"""
 
 
 _catalog_trees()
+
+
+# Sources and sinks: what went out must come back.
+ORACLE["quoted_round_trip"] = "SELECT doc_id, text, lang, n_chars FROM documents"
+ORACLE["inferred_schema"] = "SELECT * FROM (" + " UNION ALL ".join(
+    f"""SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, {t} AS data_type,
+  count(*) AS n_rows, count(*) - count({c}) AS n_null FROM orders""" for i, (c, t) in enumerate((
+        ("o_orderkey", "CASE WHEN max(o_orderkey) > 2147483647 THEN 'bigint' ELSE 'int' END"), ("o_orderstatus", "'string'"),
+        ("o_totalprice", "'double'"), ("o_orderdate", "'date'")), 1)) + ")"
+ORACLE["headerless_tsv"] = with_(V1) + "SELECT user_id, item_id, plays FROM v1"
+ORACLE["split_sink"] = with_(V2) + """
+SELECT CASE split WHEN 'train' THEN 'labelled' ELSE 'unlabelled' END AS part, id,
+       CASE split WHEN 'train' THEN is_duplicate ELSE -1 END AS is_duplicate FROM v2"""
+ORACLE["eligible_items_optional"] = with_(V1, IPROF) + f"""
+SELECT item_id, name, n_users, round(plays_per_user, 6) AS plays_per_user
+FROM iprof, (SELECT avg(plays_per_user) + {V.V1_ITEM_K} * stddev_samp(plays_per_user) AS cutoff FROM iprof)
+WHERE n_users > {V.V1_ITEM_MIN_USERS} {_names} {_like}
+  AND NOT regexp_matches(name, '{V.V1_ITEM_EXCLUDE_RLIKE}') AND plays_per_user < cutoff"""
+
+
+# Tests and models of two groups: closed forms of one covariate x = (group2 = 'low').
+def _tail(chi: str) -> str:
+    """Upper tail of χ² with one degree of freedom: 1 - erf(sqrt(chi / 2)), as a series of positive terms."""
+    terms = (f"list_transform(range(0, 400), lambda n: exp(2 * n * ln(2) + (n + 0.5) * ln({chi} / 2) - {chi} / 2 "
+             f"- lgamma(2 * n + 2) + lgamma(n + 1)))")
+    return f"CASE WHEN {chi} > 0 THEN greatest(0, 1 - 2 / sqrt(pi()) * list_sum({terms})) ELSE 1 END"
+
+
+ORACLE["logrank_two_groups"] = f"""
+SELECT stratum, CAST(2 AS INTEGER) AS n_groups, round(chi, 6) AS chisq, CAST(1 AS INTEGER) AS df,
+       round({_tail('chi')}, 6) AS p_value
+FROM (SELECT stratum, (observed - expected) ** 2 / var AS chi FROM ({ORACLE['logrank'].replace('round(sum(dt * p), 6)', 'sum(dt * p)').replace('round(sum(w * p * (1 - p)), 6)', 'sum(w * p * (1 - p))')})
+      WHERE group2 = 'low')"""
+
+_STEPS = 12
+#: Per stratum and time: at risk, events (n, d; n1, d1 of x = 1); then one row a tied event (Efron).
+_COX = """cc AS (SELECT stratum, time, sum(event) AS d, sum(event) FILTER (WHERE group2 = 'low') AS d1,
+                   count(*) AS m, count(*) FILTER (WHERE group2 = 'low') AS m1,
+                   count(*) FILTER (WHERE event = 0) AS c, count(*) FILTER (WHERE event = 0 AND group2 = 'low') AS c1
+            FROM v3 GROUP BY ALL),
+cr AS (SELECT stratum, time, d, coalesce(d1, 0) AS d1, m, m1, c, c1, sum(m) OVER w AS n, sum(m1) OVER w AS n1
+       FROM cc WINDOW w AS (PARTITION BY stratum ORDER BY time DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ct AS (SELECT stratum, l, d, d1, n1 - l / d * d1 AS a1, n - n1 - l / d * (d - d1) AS a0
+       FROM (SELECT *, unnest(range(0, CAST(d AS BIGINT))) AS l FROM cr WHERE d > 0)),
+b0 AS (SELECT DISTINCT stratum, CAST(0 AS DOUBLE) AS beta FROM v3),
+""" + ",\n".join(f"""b{k + 1} AS MATERIALIZED (SELECT stratum, beta + sum(CASE WHEN l = 0 THEN d1 ELSE 0 END - p) / sum(p * (1 - p)) AS beta
+  FROM (SELECT *, a1 * exp(beta) / (a1 * exp(beta) + a0) AS p FROM ct JOIN b{k} USING (stratum)) GROUP BY stratum, beta)"""
+                for k in range(_STEPS)) + f""",
+cf AS (SELECT stratum, beta, sum(p * (1 - p)) AS info, sum(p0 * (1 - p0)) AS info0, sum(x - p0) AS u0,
+              sum(x * beta - ln(a1 * exp(beta) + a0)) AS ll, -sum(ln(a1 + a0)) AS ll0
+       FROM (SELECT *, a1 * exp(beta) / (a1 * exp(beta) + a0) AS p, a1 / (a1 + a0) AS p0, CASE WHEN l = 0 THEN d1 ELSE 0 END AS x
+             FROM ct JOIN b{_STEPS} USING (stratum)) GROUP BY stratum, beta)"""
+ORACLE["cox_fit"] = with_(V3, _COX) + f"""
+SELECT stratum, 'group2_low' AS term, round(beta, 6) AS coef, round(exp(beta), 6) AS hr, round(se, 6) AS se,
+       round(beta / se, 6) AS z, round({_tail('((beta / se) ** 2)')}, 6) AS p_value,
+       round(exp(beta - 1.959963984540054 * se), 6) AS hr_lower, round(exp(beta + 1.959963984540054 * se), 6) AS hr_upper
+FROM (SELECT *, 1 / sqrt(info) AS se FROM cf)"""
+ORACLE["cox_tests"] = with_(V3, _COX) + f"""
+SELECT stratum, CAST(1 AS INTEGER) AS df, round(ll0, 6) AS loglik0, round(ll, 6) AS loglik, round(lrt, 6) AS lrt,
+       round({_tail('lrt')}, 6) AS lrt_p, round(wald, 6) AS wald, round({_tail('wald')}, 6) AS wald_p,
+       round(score, 6) AS score, round({_tail('score')}, 6) AS score_p, true AS converged
+FROM (SELECT *, 2 * (ll - ll0) AS lrt, beta * beta * info AS wald, u0 * u0 / info0 AS score FROM cf)"""
+ORACLE["cox_concordance"] = with_(V3, _COX) + """,
+pc AS (SELECT stratum, beta, sum(d1 * (n - n1 - (m - m1) + c - c1)) AS low_first, sum((d - d1) * (n1 - m1 + c1)) AS high_first,
+              sum(d1 * (n1 - m1 + c1) + (d - d1) * (n - n1 - (m - m1) + c - c1)) AS tied_risk
+       FROM cr JOIN cf USING (stratum) GROUP BY stratum, beta)
+SELECT stratum, CAST(CASE WHEN beta > 0 THEN low_first ELSE high_first END AS BIGINT) AS concordant,
+       CAST(CASE WHEN beta > 0 THEN high_first ELSE low_first END AS BIGINT) AS discordant, CAST(tied_risk AS BIGINT) AS tied_risk,
+       round((CASE WHEN beta > 0 THEN low_first ELSE high_first END + 0.5 * tied_risk) / (low_first + high_first + tied_risk), 6) AS concordance
+FROM pc"""
+ORACLE["cox_curve"] = with_(V3, _COX) + """,
+w AS (SELECT stratum, exp((1 - x) * beta) AS w1, exp(-x * beta) AS w0
+      FROM (SELECT stratum, avg(CASE WHEN group2 = 'low' THEN 1.0 ELSE 0 END) AS x FROM v3 GROUP BY stratum) JOIN cf USING (stratum)),
+dh AS (SELECT stratum, time, sum(1 / (n1 * w1 + (n - n1) * w0 - l / d * (d1 * w1 + (d - d1) * w0))) AS h
+       FROM (SELECT *, unnest(range(0, CAST(d AS BIGINT))) AS l FROM cr WHERE d > 0) JOIN w USING (stratum) GROUP BY ALL),
+ch AS (SELECT stratum, time, n, d, sum(coalesce(h, 0)) OVER (PARTITION BY stratum ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumhaz
+       FROM cr LEFT JOIN dh USING (stratum, time))
+SELECT stratum, time, CAST(n AS BIGINT) AS n_risk, CAST(d AS BIGINT) AS n_event, round(cumhaz, 6) AS cumhaz, round(exp(-cumhaz), 6) AS surv
+FROM ch"""

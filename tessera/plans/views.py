@@ -17,6 +17,7 @@ from tessera.sources.tables import load
 V1_ITEM_MIN_USERS = 25          # users per item must exceed this
 V1_ITEM_EXCLUDE_LIKE = ("%.com%", "%.org%", "%ring%")
 V1_ITEM_EXCLUDE_NAMES = ("[unknown]",)
+V1_ITEM_EXCLUDE_RLIKE = "^[^a-z]+$|^[a-g]"   # names without a letter, or of the first letters
 V1_USER_K = 3.0                 # user plays-per-item must be < mean + 3 sd
 V1_USER_MIN_ITEMS = 5
 V1_ITEM_K = 2.0                 # item threshold (reported, not applied: Q7)

@@ -25,6 +25,15 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tru
     out.write.mode(mode).option("header", header).option("sep", sep).csv(path)
 
 
+def write_quoted(df: DataFrame, path: str, sep: str = ",", null_value: str = r"\N", mode: str = "overwrite") -> None:
+    """SNK-02 for texts of any kind: header, every value quoted, quotes doubled, white space at the ends
+    kept and NULL written as ``null_value``, so ``read_delimited(header=True, escape='"',
+    multiline=True, null_value=...)`` gives the same rows.  One file a partition: readers cannot split one."""
+    (df.write.mode(mode).option("header", True).option("sep", sep).option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("nullValue", null_value).option("emptyValue", "").csv(path))
+
+
 def write_ordered(df: DataFrame, path: str, key: str, **kw) -> None:
     """SNK-04: output ordered by ``key``; a range-partitioned sort keeps the
     order across part files without a single-task funnel."""

@@ -139,3 +139,11 @@ def test_array_path_equals_bucketed_path(spark, ties):
                                                       neg_bound=100).collect()}
     assert a.keys() == b.keys()
     assert all(a[u] == pytest.approx(b[u]) for u in a)
+
+
+def test_optional_item_cuts(spark):
+    """FLT-02: names by pattern and the ratio's threshold over the whole profile."""
+    rows = [(i, n, 9, r) for i, (n, r) in enumerate([("abc", 1.0), ("123", 1.0), ("xyz", 50.0), (None, 1.0), ("q9", 2.0)])]
+    p = spark.createDataFrame(rows, "item_id INT, name STRING, n_users INT, ratio DOUBLE")
+    got = prof.eligible_items(p, "n_users", 5, name_col="name", exclude_rlike="^[^a-zA-Z]+$", ratio_col="ratio", ratio_k=1.0)
+    assert sorted(r.name for r in got.collect()) == ["abc", "q9"]
