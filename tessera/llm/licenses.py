@@ -1,10 +1,10 @@
 """License scans with ordered signature rules, in DataFrame functions only.
 
 A rule is a regular expression over the words of a text, gated by the word it begins
-with.  Each rule names a literal it cannot match without; texts with none of these
-literals never reach the rules.  Where a gate word
-stands, its rules are tried on the words that follow, so every place is found.  Of
-overlapping detections those that lie inside one of equal or better priority go.
+with, and by the second where the first is a word of every text.  Each rule names a
+literal it cannot match without; texts with none of these literals never reach the
+rules.  Where gate words stand, their rules are tried on the words that follow, so every
+place is found.  Of overlapping detections those that lie inside one of equal or better priority go.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import read, text_key
+from tessera.llm.license_notices import NOTICES
 from tessera.session import materialize
 
-SPAN = 16           # words a rule may cover
 #: Everything that is no word: ASCII without 0-9 and a-z, once A-Z are lower-cased (fixed by the contract).
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Base phrases and labels (fixed by the contract).
@@ -102,22 +102,6 @@ LICENSES = [
     ("elastic-2.0", r"elastic licen[cs]e(?: (?:version |v)?2(?: 0)?)?", r"elastic 2 0"),
     ("proprietary", r"proprietary licen[cs]e", r"licenseref proprietary"),
 ]
-#: Texts of licenses and notices: label, words.
-NOTICES = [
-    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy"),
-    ("isc", r"permission to use copy modify and or distribute this software for any purpose"),
-    ("bsd", r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("bsd", r"redistributions of source code must retain the above copyright notice"),
-    ("bsd-3-clause", r"neither the name of (?:\w+ ){1,6}nor the names of its contributors"),
-    ("zlib", r"altered source versions must be plainly marked as such"),
-    ("gpl", r"this program is free software you can redistribute it and or modify it"),
-    ("lgpl", r"this library is free software you can redistribute it and or modify it"),
-    ("unlicense", r"this is free and unencumbered software released into the public domain"),
-    ("public-domain", r"released into the public domain"),
-    ("public-domain", r"dedicated to the public domain"),
-    ("proprietary", r"all rights reserved"),
-    ("proprietary", r"confidential and proprietary"),
-]
 GRANTS = ["licensed", "released", "distributed", "available", "published"]
 
 
@@ -159,12 +143,35 @@ def rules() -> list[tuple[int, str, str, str, int, float]]:
     return [rule for rule, _ in _rules()]
 
 
+def gates() -> tuple[list[str], list[str], list[str]]:
+    """Words that open a rule by themselves; words that do so only with the next one, where that is plain in all
+    their rules (most of these are words of every text); the pairs of the latter."""
+    seconds: dict[str, set[str | None]] = {}
+    for _, first, pattern, *_ in rules():
+        head, *after = pattern.removeprefix("^").removesuffix("(?= |$)").split(" ")
+        plain = after and re.fullmatch(rf"{first}|\(\?:[a-z0-9|]+\)", head) and re.fullmatch(r"[a-z0-9]+|licen\[cs\]e", after[0])
+        seconds.setdefault(first, set()).update([after[0].replace("[cs]", x) for x in "cs"] if plain else [None])
+    alone = sorted(w for w, found in seconds.items() if None in found)
+    return alone, sorted(seconds.keys() - set(alone)), sorted(f"{w} {x}" for w in seconds.keys() - set(alone) for x in seconds[w])
+
+
 def literals() -> list[str]:
     """At least one of these stands in every text a rule matches; none holds another."""
     every = {need for _, need in _rules()}
     return sorted(x for x in every if not any(y in x for y in every - {x}))
 
 
+def span(pattern: str) -> int:
+    """Words a pattern covers at most: every optional part taken, groups as often as they may repeat."""
+    while (group := re.search(r"\(\?:([^()]*)\)(?:\?|\{\d+,(\d+)\})?", pattern)):
+        most = max(group[1].split("|"), key=lambda x: x.count(" "))
+        pattern = pattern[:group.start()] + most * int(group[2] or 1) + pattern[group.end():]
+    return pattern.count(" ") + 1
+
+
+SPAN = max(span(r[2].removesuffix("(?= |$)")) for r in rules())       # words a rule may cover
+
+
 def words(text="text"):
     """The text's words with one space between."""
     low = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -179,11 +186,12 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     table = spark.createDataFrame(rules(), "rule int, gate string, pattern string, label string, priority int, weight double")
-    gates = sorted({r[1] for r in rules()})
+    alone, paired, pairs = gates()
     hint = F.col("norm").rlike("|".join(literals()))
     told = docs.select(text_key().alias("tk"), words().alias("norm")).filter(hint)
     told = materialize(told.dropDuplicates(["tk"]).select("tk", F.split("norm", " ").alias("words")))
-    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(gates), i).otherwise(-1)), lambda i: i >= 0)
+    opens = lambda w, i: w.isin(alone) | (w.isin(paired) & F.concat_ws(" ", w, F.get("words", i + 1)).isin(pairs))
+    places = F.filter(F.transform("words", lambda w, i: F.when(opens(w, i), i).otherwise(-1)), lambda i: i >= 0)
     at = told.select("tk", "words", F.explode(places).alias("first")).select(
         "tk", "first", F.element_at("words", F.col("first") + 1).alias("gate"),
         F.array_join(F.slice("words", F.col("first") + 1, F.lit(SPAN)), " ").alias("ahead"))

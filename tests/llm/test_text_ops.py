@@ -337,6 +337,17 @@ def test_every_rule_fires_on_its_phrase_alone(spark):
         assert label in {r.label for r in got[hashlib.md5(text.encode()).digest()]}, text
 
 
+def test_span_holds_the_longest_rule(spark):
+    """A rule's last word counts, however long the rule."""
+    text = "released under the terms of the gnu general public license version 2 0 or any later version"
+    r, = licenses.scan(frame(spark, [text])).collect()
+    assert (r["first"], r["last"], r.label) == (0, len(text.split()), "gpl-2.0-or-later")
+    assert licenses.span(r"^a (?:b ){1,3}c(?: d| e f)? g") == 8
+    alone, paired, _ = licenses.gates()
+    assert {"gnu", "bsd"} <= set(alone) and {"the", "this", "in", "you"} <= set(paired)
+    assert len(licenses.NOTICES) > 150 and len(set(licenses.NOTICES)) == len(licenses.NOTICES)
+
+
 def test_contained_detections_go(spark):
     """Against a check of every pair of detections."""
     text = "licensed under the gnu general public license version 2 or later and the mit license " * 3
