@@ -106,12 +106,12 @@ GRANTS = ["licensed", "released", "distributed", "available", "published"]
 
 
 def literal(pattern: str) -> str:
-    """Words that stand in every match of a pattern: ``licen`` where that must stand, else the longest run of letters
-    outside groups and classes."""
+    """Words that stand in every match of a pattern: ``licen`` where a word must begin so, else the longest run of
+    letters outside groups and classes."""
     flat = re.sub(r"\(\?:[^()]*\)(?:\?|\{[\d,]+\})?", "\n", pattern)      # groups do not nest twice
     flat = re.sub(r"\(\?:[^()]*\)(?:\?|\{[\d,]+\})?", "\n", flat)
     runs = [x.strip() for x in re.sub(r"\[\w+\]\??|\\w\+|.\?", "\n", flat).split("\n")]
-    return "licen" if any("licen" in x for x in runs) else max(runs, key=len)
+    return "licen" if any(" licen" in f" {x}" for x in runs) else max(runs, key=len)
 
 
 def _rules() -> list[tuple[tuple[int, str, str, str, int, float], str]]:
@@ -156,9 +156,18 @@ def gates() -> tuple[list[str], list[str], list[str]]:
 
 
 def literals() -> list[str]:
-    """At least one of these stands in every text a rule matches; none holds another."""
+    """At least one of these begins a word of every text a rule matches; none holds another."""
     every = {need for _, need in _rules()}
-    return sorted(x for x in every if not any(y in x for y in every - {x}))
+    return sorted(x for x in every if not any(f" {y}" in f" {x}" for y in every - {x}))
+
+
+def hint() -> str:
+    """Pattern that finds any of the literals behind a space.  They are told apart by their first letter, so that a
+    word costs a few comparisons, not one a literal."""
+    by: dict[str, list[str]] = {}
+    for x in literals():
+        by.setdefault(x[0], []).append(x[1:])
+    return " (?:" + "|".join(f"{a}(?:{'|'.join(rest)})" for a, rest in by.items()) + ")"
 
 
 def span(pattern: str) -> int:
@@ -187,8 +196,7 @@ def scan(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     table = spark.createDataFrame(rules(), "rule int, gate string, pattern string, label string, priority int, weight double")
     alone, paired, pairs = gates()
-    hint = F.col("norm").rlike("|".join(literals()))
-    told = docs.select(text_key().alias("tk"), words().alias("norm")).filter(hint)
+    told = docs.select(text_key().alias("tk"), words().alias("norm")).filter(F.concat(F.lit(" "), "norm").rlike(hint()))
     told = materialize(told.dropDuplicates(["tk"]).select("tk", F.split("norm", " ").alias("words")))
     opens = lambda w, i: w.isin(alone) | (w.isin(paired) & F.concat_ws(" ", w, F.get("words", i + 1)).isin(pairs))
     places = F.filter(F.transform("words", lambda w, i: F.when(opens(w, i), i).otherwise(-1)), lambda i: i >= 0)
