@@ -129,3 +129,26 @@ def test_lemma_table_joins_distinct_tokens(spark):
     assert out.filter("size(filter(la, x -> x = 'go')) = 50 AND lb = array('x')").count() == 300
     table = tp.lemma_table(spark.createDataFrame([("went",), ("geese",), ("zzz",)], "token STRING"), tp.lemma_exceptions(spark))
     assert {r.token: r.lemma for r in table.collect()} == {"went": "go", "geese": "goose", "zzz": "zzz"}
+
+
+def test_shared_ngram_counts_equal_shared_ngrams(spark):
+    rows = [(1, "A b, c a b c", "a b\tc - d"), (2, "", "x"), (3, "x", ""), (4, None, "x"), (5, "a_b ÉTÉ été", "ab été"),
+            (6, "one", "One!"), (7, "a b c d e f " * 50, "f e d c b a " * 50), (8, "... --", "-")]
+    df = spark.createDataFrame(rows, "id INT, a STRING, b STRING").withColumns({"x": T.clean_tokens(F.col("a")), "y": T.clean_tokens(F.col("b"))})
+    out = df.withColumn("got", T.shared_ngram_counts(T.clean_text(F.col("a")), T.clean_text(F.col("b")))).select(
+        "id", "got", *[T.shared_ngrams(F.col("x"), F.col("y"), n).alias(f"w{n}") for n in (1, 2, 3)]).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        want = (r.w1, r.w2, r.w3)
+        assert (r.got.n1, r.got.n2, r.got.n3) == (want if r.id != 4 else (None, None, None)), r
+
+
+def test_small_dictionary_moves_no_text(spark):
+    """Lemmas of a dictionary that fits the plan equal those of the joined one, without an exchange."""
+    df = spark.createDataFrame([(1, "theses children boxes running", "went mice"), (2, "", "cats studied\u2028 dies"), (3, None, "ates")],
+                               "id INT, q1 STRING, q2 STRING")
+    t = tp.with_tokens(df, "q1", "q2").select("id", "lemma_tok1", "lemma_tok2")
+    assert "Exchange" not in t._jdf.queryExecution().executedPlan().toString()
+    kept = df.select("id", T.content_tokens(F.col("q1")).alias("a"), T.content_tokens(F.col("q2")).alias("b"))
+    joined = tp.with_lemmas(kept, "id", {"a": "lemma_tok1", "b": "lemma_tok2"}, tp.lemma_exceptions(spark))
+    assert sorted(map(tuple, t.collect())) == sorted(map(tuple, joined.select("id", "lemma_tok1", "lemma_tok2").collect()))
