@@ -152,3 +152,13 @@ def test_small_dictionary_moves_no_text(spark):
     kept = df.select("id", T.content_tokens(F.col("q1")).alias("a"), T.content_tokens(F.col("q2")).alias("b"))
     joined = tp.with_lemmas(kept, "id", {"a": "lemma_tok1", "b": "lemma_tok2"}, tp.lemma_exceptions(spark))
     assert sorted(map(tuple, t.collect())) == sorted(map(tuple, joined.select("id", "lemma_tok1", "lemma_tok2").collect()))
+
+
+def test_pairs_are_dealt_once(spark, tmp_path):
+    """Copies of one text, and neighbours that differ; texts are dealt by the join's keys, not again by id."""
+    rows = [(1, "a"), (2, "b"), (3, "a"), (4, "a"), (6, None), (7, None), (8, "b"), (9, "c"), (None, "c")]
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r.id >> 32, r.id & 0xFFFFFFFF, r.q1 == r.q2) for r in catalog.pairs(spark, str(tmp_path)).collect()}
+    assert got == {(1, 3, True), (1, 4, True), (2, 8, True), (1, 2, False), (2, 3, False), (8, 9, False)}
+    plan = catalog.pairs(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [id" not in plan
