@@ -162,3 +162,29 @@ def test_pairs_are_dealt_once(spark, tmp_path):
     assert got == {(1, 3, True), (1, 4, True), (2, 8, True), (1, 2, False), (2, 3, False), (8, 9, False)}
     plan = catalog.pairs(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [id" not in plan
+
+
+def test_edit_distance_steps_over_the_shorter_text():
+    """The longer text is the bit vector: a long text against a short one takes few steps, whichever comes first."""
+    import random
+    import time
+    rnd = random.Random(5)
+    for _ in range(300):
+        a, b = ("".join(rnd.choice("abc é😀") for _ in range(rnd.choice([0, 1, 7, 8, 9, 63, 64, 65, 600]))) for _ in range(2))
+        assert T._edit_distance(a, b) == T._edit_distance(b, a) == levenshtein_np(a, b)
+    long, short = ("".join(rnd.choice(x) for _ in range(n)) for x, n in (("abcdefgh", 200_000), ("hgfedcba", 20)))
+
+    def seconds(f):
+        spent = []
+        for _ in range(3):
+            begun = time.process_time()
+            f()
+            spent.append(time.process_time() - begun)
+        return min(spent)
+
+    def one_step_a_character():
+        x = y = (1 << 20) - 1
+        for _ in long:
+            x = (((x & y) + y) ^ y) & y | 1
+    assert T._edit_distance(long, short) == T._edit_distance(short, long) == 199_980
+    assert seconds(lambda: T._edit_distance(long, short)) < 2 * seconds(one_step_a_character)
