@@ -2,7 +2,9 @@
 
 k-means: Spark ML on standardised inputs; the number of clusters is chosen by
 the gap statistic against uniform reference data drawn over the bounding box
-(generated by Spark with a seeded ``rand``, so it scales with the data).
+(generated by Spark with a seeded ``rand``, so it scales with the data).  The fits
+of that choice start from Spark ML's own first centres and then take their
+iterations together: one pass over the rows serves every k and every reference set.
 
 k-modes (nominal inputs): rows are collapsed once to distinct patterns with
 counts; seeds, steps and the stop rule run on that table.  Each iteration compares
@@ -15,11 +17,15 @@ columns' modes in one job.  The driver only holds the k modes between iterations
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,9 +43,98 @@ def standardized_features(df: DataFrame, cols: list[str] | None = None, vector:
     return sc.transform(v).drop("__raw")
 
 
-def _wcss(df: DataFrame, k: int, seed: int, max_iter: int):
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(df)
-    return model, float(model.summary.trainingCost)
+BLOCK = 1024            # vectors that are one row of a blocks table
+TOL = 1e-4              # Spark ML's default: a fit ends when none of its centres moves further
+
+
+def _blocks(sets: list[DataFrame], dim: int) -> DataFrame:
+    """(set, block): the ``features`` of every set, ``BLOCK`` vectors of doubles a row, written once."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            flat = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+            own = int(b.column(0)[0].as_py()) if len(b) else 0
+            rows = [flat[k:k + BLOCK * dim].tobytes() for k in range(0, len(flat), BLOCK * dim)]
+            yield pa.RecordBatch.from_arrays([pa.array([own] * len(rows), pa.int32()), pa.array(rows, pa.binary())], names=["set", "block"])
+    packed = [s.select(F.lit(i).alias("set"), vector_to_array("features").alias("v")).mapInArrow(pack, "set int, block binary")
+              for i, s in enumerate(sets)]
+    out = packed[0]
+    for p in packed[1:]:
+        out = out.unionByName(p)
+    return materialize(out.repartition(out.sparkSession.sparkContext.defaultParallelism))
+
+
+def _step(blocks: DataFrame, centres: dict[tuple[int, int], np.ndarray]) -> dict[tuple[int, int], tuple]:
+    """One pass over the rows for all fits (set, k): the rows and the sum of the vectors nearest to each centre (ties: the
+    first), and the squared distances summed over all.  At most one row a fit and centre reaches the driver."""
+    fits = sorted(centres)
+    shared = blocks.sparkSession.sparkContext.broadcast([(f, centres[f]) for f in fits])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, list] = {}
+        for (at, k), c in shared.value:
+            own.setdefault(at, []).append((k, c, np.zeros(len(c)), np.zeros_like(c), np.zeros(len(c))))
+        stacked = {at: np.concatenate([c for _, c, *_ in fs]) for at, fs in own.items()}
+        for b in batches:
+            for at, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if at not in stacked:
+                    continue            # all fits of this set have ended
+                c = stacked[at]
+                x = np.frombuffer(raw.as_buffer(), np.float64).reshape(-1, c.shape[1])
+                norm = (x * x).sum(1)
+                score = (c * c).sum(1) - 2.0 * (x @ c.T)
+                first = 0
+                for _, own_c, n, total, cost in own[at]:
+                    mine = score[:, first:first + len(own_c)]
+                    first += len(own_c)
+                    best = mine.argmin(1)
+                    near = np.maximum(mine[np.arange(len(x)), best] + norm, 0.0)
+                    n += np.bincount(best, minlength=len(n))
+                    cost += np.bincount(best, near, len(n))
+                    chosen = np.zeros((len(x), len(n)))
+                    chosen[np.arange(len(x)), best] = 1.0
+                    total += chosen.T @ x
+        rows = [(at, k, i, n[i], cost[i], total[i]) for at, fs in own.items() for k, _, n, total, cost in fs
+                for i in np.flatnonzero(n)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[j] for r in rows], t) for j, t in enumerate(
+                [pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64())])],
+            names=["set", "k", "centre", "n", "cost", "total"])
+    sums = blocks.mapInArrow(run, "set int, k int, centre int, n double, cost double, total array<double>")
+    found = sums.groupBy("set", "k", "centre").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"), Summarizer.sum(array_to_vector("total")).alias("total")).collect()
+    shared.unpersist()
+    out = {f: (np.zeros(len(centres[f])), np.zeros_like(centres[f]), [0.0]) for f in fits}
+    for r in sorted(found, key=lambda r: (r["set"], r["k"], r["centre"])):
+        n, total, cost = out[r["set"], r["k"]]
+        n[r["centre"]], total[r["centre"]] = r["n"], r["total"].toArray()
+        cost[0] += r["cost"]
+    return out
+
+
+def kmeans_costs(sets: list[DataFrame], ks: list[int], seed: int, max_iter: int = 100) -> dict[tuple[int, int], float]:
+    """{(set, k): training cost} of Spark ML's k-means for every set and k.
+
+    Each fit starts from the centres that ``KMeans`` itself draws (a fit of no iterations) and ends as it
+    does: no centre moves beyond ``TOL``, or ``max_iter``.  The iterations of all fits run side by side, so
+    the rows are read ``max_iter`` times at most, not that often for each fit.
+    """
+    fits = [(i, k) for i in range(len(sets)) for k in ks]
+
+    def first(i, k):
+        return np.array(KMeans(k=k, seed=seed, maxIter=0, featuresCol="features").fit(sets[i]).clusterCenters())
+    centres = dict(zip(fits, concurrently([partial(first, *f) for f in fits]), strict=True))
+    blocks = _blocks(sets, next(iter(centres.values())).shape[1])
+    cost = dict.fromkeys(fits, 0.0)
+    for _ in range(max_iter):
+        if not centres:
+            break
+        for f, (n, total, (spent,)) in _step(blocks, centres).items():
+            old, used = centres[f], n > 0
+            new = np.where(used[:, None], total / np.maximum(n, 1.0)[:, None], old)
+            cost[f], centres[f] = spent, new
+            if (((new - old) ** 2).sum(1) <= TOL * TOL).all():
+                del centres[f]
+    return cost
 
 
 def kmeans_choose_k(df: DataFrame, k_min: int, k_max: int, seed: int, max_iter: int = 100,
@@ -61,15 +156,17 @@ def kmeans_choose_k(df: DataFrame, k_min: int, k_max: int, seed: int, max_iter:
         cols = [(hash32(seed + 1000 * (r + 1) + i, key) / F.lit(float(1 << 32)) * (bounds[f"hi{i}"] - bounds[f"lo{i}"]) + bounds[f"lo{i}"])
                 for i in range(dim)]
         ref_sets.append(materialize(df.select(array_to_vector(F.array(*cols)).alias("features"))))
+    ks = list(range(k_min, k_max + 1))
+    cost = kmeans_costs([df, *ref_sets], ks, seed, max_iter)
+
     def one(k):
-        _, w = _wcss(df, k, seed, max_iter)
-        lw_ref = [math.log(max(_wcss(rs, k, seed, max_iter)[1], 1e-300)) for rs in ref_sets]
+        lw = math.log(max(cost[0, k], 1e-300))
+        lw_ref = [math.log(max(cost[r, k], 1e-300)) for r in range(1, refs + 1)]
         mean_ref = sum(lw_ref) / len(lw_ref)
         sd = math.sqrt(sum((x - mean_ref) ** 2 for x in lw_ref) / len(lw_ref))
-        s = sd * math.sqrt(1 + 1 / len(lw_ref))
-        return [k, math.log(max(w, 1e-300)), mean_ref - math.log(max(w, 1e-300)), s]
+        return [k, lw, mean_ref - lw, sd * math.sqrt(1 + 1 / len(lw_ref))]
 
-    rows = concurrently([partial(one, k) for k in range(k_min, k_max + 1)])
+    rows = [one(k) for k in ks]
     chosen = rows[-1][0]
     for cur, nxt in zip(rows, rows[1:]):
         if cur[2] >= nxt[2] - nxt[3]:

@@ -67,6 +67,27 @@ def test_kmeans_gap_picks_clusters(spark):
     assert k == 3
 
 
+def test_kmeans_costs_are_those_of_spark_ml_in_few_jobs(spark):
+    """Every k's cost is that of a KMeans fit of its own, but the iterations of all k and sets are common jobs."""
+    import math
+
+    from pyspark.ml.clustering import KMeans
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(i, [rnd.gauss(0, 1) for _ in range(6)]) for i in range(900)], "id INT, v ARRAY<DOUBLE>")
+    f = clu.materialize(clu.standardized_features(df, vector="v"))
+    spark.sparkContext.setJobGroup("kmeans-one", "one fit")
+    KMeans(k=7, seed=3, maxIter=100).fit(f)
+    alone = len(spark.sparkContext.statusTracker().getJobIdsForGroup("kmeans-one"))
+    spark.sparkContext.setJobGroup("kmeans-all", "choice")
+    table, _ = clu.kmeans_choose_k(f, 6, 8, 3, refs=2, key="id")
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("kmeans-all"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for r in table.collect():
+        fit = KMeans(k=r.k, seed=3, maxIter=100).fit(f)
+        assert r.log_w == pytest.approx(math.log(fit.summary.trainingCost), abs=1e-9)
+    assert jobs < 9 * alone * 0.6           # 3 numbers of clusters on 3 sets
+
+
 def test_als_grid_smoke(spark):
     rows = [(u, i, 1 + (u * i) % 5) for u in range(12) for i in range(10) if (u + i) % 3]
     train = spark.createDataFrame(rows, "user_id INT, item_id INT, plays INT")
