@@ -79,13 +79,13 @@ def test_kmeans_costs_are_those_of_spark_ml_in_few_jobs(spark):
     KMeans(k=7, seed=3, maxIter=100).fit(f)
     alone = len(spark.sparkContext.statusTracker().getJobIdsForGroup("kmeans-one"))
     spark.sparkContext.setJobGroup("kmeans-all", "choice")
-    table, _ = clu.kmeans_choose_k(f, 6, 8, 3, refs=2, key="id")
+    table, _ = clu.kmeans_choose_k(f, 2, 9, 3, refs=3, key="id")
     jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("kmeans-all"))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     for r in table.collect():
         fit = KMeans(k=r.k, seed=3, maxIter=100).fit(f)
         assert r.log_w == pytest.approx(math.log(fit.summary.trainingCost), abs=1e-9)
-    assert jobs < 9 * alone * 0.6           # 3 numbers of clusters on 3 sets
+    assert jobs < 32 * alone * 0.6          # 8 numbers of clusters on 4 sets
 
 
 def test_als_grid_smoke(spark):
