@@ -98,6 +98,37 @@ def test_als_grid_smoke(spark):
     assert rec.best_params(g).count() == 1
 
 
+def test_grid_fits_take_fewer_item_blocks_and_score_the_same(spark, monkeypatch):
+    rnd = random.Random(7)
+    rows = [(u, i, rnd.randint(1, 50)) for u in range(400) for i in rnd.sample(range(90), 14)]
+    every = spark.createDataFrame(rows, "user_id INT, item_id INT, plays INT")
+    train, held = clu.materialize(every.filter("(user_id + item_id) % 5 > 0")), every.filter("(user_id + item_id) % 5 = 0")
+    pos = clu.materialize(held.select("user_id", "item_id"))
+    neg = clu.materialize(pos.selectExpr("user_id", "(item_id * 7 + 3) % 90 AS item_id"))
+    names = ["user_id", "item_id", "plays"]
+    scores, auc = [], []
+    for reg in (2.0, 3.5):
+        m = rec.als(6, 5.0, reg, *names).fit(train)
+        own = rec.score_pairs(m, pos, "user_id", "item_id")
+        per = rec.user_auc(own, rec.score_pairs(m, neg, "user_id", "item_id"), "user_id", "score", neg_bound=90)
+        scores.append({(r.user_id, r.item_id): r.score for r in own.collect()})
+        auc.append(rec.mean_auc(per).first()["mean_auc"])
+    blocks, plain = [], rec.als
+
+    def spy(*given):
+        blocks.append(plain(*given).getNumItemBlocks())
+        return plain(*given)
+
+    monkeypatch.setattr(rec, "als", spy)
+    grid = {r.reg: r.mean_auc for r in rec.als_grid(train, pos, neg, *names, [6], [5.0], [2.0, 3.5], neg_bound=90).collect()}
+    assert blocks == [3, 3]
+    assert [grid[2.0], grid[3.5]] == pytest.approx(auc, abs=1e-4)
+    few = plain(6, 5.0, 2.0, *names, item_blocks=3).fit(train)
+    for r in rec.score_pairs(few, pos, "user_id", "item_id").collect():
+        assert r.score == pytest.approx(scores[0][r.user_id, r.item_id], abs=1e-5)
+    assert [rec.shared_item_blocks(n) for n in (0, 15_000_000, 15_000_001, 10**9)] == [3, 3, 4, 10]
+
+
 def test_epochs_carry_weights_and_keep_the_best(spark, separable):
     """The history is what single epochs from the same weights give, and the model is that of its best epoch."""
     df = mdl.assemble(["x1", "x2"]).transform(separable)
