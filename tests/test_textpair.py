@@ -1,6 +1,7 @@
 """Text-pair features: hand fixtures (Q8, Q9, STR-07) and brute-force checks."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +189,30 @@ def test_edit_distance_steps_over_the_shorter_text():
             x = (((x & y) + y) ^ y) & y | 1
     assert T._edit_distance(long, short) == T._edit_distance(short, long) == 199_980
     assert seconds(lambda: T._edit_distance(long, short)) < 2 * seconds(one_step_a_character)
+
+
+def test_edit_distances_of_many_pairs_step_together(monkeypatch):
+    """Pairs of all lengths, stepped together in lanes of 64 characters, equal the DP; and many cost less than one by one."""
+    import random
+    import time
+    rnd = random.Random(3)
+    sizes = [0, 1, 2, 40, 63, 64, 65, 100, 127, 128, 129, 300]
+
+    def text(letters, n):
+        return "".join(rnd.choice(letters) for _ in range(n))
+    pairs = [(text("abc é😀\u0085", rnd.choice(sizes)), text("abd é漢", rnd.choice(sizes))) for _ in range(400)]
+    pairs += [(p, p) for p, _ in pairs[:5]] + [(x := text("ab", 200), x[:90] + "c" + x[91:]), ("ab\ud800" * 40, "b\ud800c" * 30)]
+    want = [levenshtein_np(a, b) for a, b in pairs]
+    for lanes, fewest in ((8192, 1024), (8192, 1), (7, 1)):
+        monkeypatch.setattr(T, "LANES", lanes)
+        monkeypatch.setattr(T, "FEWEST_LANES", fewest)
+        assert T._edit_distances(pairs) == want
+    monkeypatch.undo()
+    many = [(text("etaoin shrdlu", 2000), text("etaoin shrdlu", rnd.randint(600, 2000))) for _ in range(300)]
+
+    def seconds(f):
+        begun = time.process_time()
+        f()
+        return time.process_time() - begun
+    one_by_one = min(seconds(lambda: [T._edit_distance(*p) for p in many]) for _ in range(2))
+    assert min(seconds(lambda: T._edit_distance_batch(*map(pd.Series, zip(*many)))) for _ in range(3)) < 0.8 * one_by_one
