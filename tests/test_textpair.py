@@ -216,3 +216,39 @@ def test_edit_distances_of_many_pairs_step_together(monkeypatch):
         return time.process_time() - begun
     one_by_one = min(seconds(lambda: [T._edit_distance(*p) for p in many]) for _ in range(2))
     assert min(seconds(lambda: T._edit_distance_batch(*map(pd.Series, zip(*many)))) for _ in range(3)) < 0.8 * one_by_one
+
+
+@pytest.mark.parametrize("corpus", ["union", "full_join"])
+@pytest.mark.parametrize("frequent", [200_000, 3])
+def test_tfidf_counts_within_rows(spark, tmp_path, monkeypatch, corpus, frequent):
+    """Repeated and missing ids, missing and equal arrays, rare tokens joined apart; no (pair, token) row is dealt out by id and token."""
+    import re
+    from collections import Counter
+    from math import log
+    monkeypatch.setattr(tp, "FREQUENT", frequent, raising=False)
+    rows = [(1, ["a", "b", "b"], ["a", "c"]), (2, ["c", "d"], ["d", "d", "e"]), (2, ["a"], ["b", "e"]), (3, [], ["a", "a"]),
+            (4, None, ["q", "a"]), (5, ["a", None], ["b"]), (None, ["a", "z"], ["c"]), (None, ["z"], ["z"]), (6, ["c", "d"], ["a"]),
+            (7, ["x y"], ["x", "y"]), (8, ["b", "e"], ["c", "d"]), (9, ["b", "e"], ["c", "d"]), (10, ["only"], ["only", "b"])]
+    spark.createDataFrame(rows, "id INT, t1 ARRAY<STRING>, t2 ARRAY<STRING>").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    d, seen, total = {}, Counter(), 0
+    for i, a, b in rows:
+        if corpus == "full_join" or (a is not None and b is not None):
+            d.setdefault(i, (Counter(), Counter()))
+            d[i][0].update(a or [])
+            d[i][1].update(b or [])
+    if corpus == "union":
+        seen.update(t for sides in d.values() for s in sides for t in s)
+        total = 2 * len(rows)
+    else:
+        for r in tp.corpus_multiplicity(df, "t1", "t2").collect():
+            seen.update({t: r.n_rows for t in set(r.words or [])})
+            total += r.n_rows
+    weight = {t: log((total + 1) / (n + 1)) for t, n in seen.items() if n >= 2 and t is not None}
+    want = {i: sum(((x[t] - y[t]) * weight.get(t, 0.0)) ** 2 for t in x | y) for i, (x, y) in d.items() if i is not None}
+    out = tp.tfidf_distance(df, "id", "t1", "t2", corpus=corpus)
+    got = out.collect()
+    assert sorted(str(r.id) for r in got) == sorted(str(i) for i, _, _ in rows)
+    for r in got:
+        assert r.tfidfDistance == pytest.approx(want.get(r.id, 0.0), abs=1e-9), r
+    assert not re.search(r"hashpartitioning\(id#\d+\w*, token", out._jdf.queryExecution().executedPlan().toString())
