@@ -194,3 +194,34 @@ def test_tower_means_weigh_repeated_tokens(spark):
     for i, a, b in [(1, "uvuu", "w"), (2, "", "zz"), (3, "", "")]:
         assert got[i]["sum"] == pytest.approx([x + y for x, y in zip(mean(a), mean(b))], abs=1e-9)
         assert got[i]["sq_diff"] == pytest.approx([(x - y) ** 2 for x, y in zip(mean(a), mean(b))], abs=1e-9)
+
+
+@pytest.mark.parametrize("block", [1 << 18, 4])
+def test_towers_join_no_vector_to_a_token(spark, monkeypatch, block):
+    """Blocks of the table, vec_ids that repeat or are missing, repeated and missing ids, missing texts, tokens, vectors and components; no join."""
+    from collections import Counter
+    from hashlib import md5
+    from tessera.operators import twotower as tt
+    monkeypatch.setattr(tt, "BLOCK", block, raising=False)
+    vecs = [(i, [i + 0.5, i * i / 7.0]) for i in range(11) if i != 7] + [(3, [100.0, -1.0]), (None, [9.0, 9.0]), (40, [1.0, 1.0]), (5, [None, 2.0]), (6, None)]
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, words[i:i + 9] * 2 + words[:i], words[3 * i % 40:]) for i in range(12)]
+    rows += [(1, ["x", None, "x"], ["w1"]), (1, [], None), (None, ["w1"], ["w2"]), (None, ["w3"], None), (20, None, None), (21, [], ["w5"])]
+    pairs = spark.createDataFrame(rows, "id INT, a ARRAY<STRING>, b ARRAY<STRING>").repartition(3)
+    out = tt.two_tower_features(pairs, "id", "a", "b", spark.createDataFrame(vecs, "vec_id LONG, embedding ARRAY<DOUBLE>"), len(vecs), 2)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    held = {}
+    for i, a, b in rows:
+        for side, t in enumerate((a, b)):
+            held.setdefault(i, (Counter(), Counter()))[side].update(
+                int(md5(("tok" if w is None else f"tok|{w}").encode()).hexdigest()[:8], 16) % len(vecs) for w in t or [])
+
+    def mean(n):
+        own = [(n[i], [x or 0.0 for x in v]) for i, v in vecs if i is not None and v is not None and n[i]]
+        return [sum(k * v[d] for k, v in own) / sum(k for k, _ in own) if own else 0.0 for d in (0, 1)]
+    got = out.collect()
+    assert Counter(r.id for r in got) == Counter(i for i, _, _ in rows)
+    for r in got:
+        a, b = ([0.0, 0.0], [0.0, 0.0]) if r.id is None else map(mean, held[r.id])
+        assert r["sum"] == pytest.approx([x + y for x, y in zip(a, b)], abs=1e-9), r
+        assert r["sq_diff"] == pytest.approx([(x - y) ** 2 for x, y in zip(a, b)], abs=1e-9), r
