@@ -225,3 +225,34 @@ def test_towers_join_no_vector_to_a_token(spark, monkeypatch, block):
         a, b = ([0.0, 0.0], [0.0, 0.0]) if r.id is None else map(mean, held[r.id])
         assert r["sum"] == pytest.approx([x + y for x, y in zip(a, b)], abs=1e-9), r
         assert r["sq_diff"] == pytest.approx([(x - y) ** 2 for x, y in zip(a, b)], abs=1e-9), r
+
+
+def test_als_frees_what_earlier_iterations_shipped(spark):
+    """The scores are those of a fit without early checkpoints, and fewer shuffle files lie on the disk at once."""
+    import threading
+    from pyspark.ml.recommendation import ALS
+    from tessera.operators import recommend as rec
+    rows = spark.createDataFrame([(u, i, float(1 + (u * i) % 5)) for u in range(60) for i in range(40) if (u + i) % 3 == 0], "user INT, item INT, n DOUBLE").cache()
+    rows.count()
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {m for m in disk.getAllFiles().mkString("\n").split("\n") if m.endswith(".data") and "shuffle_" in m}
+
+    def most(als):
+        before, seen, over = files(), [0], threading.Event()
+
+        def look():
+            while not over.wait(0.02):
+                seen[0] = max(seen[0], len(files() - before))
+        t = threading.Thread(target=look)
+        t.start()
+        try:
+            model = als.fit(rows)
+        finally:
+            over.set()
+            t.join()
+        return seen[0], {(r.user, r.item): r.score for r in rec.score_pairs(model, rows, "user", "item").collect()}
+    whole, want = most(ALS(implicitPrefs=True, rank=4, alpha=2.0, regParam=1.0, userCol="user", itemCol="item", ratingCol="n", seed=0, maxIter=10))
+    own, got = most(rec.als(4, 2.0, 1.0, "user", "item", "n"))
+    assert got == want and own < 0.7 * whole, (own, whole)

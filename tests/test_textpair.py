@@ -203,9 +203,9 @@ def test_edit_distances_of_many_pairs_step_together(monkeypatch):
     pairs = [(text("abc é😀\u0085", rnd.choice(sizes)), text("abd é漢", rnd.choice(sizes))) for _ in range(400)]
     pairs += [(p, p) for p, _ in pairs[:5]] + [(x := text("ab", 200), x[:90] + "c" + x[91:]), ("ab\ud800" * 40, "b\ud800c" * 30)]
     want = [levenshtein_np(a, b) for a, b in pairs]
-    for lanes, fewest in ((8192, 1024), (8192, 1), (7, 1)):
+    for lanes, alone in ((8192, 0.6), (8192, 1e9), (7, 1e9), (8192, 0.0)):
         monkeypatch.setattr(T, "LANES", lanes)
-        monkeypatch.setattr(T, "FEWEST_LANES", fewest)
+        monkeypatch.setattr(T, "STEP_ALONE", alone)
         assert T._edit_distances(pairs) == want
     monkeypatch.undo()
     many = [(text("etaoin shrdlu", 2000), text("etaoin shrdlu", rnd.randint(600, 2000))) for _ in range(300)]
